@@ -248,3 +248,206 @@ FROM readings""")
 def q_table_statistics(spark, sf_dir):
     return reports.table_statistics(silver_bills(spark, sf_dir), "bills", "billing_month").unionByName(
         reports.table_statistics(silver_readings(spark, sf_dir), "readings", "timestamp"))
+
+
+# ---------------------------------------------------------------- quality
+
+def _typed_bills(spark, sf_dir):
+    return clean.coerce_bills(standins.bills_bronze(spark, sf_dir))
+
+
+def _typed_readings(spark, sf_dir):
+    return clean.coerce_readings(standins.readings_bronze(spark, sf_dir))
+
+
+_BILL_NUM = ["consumption_kwh", "energy_charges", "meter_rent", "gst", "total_amount"]
+_READ_NUM = ["reading", "consumption_kwh", "voltage", "current_amp"]
+
+
+def _sql_unpivot(cols, select_for_col, source):
+    return "\nUNION ALL\n".join(select_for_col(c) + f" FROM {source}" for c in cols)
+
+
+@register("duplicate_count", O.with_("bills_typed", "readings_typed") + """
+SELECT 'bills' AS table_name, CAST(sum(c) AS BIGINT) AS n_rows, CAST(sum(c - 1) AS BIGINT) AS n_duplicates
+FROM (SELECT bill_id, count(*) AS c FROM bills_typed GROUP BY bill_id)
+UNION ALL
+SELECT 'readings', CAST(sum(c) AS BIGINT), CAST(sum(c - 1) AS BIGINT)
+FROM (SELECT "timestamp", meter_id, count(*) AS c FROM readings_typed GROUP BY "timestamp", meter_id)""")
+def q_duplicate_count(spark, sf_dir):
+    from meterlake.operators import quality
+    b = quality.duplicate_count(_typed_bills(spark, sf_dir), ["bill_id"])
+    r = quality.duplicate_count(_typed_readings(spark, sf_dir), ["timestamp", "meter_id"])
+    return (b.select(F.lit("bills").alias("table_name"), "*")
+            .unionByName(r.select(F.lit("readings").alias("table_name"), "*")))
+
+
+_BILL_ALL = ["bill_id", "meter_id", "billing_month", "consumption_kwh", "energy_charges",
+             "meter_rent", "gst", "total_amount", "status", "division", "subdivision", "source_file"]
+_READ_ALL = ["timestamp", "meter_id", "reading", "consumption_kwh", "voltage", "current_amp",
+             "quality_flag", "division", "subdivision", "source_file"]
+
+
+def _null_sql(table, cols, source):
+    def one(c):
+        q = f'"{c}"'
+        return (f"SELECT '{table}' AS table_name, '{c}' AS \"column\", "
+                f"CAST(count(*) FILTER (WHERE {q} IS NULL) AS BIGINT) AS n_null, "
+                f"round(count(*) FILTER (WHERE {q} IS NULL) / count(*) * 100, 4) AS pct_null")
+    return _sql_unpivot(cols, one, source)
+
+
+@register("null_profile", O.with_("bills_typed", "readings_typed") + _null_sql(
+    "bills", _BILL_ALL, "bills_typed") + "\nUNION ALL\n" + _null_sql("readings", _READ_ALL, "readings_typed"))
+def q_null_profile(spark, sf_dir):
+    from meterlake.operators import quality
+    b = quality.null_profile(_typed_bills(spark, sf_dir), _BILL_ALL)
+    r = quality.null_profile(_typed_readings(spark, sf_dir), _READ_ALL)
+    return (b.select(F.lit("bills").alias("table_name"), "*")
+            .unionByName(r.select(F.lit("readings").alias("table_name"), "*")))
+
+
+def _ranges_sql(cols, source):
+    return _sql_unpivot(cols, lambda c: (
+        f"SELECT '{c}' AS \"column\", min({c}) AS min, max({c}) AS max, round(avg({c}), 4) AS mean, "
+        f"round(quantile_cont({c}, 0.5), 4) AS median, round(stddev_samp({c}), 4) AS std"), source)
+
+
+@register("value_ranges", O.with_("bills") + _ranges_sql(_BILL_NUM, "bills"))
+def q_value_ranges(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.value_ranges(silver_bills(spark, sf_dir), _BILL_NUM)
+
+
+def _iqr_sql(cols, source):
+    parts = []
+    for c in cols:
+        parts.append(f"""
+SELECT '{c}' AS "column", round(q1, 4) AS q1, round(q3, 4) AS q3,
+       round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper,
+       CAST((SELECT count(*) FROM {source} WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers
+FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {source})""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("iqr_outliers", O.with_("readings") + _iqr_sql(_READ_NUM, "readings"))
+def q_iqr_outliers(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.iqr_outliers(silver_readings(spark, sf_dir), _READ_NUM)
+
+
+@register("rule_violations", O.with_("bills_typed", "readings_typed") + """
+SELECT 'bills' AS table_name, 'total_amount<=0' AS rule, CAST(count(*) FILTER (WHERE total_amount <= 0) AS BIGINT) AS violations FROM bills_typed
+UNION ALL SELECT 'bills', 'consumption_kwh<0', CAST(count(*) FILTER (WHERE consumption_kwh < 0) AS BIGINT) FROM bills_typed
+UNION ALL SELECT 'readings', 'voltage_outside_180_260', CAST(count(*) FILTER (WHERE voltage < 180 OR voltage > 260) AS BIGINT) FROM readings_typed
+UNION ALL SELECT 'readings', 'consumption_kwh<0', CAST(count(*) FILTER (WHERE consumption_kwh < 0) AS BIGINT) FROM readings_typed""")
+def q_rule_violations(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.rule_violations(_typed_bills(spark, sf_dir), quality.BILL_RULES, "bills").unionByName(
+        quality.rule_violations(_typed_readings(spark, sf_dir), quality.READING_RULES, "readings"))
+
+
+_BILL_TYPES = {"billing_month": "timestamp", **{c: "double" for c in _BILL_NUM}}
+
+
+def _schema_sql(cols, types, source):
+    return _sql_unpivot(cols, lambda c: (
+        f"SELECT '{c}' AS \"column\", '{types.get(c, 'string')}' AS dtype, "
+        f"CAST(count({c}) AS BIGINT) AS non_null, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
+        f"CAST(count(DISTINCT {c}) AS BIGINT) AS n_unique"), source)
+
+
+@register("schema_profile", O.with_("bills") + _schema_sql(_BILL_ALL, _BILL_TYPES, "bills"))
+def q_schema_profile(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.schema_profile(silver_bills(spark, sf_dir).select(*_BILL_ALL))
+
+
+def _describe_sql(cols, source):
+    return _sql_unpivot(cols, lambda c: (
+        f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 4) AS mean, "
+        f"round(stddev_samp({c}), 4) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 4) AS q25, "
+        f"round(quantile_cont({c}, 0.5), 4) AS q50, round(quantile_cont({c}, 0.75), 4) AS q75, "
+        f"max({c}) AS max"), source)
+
+
+@register("describe_numeric", O.with_("readings") + _describe_sql(_READ_NUM, "readings"))
+def q_describe_numeric(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.describe_numeric(silver_readings(spark, sf_dir), _READ_NUM)
+
+
+@register("histogram", O.with_("bills") + """
+, mm AS (SELECT min(total_amount) AS lo, max(total_amount) AS hi, (max(total_amount) - min(total_amount)) / 50 AS w FROM bills),
+counts AS (
+  SELECT CAST(least(floor((total_amount - lo) / w), 49) AS INTEGER) AS bin, count(*) AS n
+  FROM bills, mm WHERE total_amount IS NOT NULL GROUP BY 1)
+SELECT b.bin, round(lo + b.bin * w, 4) AS lower, round(lo + (b.bin + 1) * w, 4) AS upper,
+       CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b CROSS JOIN mm
+LEFT JOIN counts c ON b.bin = c.bin""")
+def q_histogram(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.histogram(silver_bills(spark, sf_dir), "total_amount", 50)
+
+
+@register("box_stats", O.with_("bills") + """
+, q AS (SELECT division, quantile_cont(total_amount, 0.25) AS q1, quantile_cont(total_amount, 0.5) AS median,
+               quantile_cont(total_amount, 0.75) AS q3 FROM bills WHERE division IS NOT NULL GROUP BY division)
+SELECT b.division, CAST(count(*) AS BIGINT) AS n, min(total_amount) AS min, round(q.q1, 4) AS q1,
+       round(q.median, 4) AS median, round(q.q3, 4) AS q3, max(total_amount) AS max,
+       min(total_amount) FILTER (WHERE total_amount BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)) AS lower_whisker,
+       max(total_amount) FILTER (WHERE total_amount BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)) AS upper_whisker,
+       CAST(count(*) FILTER (WHERE NOT (total_amount BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1))) AS BIGINT) AS n_outliers
+FROM bills b JOIN q ON b.division = q.division
+GROUP BY b.division, q.q1, q.median, q.q3""")
+def q_box_stats(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.box_stats(silver_bills(spark, sf_dir), "total_amount", ["division"])
+
+
+def _validate_sql(kind):
+    if kind == "bills":
+        src, crit, time_col = "bills", ["bill_id", "meter_id", "consumption_kwh"], "billing_month"
+        rules = [("total_amount<=0", "total_amount <= 0"), ("consumption_kwh<0", "consumption_kwh < 0")]
+        means = ["consumption_kwh", "total_amount"]
+        dup = "SELECT bill_id, count(*) AS c FROM bills GROUP BY bill_id"
+        dup_name = "bill_id"
+    else:
+        src, crit, time_col = "readings", ["\"timestamp\"", "meter_id", "reading"], '"timestamp"'
+        rules = [("voltage_outside_180_260", "voltage < 180 OR voltage > 260"),
+                 ("consumption_kwh<0", "consumption_kwh < 0")]
+        means = ["consumption_kwh", "voltage", "current_amp"]
+        dup = 'SELECT "timestamp", meter_id, count(*) AS c FROM readings GROUP BY "timestamp", meter_id'
+        dup_name = "timestamp,meter_id"
+    rows = ["SELECT 'missing_columns' AS \"check\", 0.0 AS value, 'ok' AS status",
+            f"SELECT 'rows', CAST(count(*) AS DOUBLE), 'info' FROM {src}"]
+    for c in crit:
+        n = c.strip('"')
+        rows.append(f"SELECT 'nulls:{n}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE), "
+                    f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'ok' ELSE 'fail' END FROM {src}")
+    for n, cond in rules:
+        rows.append(f"SELECT 'rule:{n}', CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE), "
+                    f"CASE WHEN count(*) FILTER (WHERE {cond}) = 0 THEN 'ok' ELSE 'fail' END FROM {src}")
+    for c in ("meter_id", "division", "subdivision"):
+        rows.append(f"SELECT 'distinct:{c}', CAST(count(DISTINCT {c}) AS DOUBLE), 'info' FROM {src}")
+    t = time_col.strip('"')
+    rows.append(f"SELECT 'min:{t}', epoch_us(min({time_col})) / 1e6, 'info' FROM {src}")
+    rows.append(f"SELECT 'max:{t}', epoch_us(max({time_col})) / 1e6, 'info' FROM {src}")
+    for c in means:
+        rows.append(f"SELECT 'mean:{c}', round(avg({c}), 4), 'info' FROM {src}")
+    rows.append(f"SELECT 'duplicates:{dup_name}', CAST(coalesce(sum(c - 1), 0) AS DOUBLE), "
+                f"CASE WHEN coalesce(sum(c - 1), 0) = 0 THEN 'ok' ELSE 'fail' END FROM ({dup})")
+    return O.with_(src) + "\nUNION ALL\n".join(rows)
+
+
+@register("validate_bills", _validate_sql("bills"))
+def q_validate_bills(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.validate(silver_bills(spark, sf_dir), "bills")
+
+
+@register("validate_readings", _validate_sql("readings"))
+def q_validate_readings(spark, sf_dir):
+    from meterlake.operators import quality
+    return quality.validate(silver_readings(spark, sf_dir), "readings")
