@@ -451,3 +451,220 @@ def q_validate_bills(spark, sf_dir):
 def q_validate_readings(spark, sf_dir):
     from meterlake.operators import quality
     return quality.validate(silver_readings(spark, sf_dir), "readings")
+
+
+# ---------------------------------------------------------------- files: scans, loads, manifest
+
+def _staged(spark, sf_dir):
+    from meterlake.plans import staging
+    return staging.staged(spark, sf_dir)
+
+
+def _source_dir(c: str = "source_file"):
+    return F.regexp_replace(F.col(c), "/[^/]*$", "").alias("source_dir")
+
+
+def _sql_source_dir(kind: str) -> str:
+    return f"'{kind}/division=' || division || '/subdivision=' || subdivision AS source_dir"
+
+
+def _scan_typed(spark, sf_dir, kind):
+    from meterlake.plans.load import frozen_inventory
+    from meterlake.sources.bronze import read_bronze
+    s = _staged(spark, sf_dir)
+    inv = frozen_inventory(spark, s.tree, [kind], "hive")
+    raw = read_bronze(spark, inv, kind, "hive")
+    return clean.coerce_bills(raw) if kind == "bills" else clean.coerce_readings(raw)
+
+
+@register("scan_bills_tsv", O.with_("bills_typed") + f"""
+SELECT bill_id, meter_id, {O.ts_text('billing_month')} AS billing_month, consumption_kwh,
+       energy_charges, meter_rent, gst, total_amount, status, division, subdivision,
+       {_sql_source_dir('bills')} FROM bills_typed""")
+def q_scan_bills_tsv(spark, sf_dir):
+    t = _scan_typed(spark, sf_dir, "bills")
+    return t.select("bill_id", "meter_id", _ts("billing_month"), "consumption_kwh", "energy_charges",
+                    "meter_rent", "gst", "total_amount", "status", "division", "subdivision",
+                    _source_dir())
+
+
+@register("scan_readings_csv", O.with_("readings_typed") + f"""
+SELECT {O.ts_text('"timestamp"')} AS "timestamp", meter_id, reading, consumption_kwh, voltage,
+       current_amp, quality_flag, division, subdivision, {_sql_source_dir('readings')}
+FROM readings_typed""")
+def q_scan_readings_csv(spark, sf_dir):
+    t = _scan_typed(spark, sf_dir, "readings")
+    return t.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage",
+                    "current_amp", "quality_flag", "division", "subdivision", _source_dir())
+
+
+@register("lineage_columns", O.with_("bills_typed", "readings_typed") + f"""
+SELECT 'bills' AS data_type, division, subdivision, {_sql_source_dir('bills')}, CAST(count(*) AS BIGINT) AS n_rows
+FROM bills_typed GROUP BY division, subdivision
+UNION ALL
+SELECT 'readings', division, subdivision, {_sql_source_dir('readings')}, CAST(count(*) AS BIGINT)
+FROM readings_typed GROUP BY division, subdivision""")
+def q_lineage_columns(spark, sf_dir):
+    out = None
+    for kind in ("bills", "readings"):
+        t = _scan_typed(spark, sf_dir, kind)
+        g = t.groupBy("division", "subdivision", _source_dir()).agg(
+            F.count(F.lit(1)).alias("n_rows")).select(F.lit(kind).alias("data_type"), "*")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@register("file_inventory", O.with_("bills_typed", "readings_typed") + """
+SELECT DISTINCT 'bills' AS data_type, division, subdivision, true AS has_bytes FROM bills_typed
+UNION ALL
+SELECT DISTINCT 'readings', division, subdivision, true FROM readings_typed""")
+def q_file_inventory(spark, sf_dir):
+    from meterlake.sources.inventory import file_inventory
+    inv = file_inventory(spark, _staged(spark, sf_dir).tree, layout="hive")
+    return inv.groupBy("data_type", "division", "subdivision").agg(
+        (F.sum("length") > 0).alias("has_bytes"))
+
+
+@register("full_load_bills", O.with_("bills") + """
+SELECT bill_id, meter_id, strftime(billing_month, '%Y-%m-%d %H:%M:%S') AS billing_month, consumption_kwh,
+       energy_charges, meter_rent, gst, total_amount, status, division, subdivision FROM bills""")
+def q_full_load_bills(spark, sf_dir):
+    from meterlake.sources.silver import scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills")
+    return s.select("bill_id", "meter_id", _ts("billing_month"), "consumption_kwh", "energy_charges",
+                    "meter_rent", "gst", "total_amount", "status", "division", "subdivision")
+
+
+@register("full_load_readings", O.with_("readings") + f"""
+SELECT {O.ts_text('"timestamp"')} AS "timestamp", meter_id, reading, consumption_kwh, voltage,
+       current_amp, quality_flag, division, subdivision FROM readings""")
+def q_full_load_readings(spark, sf_dir):
+    from meterlake.sources.silver import scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).silver, "readings")
+    return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage",
+                    "current_amp", "quality_flag", "division", "subdivision")
+
+
+@register("scan_silver", O.with_("bills") + """
+SELECT division, CAST(count(*) AS BIGINT) AS n_rows, round(sum(total_amount), 2) AS revenue
+FROM bills GROUP BY division""")
+def q_scan_silver(spark, sf_dir):
+    from meterlake.sources.silver import scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills")
+    return s.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.round(F.sum("total_amount"), 2).alias("revenue"))
+
+
+@register("preview_rows", O.with_("bills") + """
+SELECT bill_id, meter_id, consumption_kwh, total_amount FROM bills
+WHERE bill_id IS NOT NULL ORDER BY bill_id LIMIT 10""")
+def q_preview_rows(spark, sf_dir):
+    from meterlake.sources.silver import preview, scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills").where(F.col("bill_id").isNotNull())
+    return preview(s.select("bill_id", "meter_id", "consumption_kwh", "total_amount"), 10, ["bill_id"])
+
+
+@register("manifest_records", O.with_("bills", "readings", "bills_typed", "readings_typed") + """
+, subs AS (SELECT DISTINCT 'bills' AS data_type, division, subdivision FROM bills_typed
+           UNION ALL SELECT DISTINCT 'readings', division, subdivision FROM readings_typed),
+  cnt AS (SELECT 'bills' AS data_type, division, subdivision, count(*) AS c FROM bills GROUP BY 2, 3
+          UNION ALL SELECT 'readings', division, subdivision, count(*) FROM readings GROUP BY 2, 3)
+SELECT s.data_type, s.division, s.subdivision, CAST(coalesce(c.c, 0) AS BIGINT) AS records
+FROM subs s LEFT JOIN cnt c USING (data_type, division, subdivision)""")
+def q_manifest_records(spark, sf_dir):
+    from meterlake.plans import store
+    from meterlake.sources.inventory import path_lineage
+    m = store.committed_manifest(spark, _staged(spark, sf_dir).silver)
+    lin = path_lineage(F.col("path"), "hive")
+    return m.select("data_type", lin["division"].alias("division"),
+                    lin["subdivision"].alias("subdivision"), "records").groupBy(
+        "data_type", "division", "subdivision").agg(F.sum("records").cast("long").alias("records"))
+
+
+def _merge_sql(kind: str, cols: str) -> str:
+    typed = "bills_typed" if kind == "bills" else "readings_typed"
+    key = ["bill_id"] if kind == "bills" else ['"timestamp"', "meter_id"]
+    cond = " AND ".join(f"b2.{k} IS NOT DISTINCT FROM b1.{k}" for k in key)
+    return (O.with_(typed) + "," + O.batch_ctes(kind) + f"""
+SELECT {cols} FROM {kind}_b2
+UNION ALL
+SELECT {cols} FROM {kind}_b1 b1 WHERE NOT EXISTS (SELECT 1 FROM {kind}_b2 b2 WHERE {cond})""")
+
+
+_MERGE_BILL_COLS = ("bill_id, meter_id, consumption_kwh, total_amount, status, division, "
+                    "strftime(billing_month, '%Y-%m-%d %H:%M:%S') AS billing_month")
+_MERGE_READ_COLS = ("strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp\", meter_id, reading, "
+                    "consumption_kwh, voltage, quality_flag")
+
+
+@register("merge_bills", _merge_sql("bills", _MERGE_BILL_COLS))
+def q_merge_bills(spark, sf_dir):
+    from meterlake.sources.silver import scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).merged, "bills")
+    return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
+                    _ts("billing_month"))
+
+
+@register("merge_readings", _merge_sql("readings", _MERGE_READ_COLS))
+def q_merge_readings(spark, sf_dir):
+    from meterlake.sources.silver import scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).merged, "readings")
+    return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage", "quality_flag")
+
+
+@register("append_load", O.with_("bills_typed") + "," + O.batch_ctes("bills") + f"""
+SELECT {_MERGE_BILL_COLS} FROM bills_b1 UNION ALL SELECT {_MERGE_BILL_COLS} FROM bills_b2""")
+def q_append_load(spark, sf_dir):
+    from meterlake.sources.silver import scan_silver
+    s = scan_silver(spark, _staged(spark, sf_dir).appended, "bills")
+    return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
+                    _ts("billing_month"))
+
+
+@register("changed_files", O.with_("bills_typed", "readings_typed") + """
+SELECT DISTINCT 'bills' AS data_type, division, subdivision FROM bills_typed
+WHERE NOT (l_shipdate < TIMESTAMP '1998-01-01')
+UNION ALL
+SELECT DISTINCT 'readings', division, subdivision FROM readings_typed WHERE quality_flag <> 'OK'""")
+def q_changed_files(spark, sf_dir):
+    from meterlake.plans import store
+    from meterlake.plans.load import changed_files, frozen_inventory
+    s = _staged(spark, sf_dir)
+    inv = frozen_inventory(spark, s.batches, ["bills", "readings"], "hive")
+    ch = changed_files(inv, store.committed_manifest(spark, s.before))
+    return ch.select("data_type", "division", "subdivision").distinct()
+
+
+@register("export_roundtrip", O.with_("bills_typed", "readings_typed") + """
+SELECT 'bills' AS data_type, division, subdivision, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(bill_id) AS BIGINT) AS n_keys FROM bills_typed GROUP BY division, subdivision
+UNION ALL
+SELECT 'readings', division, subdivision, CAST(count(*) AS BIGINT), CAST(count("timestamp") AS BIGINT)
+FROM readings_typed GROUP BY division, subdivision""")
+def q_export_roundtrip(spark, sf_dir):
+    out = None
+    for kind, key in (("bills", "bill_id"), ("readings", "timestamp")):
+        t = _scan_typed(spark, sf_dir, kind)
+        g = t.groupBy("division", "subdivision").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count(key).alias("n_keys")).select(
+            F.lit(kind).alias("data_type"), "*")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@register("source_coverage", O.with_("bills", "readings", "bills_typed", "readings_typed") + """
+, subs AS (SELECT DISTINCT 'bills' AS data_type, division, subdivision FROM bills_typed
+           UNION ALL SELECT DISTINCT 'readings', division, subdivision FROM readings_typed),
+  got AS (SELECT DISTINCT 'bills' AS data_type, division, subdivision FROM bills
+          UNION ALL SELECT DISTINCT 'readings', division, subdivision FROM readings)
+SELECT s.data_type, s.division, s.subdivision, g.division IS NOT NULL AS covered
+FROM subs s LEFT JOIN got g USING (data_type, division, subdivision)""")
+def q_source_coverage(spark, sf_dir):
+    from meterlake.operators.inventory import source_coverage
+    from meterlake.sources.inventory import file_inventory
+    from meterlake.sources.silver import scan_silver
+    s = _staged(spark, sf_dir)
+    inv = file_inventory(spark, s.tree, layout="hive")
+    cov = source_coverage(inv, {k: scan_silver(spark, s.silver, k) for k in ("bills", "readings")})
+    return cov.groupBy("data_type", "division", "subdivision").agg(
+        F.max("covered").alias("covered"))

@@ -101,3 +101,26 @@ def with_(*names: str) -> str:
 
 def ts_text(col: str) -> str:
     return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+
+
+def batch_ctes(kind: str) -> str:
+    """CTEs ``<kind>_b1`` / ``<kind>_b2``: each arrival batch cleaned on its
+    own (keep-first, then filters), as the loads do."""
+    if kind == "bills":
+        typed, key, order = "bills_typed", "bill_id", _BILL_ORDER
+        b1 = "l_shipdate < TIMESTAMP '1998-01-01'"
+        valid = "consumption_kwh IS NOT NULL AND total_amount > 0"
+    else:
+        typed, key, order = "readings_typed", '"timestamp", meter_id', "source_file, event_id"
+        b1 = "quality_flag = 'OK'"
+        valid = ('"timestamp" IS NOT NULL AND reading IS NOT NULL AND voltage BETWEEN 180 AND 260 '
+                 "AND consumption_kwh >= 0")
+    parts = []
+    for name, cond in (("b1", b1), ("b2", f"NOT ({b1})")):
+        parts.append(f"""
+{kind}_{name} AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn
+    FROM {typed} WHERE {cond}) WHERE rn = 1 AND {valid}
+)""")
+    return ",".join(parts)
