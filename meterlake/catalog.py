@@ -668,3 +668,146 @@ def q_source_coverage(spark, sf_dir):
     cov = source_coverage(inv, {k: scan_silver(spark, s.silver, k) for k in ("bills", "readings")})
     return cov.groupBy("data_type", "division", "subdivision").agg(
         F.max("covered").alias("covered"))
+
+
+# ---------------------------------------------------------------- billing / readings re-aims
+
+def _usage3(spark, sf_dir):
+    from meterlake.operators import billing
+    u = billing.usage_rollup(silver_readings(spark, sf_dir), "month")
+    return u.withColumn("kwh", F.round("kwh", 3))
+
+
+@register("format_ids", """
+SELECT o_orderkey, printf('%012d', o_custkey) AS meter_id, 'CUST' || printf('%08d', o_custkey) AS customer_id,
+       'BILL' || printf('%012d', o_custkey) || printf('%02d', month(o_orderdate)) AS bill_id
+FROM orders""")
+def q_format_ids(spark, sf_dir):
+    from meterlake.functions import billing as fb
+    o = standins.table(spark, sf_dir, "orders")
+    m = fb.meter_id("o_custkey")
+    return o.select("o_orderkey", m.alias("meter_id"), fb.customer_id("o_custkey").alias("customer_id"),
+                    fb.bill_id(m, F.month("o_orderdate")).alias("bill_id"))
+
+
+@register("tariff_class", O.with_("meters", "tariffs") + """
+SELECT m.tariff_code, t.name, CASE WHEN t.name LIKE '%Residential%' THEN 'Residential'
+       WHEN t.name LIKE '%Commercial%' THEN 'Commercial' ELSE 'Industrial' END AS tariff_class,
+       CAST(count(*) AS BIGINT) AS n_meters
+FROM meters m JOIN tariffs t ON m.tariff_code = t.tariff_code GROUP BY 1, 2, 3""")
+def q_tariff_class(spark, sf_dir):
+    from meterlake.functions import billing as fb
+    from meterlake.operators import billing
+    from meterlake.sources import dimensions as dims
+    j = billing.with_tariff(dims.meters_from_customers(spark, sf_dir), dims.tariffs(spark))
+    return j.groupBy("tariff_code", "name", fb.tariff_class("name").alias("tariff_class")).agg(
+        F.count(F.lit(1)).alias("n_meters"))
+
+
+@register("peak_season_usage", O.with_("readings") + """
+SELECT CASE WHEN month("timestamp") IN (6, 7, 8) THEN 'summer' WHEN month("timestamp") IN (12, 1, 2) THEN 'winter'
+            ELSE 'other' END AS season,
+       CASE WHEN hour("timestamp") BETWEEN 7 AND 10 OR hour("timestamp") BETWEEN 18 AND 23 THEN 'peak'
+            WHEN hour("timestamp") BETWEEN 0 AND 5 THEN 'night' ELSE 'offpeak' END AS band,
+       CAST(count(*) AS BIGINT) AS n_readings, round(sum(consumption_kwh), 3) AS kwh
+FROM readings GROUP BY 1, 2""")
+def q_peak_season_usage(spark, sf_dir):
+    from meterlake.operators import billing
+    u = billing.peak_season_usage(silver_readings(spark, sf_dir))
+    return u.select("season", "band", F.col("n_readings").cast("long"), F.round("kwh", 3).alias("kwh"))
+
+
+@register("usage_rollup", O.with_("usage") + """
+SELECT meter_id, strftime(period, '%Y-%m') AS period, kwh, CAST(n_readings AS BIGINT) AS n_readings FROM usage""")
+def q_usage_rollup(spark, sf_dir):
+    u = _usage3(spark, sf_dir)
+    return u.select("meter_id", F.date_format("period", "yyyy-MM").alias("period"), "kwh",
+                    F.col("n_readings").cast("long"))
+
+
+@register("bill_charges", O.with_("usage", "meters", "tariffs") + """
+SELECT 'BILL' || u.meter_id || printf('%02d', month(u.period)) AS bill_id, u.meter_id,
+       strftime(u.period, '%Y-%m') AS billing_month, m.tariff_code,
+       CASE WHEN t.name LIKE '%Residential%' THEN 'Residential' WHEN t.name LIKE '%Commercial%' THEN 'Commercial'
+            ELSE 'Industrial' END AS tariff_class,
+       round(u.kwh, 3) AS consumption_kwh, round(u.kwh * 15.0, 2) AS energy_charges, t.meter_rent,
+       round((u.kwh * 15.0 + t.meter_rent) * t.gst_rate, 2) AS gst,
+       round(u.kwh * 15.0 + t.meter_rent + (u.kwh * 15.0 + t.meter_rent) * t.gst_rate, 2) AS total_amount
+FROM usage u JOIN meters m ON u.meter_id = m.meter_id JOIN tariffs t ON m.tariff_code = t.tariff_code""")
+def q_bill_charges(spark, sf_dir):
+    from meterlake.operators import billing
+    from meterlake.sources import dimensions as dims
+    return billing.bill_charges(_usage3(spark, sf_dir), dims.meters_from_customers(spark, sf_dir),
+                                dims.tariffs(spark))
+
+
+@register("slab_charges", O.with_("usage", "meters", "slabs") + """
+SELECT u.meter_id, strftime(u.period, '%Y-%m') AS billing_month, m.tariff_code, round(u.kwh, 3) AS consumption_kwh,
+       round(sum(greatest(least(u.kwh, s.upper_kwh) - s.lower_kwh, 0) * s.rate), 2) AS slab_energy
+FROM usage u JOIN meters m ON u.meter_id = m.meter_id JOIN slabs s ON m.tariff_code = s.tariff_code
+GROUP BY u.meter_id, u.period, m.tariff_code, u.kwh""")
+def q_slab_charges(spark, sf_dir):
+    from meterlake.operators import billing
+    from meterlake.sources import dimensions as dims
+    return billing.slab_charges(_usage3(spark, sf_dir), dims.meters_from_customers(spark, sf_dir),
+                                dims.tariffs(spark))
+
+
+@register("derive_current", O.with_("readings") + f"""
+SELECT meter_id, {O.ts_text('"timestamp"')} AS "timestamp",
+       round(CASE WHEN voltage > 0 THEN consumption_kwh / (voltage / 1000) ELSE 0 END, 4) AS current_amp
+FROM readings""")
+def q_derive_current(spark, sf_dir):
+    from meterlake.functions import billing as fb
+    r = silver_readings(spark, sf_dir)
+    return r.select("meter_id", _ts("timestamp"),
+                    F.round(fb.derive_current("consumption_kwh", "voltage"), 4).alias("current_amp"))
+
+
+@register("register_running_total", O.with_("readings") + f"""
+SELECT meter_id, {O.ts_text('"timestamp"')} AS "timestamp", consumption_kwh,
+       round(sum(consumption_kwh) OVER (PARTITION BY meter_id ORDER BY "timestamp"
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 3) AS register_kwh
+FROM readings""")
+def q_register_running_total(spark, sf_dir):
+    from meterlake.operators import billing
+    r = silver_readings(spark, sf_dir).select("meter_id", "timestamp", "consumption_kwh")
+    rt = billing.running_total(r, "meter_id", "timestamp", "consumption_kwh", "register_kwh")
+    return rt.select("meter_id", _ts("timestamp"), "consumption_kwh",
+                     F.round("register_kwh", 3).alias("register_kwh"))
+
+
+@register("reading_anomalies", O.with_("readings") + f"""
+SELECT meter_id, {O.ts_text('"timestamp"')} AS "timestamp", consumption_kwh, round(gap_h, 4) AS gap_hours,
+       coalesce(gap_h > 1.0, false) AS is_gap, coalesce(consumption_kwh = 0, false) AS is_zero,
+       coalesce(mean_kwh > 0 AND consumption_kwh >= 5.0 * mean_kwh, false) AS is_spike
+FROM (SELECT *, (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (PARTITION BY meter_id ORDER BY "timestamp"))) / 3.6e9 AS gap_h,
+             avg(consumption_kwh) OVER (PARTITION BY meter_id) AS mean_kwh
+      FROM readings WHERE meter_id IS NOT NULL)
+WHERE coalesce(gap_h > 1.0, false) OR coalesce(consumption_kwh = 0, false)
+   OR coalesce(mean_kwh > 0 AND consumption_kwh >= 5.0 * mean_kwh, false)""")
+def q_reading_anomalies(spark, sf_dir):
+    from meterlake.operators import billing
+    a = billing.reading_anomalies(silver_readings(spark, sf_dir), spike=5.0)
+    return a.select("meter_id", _ts("timestamp"), "consumption_kwh", "gap_hours", "is_gap", "is_zero",
+                    "is_spike")
+
+
+@register("unprocessed_meters", O.with_("meters", "readings") + """
+SELECT meter_id, division, tariff_code FROM meters m
+WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.meter_id = m.meter_id)""")
+def q_unprocessed_meters(spark, sf_dir):
+    from meterlake.operators import billing
+    from meterlake.sources import dimensions as dims
+    m = dims.meters_from_customers(spark, sf_dir)
+    return billing.unprocessed(m, silver_readings(spark, sf_dir)).select("meter_id", "division", "tariff_code")
+
+
+@register("customer_bills", O.with_("bills", "customers") + """
+SELECT b.bill_id, c.customer_id, c.name, c.payment_behavior, b.total_amount
+FROM bills b JOIN customers c ON b.meter_id = c.meter_id""")
+def q_customer_bills(spark, sf_dir):
+    from meterlake.operators import billing
+    from meterlake.sources import dimensions as dims
+    j = billing.customer_bills(silver_bills(spark, sf_dir), dims.customers_from_table(spark, sf_dir))
+    return j.select("bill_id", "customer_id", "name", "payment_behavior", "total_amount")

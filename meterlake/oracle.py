@@ -124,3 +124,59 @@ def batch_ctes(kind: str) -> str:
     FROM {typed} WHERE {cond}) WHERE rn = 1 AND {valid}
 )""")
     return ",".join(parts)
+
+
+def _tariff_values() -> tuple[str, str]:
+    from meterlake.sources.dimensions import TARIFFS
+    t_rows, s_rows = [], []
+    for code, name, rates, rent, service, gst in TARIFFS:
+        t_rows.append(f"('{code}', '{name}', CAST({rent} AS DOUBLE), CAST({service} AS DOUBLE), "
+                      f"CAST({gst} AS DOUBLE))")
+        lower = 0.0
+        for upper, rate in rates:
+            up = "CAST('inf' AS DOUBLE)" if upper == float("inf") else f"CAST({upper} AS DOUBLE)"
+            s_rows.append(f"('{code}', CAST({lower} AS DOUBLE), {up}, CAST({rate} AS DOUBLE))")
+            lower = upper
+    return ", ".join(t_rows), ", ".join(s_rows)
+
+
+def _segment_case(col: str) -> str:
+    from meterlake.sources.dimensions import SEGMENT_TARIFF
+    whens = " ".join(f"WHEN '{s}' THEN '{c}'" for s, c in SEGMENT_TARIFF.items())
+    return f"CASE {col} {whens} ELSE 'A-1a(02)' END"
+
+
+_T, _S = None, None
+
+
+def _dims() -> None:
+    global _T, _S
+    if _T is None:
+        _T, _S = _tariff_values()
+        CTES["tariffs"] = f"""
+tariffs AS (SELECT * FROM (VALUES {_T}) t(tariff_code, name, meter_rent, service_rent, gst_rate))"""
+        CTES["slabs"] = f"""
+slabs AS (SELECT * FROM (VALUES {_S}) s(tariff_code, lower_kwh, upper_kwh, rate))"""
+        CTES["meters"] = f"""
+meters AS (
+  SELECT printf('%012d', c.c_custkey) AS meter_id, r.r_name AS division, n.n_name AS subdivision,
+         c.c_mktsegment AS area, {_segment_case('c.c_mktsegment')} AS tariff_code,
+         CASE WHEN c.c_acctbal > 0 THEN 'Active' ELSE 'Inactive' END AS status
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+        CTES["customers"] = """
+customers AS (
+  SELECT 'CUST' || printf('%08d', c_custkey) AS customer_id, printf('%012d', c_custkey) AS meter_id,
+         c_name AS name,
+         CASE WHEN c_acctbal < 0 THEN 'defaulter' WHEN c_acctbal < 2000 THEN 'late_payer'
+              WHEN c_acctbal < 5000 THEN 'regular_payer' ELSE 'prompt_payer' END AS payment_behavior
+  FROM customer)"""
+        CTES["usage"] = """
+usage AS (
+  SELECT meter_id, date_trunc('month', "timestamp") AS period, round(sum(consumption_kwh), 3) AS kwh,
+         count(*) AS n_readings
+  FROM readings WHERE meter_id IS NOT NULL GROUP BY meter_id, date_trunc('month', "timestamp"))"""
+        _DEPS["usage"] = ["readings_typed", "readings_first", "readings"]
+
+
+_dims()
