@@ -811,3 +811,124 @@ def q_customer_bills(spark, sf_dir):
     from meterlake.sources import dimensions as dims
     j = billing.customer_bills(silver_bills(spark, sf_dir), dims.customers_from_table(spark, sf_dir))
     return j.select("bill_id", "customer_id", "name", "payment_behavior", "total_amount")
+
+
+# ---------------------------------------------------------------- logs
+
+def _parsed_log(spark, sf_dir):
+    from meterlake.plans import staging
+    from meterlake.sources import logs
+    return logs.parse_log(logs.scan_log(spark, staging.staged_log(spark, sf_dir)))
+
+
+@register("log_parse", O.with_("log") + """
+SELECT ts_text AS ts, level, message FROM log""")
+def q_log_parse(spark, sf_dir):
+    p = _parsed_log(spark, sf_dir)
+    return p.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "level", "message")
+
+
+@register("log_level_counts", O.with_("log") + """
+SELECT lv AS level,
+       CAST((SELECT count(*) FROM log WHERE (ts_text || ' - ' || level || ' - ' || message) LIKE '%' || lv || '%') AS BIGINT) AS n_containing,
+       CAST((SELECT count(*) FROM log WHERE level = lv) AS BIGINT) AS n_parsed
+FROM (VALUES ('INFO'), ('WARNING'), ('ERROR'), ('DEBUG')) v(lv)""")
+def q_log_level_counts(spark, sf_dir):
+    from meterlake.operators import logs
+    return logs.log_level_counts(_parsed_log(spark, sf_dir))
+
+
+@register("log_search", O.with_("log") + """
+SELECT ts_text || ' - ' || level || ' - ' || message AS line FROM log
+WHERE level IN ('ERROR', 'WARNING') AND lower(message) LIKE '%user=1%'
+ORDER BY ts DESC, event_id DESC LIMIT 25""")
+def q_log_search(spark, sf_dir):
+    from meterlake.operators import logs
+    return logs.log_search(_parsed_log(spark, sf_dir), ["ERROR", "WARNING"], "USER=1", 25,
+                           from_end=True).select("line")
+
+
+# ---------------------------------------------------------------- set operations, sampling, layout
+
+@register("union_tables", O.with_("bills", "readings") + """
+SELECT division, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(bill_id) AS BIGINT) AS n_bills,
+       CAST(count(reading) AS BIGINT) AS n_readings
+FROM (SELECT division, bill_id, NULL AS reading FROM bills
+      UNION ALL SELECT division, NULL, reading FROM readings) GROUP BY division""")
+def q_union_tables(spark, sf_dir):
+    from meterlake.operators.setops import union_by_name
+    u = union_by_name([silver_bills(spark, sf_dir), silver_readings(spark, sf_dir)])
+    return u.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.count("bill_id").alias("n_bills"),
+                                     F.count("reading").alias("n_readings"))
+
+
+@register("distinct_divisions", O.with_("bills", "readings") + """
+SELECT DISTINCT division FROM (SELECT division FROM bills UNION ALL SELECT division FROM readings)""")
+def q_distinct_divisions(spark, sf_dir):
+    from meterlake.operators.setops import distinct_values
+    return distinct_values([silver_bills(spark, sf_dir), silver_readings(spark, sf_dir)], "division")
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    from meterlake.operators.setops import sample_rows
+    return sample_rows(silver_bills(spark, sf_dir), 0.1, seed=42).select(
+        "bill_id", "meter_id", "consumption_kwh", "total_amount")
+
+
+@register("layout_report")
+def q_layout_report(spark, sf_dir):
+    from meterlake.operators.inventory import layout_report
+    return layout_report(spark, _staged(spark, sf_dir).silver)
+
+
+@register("inventory_rollup")
+def q_inventory_rollup(spark, sf_dir):
+    from meterlake.operators.inventory import inventory_rollup
+    from meterlake.sources.inventory import file_inventory
+    return inventory_rollup(file_inventory(spark, _staged(spark, sf_dir).tree, layout="hive"))
+
+
+@register("compression_ratio")
+def q_compression_ratio(spark, sf_dir):
+    from meterlake.operators.inventory import compression_ratio, layout_report
+    from meterlake.sources.inventory import file_inventory
+    s = _staged(spark, sf_dir)
+    inv = file_inventory(spark, s.tree, layout="hive")
+    return compression_ratio(inv, {k: layout_report(spark, f"{s.silver}/{k}") for k in ("bills", "readings")})
+
+
+@register("scan_tolerant", O.with_("bills") + """
+SELECT division, CAST(count(*) AS BIGINT) AS n_rows FROM bills GROUP BY division""")
+def q_scan_tolerant(spark, sf_dir):
+    from meterlake.plans import staging
+    from meterlake.schemas import SILVER_BILLS
+    from meterlake.sources.silver import scan_tolerant
+    path = staging.with_corrupt_part(spark, sf_dir)
+    res = scan_tolerant(spark, path, SILVER_BILLS)
+    return res.data.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------- streaming
+
+_STREAMED: dict[tuple[str, str], str] = {}
+
+
+@register("stream_ingest", O.with_("bills") + """
+SELECT bill_id, meter_id, strftime(billing_month, '%Y-%m-%d %H:%M:%S') AS billing_month, consumption_kwh,
+       energy_charges, meter_rent, gst, total_amount, status, division, subdivision FROM bills""")
+def q_stream_ingest(spark, sf_dir):
+    from meterlake.session import scratch_path
+    from meterlake.sources.silver import scan_silver
+    from meterlake.streaming.ingest import stream_ingest
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STREAMED:
+        s = _staged(spark, sf_dir)
+        target = scratch_path(spark, "streamed")
+        for q in stream_ingest(spark, s.tree, target, target + "/_checkpoints", ["bills"], layout="hive"):
+            q.awaitTermination()
+        _STREAMED[key] = target
+    out = scan_silver(spark, _STREAMED[key], "bills")
+    return out.select("bill_id", "meter_id", _ts("billing_month"), "consumption_kwh", "energy_charges",
+                      "meter_rent", "gst", "total_amount", "status", "division", "subdivision")

@@ -180,3 +180,11 @@ usage AS (
 
 
 _dims()
+
+CTES["log"] = """
+log AS (
+  SELECT ts, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
+         CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' WHEN 'click' THEN 'DEBUG'
+              ELSE 'INFO' END AS level,
+         'event ' || CAST(event_id AS VARCHAR) || ' ' || event_type || ' user=' || CAST(user_id AS VARCHAR) AS message
+  FROM events)"""

@@ -83,13 +83,15 @@ def _manifest_rows(inv: DataFrame, staged: DataFrame, run_id: str, now: dt.datet
                     F.lit(now.replace(tzinfo=None)).cast("timestamp").alias("committed_at"))
 
 
-def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Sequence[str],
-          layout: str, compression: str, now: dt.datetime | None) -> LoadResult:
+def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
+               kinds: Sequence[str], layout: str, compression: str = "snappy",
+               now: dt.datetime | None = None, run_id: str | None = None) -> LoadResult:
+    """Load the files listed in ``inv_all`` (an inventory frame) into
+    ``target`` with ``mode`` full / incremental / append."""
     codec = store.check_codec(compression)
     now = now or dt.datetime.now(dt.timezone.utc)
-    run_id = store.new_run_id(now)
+    run_id = run_id or store.new_run_id(now)
     result = LoadResult(run_id, mode)
-    inv_all = frozen_inventory(spark, source, kinds, layout)
     manifest = store.committed_manifest(spark, target) if mode != "full" else None
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
     for kind in kinds:
@@ -101,7 +103,7 @@ def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Seque
             inv = new_files(inv, manifest.where(F.col("data_type") == kind))
         n_files = inv.count()
         if n_files == 0:
-            result.tables[kind] = {"files": 0, "rows": None, "version": current.run_id if current else None}
+            result.tables[kind] = {"files": 0, "version": current.run_id if current else None}
             continue
         bronze = read_bronze(spark, inv, kind, layout)
         batch = CLEANERS[kind](bronze, etl_ts=etl_ts)
@@ -123,6 +125,13 @@ def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Seque
     return result
 
 
+def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Sequence[str],
+          layout: str, compression: str, now: dt.datetime | None) -> LoadResult:
+    store.check_codec(compression)
+    inv_all = frozen_inventory(spark, source, kinds, layout)
+    return load_files(spark, inv_all, target, mode, kinds, layout, compression, now)
+
+
 def full_load(spark: SparkSession, source: str, target: str, kinds: Sequence[str] = ("bills", "readings"),
               layout: str = "tree", compression: str = "snappy", now: dt.datetime | None = None) -> LoadResult:
     return _load(spark, source, target, "full", kinds, layout, compression, now)

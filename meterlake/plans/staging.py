@@ -68,3 +68,48 @@ def staged(spark: SparkSession, sf_dir: str) -> Staged:
     load.append_load(spark, s.batches, s.appended, layout="hive")
     _CACHE[key] = s
     return s
+
+
+# Log level per event type of the stand-in run log.
+EVENT_LEVEL = {"error": "ERROR", "signup": "WARNING", "click": "DEBUG"}
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log line per event, in (ts, event_id) order."""
+    ev = standins.table(spark, sf_dir, "events")
+    level = F.lit("INFO")
+    for et, lv in EVENT_LEVEL.items():
+        level = F.when(F.col("event_type") == et, lv).otherwise(level)
+    line = F.concat_ws(" - ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), level,
+                       F.format_string("event %d %s user=%d", "event_id", "event_type", "user_id"))
+    return ev.select("ts", "event_id", line.alias("value"))
+
+
+_LOGS: dict[tuple[str, str], str] = {}
+
+
+def staged_log(spark: SparkSession, sf_dir: str, partitions: int = 8) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOGS:
+        path = scratch_path(spark, "runlog")
+        (log_lines(spark, sf_dir).repartitionByRange(partitions, "ts", "event_id")
+         .sortWithinPartitions("ts", "event_id").select("value").write.text(path))
+        _LOGS[key] = path
+    return _LOGS[key]
+
+
+_CORRUPT: dict[tuple[str, str], str] = {}
+
+
+def with_corrupt_part(spark: SparkSession, sf_dir: str) -> str:
+    """A copy of the staged silver bills with one junk (non-Parquet) part
+    file beside the good ones."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CORRUPT:
+        from meterlake.sources.silver import scan_silver
+        path = scratch_path(spark, "corrupt")
+        scan_silver(spark, staged(spark, sf_dir).silver, "bills").write.parquet(path)
+        spark.createDataFrame([("this is not a parquet file",)], "value string") \
+            .coalesce(1).write.mode("append").text(path)
+        _CORRUPT[key] = path
+    return _CORRUPT[key]
