@@ -30,7 +30,7 @@ from meterlake.operators import clean
 from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import KINDS, SILVER
-from meterlake.sources.bronze import read_bronze
+from meterlake.sources.bronze import file_headers, read_bronze
 from meterlake.sources.inventory import INVENTORY, file_inventory
 
 # Keys of a batch up to this many rows are broadcast for the upsert.
@@ -87,25 +87,37 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
                kinds: Sequence[str], layout: str, compression: str = "snappy",
                now: dt.datetime | None = None, run_id: str | None = None) -> LoadResult:
     """Load the files listed in ``inv_all`` (an inventory frame) into
-    ``target`` with ``mode`` full / incremental / append."""
+    ``target`` with ``mode`` full / incremental / append.
+
+    Jobs: one to pick the files (incremental / append), one to read their
+    header lines, one clean-and-write per table (plus the merge write for an
+    incremental upsert), one for the manifest counts and one commit for all
+    tables together."""
     codec = store.check_codec(compression)
     now = now or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or store.new_run_id(now)
     result = LoadResult(run_id, mode)
-    manifest = store.committed_manifest(spark, target) if mode != "full" else None
+    versions = store.latest_versions(spark, target)
+    inv_all = inv_all.where(F.col("data_type").isin(list(kinds)))
+    if mode in ("incremental", "append") and versions:
+        manifest = store.committed_manifest(spark, target)
+        pick = changed_files if mode == "incremental" else new_files
+        inv_all = pick(inv_all, manifest)
+    inv_all = inv_all.select(*INVENTORY.fieldNames())
+    rows = inv_all.collect()                      # the files of this batch (metadata)
+    batch_inv = spark.createDataFrame(rows, INVENTORY)
+    per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
+    headers = file_headers(batch_inv) if rows else {}
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
+    committed: dict[str, tuple[list[str], int]] = {}
+    manifests = []
     for kind in kinds:
-        inv = inv_all.where(F.col("data_type") == kind)
-        current = store.latest_version(spark, target, kind)
-        if mode == "incremental" and manifest is not None:
-            inv = changed_files(inv, manifest.where(F.col("data_type") == kind))
-        elif mode == "append" and manifest is not None:
-            inv = new_files(inv, manifest.where(F.col("data_type") == kind))
-        n_files = inv.count()
-        if n_files == 0:
+        current = versions.get(kind)
+        if per_kind[kind] == 0:
             result.tables[kind] = {"files": 0, "version": current.run_id if current else None}
             continue
-        bronze = read_bronze(spark, inv, kind, layout)
+        inv = batch_inv.where(F.col("data_type") == kind)
+        bronze = read_bronze(spark, inv, kind, layout, headers=headers)
         batch = CLEANERS[kind](bronze, etl_ts=etl_ts)
         out = store.data_path(target, kind, run_id)
         if mode == "incremental" and current is not None:
@@ -119,16 +131,22 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
             batch.write.mode("errorifexists").option("compression", codec).parquet(out)
             staged = spark.read.schema(SILVER[kind]).parquet(out)
             paths = ([*current.paths, out] if (mode == "append" and current is not None) else [out])
-        store.write_manifest(spark, target, _manifest_rows(inv, staged, run_id, now))
-        store.commit(spark, target, run_id, kind, mode, paths, n_files, now)
-        result.tables[kind] = {"files": n_files, "version": run_id, "paths": paths}
+        manifests.append(_manifest_rows(inv, staged, run_id, now))
+        committed[kind] = (paths, per_kind[kind])
+        result.tables[kind] = {"files": per_kind[kind], "version": run_id, "paths": paths}
+    if committed:
+        m = manifests[0]
+        for x in manifests[1:]:
+            m = m.unionByName(x)
+        store.write_manifest(spark, target, m)
+        store.commit(spark, target, run_id, mode, committed, now)
     return result
 
 
 def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Sequence[str],
           layout: str, compression: str, now: dt.datetime | None) -> LoadResult:
     store.check_codec(compression)
-    inv_all = frozen_inventory(spark, source, kinds, layout)
+    inv_all = file_inventory(spark, source, kinds, layout)
     return load_files(spark, inv_all, target, mode, kinds, layout, compression, now)
 
 

@@ -71,16 +71,19 @@ def commits(spark: SparkSession, target: str) -> DataFrame | None:
     return _read_or_none(spark, f"{target.rstrip('/')}/_commits", COMMITS)
 
 
-def latest_version(spark: SparkSession, target: str, kind: str) -> Version | None:
+def latest_versions(spark: SparkSession, target: str) -> dict[str, Version]:
+    """Newest committed version of every table (one small job)."""
     c = commits(spark, target)
     if c is None:
-        return None
-    rows = (c.where(F.col("data_type") == kind)
-            .orderBy(F.col("committed_at").desc(), F.col("run_id").desc()).limit(1).collect())
-    if not rows:
-        return None
-    r = rows[0]
-    return Version(r["run_id"], list(r["paths"]), r["committed_at"])
+        return {}
+    from pyspark.sql import Window
+    w = Window.partitionBy("data_type").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())
+    rows = c.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").collect()
+    return {r["data_type"]: Version(r["run_id"], list(r["paths"]), r["committed_at"]) for r in rows}
+
+
+def latest_version(spark: SparkSession, target: str, kind: str) -> Version | None:
+    return latest_versions(spark, target).get(kind)
 
 
 def data_path(target: str, kind: str, run_id: str) -> str:
@@ -96,10 +99,12 @@ def write_manifest(spark: SparkSession, target: str, rows: DataFrame) -> None:
         .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_manifest")
 
 
-def commit(spark: SparkSession, target: str, run_id: str, kind: str, mode: str,
-           paths: list[str], n_files: int, now: dt.datetime) -> None:
-    row = [(run_id, kind, mode, paths, int(n_files), now.replace(tzinfo=None))]
-    spark.createDataFrame(row, COMMITS).coalesce(1).write.mode("append").parquet(
+def commit(spark: SparkSession, target: str, run_id: str, mode: str,
+           tables: dict[str, tuple[list[str], int]], now: dt.datetime) -> None:
+    """One commit file for all tables of a run: they switch together."""
+    rows = [(run_id, kind, mode, paths, int(n), now.replace(tzinfo=None))
+            for kind, (paths, n) in tables.items()]
+    spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(
         f"{target.rstrip('/')}/_commits")
 
 

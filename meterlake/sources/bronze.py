@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,10 @@ from pyspark.sql import types as T
 from meterlake.schemas import KINDS
 from meterlake.sources.inventory import path_lineage
 
+# The header reader runs on executors: ship this module's functions by value
+# so executors need nothing installed beyond PySpark, pandas and pyarrow.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _GLOB_CHARS = "\\*?[]{}"
 
 
@@ -60,27 +66,34 @@ def _first_line(uri: str, limit: int = 1 << 20) -> bytes:
         return buf.split(b"\n", 1)[0]
 
 
-def _headers(pdfs: Iterator[pd.DataFrame], sep: str) -> Iterator[pd.DataFrame]:
+def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in pdfs:
         heads = []
-        for uri in pdf["path"]:
+        for uri, sep in zip(pdf["path"], pdf["sep"]):
             try:
-                line = _first_line(uri).decode("utf-8", errors="replace").lstrip("﻿").rstrip("\r\n")
+                line = _first_line(uri).decode("utf-8", errors="replace").lstrip("\ufeff").rstrip("\r\n")
             except (FileNotFoundError, OSError):
                 line = ""
             heads.append(next(csv.reader(io.StringIO(line), delimiter=sep), []) if line else [])
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+        yield pd.DataFrame({"data_type": pdf["data_type"], "path": pdf["path"], "header": heads})
+
+
+HeaderGroups = dict[tuple[str, tuple[str, ...]], list[str]]
 
 
-def file_headers(files: DataFrame, kind: str) -> dict[tuple[str, ...], list[str]]:
-    """header layout -> paths.  ``files`` has a ``path`` column; one row per
-    file comes back to the driver (file metadata, not data)."""
-    sep = KINDS[kind]["sep"]
-    heads = files.select("path").mapInPandas(
-        lambda it: _headers(it, sep), "path string, header array<string>")
-    groups: dict[tuple[str, ...], list[str]] = {}
+def file_headers(files: DataFrame) -> HeaderGroups:
+    """(data_type, header layout) -> paths, for every file of ``files`` (an
+    inventory frame).  One small distributed job; one row per file comes back
+    to the driver (file metadata, not data)."""
+    sep = None
+    for kind, spec in KINDS.items():
+        cond = F.col("data_type") == kind
+        sep = F.when(cond, spec["sep"]) if sep is None else sep.when(cond, spec["sep"])
+    heads = files.select("data_type", "path", sep.alias("sep")).mapInPandas(
+        _headers, "data_type string, path string, header array<string>")
+    groups: HeaderGroups = {}
     for r in heads.collect():
-        groups.setdefault(tuple(r["header"] or ()), []).append(r["path"])
+        groups.setdefault((r["data_type"], tuple(r["header"] or ())), []).append(r["path"])
     return groups
 
 
@@ -95,17 +108,19 @@ def _unique(names: list[str]) -> list[str]:
 
 
 def read_bronze(spark: SparkSession, files: DataFrame, kind: str, layout: str = "tree",
-                ignore_missing: bool = True) -> DataFrame:
+                ignore_missing: bool = True, headers: HeaderGroups | None = None) -> DataFrame:
     """Scan the bronze files listed in ``files`` (an inventory frame) for
     ``kind``.  Returns the canonical text columns, division, subdivision,
-    source_file, ``_path`` and ``_ord``."""
+    source_file, ``_path`` and ``_ord``.  ``headers`` may carry the result
+    of :func:`file_headers` for these files (saves one job)."""
     spec = KINDS[kind]
     columns = spec["columns"]
-    groups = file_headers(files.where(F.col("data_type") == kind), kind)
+    if headers is None:
+        headers = file_headers(files.where(F.col("data_type") == kind))
     parts = []
-    for header, paths in groups.items():
-        if not header:
-            continue  # empty file: no header, no rows
+    for (dtype, header), paths in headers.items():
+        if dtype != kind or not header:
+            continue  # other kind, or empty file: no header, no rows
         names = _unique(list(header))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         raw = (spark.read.schema(schema)

@@ -65,24 +65,37 @@ def _glob(root: str, kind: str, layout: str) -> str:
 def file_inventory(spark: SparkSession, root: str, kinds: Sequence[str] = ("bills", "readings"),
                    layout: str = "tree") -> DataFrame:
     """One row per bronze file: data_type, path (decoded, re-readable),
-    source_file (relative), division, subdivision, length, modified."""
-    frames = []
-    for kind in kinds:
-        try:
-            listed = (spark.read.format("binaryFile").load(_glob(root, kind, layout))
-                      .select("path", "length", "modificationTime"))
-        except AnalysisException:
-            continue  # nothing matches the glob
-        lin = path_lineage(F.col("path"), layout)
-        frames.append(listed.select(
-            F.lit(kind).alias("data_type"), lin["path"].alias("path"),
-            lin["source_file"].alias("source_file"), lin["division"].alias("division"),
-            lin["subdivision"].alias("subdivision"), F.col("length"),
-            F.col("modificationTime").alias("modified")))
-    if not frames:
+    source_file (relative), division, subdivision, length, modified.  One
+    listing job for all kinds."""
+    globs = [_glob(root, k, layout) for k in kinds]
+    listed = None
+    try:
+        listed = spark.read.format("binaryFile").load(globs).select("path", "length", "modificationTime")
+    except AnalysisException:
+        # some glob matches nothing: list the kinds one by one
+        frames = []
+        for g in globs:
+            try:
+                frames.append(spark.read.format("binaryFile").load(g)
+                              .select("path", "length", "modificationTime"))
+            except AnalysisException:
+                continue
+        for f in frames:
+            listed = f if listed is None else listed.unionByName(f)
+    if listed is None:
         return spark.createDataFrame([], INVENTORY)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    lin = path_lineage(F.col("path"), layout)
+    folder = (F.element_at(F.split(lin["path"], "/"), -2) if layout == "tree"
+              else F.element_at(F.split(lin["path"], "/"), -4))
+    kind = None
+    for k in kinds:
+        cond = folder == KINDS[k]["folder"]
+        kind = F.when(cond, k) if kind is None else kind.when(cond, k)
+    out = listed.select(
+        kind.alias("data_type"), lin["path"].alias("path"),
+        lin["source_file"].alias("source_file"), lin["division"].alias("division"),
+        lin["subdivision"].alias("subdivision"), F.col("length"),
+        F.col("modificationTime").alias("modified"))
     # hidden division folders are not part of the tree
-    return out.where(~F.col("division").startswith(".")).select(*INVENTORY.fieldNames())
+    return out.where(F.col("data_type").isNotNull() & ~F.col("division").startswith(".")) \
+        .select(*INVENTORY.fieldNames())
