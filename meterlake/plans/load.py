@@ -74,6 +74,46 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
     return kept.unionByName(batch)
 
 
+def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataFrame, kind: str,
+                      out: str, codec: str) -> list[str]:
+    """Upsert ``staged`` into ``current`` rewriting only touched partitions.
+
+    Touched = months present in the batch, plus (when the partition is not a
+    function of the key) months where a stored row has a key of the batch -
+    found by a scan of the key columns only.  Returns the new version's
+    partition folders."""
+    keys = KINDS[kind]["key"]
+    part = store.PART_COL
+    batch_parts = {r[0] for r in staged.select(store.part_value(kind)).distinct().collect()}
+    by_part = {store.dir_part(p): p for p in current.paths}
+    touched = {p for v, p in by_part.items() if v in batch_parts}
+    untouched = [p for p in current.paths if p not in touched]
+    if not store.PART_IN_KEY[kind] and untouched:
+        stored = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
+                  .parquet(*untouched).select(*keys, F.col("_metadata.file_path").alias("_f")))
+        bkeys = staged.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+        cond = [stored[k].eqNullSafe(bkeys[f"_k_{k}"]) for k in keys]
+        hit = stored.join(maybe_broadcast(bkeys, MERGE_BROADCAST_ROWS), cond, "left_semi")
+        from meterlake.sources.inventory import decode_uri
+        hit_dirs = {r[0] for r in hit.select(F.regexp_replace(decode_uri(F.col("_f")), "/[^/]*$", ""))
+                    .distinct().collect()}
+        norm = {p.rstrip("/").split(":", 1)[-1].lstrip("/"): p for p in untouched}
+        for d in hit_dirs:
+            key = d.rstrip("/").split(":", 1)[-1].lstrip("/")
+            if key in norm:
+                touched.add(norm[key])
+        untouched = [p for p in current.paths if p not in touched]
+    if touched:
+        existing = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
+                    .parquet(*sorted(touched)))
+    else:
+        existing = spark.createDataFrame([], SILVER[kind])
+    merged = upsert(existing, staged, keys)
+    new_dirs = store.write_table(merged, out, kind, codec)
+    assert part  # partition column name is fixed in the store
+    return untouched + new_dirs
+
+
 def _manifest_rows(inv: DataFrame, staged: DataFrame, run_id: str, now: dt.datetime) -> DataFrame:
     counts = staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
     j = inv.join(counts, "source_file", "left")
@@ -124,13 +164,13 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
             stage = f"{target.rstrip('/')}/_staging/{run_id}/{kind}"
             batch.write.mode("errorifexists").option("compression", codec).parquet(stage)
             staged = spark.read.schema(SILVER[kind]).parquet(stage)
-            merged = upsert(store.read_version(spark, current, kind), staged, KINDS[kind]["key"])
-            merged.write.mode("errorifexists").option("compression", codec).parquet(out)
-            paths = [out]
+            paths = upsert_partitions(spark, current, staged, kind, out, codec)
         else:
-            batch.write.mode("errorifexists").option("compression", codec).parquet(out)
-            staged = spark.read.schema(SILVER[kind]).parquet(out)
-            paths = ([*current.paths, out] if (mode == "append" and current is not None) else [out])
+            new_dirs = store.write_table(batch, out, kind, codec)
+            staged = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true").parquet(out)
+                      if new_dirs else spark.createDataFrame([], SILVER[kind]))
+            paths = ([*current.paths, *new_dirs] if (mode == "append" and current is not None)
+                     else new_dirs)
         manifests.append(_manifest_rows(inv, staged, run_id, now))
         committed[kind] = (paths, per_kind[kind])
         result.tables[kind] = {"files": per_kind[kind], "version": run_id, "paths": paths}

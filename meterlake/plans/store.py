@@ -2,10 +2,15 @@
 
 Layout under a target root::
 
-    <target>/<kind>/v=<run_id>/part-*.parquet   data of one load
+    <target>/<kind>/v=<run_id>/_part=<yyyy-MM>/part-*.parquet   data of one load
     <target>/_manifest/                          per-file load records
     <target>/_commits/                           one row per committed load
 
+Tables are partitioned by month (of ``billing_month`` / ``timestamp``).  A
+version is the list of partition folders it consists of, so an upsert only
+rewrites the months it touches and lists the untouched folders of the
+previous version unchanged.
+
 A load writes its data folder, then its manifest rows, then its commit row.
 Readers resolve the newest committed version of a table and read exactly the
 folders it lists; manifest rows count only when their run is committed.  A
@@ -90,8 +95,48 @@ def data_path(target: str, kind: str, run_id: str) -> str:
     return f"{target.rstrip('/')}/{kind}/v={run_id}"
 
 
+# Month partition of each table (text, ``__null__`` when the time is NULL).
+PART_COL = "_part"
+PART_SOURCE = {"bills": "billing_month", "readings": "timestamp"}
+# readings: the partition is a function of the key (timestamp, meter), so a
+# key can never sit in two partitions
+PART_IN_KEY = {"bills": False, "readings": True}
+
+
+def part_value(kind: str):
+    return F.coalesce(F.date_format(PART_SOURCE[kind], "yyyy-MM"), F.lit("__null__"))
+
+
 def read_version(spark: SparkSession, version: Version, kind: str) -> DataFrame:
-    return spark.read.schema(SILVER[kind]).parquet(*version.paths)
+    if not version.paths:
+        return spark.createDataFrame([], SILVER[kind])
+    return (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
+            .parquet(*version.paths))
+
+
+def write_table(df: DataFrame, out: str, kind: str, codec: str) -> list[str]:
+    """Write ``df`` month-partitioned under ``out``; return the partition
+    folders written (a metadata listing, one row per file)."""
+    (df.withColumn(PART_COL, part_value(kind)).write.mode("errorifexists")
+     .option("compression", codec).partitionBy(PART_COL).parquet(out))
+    return partition_dirs(df.sparkSession, out)
+
+
+def partition_dirs(spark: SparkSession, out: str) -> list[str]:
+    try:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .load(f"{out.rstrip('/')}/{PART_COL}=*").select("path"))
+    except AnalysisException:
+        return []
+    from meterlake.sources.inventory import decode_uri
+    d = F.regexp_replace(decode_uri(F.col("path")), "/[^/]*$", "")
+    return sorted(r[0] for r in files.select(d.alias("d")).distinct().collect())
+
+
+def dir_part(path: str) -> str:
+    """Partition value of a partition folder path (as written by Spark)."""
+    from urllib.parse import unquote
+    return unquote(path.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
 
 
 def write_manifest(spark: SparkSession, target: str, rows: DataFrame) -> None:
