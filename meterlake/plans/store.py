@@ -117,8 +117,11 @@ def read_version(spark: SparkSession, version: Version, kind: str) -> DataFrame:
 def write_table(df: DataFrame, out: str, kind: str, codec: str) -> list[str]:
     """Write ``df`` month-partitioned under ``out``; return the partition
     folders written (a metadata listing, one row per file)."""
-    (df.withColumn(PART_COL, part_value(kind)).write.mode("errorifexists")
-     .option("compression", codec).partitionBy(PART_COL).parquet(out))
+    # Rebalance on the month: AQE packs each month into few ~advisory-size
+    # files and splits a hot month over several tasks (no giant task, no
+    # thousands of tiny files from every task writing every month).
+    (df.withColumn(PART_COL, part_value(kind)).hint("rebalance", PART_COL)
+     .write.mode("errorifexists").option("compression", codec).partitionBy(PART_COL).parquet(out))
     return partition_dirs(df.sparkSession, out)
 
 
