@@ -32,7 +32,13 @@ def run_ts():
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # all timestamps of the tables are zone-less; reports are in UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
