@@ -938,3 +938,9 @@ def q_stream_ingest(spark, sf_dir):
     out = scan_silver(spark, _STREAMED[key], "bills")
     return out.select("bill_id", "meter_id", _ts("billing_month"), "consumption_kwh", "energy_charges",
                       "meter_rent", "gst", "total_amount", "status", "division", "subdivision")
+
+
+@register("load_statistics")
+def q_load_statistics(spark, sf_dir):
+    from meterlake.plans.stats import load_statistics
+    return load_statistics(spark, _staged(spark, sf_dir).silver)

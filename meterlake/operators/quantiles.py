@@ -124,8 +124,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             cum = below
             for _, c, bmin, bmax in buckets:
                 if r < cum + c:
-                    if bmin == bmax or rounds >= MAX_ROUNDS:
+                    if bmin == bmax:
                         found[(key, r)] = bmin
+                    elif rounds >= MAX_ROUNDS:
+                        found[(key, r)] = _select_in(long, keys, key, bmin, bmax, r - cum)
                     else:
                         nxt[(key, r)] = [bmin, bmax, cum]
                     break
@@ -140,6 +142,17 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return spark.createDataFrame(out, _schema(by_fields))
 
 
+def _select_in(long: DataFrame, keys: list[str], key: tuple, lo: float, hi: float, k: int) -> float:
+    """The k-th (0-based) value in [lo, hi] of one key: a distributed top-k
+    (k + 1 rows reach the driver).  Only used if narrowing has not converged
+    after MAX_ROUNDS, so the result stays exact by construction."""
+    cond = (F.col("x") >= lo) & (F.col("x") <= hi)
+    for name, v in zip(keys, key):
+        cond = cond & F.col(name).eqNullSafe(F.lit(v))
+    rows = long.where(cond).select("x").orderBy("x").limit(k + 1).collect()
+    return rows[-1]["x"]
+
+
 def _spark_percentile(long: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
     q = long.groupBy(*keys).agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs]))
                                 .alias("_q"))

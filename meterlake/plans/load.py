@@ -74,14 +74,30 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
     return kept.unionByName(batch)
 
 
+def _dirs_where(spark: SparkSession, kind: str, dirs: list[str], hit_fn) -> set[str]:
+    """Partition folders among ``dirs`` holding a row for which ``hit_fn``
+    (stored rows -> filtered rows) keeps something; scans only the columns
+    ``hit_fn`` uses."""
+    from meterlake.sources.inventory import decode_uri
+    stored = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true").parquet(*dirs)
+              .withColumn("_f", F.col("_metadata.file_path")))
+    hit = hit_fn(stored)
+    found = {r[0] for r in hit.select(F.regexp_replace(decode_uri(F.col("_f")), "/[^/]*$", ""))
+             .distinct().collect()}
+    norm = {p.rstrip("/").split(":", 1)[-1].lstrip("/"): p for p in dirs}
+    return {norm[k] for k in (d.rstrip("/").split(":", 1)[-1].lstrip("/") for d in found) if k in norm}
+
+
 def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataFrame, kind: str,
-                      out: str, codec: str) -> list[str]:
+                      out: str, codec: str, replaced_sources: DataFrame | None = None) -> list[str]:
     """Upsert ``staged`` into ``current`` rewriting only touched partitions.
 
     Touched = months present in the batch, plus (when the partition is not a
     function of the key) months where a stored row has a key of the batch -
-    found by a scan of the key columns only.  Returns the new version's
-    partition folders."""
+    found by a scan of the key columns only.  With ``replaced_sources`` (a
+    frame of ``source_file`` values) stored rows that came from those files
+    are dropped first, so rows deleted from a changed file disappear.
+    Returns the new version's partition folders."""
     keys = KINDS[kind]["key"]
     part = store.PART_COL
     batch_parts = {r[0] for r in staged.select(store.part_value(kind)).distinct().collect()}
@@ -89,25 +105,27 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
     touched = {p for v, p in by_part.items() if v in batch_parts}
     untouched = [p for p in current.paths if p not in touched]
     if not store.PART_IN_KEY[kind] and untouched:
-        stored = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
-                  .parquet(*untouched).select(*keys, F.col("_metadata.file_path").alias("_f")))
         bkeys = staged.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
-        cond = [stored[k].eqNullSafe(bkeys[f"_k_{k}"]) for k in keys]
-        hit = stored.join(maybe_broadcast(bkeys, MERGE_BROADCAST_ROWS), cond, "left_semi")
-        from meterlake.sources.inventory import decode_uri
-        hit_dirs = {r[0] for r in hit.select(F.regexp_replace(decode_uri(F.col("_f")), "/[^/]*$", ""))
-                    .distinct().collect()}
-        norm = {p.rstrip("/").split(":", 1)[-1].lstrip("/"): p for p in untouched}
-        for d in hit_dirs:
-            key = d.rstrip("/").split(":", 1)[-1].lstrip("/")
-            if key in norm:
-                touched.add(norm[key])
+
+        def key_hit(stored: DataFrame) -> DataFrame:
+            cond = [stored[k].eqNullSafe(bkeys[f"_k_{k}"]) for k in keys]
+            return stored.join(maybe_broadcast(bkeys, MERGE_BROADCAST_ROWS), cond, "left_semi")
+        touched |= _dirs_where(spark, kind, untouched, key_hit)
         untouched = [p for p in current.paths if p not in touched]
+    srcs = None
+    if replaced_sources is not None:
+        srcs = maybe_broadcast(replaced_sources.select("source_file").distinct(), MERGE_BROADCAST_ROWS)
+        if untouched:
+            touched |= _dirs_where(spark, kind, untouched,
+                                   lambda stored: stored.join(srcs, "source_file", "left_semi"))
+            untouched = [p for p in current.paths if p not in touched]
     if touched:
         existing = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
                     .parquet(*sorted(touched)))
     else:
         existing = spark.createDataFrame([], SILVER[kind])
+    if srcs is not None:
+        existing = existing.join(srcs, "source_file", "left_anti")
     merged = upsert(existing, staged, keys)
     new_dirs = store.write_table(merged, out, kind, codec)
     assert part  # partition column name is fixed in the store
@@ -125,7 +143,8 @@ def _manifest_rows(inv: DataFrame, staged: DataFrame, run_id: str, now: dt.datet
 
 def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
                kinds: Sequence[str], layout: str, compression: str = "snappy",
-               now: dt.datetime | None = None, run_id: str | None = None) -> LoadResult:
+               now: dt.datetime | None = None, run_id: str | None = None,
+               replace_by_source: bool = False) -> LoadResult:
     """Load the files listed in ``inv_all`` (an inventory frame) into
     ``target`` with ``mode`` full / incremental / append.
 
@@ -164,7 +183,8 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
             stage = f"{target.rstrip('/')}/_staging/{run_id}/{kind}"
             batch.write.mode("errorifexists").option("compression", codec).parquet(stage)
             staged = spark.read.schema(SILVER[kind]).parquet(stage)
-            paths = upsert_partitions(spark, current, staged, kind, out, codec)
+            paths = upsert_partitions(spark, current, staged, kind, out, codec,
+                                      replaced_sources=inv if replace_by_source else None)
         else:
             new_dirs = store.write_table(batch, out, kind, codec)
             staged = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true").parquet(out)
@@ -184,10 +204,12 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
 
 
 def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Sequence[str],
-          layout: str, compression: str, now: dt.datetime | None) -> LoadResult:
+          layout: str, compression: str, now: dt.datetime | None,
+          replace_by_source: bool = False) -> LoadResult:
     store.check_codec(compression)
     inv_all = file_inventory(spark, source, kinds, layout)
-    return load_files(spark, inv_all, target, mode, kinds, layout, compression, now)
+    return load_files(spark, inv_all, target, mode, kinds, layout, compression, now,
+                      replace_by_source=replace_by_source)
 
 
 def full_load(spark: SparkSession, source: str, target: str, kinds: Sequence[str] = ("bills", "readings"),
@@ -197,8 +219,12 @@ def full_load(spark: SparkSession, source: str, target: str, kinds: Sequence[str
 
 def incremental_load(spark: SparkSession, source: str, target: str,
                      kinds: Sequence[str] = ("bills", "readings"), layout: str = "tree",
-                     compression: str = "snappy", now: dt.datetime | None = None) -> LoadResult:
-    return _load(spark, source, target, "incremental", kinds, layout, compression, now)
+                     compression: str = "snappy", now: dt.datetime | None = None,
+                     replace_by_source: bool = False) -> LoadResult:
+    """Upsert new and changed files.  ``replace_by_source=True`` also drops
+    stored rows of a changed file that its new content no longer has."""
+    return _load(spark, source, target, "incremental", kinds, layout, compression, now,
+                 replace_by_source)
 
 
 def append_load(spark: SparkSession, source: str, target: str,

@@ -37,3 +37,13 @@ def test_property_exact(spark, values, p):
     got = quantiles.exact_quantiles(df, ["x"], [p]).collect()[0].value
     want = _np(values, p)
     assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
+
+
+def test_round_limit_fallback_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MAX_ROUNDS", 1)
+    monkeypatch.setattr(quantiles, "BUCKETS", 2)
+    vals = [float(v) for v in range(1, 200)] + [1e9]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = quantiles.exact_quantiles(df, ["x"], [0.3, 0.5]).collect()
+    for r in got:
+        assert abs(r.value - _np(vals, r.p)) < 1e-9

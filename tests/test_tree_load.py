@@ -184,3 +184,27 @@ def test_upsert_finds_key_in_other_month(spark, tree, tmp_path):
     load.incremental_load(spark, str(tree), target, kinds=["bills"])
     rows = [r for r in scan_silver(spark, target, "bills").collect() if r.bill_id == "B4"]
     assert len(rows) == 1 and rows[0].consumption_kwh == 44.0
+
+
+def test_replace_by_source_drops_deleted_rows(spark, tree, tmp_path):
+    target = str(tmp_path / "silver")
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    time.sleep(1.1)
+    # rewrite a file without B2 (and with a changed B1)
+    write_file(tree, "RAWALPINDI", "TAXILA (RP SIDE)", "bills", BILL_HEADER, [bill("B1", kwh="11")])
+    load.incremental_load(spark, str(tree), target, kinds=["bills"], replace_by_source=True)
+    got = {r.bill_id: r.consumption_kwh for r in scan_silver(spark, target, "bills").collect()}
+    assert got["B1"] == 11.0 and "B2" not in got
+    assert {"B3", "B4", "B5"} <= set(got)
+
+
+def test_load_statistics_and_cli(spark, tree, tmp_path, capsys):
+    from meterlake.__main__ import main
+    from meterlake.plans.stats import load_statistics
+    target = str(tmp_path / "silver")
+    main(["incremental", "--source", str(tree), "--target", target])
+    stats = {r.table_name: r for r in load_statistics(spark, target).collect()}
+    assert stats["bills"].n_rows == 5 and stats["bills"].size_mb > 0
+    assert stats["bills"].last_incremental_load is not None and stats["bills"].last_full_load is None
+    main(["report", "revenue", "--target", target])
+    assert "TOTAL" in capsys.readouterr().out
