@@ -20,7 +20,10 @@ anti-joined map-side; only a large batch falls back to a shuffle anti-join.
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import time
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +36,16 @@ from meterlake.schemas import KINDS, SILVER
 from meterlake.sources.bronze import file_headers, read_bronze
 from meterlake.sources.inventory import INVENTORY, file_inventory
 
+log = logging.getLogger("meterlake.load")
+
+
+@contextmanager
+def _step(name: str):
+    t0 = time.perf_counter()
+    yield
+    log.debug("%s: %.3fs", name, time.perf_counter() - t0)
+
+
 # Keys of a batch up to this many rows are broadcast for the upsert.
 MERGE_BROADCAST_ROWS = 2_000_000
 
@@ -156,17 +169,20 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     now = now or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or store.new_run_id(now)
     result = LoadResult(run_id, mode)
-    versions = store.latest_versions(spark, target)
+    with _step("versions"):
+        versions = store.latest_versions(spark, target)
     inv_all = inv_all.where(F.col("data_type").isin(list(kinds)))
     if mode in ("incremental", "append") and versions:
         manifest = store.committed_manifest(spark, target)
         pick = changed_files if mode == "incremental" else new_files
         inv_all = pick(inv_all, manifest)
     inv_all = inv_all.select(*INVENTORY.fieldNames())
-    rows = inv_all.collect()                      # the files of this batch (metadata)
+    with _step("list files"):
+        rows = inv_all.collect()                  # the files of this batch (metadata)
     batch_inv = spark.createDataFrame(rows, INVENTORY)
     per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
-    headers = file_headers(batch_inv) if rows else {}
+    with _step("headers"):
+        headers = file_headers(batch_inv) if rows else {}
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
     committed: dict[str, tuple[list[str], int]] = {}
     manifests = []
@@ -181,12 +197,15 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
         out = store.data_path(target, kind, run_id)
         if mode == "incremental" and current is not None:
             stage = f"{target.rstrip('/')}/_staging/{run_id}/{kind}"
-            batch.write.mode("errorifexists").option("compression", codec).parquet(stage)
+            with _step(f"{kind}: clean + stage"):
+                batch.write.mode("errorifexists").option("compression", codec).parquet(stage)
             staged = spark.read.schema(SILVER[kind]).parquet(stage)
-            paths = upsert_partitions(spark, current, staged, kind, out, codec,
-                                      replaced_sources=inv if replace_by_source else None)
+            with _step(f"{kind}: upsert"):
+                paths = upsert_partitions(spark, current, staged, kind, out, codec,
+                                          replaced_sources=inv if replace_by_source else None)
         else:
-            new_dirs = store.write_table(batch, out, kind, codec)
+            with _step(f"{kind}: clean + write"):
+                new_dirs = store.write_table(batch, out, kind, codec)
             staged = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true").parquet(out)
                       if new_dirs else spark.createDataFrame([], SILVER[kind]))
             paths = ([*current.paths, *new_dirs] if (mode == "append" and current is not None)
@@ -198,8 +217,10 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
         m = manifests[0]
         for x in manifests[1:]:
             m = m.unionByName(x)
-        store.write_manifest(spark, target, m)
-        store.commit(spark, target, run_id, mode, committed, now)
+        with _step("manifest"):
+            store.write_manifest(spark, target, m)
+        with _step("commit"):
+            store.commit(spark, target, run_id, mode, committed, now)
     return result
 
 
