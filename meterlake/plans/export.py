@@ -14,17 +14,22 @@ from meterlake.schemas import KINDS
 
 
 def export_tree(df: DataFrame, root: str, kind: str, partitions: int | None = None,
-                mode: str = "errorifexists", max_records_per_file: int | None = None) -> str:
+                mode: str = "errorifexists", max_records_per_file: int | None = None,
+                columns: list[str] | None = None) -> str:
     """Write ``df`` (bronze text columns + division, subdivision, ``_ord``)
     as ``<root>/<kind>/division=<d>/subdivision=<s>/part-*.csv`` with a
-    header line.  Returns the folder written."""
+    header line, columns in ``columns`` order (default: the canonical
+    order).  Returns the folder written."""
     spec = KINDS[kind]
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["division", "subdivision", "_ord"]
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     out = f"{root.rstrip('/')}/{spec['folder']}"
-    w = (ordered.select(*spec["columns"], "division", "subdivision", "_ord")
+    cols = columns or spec["columns"]
+    if sorted(cols) != sorted(spec["columns"]):
+        raise ValueError(f"columns must be a permutation of {spec['columns']}")
+    w = (ordered.select(*cols, "division", "subdivision", "_ord")
          .drop("_ord").write.mode(mode).partitionBy("division", "subdivision")
          .option("header", "true").option("sep", spec["sep"])
          .option("quote", '"').option("escape", '"'))

@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.plans import export, load, standins
+from meterlake.schemas import KINDS
 from meterlake.session import scratch_path
 
 BILL_CUT = "1998-01-01"
+CANONICAL_ORDER_DIVISIONS = ("AFRICA", "AMERICA")
 
 
 def first_batch(kind: str) -> Column:
@@ -53,8 +55,15 @@ def staged(spark: SparkSession, sf_dir: str) -> Staged:
     base = scratch_path(spark, "staged")
     s = Staged(tree=f"{base}/tree", batches=f"{base}/batches", silver=f"{base}/silver",
                merged=f"{base}/merged", appended=f"{base}/appended", before=f"{base}/before")
-    for kind in ("bills", "readings"):
-        export.export_tree(bronze(spark, sf_dir, kind), s.tree, kind)
+    # Bills of two regions are written in the canonical column order, all
+    # other bills with the columns reversed: the tree then holds two header
+    # layouts and the scan has to bind columns by name.
+    b = bronze(spark, sf_dir, "bills")
+    canonical = F.col("division").isin(*CANONICAL_ORDER_DIVISIONS)
+    export.export_tree(b.where(canonical), s.tree, "bills")
+    export.export_tree(b.where(~canonical), s.tree, "bills", mode="append",
+                       columns=list(reversed(KINDS["bills"]["columns"])))
+    export.export_tree(bronze(spark, sf_dir, "readings"), s.tree, "readings")
     load.full_load(spark, s.tree, s.silver, layout="hive")
     for kind in ("bills", "readings"):
         b = bronze(spark, sf_dir, kind)
