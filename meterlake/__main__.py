@@ -81,7 +81,12 @@ def main(argv=None) -> None:
     elif a.cmd == "report":
         from meterlake.operators import reports
         from meterlake.sources.silver import scan_silver
-        bills = scan_silver(spark, a.target, "bills")
+        if a.name == "trend" and a.year is not None:
+            # only that year's month folders are read
+            bills = scan_silver(spark, a.target, "bills", start=f"{a.year}-01-01",
+                                end=f"{a.year + 1}-01-01")
+        else:
+            bills = scan_silver(spark, a.target, "bills")
         out = {
             "revenue": lambda: reports.revenue_by_division(bills),
             "consumption": lambda: reports.consumption_by_subdivision(bills, a.division),

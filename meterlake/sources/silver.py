@@ -13,13 +13,33 @@ from meterlake.schemas import SILVER
 from meterlake.sources.inventory import decode_uri
 
 
-def scan_silver(spark: SparkSession, target: str, kind: str) -> DataFrame:
+def scan_silver(spark: SparkSession, target: str, kind: str,
+                start: str | None = None, end: str | None = None) -> DataFrame:
     """The newest committed version of ``kind`` under ``target``; falls back
-    to reading ``target`` itself as a Parquet file or folder of parts."""
+    to reading ``target`` itself as a Parquet file or folder of parts.
+
+    ``start`` / ``end`` (``yyyy-MM-dd[ HH:mm:ss]``, end exclusive) restrict
+    the time column: month folders outside the range are not even listed
+    (partition pruning), and the row filter reaches the Parquet reader."""
     v = store.latest_version(spark, target, kind)
-    if v is not None:
-        return store.read_version(spark, v, kind)
-    return spark.read.schema(SILVER[kind]).parquet(target)
+    if v is None:
+        df = spark.read.schema(SILVER[kind]).parquet(target)
+    else:
+        if start is not None or end is not None:
+            lo = start[:7] if start else None
+            hi = end[:7] if end else None
+            keep = [p for p in v.paths
+                    if store.dir_part(p) != "__null__"
+                    and (lo is None or store.dir_part(p) >= lo)
+                    and (hi is None or store.dir_part(p) <= hi)]
+            v = store.Version(v.run_id, keep, v.committed_at)
+        df = store.read_version(spark, v, kind)
+    col = F.col(store.PART_SOURCE[kind])
+    if start is not None:
+        df = df.where(col >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        df = df.where(col < F.lit(end).cast("timestamp"))
+    return df
 
 
 @dataclass

@@ -208,3 +208,13 @@ def test_load_statistics_and_cli(spark, tree, tmp_path, capsys):
     assert stats["bills"].last_incremental_load is not None and stats["bills"].last_full_load is None
     main(["report", "revenue", "--target", target])
     assert "TOTAL" in capsys.readouterr().out
+
+
+def test_scan_silver_prunes_months(spark, tree, tmp_path):
+    target = str(tmp_path / "silver")
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    feb = scan_silver(spark, target, "bills", start="2024-02-01", end="2024-03-01")
+    assert [r.bill_id for r in feb.collect()] == ["B4"]
+    plan = feb._jdf.queryExecution().executedPlan().toString()
+    assert "_part=2024-01" not in plan                    # January's folder is not scanned
+    assert "PushedFilters" in plan and "billing_month" in plan
