@@ -466,6 +466,16 @@ def _staged(spark, sf_dir):
     return staging.staged(spark, sf_dir)
 
 
+def _tree(spark, sf_dir):
+    from meterlake.plans import staging
+    return staging.staged_tree(spark, sf_dir)
+
+
+def _batches(spark, sf_dir):
+    from meterlake.plans import staging
+    return staging.staged_batches(spark, sf_dir)
+
+
 def _source_dir(c: str = "source_file"):
     return F.regexp_replace(F.col(c), "/[^/]*$", "").alias("source_dir")
 
@@ -477,8 +487,7 @@ def _sql_source_dir(kind: str) -> str:
 def _scan_typed(spark, sf_dir, kind):
     from meterlake.plans.load import frozen_inventory
     from meterlake.sources.bronze import read_bronze
-    s = _staged(spark, sf_dir)
-    inv = frozen_inventory(spark, s.tree, [kind], "hive")
+    inv = frozen_inventory(spark, _tree(spark, sf_dir), [kind], "hive")
     raw = read_bronze(spark, inv, kind, "hive")
     return clean.coerce_bills(raw) if kind == "bills" else clean.coerce_readings(raw)
 
@@ -526,7 +535,7 @@ UNION ALL
 SELECT DISTINCT 'readings', division, subdivision, true FROM readings_typed""")
 def q_file_inventory(spark, sf_dir):
     from meterlake.sources.inventory import file_inventory
-    inv = file_inventory(spark, _staged(spark, sf_dir).tree, layout="hive")
+    inv = file_inventory(spark, _tree(spark, sf_dir), layout="hive")
     return inv.groupBy("data_type", "division", "subdivision").agg(
         (F.sum("length") > 0).alias("has_bytes"))
 
@@ -606,7 +615,7 @@ _MERGE_READ_COLS = ("strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp
 @register("merge_bills", _merge_sql("bills", _MERGE_BILL_COLS))
 def q_merge_bills(spark, sf_dir):
     from meterlake.sources.silver import scan_silver
-    s = scan_silver(spark, _staged(spark, sf_dir).merged, "bills")
+    s = scan_silver(spark, _batches(spark, sf_dir).merged, "bills")
     return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
                     _ts("billing_month"))
 
@@ -614,7 +623,7 @@ def q_merge_bills(spark, sf_dir):
 @register("merge_readings", _merge_sql("readings", _MERGE_READ_COLS))
 def q_merge_readings(spark, sf_dir):
     from meterlake.sources.silver import scan_silver
-    s = scan_silver(spark, _staged(spark, sf_dir).merged, "readings")
+    s = scan_silver(spark, _batches(spark, sf_dir).merged, "readings")
     return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage", "quality_flag")
 
 
@@ -622,7 +631,7 @@ def q_merge_readings(spark, sf_dir):
 SELECT {_MERGE_BILL_COLS} FROM bills_b1 UNION ALL SELECT {_MERGE_BILL_COLS} FROM bills_b2""")
 def q_append_load(spark, sf_dir):
     from meterlake.sources.silver import scan_silver
-    s = scan_silver(spark, _staged(spark, sf_dir).appended, "bills")
+    s = scan_silver(spark, _batches(spark, sf_dir).appended, "bills")
     return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
                     _ts("billing_month"))
 
@@ -635,9 +644,9 @@ SELECT DISTINCT 'readings', division, subdivision FROM readings_typed WHERE qual
 def q_changed_files(spark, sf_dir):
     from meterlake.plans import store
     from meterlake.plans.load import changed_files, frozen_inventory
-    s = _staged(spark, sf_dir)
-    inv = frozen_inventory(spark, s.batches, ["bills", "readings"], "hive")
-    ch = changed_files(inv, store.committed_manifest(spark, s.before))
+    b = _batches(spark, sf_dir)
+    inv = frozen_inventory(spark, b.root, ["bills", "readings"], "hive")
+    ch = changed_files(inv, store.committed_manifest(spark, b.merged, as_of=b.first_run))
     return ch.select("data_type", "division", "subdivision").distinct()
 
 
@@ -893,7 +902,7 @@ def q_layout_report(spark, sf_dir):
 def q_inventory_rollup(spark, sf_dir):
     from meterlake.operators.inventory import inventory_rollup
     from meterlake.sources.inventory import file_inventory
-    return inventory_rollup(file_inventory(spark, _staged(spark, sf_dir).tree, layout="hive"))
+    return inventory_rollup(file_inventory(spark, _tree(spark, sf_dir), layout="hive"))
 
 
 @register("compression_ratio")
@@ -930,9 +939,9 @@ def q_stream_ingest(spark, sf_dir):
     from meterlake.streaming.ingest import stream_ingest
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAMED:
-        s = _staged(spark, sf_dir)
         target = scratch_path(spark, "streamed")
-        for q in stream_ingest(spark, s.tree, target, target + "/_checkpoints", ["bills"], layout="hive"):
+        for q in stream_ingest(spark, _tree(spark, sf_dir), target, target + "/_checkpoints", ["bills"],
+                               layout="hive"):
             q.awaitTermination()
         _STREAMED[key] = target
     out = scan_silver(spark, _STREAMED[key], "bills")

@@ -37,46 +37,74 @@ def bronze(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 @dataclass
 class Staged:
-    tree: str            # full tree (both batches written in one export)
-    batches: str         # tree written as batch 1, then batch 2 appended
+    tree: str            # full tree (two header layouts for bills)
     silver: str          # full load of `tree`
+
+
+@dataclass
+class Batches:
+    root: str            # tree written as batch 1, then batch 2 appended
     merged: str          # batch 1 full load, then batch 2 incremental
     appended: str        # batch 1 full load, then batch 2 append
-    before: str          # batch 1 full load only (for changed-file detection)
+    first_run: str       # run id of the batch-1 load into `merged`
 
 
+_TREES: dict[tuple[str, str], str] = {}
 _CACHE: dict[tuple[str, str], Staged] = {}
+_BATCHES: dict[tuple[str, str], Batches] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (spark.sparkContext.applicationId, sf_dir)
+
+
+def staged_tree(spark: SparkSession, sf_dir: str) -> str:
+    """The bronze tree of all rows.  Bills of two regions are written in the
+    canonical column order, all other bills with the columns reversed: the
+    tree holds two header layouts and scans must bind columns by name."""
+    key = _key(spark, sf_dir)
+    if key not in _TREES:
+        tree = scratch_path(spark, "tree")
+        b = bronze(spark, sf_dir, "bills")
+        canonical = F.col("division").isin(*CANONICAL_ORDER_DIVISIONS)
+        export.export_tree(b.where(canonical), tree, "bills")
+        export.export_tree(b.where(~canonical), tree, "bills", mode="append",
+                           columns=list(reversed(KINDS["bills"]["columns"])))
+        export.export_tree(bronze(spark, sf_dir, "readings"), tree, "readings")
+        _TREES[key] = tree
+    return _TREES[key]
 
 
 def staged(spark: SparkSession, sf_dir: str) -> Staged:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _CACHE:
-        return _CACHE[key]
-    base = scratch_path(spark, "staged")
-    s = Staged(tree=f"{base}/tree", batches=f"{base}/batches", silver=f"{base}/silver",
-               merged=f"{base}/merged", appended=f"{base}/appended", before=f"{base}/before")
-    # Bills of two regions are written in the canonical column order, all
-    # other bills with the columns reversed: the tree then holds two header
-    # layouts and the scan has to bind columns by name.
-    b = bronze(spark, sf_dir, "bills")
-    canonical = F.col("division").isin(*CANONICAL_ORDER_DIVISIONS)
-    export.export_tree(b.where(canonical), s.tree, "bills")
-    export.export_tree(b.where(~canonical), s.tree, "bills", mode="append",
-                       columns=list(reversed(KINDS["bills"]["columns"])))
-    export.export_tree(bronze(spark, sf_dir, "readings"), s.tree, "readings")
-    load.full_load(spark, s.tree, s.silver, layout="hive")
-    for kind in ("bills", "readings"):
-        b = bronze(spark, sf_dir, kind)
-        export.export_tree(b.where(first_batch(kind)), s.batches, kind)
-    for t in (s.merged, s.appended, s.before):
-        load.full_load(spark, s.batches, t, layout="hive")
-    for kind in ("bills", "readings"):
-        b = bronze(spark, sf_dir, kind)
-        export.export_tree(b.where(~first_batch(kind)), s.batches, kind, mode="append")
-    load.incremental_load(spark, s.batches, s.merged, layout="hive")
-    load.append_load(spark, s.batches, s.appended, layout="hive")
-    _CACHE[key] = s
-    return s
+    """The tree and its full load."""
+    key = _key(spark, sf_dir)
+    if key not in _CACHE:
+        tree = staged_tree(spark, sf_dir)
+        silver = scratch_path(spark, "silver")
+        load.full_load(spark, tree, silver, layout="hive")
+        _CACHE[key] = Staged(tree=tree, silver=silver)
+    return _CACHE[key]
+
+
+def staged_batches(spark: SparkSession, sf_dir: str) -> Batches:
+    """Two arrival batches: batch 1 loaded (full) into two targets, batch 2
+    then merged into one (incremental) and appended to the other."""
+    key = _key(spark, sf_dir)
+    if key not in _BATCHES:
+        base = scratch_path(spark, "batches")
+        bt = Batches(root=f"{base}/tree", merged=f"{base}/merged", appended=f"{base}/appended",
+                     first_run="")
+        for kind in ("bills", "readings"):
+            export.export_tree(bronze(spark, sf_dir, kind).where(first_batch(kind)), bt.root, kind)
+        bt.first_run = load.full_load(spark, bt.root, bt.merged, layout="hive").run_id
+        load.full_load(spark, bt.root, bt.appended, layout="hive")
+        for kind in ("bills", "readings"):
+            export.export_tree(bronze(spark, sf_dir, kind).where(~first_batch(kind)), bt.root, kind,
+                               mode="append")
+        load.incremental_load(spark, bt.root, bt.merged, layout="hive")
+        load.append_load(spark, bt.root, bt.appended, layout="hive")
+        _BATCHES[key] = bt
+    return _BATCHES[key]
 
 
 # Log level per event type of the stand-in run log.

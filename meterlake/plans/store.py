@@ -156,12 +156,15 @@ def commit(spark: SparkSession, target: str, run_id: str, mode: str,
         f"{target.rstrip('/')}/_commits")
 
 
-def committed_manifest(spark: SparkSession, target: str) -> DataFrame:
-    """Manifest rows of committed runs only; the newest row per (type, path)."""
+def committed_manifest(spark: SparkSession, target: str, as_of: str | None = None) -> DataFrame:
+    """Manifest rows of committed runs only; the newest row per (type, path).
+    ``as_of`` (a run id) gives the manifest as it was after that run."""
     m = _read_or_none(spark, f"{target.rstrip('/')}/_manifest", MANIFEST)
     c = commits(spark, target)
     if m is None or c is None:
         return spark.createDataFrame([], MANIFEST)
+    if as_of is not None:
+        c = c.where(F.col("run_id") <= as_of)
     done = c.select("run_id", F.col("data_type").alias("_dt")).distinct()
     ok = m.join(done, (m.run_id == done.run_id) & (m.data_type == done._dt), "left_semi")
     from pyspark.sql import Window
