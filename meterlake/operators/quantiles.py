@@ -13,7 +13,11 @@ the whole data in one task.  Instead the rank is *selected* by narrowing:
 
 Each round divides the interval width by ~``BUCKETS``, so a few rounds
 suffice for real data; a hot value is found at once (its bucket has
-min == max).  Only bucket counts reach the driver, never rows.
+min == max).  So that heavy-tailed or exponentially spaced values converge
+as fast, an interval that crosses zero is first split by sign (one round),
+and a one-signed interval whose ends differ by more than ``LOG_RATIO`` is
+bucketed on a log scale (after one such round its ends differ by < 1.5x).
+Only bucket counts reach the driver, never rows.
 
 Interpolation follows pandas / SQL ``quantile_cont``: position
 h = (n - 1) p, value = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
@@ -30,6 +34,19 @@ from pyspark.sql import types as T
 
 BUCKETS = 4096
 MAX_ROUNDS = 64
+# log-scale buckets when a one-signed interval's ends differ by more than this
+LOG_RATIO = 1e4
+LINEAR, LOG_POS, LOG_NEG, SIGN = 0, 1, 2, 3
+
+
+def _mode(lo: float, hi: float) -> int:
+    if lo < 0 < hi:
+        return SIGN
+    if lo > 0 and hi / lo > LOG_RATIO:
+        return LOG_POS
+    if hi < 0 and lo / hi > LOG_RATIO:
+        return LOG_NEG
+    return LINEAR
 # Above this many (group, column) keys the driver-side bookkeeping is not
 # small any more; Spark's exact percentile is used instead (each group then
 # has its own buffer, which is fine when groups are many and small).
@@ -100,15 +117,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             intervals.setdefault((key, lo, hi, below), len(intervals))
         iv_schema = T.StructType(by_fields + [
             T.StructField("column", T.StringType()), T.StructField("_lo", T.DoubleType()),
-            T.StructField("_hi", T.DoubleType()), T.StructField("_iid", T.LongType())])
-        iv_rows = [tuple(key) + (lo, hi, iid) for (key, lo, hi, _), iid in intervals.items()]
+            T.StructField("_hi", T.DoubleType()), T.StructField("_iid", T.LongType()),
+            T.StructField("_m", T.IntegerType())])
+        iv_rows = [tuple(key) + (lo, hi, iid, _mode(lo, hi))
+                   for (key, lo, hi, _), iid in intervals.items()]
         iv = spark.createDataFrame(iv_rows, iv_schema)
         cond = [long[k].eqNullSafe(iv[k]) for k in keys] + [
             long["x"] >= iv["_lo"], long["x"] <= iv["_hi"]]
         j = long.join(F.broadcast(iv), on=cond, how="inner")
-        width = F.col("_hi") - F.col("_lo")
-        bucket = F.least(F.floor((F.col("x") - F.col("_lo")) / width * BUCKETS),
-                         F.lit(BUCKETS - 1)).cast("int")
+        x, lo_c, hi_c, m = F.col("x"), F.col("_lo"), F.col("_hi"), F.col("_m")
+        linear = (x - lo_c) / (hi_c - lo_c)
+        log_pos = (F.log(x) - F.log(lo_c)) / (F.log(hi_c) - F.log(lo_c))
+        log_neg = (F.log(-lo_c) - F.log(-x)) / (F.log(-lo_c) - F.log(-hi_c))
+        frac = (F.when(m == LOG_POS, log_pos).when(m == LOG_NEG, log_neg).otherwise(linear))
+        scaled = F.greatest(F.least(F.floor(frac * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
+        bucket = F.when(m == SIGN, F.signum(x) + 1).otherwise(scaled).cast("int")
         hist = (j.groupBy("_iid", bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("bmin"),
                      F.max("x").alias("bmax"))

@@ -47,3 +47,17 @@ def test_round_limit_fallback_is_exact(spark, monkeypatch):
     got = quantiles.exact_quantiles(df, ["x"], [0.3, 0.5]).collect()
     for r in got:
         assert abs(r.value - _np(vals, r.p)) < 1e-9
+
+
+def test_heavy_tail_converges_without_fallback(spark, monkeypatch):
+    def boom(*a, **k):
+        raise AssertionError("fallback used")
+    monkeypatch.setattr(quantiles, "_select_in", boom)
+    monkeypatch.setattr(quantiles, "MAX_ROUNDS", 8)
+    vals = [2.0 ** i for i in range(-200, 800, 3)] + [-(2.0 ** i) for i in range(0, 300, 7)] + [0.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = {r.p: r.value for r in quantiles.exact_quantiles(df, ["x"], probs).collect()}
+    for p in probs:
+        want = _np(vals, p)
+        assert abs(got[p] - want) <= 1e-9 * max(1.0, abs(want))
