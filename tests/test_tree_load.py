@@ -218,3 +218,12 @@ def test_scan_silver_prunes_months(spark, tree, tmp_path):
     plan = feb._jdf.queryExecution().executedPlan().toString()
     assert "_part=2024-01" not in plan                    # January's folder is not scanned
     assert "PushedFilters" in plan and "billing_month" in plan
+
+
+def test_vanished_file_is_skipped(spark, tree, tmp_path):
+    from meterlake.plans.load import frozen_inventory
+    inv = frozen_inventory(spark, str(tree), ["bills"], "tree")
+    gone = tree / "ZHOB" / "LATER" / "bills" / "bills.tsv"
+    os.remove(gone)                                   # listed, then vanished before the scan
+    rows = read_bronze(spark, inv, "bills").collect()
+    assert all(r.subdivision != "LATER" for r in rows) and len(rows) >= 5
