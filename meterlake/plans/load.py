@@ -8,13 +8,15 @@ incremental  only files new or changed since the last committed manifest
 append       only files never loaded before -> clean -> added as one more
              folder of the current version (no cross-batch de-duplication).
 
-Each load stages the cleaned batch as Parquet in the target (this also cuts
-lineage and makes re-use cheap), writes the manifest for the files read, and
-commits last (see :mod:`meterlake.plans.store`).
-
-The upsert does *not* shuffle the stored table when the batch is small: the
-batch's keys are broadcast (behind a row-count check) and the stored rows are
-anti-joined map-side; only a large batch falls back to a shuffle anti-join.
+Every load writes its data, then the manifest of the files read, and commits
+last (see :mod:`meterlake.plans.store`).  An incremental load first stages the
+cleaned batch as Parquet in the target: that cuts lineage, and the batch is
+then read three times cheaply (its months, its keys, the merge).
+
+The upsert rewrites only the month partitions it touches, and does *not*
+shuffle the stored rows when the batch is small: the batch's keys are
+broadcast (behind a row-count check) and stored rows are anti-joined
+map-side; only a large batch falls back to a shuffle anti-join.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import KINDS, SILVER
 from meterlake.sources.bronze import file_headers, read_bronze
-from meterlake.sources.inventory import INVENTORY, file_inventory
+from meterlake.sources.inventory import INVENTORY, escape_glob, file_inventory
 
 log = logging.getLogger("meterlake.load")
 
@@ -92,8 +94,7 @@ def _dirs_where(spark: SparkSession, kind: str, dirs: list[str], hit_fn) -> set[
     (stored rows -> filtered rows) keeps something; scans only the columns
     ``hit_fn`` uses."""
     from meterlake.sources.inventory import decode_uri
-    stored = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true").parquet(*dirs)
-              .withColumn("_f", F.col("_metadata.file_path")))
+    stored = store.read_dirs(spark, dirs, kind).withColumn("_f", F.col("_metadata.file_path"))
     hit = hit_fn(stored)
     found = {r[0] for r in hit.select(F.regexp_replace(decode_uri(F.col("_f")), "/[^/]*$", ""))
              .distinct().collect()}
@@ -112,7 +113,6 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
     are dropped first, so rows deleted from a changed file disappear.
     Returns the new version's partition folders."""
     keys = KINDS[kind]["key"]
-    part = store.PART_COL
     batch_parts = {r[0] for r in staged.select(store.part_value(kind)).distinct().collect()}
     by_part = {store.dir_part(p): p for p in current.paths}
     touched = {p for v, p in by_part.items() if v in batch_parts}
@@ -132,16 +132,11 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
             touched |= _dirs_where(spark, kind, untouched,
                                    lambda stored: stored.join(srcs, "source_file", "left_semi"))
             untouched = [p for p in current.paths if p not in touched]
-    if touched:
-        existing = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
-                    .parquet(*sorted(touched)))
-    else:
-        existing = spark.createDataFrame([], SILVER[kind])
+    existing = store.read_dirs(spark, sorted(touched), kind)
     if srcs is not None:
         existing = existing.join(srcs, "source_file", "left_anti")
     merged = upsert(existing, staged, keys)
     new_dirs = store.write_table(merged, out, kind, codec)
-    assert part  # partition column name is fixed in the store
     return untouched + new_dirs
 
 
@@ -199,15 +194,14 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
             stage = f"{target.rstrip('/')}/_staging/{run_id}/{kind}"
             with _step(f"{kind}: clean + stage"):
                 batch.write.mode("errorifexists").option("compression", codec).parquet(stage)
-            staged = spark.read.schema(SILVER[kind]).parquet(stage)
+            staged = spark.read.schema(SILVER[kind]).parquet(escape_glob(stage))
             with _step(f"{kind}: upsert"):
                 paths = upsert_partitions(spark, current, staged, kind, out, codec,
                                           replaced_sources=inv if replace_by_source else None)
         else:
             with _step(f"{kind}: clean + write"):
                 new_dirs = store.write_table(batch, out, kind, codec)
-            staged = (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true").parquet(out)
-                      if new_dirs else spark.createDataFrame([], SILVER[kind]))
+            staged = store.read_dirs(spark, new_dirs, kind)
             paths = ([*current.paths, *new_dirs] if (mode == "append" and current is not None)
                      else new_dirs)
         manifests.append(_manifest_rows(inv, staged, run_id, now))

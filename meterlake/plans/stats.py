@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators.reports import table_statistics
 from meterlake.plans import store
+from meterlake.sources.inventory import escape_glob
 
 MB = 1024 * 1024
 
@@ -26,7 +27,8 @@ def load_statistics(spark: SparkSession, target: str) -> DataFrame:
         df = store.read_version(spark, v, kind)
         stats = table_statistics(df, kind, store.PART_SOURCE[kind])
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet").load(v.paths).select("length"))
+                 .option("pathGlobFilter", "*.parquet").load([escape_glob(x) for x in v.paths])
+                 .select("length"))
         size = files.agg(F.sum("length").alias("b"), F.count(F.lit(1)).alias("n")).collect()[0]
         parts.append(stats.select(
             "*", F.lit(round((size["b"] or 0) / MB, 3)).alias("size_mb"),

@@ -66,8 +66,9 @@ class Version:
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    from meterlake.sources.inventory import escape_glob
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(escape_glob(path))
     except AnalysisException:
         return None
 
@@ -107,11 +108,17 @@ def part_value(kind: str):
     return F.coalesce(F.date_format(PART_SOURCE[kind], "yyyy-MM"), F.lit("__null__"))
 
 
-def read_version(spark: SparkSession, version: Version, kind: str) -> DataFrame:
-    if not version.paths:
+def read_dirs(spark: SparkSession, dirs: list[str], kind: str) -> DataFrame:
+    """Rows of the given partition folders (taken literally, not as globs)."""
+    if not dirs:
         return spark.createDataFrame([], SILVER[kind])
+    from meterlake.sources.inventory import escape_glob
     return (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
-            .parquet(*version.paths))
+            .parquet(*[escape_glob(d) for d in dirs]))
+
+
+def read_version(spark: SparkSession, version: Version, kind: str) -> DataFrame:
+    return read_dirs(spark, version.paths, kind)
 
 
 def write_table(df: DataFrame, out: str, kind: str, codec: str) -> list[str]:
@@ -126,9 +133,10 @@ def write_table(df: DataFrame, out: str, kind: str, codec: str) -> list[str]:
 
 
 def partition_dirs(spark: SparkSession, out: str) -> list[str]:
+    from meterlake.sources.inventory import escape_glob
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .load(f"{out.rstrip('/')}/{PART_COL}=*").select("path"))
+                 .load(f"{escape_glob(out.rstrip('/'))}/{PART_COL}=*").select("path"))
     except AnalysisException:
         return []
     from meterlake.sources.inventory import decode_uri

@@ -25,19 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.schemas import KINDS
-from meterlake.sources.inventory import path_lineage
+from meterlake.sources.inventory import escape_glob, path_lineage
 
 # The header reader runs on executors: ship this module's functions by value
 # so executors need nothing installed beyond PySpark, pandas and pyarrow.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_GLOB_CHARS = "\\*?[]{}"
-
-
-def _escape_glob(path: str) -> str:
-    return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
-
-
 def _local_path(uri: str) -> str | None:
     if uri.startswith("file:"):
         rest = uri[5:]
@@ -127,7 +120,7 @@ def read_bronze(spark: SparkSession, files: DataFrame, kind: str, layout: str =
                .option("header", "true").option("sep", spec["sep"])
                .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
                .option("ignoreMissingFiles", str(ignore_missing).lower())
-               .csv([_escape_glob(p) for p in paths]))
+               .csv([escape_glob(p) for p in paths]))
         lin = path_lineage(F.col("_metadata.file_path"), layout)
         parts.append(raw.select(
             *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c)

@@ -32,6 +32,14 @@ INVENTORY = T.StructType([
 ])
 
 
+_GLOB_CHARS = "\\*?[]{}"
+
+
+def escape_glob(path: str) -> str:
+    """A path the readers take literally (Hadoop treats ``*?[]{}\\`` as glob)."""
+    return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
+
+
 def decode_uri(c: Column) -> Column:
     """File URIs percent-encode spaces etc. but leave ``+`` literal."""
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
@@ -56,7 +64,7 @@ def path_lineage(uri: Column, layout: str) -> dict[str, Column]:
 
 def _glob(root: str, kind: str, layout: str) -> str:
     spec = KINDS[kind]
-    root = root.rstrip("/")
+    root = escape_glob(root.rstrip("/"))      # the root is literal, the pattern is not
     if layout == "tree":
         return f"{root}/*/*/{spec['folder']}/{spec['file']}"
     return f"{root}/{spec['folder']}/*/*/*"

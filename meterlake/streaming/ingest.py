@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterlake.plans import store
 from meterlake.plans.load import load_files
 from meterlake.schemas import KINDS
-from meterlake.sources.inventory import INVENTORY, path_lineage
+from meterlake.sources.inventory import INVENTORY, escape_glob, path_lineage
 
 # Fixed schema of Spark's binaryFile source (required for streaming).
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -36,7 +36,7 @@ BINARY_FILE = "path string, modificationTime timestamp, length long, content bin
 def _file_stream(spark: SparkSession, root: str, kind: str, layout: str,
                  max_files_per_trigger: int | None) -> DataFrame:
     spec = KINDS[kind]
-    root = root.rstrip("/")
+    root = escape_glob(root.rstrip("/"))
     if layout == "tree":
         glob, name = f"{root}/*/*/{spec['folder']}", spec["file"]
     else:

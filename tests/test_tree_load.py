@@ -227,3 +227,14 @@ def test_vanished_file_is_skipped(spark, tree, tmp_path):
     os.remove(gone)                                   # listed, then vanished before the scan
     rows = read_bronze(spark, inv, "bills").collect()
     assert all(r.subdivision != "LATER" for r in rows) and len(rows) >= 5
+
+
+def test_glob_characters_in_roots(spark, tmp_path):
+    src = tmp_path / "bronze [v1] {a}"
+    write_file(src, "D [x]", "S{1}", "bills", BILL_HEADER, [bill("G1"), bill("G2", month="2024-02")])
+    target = str(tmp_path / "silver [v1]")
+    load.full_load(spark, str(src), target, kinds=["bills"])
+    write_file(src, "D [x]", "S{2}", "bills", BILL_HEADER, [bill("G1", kwh="5")])
+    load.incremental_load(spark, str(src), target, kinds=["bills"])
+    got = {r.bill_id: (r.consumption_kwh, r.division) for r in scan_silver(spark, target, "bills").collect()}
+    assert got == {"G1": (5.0, "D [x]"), "G2": (100.0, "D [x]")}
