@@ -13,6 +13,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """60 % of physical memory, at most 8 GB (local mode: the driver is the
+    whole cluster)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(1, min(8, int(total * 0.6 / 2 ** 30)))
+    except (ValueError, OSError, AttributeError):
+        gb = 4
+    return f"{gb}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "meterlake") -> SparkSession:
     master = master or os.environ.get("METERLAKE_MASTER", "local[8]")
@@ -25,7 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("METERLAKE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("METERLAKE_DRIVER_MEMORY", _driver_memory()))
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
