@@ -28,10 +28,12 @@ def scan_silver(spark: SparkSession, target: str, kind: str,
         if start is not None or end is not None:
             lo = start[:7] if start else None
             hi = end[:7] if end else None
+            # an exclusive end at a month's first instant excludes that month
+            hi_open = end is not None and end[7:].strip() in ("-01", "-01 00:00:00", "-01 00:00")
             keep = [p for p in v.paths
                     if store.dir_part(p) != "__null__"
                     and (lo is None or store.dir_part(p) >= lo)
-                    and (hi is None or store.dir_part(p) <= hi)]
+                    and (hi is None or store.dir_part(p) < hi or (store.dir_part(p) == hi and not hi_open))]
             v = store.Version(v.run_id, keep, v.committed_at)
         df = store.read_version(spark, v, kind)
     col = F.col(store.PART_SOURCE[kind])
