@@ -139,7 +139,7 @@ def _share_sql(source: str, group: str, value: str, out: str, within: str | None
     if within is None:
         return f"""
 , agg AS (
-  SELECT {group}, sum({value}) AS v, GROUPING({group}) AS g
+  SELECT {group}, coalesce(sum({value}), 0) AS v, GROUPING({group}) AS g
   FROM {source} WHERE {group} IS NOT NULL GROUP BY ROLLUP({group}))
 SELECT CASE WHEN g = 1 THEN 'TOTAL' ELSE {group} END AS {group},
        round(v, 2) AS {out},
@@ -147,7 +147,7 @@ SELECT CASE WHEN g = 1 THEN 'TOTAL' ELSE {group} END AS {group},
 FROM agg"""
     return f"""
 , agg AS (
-  SELECT {within}, {group}, sum({value}) AS v, GROUPING({within}, {group}) AS g
+  SELECT {within}, {group}, coalesce(sum({value}), 0) AS v, GROUPING({within}, {group}) AS g
   FROM {source} WHERE {group} IS NOT NULL AND {within} IS NOT NULL
   GROUP BY ROLLUP({within}, {group}))
 SELECT {within}, CASE WHEN g = 1 THEN 'TOTAL' ELSE {group} END AS {group},
@@ -188,9 +188,8 @@ def q_overview_readings(spark, sf_dir):
 @register("top_consumers", O.with_("bills") + """
 SELECT CAST(row_number() OVER (ORDER BY total_kwh DESC, meter_id) AS BIGINT) AS rank,
        meter_id, round(total_kwh, 2) AS total_kwh
-FROM (SELECT meter_id, sum(consumption_kwh) AS total_kwh FROM bills
+FROM (SELECT meter_id, coalesce(sum(consumption_kwh), 0) AS total_kwh FROM bills
       WHERE meter_id IS NOT NULL GROUP BY meter_id)
-WHERE total_kwh IS NOT NULL
 ORDER BY total_kwh DESC, meter_id LIMIT 10""")
 def q_top_consumers(spark, sf_dir):
     return reports.top_consumers(silver_bills(spark, sf_dir), 10)
@@ -198,7 +197,7 @@ def q_top_consumers(spark, sf_dir):
 
 @register("payment_status", O.with_("bills") + """
 , agg AS (
-  SELECT status, count(bill_id) AS bills, sum(total_amount) AS amount, GROUPING(status) AS g
+  SELECT status, count(bill_id) AS bills, coalesce(sum(total_amount), 0) AS amount, GROUPING(status) AS g
   FROM bills WHERE status IS NOT NULL GROUP BY ROLLUP(status))
 SELECT CASE WHEN g = 1 THEN 'TOTAL' ELSE status END AS status,
        CAST(bills AS BIGINT) AS bills, round(amount, 2) AS amount,
@@ -226,8 +225,8 @@ def q_voltage_quality(spark, sf_dir):
 @register("monthly_trend", O.with_("bills") + """
 SELECT CAST(year(billing_month) AS BIGINT) AS year, CAST(month(billing_month) AS BIGINT) AS month,
        strftime(billing_month, '%b') AS month_name,
-       round(sum(consumption_kwh), 2) AS consumption_kwh, round(sum(total_amount), 2) AS revenue,
-       CAST(count(bill_id) AS BIGINT) AS bills
+       round(coalesce(sum(consumption_kwh), 0), 2) AS consumption_kwh,
+       round(coalesce(sum(total_amount), 0), 2) AS revenue, CAST(count(bill_id) AS BIGINT) AS bills
 FROM bills WHERE billing_month IS NOT NULL
 GROUP BY year(billing_month), month(billing_month), strftime(billing_month, '%b')""")
 def q_monthly_trend(spark, sf_dir):

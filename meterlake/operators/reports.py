@@ -23,6 +23,11 @@ def _r(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits)
 
 
+def _sum0(c: str) -> Column:
+    """Sum where an empty or all-NULL group is 0 (not NULL), as in pandas."""
+    return F.coalesce(F.sum(c), F.lit(0.0))
+
+
 def overview(df: DataFrame, approx: bool = False) -> DataFrame:
     """Rows and distinct divisions / subdivisions / meters (one row)."""
     distinct = F.approx_count_distinct if approx else F.count_distinct
@@ -38,8 +43,7 @@ def top_consumers(bills: DataFrame, n: int = 10) -> DataFrame:
     """The n meters with the largest total consumption, ranked 1..n.
     Ties are broken by meter_id so the result is deterministic."""
     totals = (bills.where(F.col("meter_id").isNotNull())
-              .groupBy("meter_id").agg(F.sum("consumption_kwh").alias("total_kwh"))
-              .where(F.col("total_kwh").isNotNull()))
+              .groupBy("meter_id").agg(_sum0("consumption_kwh").alias("total_kwh")))
     top = totals.orderBy(F.col("total_kwh").desc(), F.col("meter_id")).limit(n)
     # n rows only: a global window here is over the top-n, not the data.
     rank = F.row_number().over(Window.orderBy(F.col("total_kwh").desc(), F.col("meter_id")))
@@ -56,7 +60,7 @@ def share_with_total(df: DataFrame, group: str, value_col: str, out: str,
     base = df.where(F.col(group).isNotNull())
     for w in within:
         base = base.where(F.col(w).isNotNull())
-    rolled = base.rollup(*keys).agg(F.sum(value_col).alias(out), F.grouping_id().alias("_g"))
+    rolled = base.rollup(*keys).agg(_sum0(value_col).alias(out), F.grouping_id().alias("_g"))
     # keep per-group rows and the total of each `within` partition
     rolled = rolled.where(F.col("_g") <= 1)
     if within:
@@ -94,7 +98,7 @@ def payment_status(bills: DataFrame) -> DataFrame:
     base = bills.where(F.col("status").isNotNull())
     rolled = base.rollup("status").agg(
         F.count("bill_id").alias("bills"),
-        F.sum("total_amount").alias("amount"),
+        _sum0("total_amount").alias("amount"),
         F.grouping_id().alias("_g"))
     w = Window.partitionBy()
     tot_bills = F.max(F.when(F.col("_g") == 1, F.col("bills"))).over(w)
@@ -155,8 +159,8 @@ def monthly_trend(bills: DataFrame, year: int | None = 2024) -> DataFrame:
                         & (F.col("billing_month") < F.lit(f"{year + 1}-01-01").cast("timestamp")))
     g = src.groupBy(F.year("billing_month").cast("long").alias("year"),
                     F.month("billing_month").cast("long").alias("month"))
-    out = g.agg(F.sum("consumption_kwh").alias("consumption_kwh"),
-                F.sum("total_amount").alias("revenue"),
+    out = g.agg(_sum0("consumption_kwh").alias("consumption_kwh"),
+                _sum0("total_amount").alias("revenue"),
                 F.count("bill_id").alias("bills"))
     return out.select(
         "year", "month", month_label(F.col("month").cast("int")).alias("month_name"),

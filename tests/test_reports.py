@@ -52,3 +52,14 @@ def test_schema_profile_counts(spark):
     n = b.count()
     assert prof["bill_id"].non_null + prof["bill_id"].nulls == n
     assert prof["total_amount"].dtype == "double"
+
+
+def test_all_null_group_sums_to_zero(spark):
+    df = spark.createDataFrame(
+        [("B1", "Paid", 5.0, "D1", "S1", 2.0), ("B2", "Late", None, "D1", "S2", None)],
+        "bill_id string, status string, total_amount double, division string, subdivision string, "
+        "consumption_kwh double")
+    st = {r.status: r.amount for r in reports.payment_status(df).collect()}
+    assert st["Late"] == 0.0 and st["TOTAL"] == 5.0
+    sub = {r.subdivision: r.consumption_kwh for r in reports.consumption_by_subdivision(df, "d1").collect()}
+    assert sub["S2"] == 0.0
