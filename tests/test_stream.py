@@ -22,3 +22,18 @@ def test_available_now_twice_is_stable_and_picks_new_files(spark, tmp_path):
     _run(spark, src, target, ckpt)
     got = {r.bill_id: r.consumption_kwh for r in scan_silver(spark, target, "bills").collect()}
     assert got == {"B1": 7.0, "B3": 100.0}             # newer file wins for B1
+
+
+def test_both_tables_stream_into_one_target(spark, tmp_path):
+    from tests.conftest import READING_HEADER, reading
+    src = tmp_path / "bronze"
+    write_file(src, "D1", "S1", "bills", BILL_HEADER, [bill("B1"), bill("B2")])
+    write_file(src, "D1", "S1", "readings", READING_HEADER,
+               [reading("2024-01-01 00:00:00"), reading("2024-01-01 01:00:00", volts="999")])
+    target = str(tmp_path / "silver")
+    for q in stream_ingest(spark, str(src), target, str(tmp_path / "ckpt")):
+        q.awaitTermination()
+    assert scan_silver(spark, target, "bills").count() == 2
+    assert scan_silver(spark, target, "readings").count() == 1
+    kinds = {r.data_type for r in store.commits(spark, target).collect()}
+    assert kinds == {"bills", "readings"}
