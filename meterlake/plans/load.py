@@ -212,7 +212,7 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
         for x in manifests[1:]:
             m = m.unionByName(x)
         with _step("manifest"):
-            store.write_manifest(spark, target, m)
+            store.write_manifest(spark, target, m, run_id)
         with _step("commit"):
             store.commit(spark, target, run_id, mode, committed, now)
     return result

@@ -3,8 +3,8 @@
 Layout under a target root::
 
     <target>/<kind>/v=<run_id>/_part=<yyyy-MM>/part-*.parquet   data of one load
-    <target>/_manifest/                          per-file load records
-    <target>/_commits/                           one row per committed load
+    <target>/_manifest/<run_id>/                 per-file load records of a run
+    <target>/_commits/<run_id>/                  the commit rows of a run
 
 Tables are partitioned by month (of ``billing_month`` / ``timestamp``).  A
 version is the list of partition folders it consists of, so an upsert only
@@ -68,7 +68,8 @@ class Version:
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     from meterlake.sources.inventory import escape_glob
     try:
-        return spark.read.schema(schema).parquet(escape_glob(path))
+        return (spark.read.schema(schema).option("recursiveFileLookup", "true")
+                .parquet(escape_glob(path)))
     except AnalysisException:
         return None
 
@@ -150,9 +151,11 @@ def dir_part(path: str) -> str:
     return unquote(path.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
 
 
-def write_manifest(spark: SparkSession, target: str, rows: DataFrame) -> None:
+def write_manifest(spark: SparkSession, target: str, rows: DataFrame, run_id: str) -> None:
+    """Each run writes its own folder: concurrent loads never share an output
+    directory (and so never a committer's temporary folder)."""
     rows.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields]) \
-        .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_manifest")
+        .coalesce(1).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_manifest/{run_id}")
 
 
 def commit(spark: SparkSession, target: str, run_id: str, mode: str,
@@ -160,8 +163,8 @@ def commit(spark: SparkSession, target: str, run_id: str, mode: str,
     """One commit file for all tables of a run: they switch together."""
     rows = [(run_id, kind, mode, paths, int(n), now.replace(tzinfo=None))
             for kind, (paths, n) in tables.items()]
-    spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(
-        f"{target.rstrip('/')}/_commits")
+    spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("errorifexists").parquet(
+        f"{target.rstrip('/')}/_commits/{run_id}")
 
 
 def committed_manifest(spark: SparkSession, target: str, as_of: str | None = None) -> DataFrame:

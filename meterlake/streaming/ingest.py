@@ -33,25 +33,33 @@ from meterlake.sources.inventory import INVENTORY, escape_glob, path_lineage
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _file_stream(spark: SparkSession, root: str, kind: str, layout: str,
+def _file_stream(spark: SparkSession, root: str, kinds: Sequence[str], layout: str,
                  max_files_per_trigger: int | None) -> DataFrame:
-    spec = KINDS[kind]
+    """One stream of new bronze files of all ``kinds`` (file metadata only)."""
     root = escape_glob(root.rstrip("/"))
+    folders = ",".join(KINDS[k]["folder"] for k in kinds)
     if layout == "tree":
-        glob, name = f"{root}/*/*/{spec['folder']}", spec["file"]
+        glob = f"{root}/*/*/{{{folders}}}"
+        name = "{" + ",".join(KINDS[k]["file"] for k in kinds) + "}"
     else:
-        glob, name = f"{root}/{spec['folder']}/*/*", "*"
+        glob, name = f"{root}/{{{folders}}}/*/*", "*"
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
          .option("pathGlobFilter", name))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = r.load(glob).select("path", "length", "modificationTime")
     lin = path_lineage(F.col("path"), layout)
+    seg = F.split(lin["path"], "/")
+    folder = F.element_at(seg, -2) if layout == "tree" else F.element_at(seg, -4)
+    kind = None
+    for k in kinds:
+        cond = folder == KINDS[k]["folder"]
+        kind = F.when(cond, k) if kind is None else kind.when(cond, k)
     return files.select(
-        F.lit(kind).alias("data_type"), lin["path"].alias("path"), lin["source_file"].alias("source_file"),
+        kind.alias("data_type"), lin["path"].alias("path"), lin["source_file"].alias("source_file"),
         lin["division"].alias("division"), lin["subdivision"].alias("subdivision"),
         F.col("length"), F.col("modificationTime").alias("modified"),
-    ).where(~F.col("division").startswith("."))
+    ).where(F.col("data_type").isNotNull() & ~F.col("division").startswith("."))
 
 
 def stream_ingest(spark: SparkSession, source: str, target: str, checkpoint: str,
@@ -59,29 +67,25 @@ def stream_ingest(spark: SparkSession, source: str, target: str, checkpoint: str
                   available_now: bool = True, processing_time: str = "60 minutes",
                   max_files_per_trigger: int | None = None, compression: str = "snappy",
                   name: str = "meterlake_ingest") -> list[StreamingQuery]:
-    """Start one streaming query per kind; returns the queries (call
-    ``awaitTermination`` / ``stop`` on them)."""
+    """Start the ingestion query (one for all kinds, so a micro-batch commits
+    every table it touches at once).  Returns ``[query]``; call
+    ``awaitTermination`` / ``stop`` on it."""
     store.check_codec(compression)
-    queries = []
-    for kind in kinds:
-        qname = f"{name}_{kind}"
+    kinds = list(kinds)
 
-        def apply(batch: DataFrame, batch_id: int, kind=kind, qname=qname) -> None:
-            run_id = f"{qname}-{batch_id:012d}"
-            done = store.commits(spark, target)
-            if done is not None and done.where((F.col("run_id") == run_id)
-                                               & (F.col("data_type") == kind)).limit(1).count():
-                return
-            rows = batch.collect()          # new files of this trigger (metadata)
-            if not rows:
-                return
-            inv = spark.createDataFrame(rows, INVENTORY)
-            load_files(spark, inv, target, "incremental", [kind], layout, compression,
-                       now=dt.datetime.now(dt.timezone.utc), run_id=run_id)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        run_id = f"{name}-{batch_id:012d}"
+        done = store.commits(spark, target)
+        if done is not None and done.where(F.col("run_id") == run_id).limit(1).count():
+            return                          # replay of a committed micro-batch
+        rows = batch.collect()              # new files of this trigger (metadata)
+        if not rows:
+            return
+        inv = spark.createDataFrame(rows, INVENTORY)
+        load_files(spark, inv, target, "incremental", kinds, layout, compression,
+                   now=dt.datetime.now(dt.timezone.utc), run_id=run_id)
 
-        w = (_file_stream(spark, source, kind, layout, max_files_per_trigger).writeStream
-             .queryName(qname).option("checkpointLocation", f"{checkpoint.rstrip('/')}/{kind}")
-             .foreachBatch(apply))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-        queries.append(w.start())
-    return queries
+    w = (_file_stream(spark, source, kinds, layout, max_files_per_trigger).writeStream
+         .queryName(name).option("checkpointLocation", checkpoint).foreachBatch(apply))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return [w.start()]
