@@ -89,9 +89,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     keys = by + ["column"]
     stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
                                     F.max("x").alias("hi"))
-    if stats.limit(MAX_KEYS + 1).count() > MAX_KEYS:
+    stat_rows = stats.limit(MAX_KEYS + 1).collect()      # one job; bounded
+    if len(stat_rows) > MAX_KEYS:
         return _spark_percentile(long, keys, probs)
-    stat_rows = stats.collect()
 
     # state per (key, rank): [lo, hi, below]; found values per (key, rank)
     found: dict[tuple, float] = {}
