@@ -66,6 +66,19 @@ def main() -> None:
         export.export_tree(b.where(~staging.first_batch(kind)), batches, kind, mode="append")
     timed("incremental_merge", lambda: load.incremental_load(spark, batches, merged, layout="hive"))
 
+    # a realistic increment: everything shipped before the last two months is
+    # loaded, then the last two months arrive (all rows, split in time)
+    last = standins.table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate")).collect()[0][0]
+    cut = F.lit(f"{last.year}-{last.month:02d}-01").cast("timestamp_ntz") - F.expr("INTERVAL 1 MONTH")
+    early = F.col("_ord.l_shipdate") < cut
+    recent_tree, recent_target = f"{base}/recent", f"{base}/recent_silver"
+    bb = staging.bronze(spark, sf_dir, "bills")
+    export.export_tree(bb.where(early), recent_tree, "bills")
+    load.full_load(spark, recent_tree, recent_target, kinds=["bills"], layout="hive")
+    export.export_tree(bb.where(~early), recent_tree, "bills", mode="append")
+    timed("incremental_last_months", lambda: load.incremental_load(
+        spark, recent_tree, recent_target, kinds=["bills"], layout="hive"))
+
     bills = scan_silver(spark, silver, "bills")
     rd = scan_silver(spark, silver, "readings")
     meters = dims.meters_from_customers(spark, sf_dir)
