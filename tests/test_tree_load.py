@@ -238,3 +238,14 @@ def test_glob_characters_in_roots(spark, tmp_path):
     load.incremental_load(spark, str(src), target, kinds=["bills"])
     got = {r.bill_id: (r.consumption_kwh, r.division) for r in scan_silver(spark, target, "bills").collect()}
     assert got == {"G1": (5.0, "D [x]"), "G2": (100.0, "D [x]")}
+
+
+def test_underscore_division_is_read(spark, tmp_path):
+    src = tmp_path / "bronze"
+    write_file(src, "_ARCHIVE", "S1", "bills", BILL_HEADER, [bill("U1")])
+    write_file(src, "NORMAL", "S1", "bills", BILL_HEADER, [bill("U2")])
+    inv = {r.division for r in file_inventory(spark, str(src), ["bills"]).collect()}
+    assert inv == {"_ARCHIVE", "NORMAL"}
+    load.full_load(spark, str(src), str(tmp_path / "silver"), kinds=["bills"])
+    got = {r.bill_id for r in scan_silver(spark, str(tmp_path / "silver"), "bills").collect()}
+    assert got == {"U1", "U2"}
