@@ -177,7 +177,7 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     batch_inv = spark.createDataFrame(rows, INVENTORY)
     per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
     with _step("headers"):
-        headers = file_headers(batch_inv) if rows else {}
+        headers = file_headers(batch_inv, len(rows)) if rows else {}
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
     committed: dict[str, tuple[list[str], int]] = {}
     manifests = []

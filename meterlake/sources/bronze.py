@@ -73,8 +73,10 @@ def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 HeaderGroups = dict[tuple[str, tuple[str, ...]], list[str]]
 
+FILES_PER_TASK = 200
 
-def file_headers(files: DataFrame) -> HeaderGroups:
+
+def file_headers(files: DataFrame, n_files: int | None = None) -> HeaderGroups:
     """(data_type, header layout) -> paths, for every file of ``files`` (an
     inventory frame).  One small distributed job; one row per file comes back
     to the driver (file metadata, not data)."""
@@ -82,8 +84,12 @@ def file_headers(files: DataFrame) -> HeaderGroups:
     for kind, spec in KINDS.items():
         cond = F.col("data_type") == kind
         sep = F.when(cond, spec["sep"]) if sep is None else sep.when(cond, spec["sep"])
-    heads = files.select("data_type", "path", sep.alias("sep")).mapInPandas(
-        _headers, "data_type string, path string, header array<string>")
+    # ~FILES_PER_TASK first-line reads per task: on an object store each is
+    # a round trip, so spread them over the cluster
+    n = files.count() if n_files is None else n_files
+    parts = max(1, -(-n // FILES_PER_TASK))
+    heads = (files.select("data_type", "path", sep.alias("sep")).repartition(parts)
+             .mapInPandas(_headers, "data_type string, path string, header array<string>"))
     groups: HeaderGroups = {}
     for r in heads.collect():
         groups.setdefault((r["data_type"], tuple(r["header"] or ())), []).append(r["path"])
