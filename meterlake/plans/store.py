@@ -169,15 +169,38 @@ def commit(spark: SparkSession, target: str, run_id: str, mode: str,
 
 def committed_manifest(spark: SparkSession, target: str, as_of: str | None = None) -> DataFrame:
     """Manifest rows of committed runs only; the newest row per (type, path).
-    ``as_of`` (a run id) gives the manifest as it was after that run."""
-    m = _read_or_none(spark, f"{target.rstrip('/')}/_manifest", MANIFEST)
+    ``as_of`` (a run id) gives the manifest as it was after that run.
+
+    A full load records every file of its table, so only the runs since the
+    last committed full load of each table are read: the work stays bounded
+    by the recent history, not the age of the target."""
     c = commits(spark, target)
-    if m is None or c is None:
+    if c is None:
         return spark.createDataFrame([], MANIFEST)
     if as_of is not None:
         c = c.where(F.col("run_id") <= as_of)
-    done = c.select("run_id", F.col("data_type").alias("_dt")).distinct()
-    ok = m.join(done, (m.run_id == done.run_id) & (m.data_type == done._dt), "left_semi")
+    runs = c.select("run_id", "data_type", "mode", "committed_at").collect()   # one row per commit
+    if not runs:
+        return spark.createDataFrame([], MANIFEST)
+    keep: set[tuple[str, str]] = set()
+    for kind in {r["data_type"] for r in runs}:
+        mine = sorted((r for r in runs if r["data_type"] == kind),
+                      key=lambda r: (r["committed_at"], r["run_id"]))
+        fulls = [i for i, r in enumerate(mine) if r["mode"] == "full"]
+        start = fulls[-1] if fulls else 0
+        keep |= {(r["run_id"], kind) for r in mine[start:]}
+    base = f"{target.rstrip('/')}/_manifest"
+    folders = sorted({f"{base}/{run}" for run, _ in keep})
+    from meterlake.sources.inventory import escape_glob
+    try:
+        m = (spark.read.schema(MANIFEST).option("recursiveFileLookup", "true")
+             .parquet(*[escape_glob(f) for f in folders]))
+    except AnalysisException:
+        return spark.createDataFrame([], MANIFEST)
+    pairs = spark.createDataFrame(sorted(keep), "run_id string, _dt string")
+    # one row per kept commit, counted on the driver: broadcast while small
+    side = F.broadcast(pairs) if len(keep) <= 100_000 else pairs
+    ok = m.join(side, (m.run_id == pairs.run_id) & (m.data_type == pairs._dt), "left_semi")
     from pyspark.sql import Window
     w = Window.partitionBy("data_type", "path").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())
     return ok.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -249,3 +249,16 @@ def test_underscore_division_is_read(spark, tmp_path):
     load.full_load(spark, str(src), str(tmp_path / "silver"), kinds=["bills"])
     got = {r.bill_id for r in scan_silver(spark, str(tmp_path / "silver"), "bills").collect()}
     assert got == {"U1", "U2"}
+
+
+def test_manifest_reads_since_last_full_load(spark, tree, tmp_path):
+    target = str(tmp_path / "silver")
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    write_file(tree, "ZHOB", "NEW", "bills", BILL_HEADER, [bill("B8")])
+    load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    m = store.committed_manifest(spark, target)
+    runs = [r.run_id for r in store.commits(spark, target).orderBy("committed_at").collect()]
+    files = m.inputFiles()
+    assert files and all(f"/_manifest/{runs[-1]}/" in f for f in files)   # older runs not read
+    assert m.count() == 7 and m.where(F.col("run_id") != runs[-1]).count() == 0
