@@ -15,8 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake import oracle as O
-from meterlake.operators import clean, reports
-from meterlake.plans import standins
+from meterlake.functions import billing as fb
+from meterlake.operators import billing, clean, quality, reports
+from meterlake.operators import logs as log_ops
+from meterlake.operators.inventory import (
+    compression_ratio, inventory_rollup, layout_report, source_coverage,
+)
+from meterlake.operators.setops import distinct_values, sample_rows, union_by_name
+from meterlake.plans import staging, standins, store
+from meterlake.plans.load import changed_files, frozen_inventory
+from meterlake.plans.stats import load_statistics
+from meterlake.schemas import SILVER_BILLS
+from meterlake.session import scratch_path
+from meterlake.sources import dimensions as dims
+from meterlake.sources import logs as log_src
+from meterlake.sources.bronze import read_bronze
+from meterlake.sources.inventory import file_inventory, path_lineage
+from meterlake.sources.silver import preview, scan_silver, scan_tolerant
+from meterlake.streaming.ingest import stream_ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -280,7 +296,6 @@ UNION ALL
 SELECT 'readings', CAST(sum(c) AS BIGINT), CAST(sum(c - 1) AS BIGINT)
 FROM (SELECT "timestamp", meter_id, count(*) AS c FROM readings_typed GROUP BY "timestamp", meter_id)""")
 def q_duplicate_count(spark, sf_dir):
-    from meterlake.operators import quality
     b = quality.duplicate_count(_typed_bills(spark, sf_dir), ["bill_id"])
     r = quality.duplicate_count(_typed_readings(spark, sf_dir), ["timestamp", "meter_id"])
     return (b.select(F.lit("bills").alias("table_name"), "*")
@@ -305,7 +320,6 @@ def _null_sql(table, cols, source):
 @register("null_profile", O.with_("bills_typed", "readings_typed") + _null_sql(
     "bills", _BILL_ALL, "bills_typed") + "\nUNION ALL\n" + _null_sql("readings", _READ_ALL, "readings_typed"))
 def q_null_profile(spark, sf_dir):
-    from meterlake.operators import quality
     b = quality.null_profile(_typed_bills(spark, sf_dir), _BILL_ALL)
     r = quality.null_profile(_typed_readings(spark, sf_dir), _READ_ALL)
     return (b.select(F.lit("bills").alias("table_name"), "*")
@@ -320,7 +334,6 @@ def _ranges_sql(cols, source):
 
 @register("value_ranges", O.with_("bills") + _ranges_sql(_BILL_NUM, "bills"))
 def q_value_ranges(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.value_ranges(silver_bills(spark, sf_dir), _BILL_NUM)
 
 
@@ -337,7 +350,6 @@ FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM
 
 @register("iqr_outliers", O.with_("readings") + _iqr_sql(_READ_NUM, "readings"))
 def q_iqr_outliers(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.iqr_outliers(silver_readings(spark, sf_dir), _READ_NUM)
 
 
@@ -347,7 +359,6 @@ UNION ALL SELECT 'bills', 'consumption_kwh<0', CAST(count(*) FILTER (WHERE consu
 UNION ALL SELECT 'readings', 'voltage_outside_180_260', CAST(count(*) FILTER (WHERE voltage < 180 OR voltage > 260) AS BIGINT) FROM readings_typed
 UNION ALL SELECT 'readings', 'consumption_kwh<0', CAST(count(*) FILTER (WHERE consumption_kwh < 0) AS BIGINT) FROM readings_typed""")
 def q_rule_violations(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.rule_violations(_typed_bills(spark, sf_dir), quality.BILL_RULES, "bills").unionByName(
         quality.rule_violations(_typed_readings(spark, sf_dir), quality.READING_RULES, "readings"))
 
@@ -364,7 +375,6 @@ def _schema_sql(cols, types, source):
 
 @register("schema_profile", O.with_("bills") + _schema_sql(_BILL_ALL, _BILL_TYPES, "bills"))
 def q_schema_profile(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.schema_profile(silver_bills(spark, sf_dir).select(*_BILL_ALL))
 
 
@@ -378,7 +388,6 @@ def _describe_sql(cols, source):
 
 @register("describe_numeric", O.with_("readings") + _describe_sql(_READ_NUM, "readings"))
 def q_describe_numeric(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.describe_numeric(silver_readings(spark, sf_dir), _READ_NUM)
 
 
@@ -392,7 +401,6 @@ SELECT b.bin, round(lo + b.bin * w, 4) AS lower, round(lo + (b.bin + 1) * w, 4)
 FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b CROSS JOIN mm
 LEFT JOIN counts c ON b.bin = c.bin""")
 def q_histogram(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.histogram(silver_bills(spark, sf_dir), "total_amount", 50)
 
 
@@ -407,7 +415,6 @@ SELECT b.division, CAST(count(*) AS BIGINT) AS n, min(total_amount) AS min, roun
 FROM bills b JOIN q ON b.division = q.division
 GROUP BY b.division, q.q1, q.median, q.q3""")
 def q_box_stats(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.box_stats(silver_bills(spark, sf_dir), "total_amount", ["division"])
 
 
@@ -448,30 +455,25 @@ def _validate_sql(kind):
 
 @register("validate_bills", _validate_sql("bills"))
 def q_validate_bills(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.validate(silver_bills(spark, sf_dir), "bills")
 
 
 @register("validate_readings", _validate_sql("readings"))
 def q_validate_readings(spark, sf_dir):
-    from meterlake.operators import quality
     return quality.validate(silver_readings(spark, sf_dir), "readings")
 
 
 # ---------------------------------------------------------------- files: scans, loads, manifest
 
 def _staged(spark, sf_dir):
-    from meterlake.plans import staging
     return staging.staged(spark, sf_dir)
 
 
 def _tree(spark, sf_dir):
-    from meterlake.plans import staging
     return staging.staged_tree(spark, sf_dir)
 
 
 def _batches(spark, sf_dir):
-    from meterlake.plans import staging
     return staging.staged_batches(spark, sf_dir)
 
 
@@ -484,8 +486,6 @@ def _sql_source_dir(kind: str) -> str:
 
 
 def _scan_typed(spark, sf_dir, kind):
-    from meterlake.plans.load import frozen_inventory
-    from meterlake.sources.bronze import read_bronze
     inv = frozen_inventory(spark, _tree(spark, sf_dir), [kind], "hive")
     raw = read_bronze(spark, inv, kind, "hive")
     return clean.coerce_bills(raw) if kind == "bills" else clean.coerce_readings(raw)
@@ -533,7 +533,6 @@ SELECT DISTINCT 'bills' AS data_type, division, subdivision, true AS has_bytes F
 UNION ALL
 SELECT DISTINCT 'readings', division, subdivision, true FROM readings_typed""")
 def q_file_inventory(spark, sf_dir):
-    from meterlake.sources.inventory import file_inventory
     inv = file_inventory(spark, _tree(spark, sf_dir), layout="hive")
     return inv.groupBy("data_type", "division", "subdivision").agg(
         (F.sum("length") > 0).alias("has_bytes"))
@@ -543,7 +542,6 @@ def q_file_inventory(spark, sf_dir):
 SELECT bill_id, meter_id, strftime(billing_month, '%Y-%m-%d %H:%M:%S') AS billing_month, consumption_kwh,
        energy_charges, meter_rent, gst, total_amount, status, division, subdivision FROM bills""")
 def q_full_load_bills(spark, sf_dir):
-    from meterlake.sources.silver import scan_silver
     s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills")
     return s.select("bill_id", "meter_id", _ts("billing_month"), "consumption_kwh", "energy_charges",
                     "meter_rent", "gst", "total_amount", "status", "division", "subdivision")
@@ -553,7 +551,6 @@ def q_full_load_bills(spark, sf_dir):
 SELECT {O.ts_text('"timestamp"')} AS "timestamp", meter_id, reading, consumption_kwh, voltage,
        current_amp, quality_flag, division, subdivision FROM readings""")
 def q_full_load_readings(spark, sf_dir):
-    from meterlake.sources.silver import scan_silver
     s = scan_silver(spark, _staged(spark, sf_dir).silver, "readings")
     return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage",
                     "current_amp", "quality_flag", "division", "subdivision")
@@ -563,7 +560,6 @@ def q_full_load_readings(spark, sf_dir):
 SELECT division, CAST(count(*) AS BIGINT) AS n_rows, round(sum(total_amount), 2) AS revenue
 FROM bills GROUP BY division""")
 def q_scan_silver(spark, sf_dir):
-    from meterlake.sources.silver import scan_silver
     s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills")
     return s.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"),
                                      F.round(F.sum("total_amount"), 2).alias("revenue"))
@@ -573,7 +569,6 @@ def q_scan_silver(spark, sf_dir):
 SELECT bill_id, meter_id, consumption_kwh, total_amount FROM bills
 WHERE bill_id IS NOT NULL ORDER BY bill_id LIMIT 10""")
 def q_preview_rows(spark, sf_dir):
-    from meterlake.sources.silver import preview, scan_silver
     s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills").where(F.col("bill_id").isNotNull())
     return preview(s.select("bill_id", "meter_id", "consumption_kwh", "total_amount"), 10, ["bill_id"])
 
@@ -586,8 +581,6 @@ def q_preview_rows(spark, sf_dir):
 SELECT s.data_type, s.division, s.subdivision, CAST(coalesce(c.c, 0) AS BIGINT) AS records
 FROM subs s LEFT JOIN cnt c USING (data_type, division, subdivision)""")
 def q_manifest_records(spark, sf_dir):
-    from meterlake.plans import store
-    from meterlake.sources.inventory import path_lineage
     m = store.committed_manifest(spark, _staged(spark, sf_dir).silver)
     lin = path_lineage(F.col("path"), "hive")
     return m.select("data_type", lin["division"].alias("division"),
@@ -613,7 +606,6 @@ _MERGE_READ_COLS = ("strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp
 
 @register("merge_bills", _merge_sql("bills", _MERGE_BILL_COLS))
 def q_merge_bills(spark, sf_dir):
-    from meterlake.sources.silver import scan_silver
     s = scan_silver(spark, _batches(spark, sf_dir).merged, "bills")
     return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
                     _ts("billing_month"))
@@ -621,7 +613,6 @@ def q_merge_bills(spark, sf_dir):
 
 @register("merge_readings", _merge_sql("readings", _MERGE_READ_COLS))
 def q_merge_readings(spark, sf_dir):
-    from meterlake.sources.silver import scan_silver
     s = scan_silver(spark, _batches(spark, sf_dir).merged, "readings")
     return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage", "quality_flag")
 
@@ -629,7 +620,6 @@ def q_merge_readings(spark, sf_dir):
 @register("append_load", O.with_("bills_typed") + "," + O.batch_ctes("bills") + f"""
 SELECT {_MERGE_BILL_COLS} FROM bills_b1 UNION ALL SELECT {_MERGE_BILL_COLS} FROM bills_b2""")
 def q_append_load(spark, sf_dir):
-    from meterlake.sources.silver import scan_silver
     s = scan_silver(spark, _batches(spark, sf_dir).appended, "bills")
     return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
                     _ts("billing_month"))
@@ -641,8 +631,6 @@ WHERE NOT (l_shipdate < TIMESTAMP '1998-01-01')
 UNION ALL
 SELECT DISTINCT 'readings', division, subdivision FROM readings_typed WHERE quality_flag <> 'OK'""")
 def q_changed_files(spark, sf_dir):
-    from meterlake.plans import store
-    from meterlake.plans.load import changed_files, frozen_inventory
     b = _batches(spark, sf_dir)
     inv = frozen_inventory(spark, b.root, ["bills", "readings"], "hive")
     ch = changed_files(inv, store.committed_manifest(spark, b.merged, as_of=b.first_run))
@@ -674,9 +662,6 @@ def q_export_roundtrip(spark, sf_dir):
 SELECT s.data_type, s.division, s.subdivision, g.division IS NOT NULL AS covered
 FROM subs s LEFT JOIN got g USING (data_type, division, subdivision)""")
 def q_source_coverage(spark, sf_dir):
-    from meterlake.operators.inventory import source_coverage
-    from meterlake.sources.inventory import file_inventory
-    from meterlake.sources.silver import scan_silver
     s = _staged(spark, sf_dir)
     inv = file_inventory(spark, s.tree, layout="hive")
     cov = source_coverage(inv, {k: scan_silver(spark, s.silver, k) for k in ("bills", "readings")})
@@ -687,7 +672,6 @@ def q_source_coverage(spark, sf_dir):
 # ---------------------------------------------------------------- billing / readings re-aims
 
 def _usage3(spark, sf_dir):
-    from meterlake.operators import billing
     u = billing.usage_rollup(silver_readings(spark, sf_dir), "month")
     return u.withColumn("kwh", F.round("kwh", 3))
 
@@ -697,7 +681,6 @@ SELECT o_orderkey, printf('%012d', o_custkey) AS meter_id, 'CUST' || printf('%08
        'BILL' || printf('%012d', o_custkey) || printf('%02d', month(o_orderdate)) AS bill_id
 FROM orders""")
 def q_format_ids(spark, sf_dir):
-    from meterlake.functions import billing as fb
     o = standins.table(spark, sf_dir, "orders")
     m = fb.meter_id("o_custkey")
     return o.select("o_orderkey", m.alias("meter_id"), fb.customer_id("o_custkey").alias("customer_id"),
@@ -710,9 +693,6 @@ SELECT m.tariff_code, t.name, CASE WHEN t.name LIKE '%Residential%' THEN 'Reside
        CAST(count(*) AS BIGINT) AS n_meters
 FROM meters m JOIN tariffs t ON m.tariff_code = t.tariff_code GROUP BY 1, 2, 3""")
 def q_tariff_class(spark, sf_dir):
-    from meterlake.functions import billing as fb
-    from meterlake.operators import billing
-    from meterlake.sources import dimensions as dims
     j = billing.with_tariff(dims.meters_from_customers(spark, sf_dir), dims.tariffs(spark))
     return j.groupBy("tariff_code", "name", fb.tariff_class("name").alias("tariff_class")).agg(
         F.count(F.lit(1)).alias("n_meters"))
@@ -726,7 +706,6 @@ SELECT CASE WHEN month("timestamp") IN (6, 7, 8) THEN 'summer' WHEN month("times
        CAST(count(*) AS BIGINT) AS n_readings, round(sum(consumption_kwh), 3) AS kwh
 FROM readings GROUP BY 1, 2""")
 def q_peak_season_usage(spark, sf_dir):
-    from meterlake.operators import billing
     u = billing.peak_season_usage(silver_readings(spark, sf_dir))
     return u.select("season", "band", F.col("n_readings").cast("long"), F.round("kwh", 3).alias("kwh"))
 
@@ -749,8 +728,6 @@ SELECT 'BILL' || u.meter_id || printf('%02d', month(u.period)) AS bill_id, u.met
        round(u.kwh * 15.0 + t.meter_rent + (u.kwh * 15.0 + t.meter_rent) * t.gst_rate, 2) AS total_amount
 FROM usage u JOIN meters m ON u.meter_id = m.meter_id JOIN tariffs t ON m.tariff_code = t.tariff_code""")
 def q_bill_charges(spark, sf_dir):
-    from meterlake.operators import billing
-    from meterlake.sources import dimensions as dims
     return billing.bill_charges(_usage3(spark, sf_dir), dims.meters_from_customers(spark, sf_dir),
                                 dims.tariffs(spark))
 
@@ -761,8 +738,6 @@ SELECT u.meter_id, strftime(u.period, '%Y-%m') AS billing_month, m.tariff_code,
 FROM usage u JOIN meters m ON u.meter_id = m.meter_id JOIN slabs s ON m.tariff_code = s.tariff_code
 GROUP BY u.meter_id, u.period, m.tariff_code, u.kwh""")
 def q_slab_charges(spark, sf_dir):
-    from meterlake.operators import billing
-    from meterlake.sources import dimensions as dims
     return billing.slab_charges(_usage3(spark, sf_dir), dims.meters_from_customers(spark, sf_dir),
                                 dims.tariffs(spark))
 
@@ -772,7 +747,6 @@ SELECT meter_id, {O.ts_text('"timestamp"')} AS "timestamp",
        round(CASE WHEN voltage > 0 THEN consumption_kwh / (voltage / 1000) ELSE 0 END, 4) AS current_amp
 FROM readings""")
 def q_derive_current(spark, sf_dir):
-    from meterlake.functions import billing as fb
     r = silver_readings(spark, sf_dir)
     return r.select("meter_id", _ts("timestamp"),
                     F.round(fb.derive_current("consumption_kwh", "voltage"), 4).alias("current_amp"))
@@ -784,7 +758,6 @@ SELECT meter_id, {O.ts_text('"timestamp"')} AS "timestamp", consumption_kwh,
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 3) AS register_kwh
 FROM readings""")
 def q_register_running_total(spark, sf_dir):
-    from meterlake.operators import billing
     r = silver_readings(spark, sf_dir).select("meter_id", "timestamp", "consumption_kwh")
     rt = billing.running_total(r, "meter_id", "timestamp", "consumption_kwh", "register_kwh")
     return rt.select("meter_id", _ts("timestamp"), "consumption_kwh",
@@ -801,7 +774,6 @@ FROM (SELECT *, (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (PARTITI
 WHERE coalesce(gap_h > 1.0, false) OR coalesce(consumption_kwh = 0, false)
    OR coalesce(mean_kwh > 0 AND consumption_kwh >= 5.0 * mean_kwh, false)""")
 def q_reading_anomalies(spark, sf_dir):
-    from meterlake.operators import billing
     a = billing.reading_anomalies(silver_readings(spark, sf_dir), spike=5.0)
     return a.select("meter_id", _ts("timestamp"), "consumption_kwh", "gap_hours", "is_gap", "is_zero",
                     "is_spike")
@@ -811,8 +783,6 @@ def q_reading_anomalies(spark, sf_dir):
 SELECT meter_id, division, tariff_code FROM meters m
 WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.meter_id = m.meter_id)""")
 def q_unprocessed_meters(spark, sf_dir):
-    from meterlake.operators import billing
-    from meterlake.sources import dimensions as dims
     m = dims.meters_from_customers(spark, sf_dir)
     return billing.unprocessed(m, silver_readings(spark, sf_dir)).select("meter_id", "division", "tariff_code")
 
@@ -821,8 +791,6 @@ def q_unprocessed_meters(spark, sf_dir):
 SELECT b.bill_id, c.customer_id, c.name, c.payment_behavior, b.total_amount
 FROM bills b JOIN customers c ON b.meter_id = c.meter_id""")
 def q_customer_bills(spark, sf_dir):
-    from meterlake.operators import billing
-    from meterlake.sources import dimensions as dims
     j = billing.customer_bills(silver_bills(spark, sf_dir), dims.customers_from_table(spark, sf_dir))
     return j.select("bill_id", "customer_id", "name", "payment_behavior", "total_amount")
 
@@ -830,9 +798,7 @@ def q_customer_bills(spark, sf_dir):
 # ---------------------------------------------------------------- logs
 
 def _parsed_log(spark, sf_dir):
-    from meterlake.plans import staging
-    from meterlake.sources import logs
-    return logs.parse_log(logs.scan_log(spark, staging.staged_log(spark, sf_dir)))
+    return log_src.parse_log(log_src.scan_log(spark, staging.staged_log(spark, sf_dir)))
 
 
 @register("log_parse", O.with_("log") + """
@@ -848,8 +814,7 @@ SELECT lv AS level,
        CAST((SELECT count(*) FROM log WHERE level = lv) AS BIGINT) AS n_parsed
 FROM (VALUES ('INFO'), ('WARNING'), ('ERROR'), ('DEBUG')) v(lv)""")
 def q_log_level_counts(spark, sf_dir):
-    from meterlake.operators import logs
-    return logs.log_level_counts(_parsed_log(spark, sf_dir))
+    return log_ops.log_level_counts(_parsed_log(spark, sf_dir))
 
 
 @register("log_search", O.with_("log") + """
@@ -857,8 +822,7 @@ SELECT ts_text || ' - ' || level || ' - ' || message AS line FROM log
 WHERE level IN ('ERROR', 'WARNING') AND lower(message) LIKE '%user=1%'
 ORDER BY ts DESC, event_id DESC LIMIT 25""")
 def q_log_search(spark, sf_dir):
-    from meterlake.operators import logs
-    return logs.log_search(_parsed_log(spark, sf_dir), ["ERROR", "WARNING"], "USER=1", 25,
+    return log_ops.log_search(_parsed_log(spark, sf_dir), ["ERROR", "WARNING"], "USER=1", 25,
                            from_end=True).select("line")
 
 
@@ -870,7 +834,6 @@ SELECT division, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(bill_id) AS BIGI
 FROM (SELECT division, bill_id, NULL AS reading FROM bills
       UNION ALL SELECT division, NULL, reading FROM readings) GROUP BY division""")
 def q_union_tables(spark, sf_dir):
-    from meterlake.operators.setops import union_by_name
     u = union_by_name([silver_bills(spark, sf_dir), silver_readings(spark, sf_dir)])
     return u.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"),
                                      F.count("bill_id").alias("n_bills"),
@@ -880,34 +843,27 @@ def q_union_tables(spark, sf_dir):
 @register("distinct_divisions", O.with_("bills", "readings") + """
 SELECT DISTINCT division FROM (SELECT division FROM bills UNION ALL SELECT division FROM readings)""")
 def q_distinct_divisions(spark, sf_dir):
-    from meterlake.operators.setops import distinct_values
     return distinct_values([silver_bills(spark, sf_dir), silver_readings(spark, sf_dir)], "division")
 
 
 @register("sample_rows")
 def q_sample_rows(spark, sf_dir):
-    from meterlake.operators.setops import sample_rows
     return sample_rows(silver_bills(spark, sf_dir), 0.1, seed=42).select(
         "bill_id", "meter_id", "consumption_kwh", "total_amount")
 
 
 @register("layout_report")
 def q_layout_report(spark, sf_dir):
-    from meterlake.operators.inventory import layout_report
     return layout_report(spark, _staged(spark, sf_dir).silver)
 
 
 @register("inventory_rollup")
 def q_inventory_rollup(spark, sf_dir):
-    from meterlake.operators.inventory import inventory_rollup
-    from meterlake.sources.inventory import file_inventory
     return inventory_rollup(file_inventory(spark, _tree(spark, sf_dir), layout="hive"))
 
 
 @register("compression_ratio")
 def q_compression_ratio(spark, sf_dir):
-    from meterlake.operators.inventory import compression_ratio, layout_report
-    from meterlake.sources.inventory import file_inventory
     s = _staged(spark, sf_dir)
     inv = file_inventory(spark, s.tree, layout="hive")
     return compression_ratio(inv, {k: layout_report(spark, f"{s.silver}/{k}") for k in ("bills", "readings")})
@@ -916,9 +872,6 @@ def q_compression_ratio(spark, sf_dir):
 @register("scan_tolerant", O.with_("bills") + """
 SELECT division, CAST(count(*) AS BIGINT) AS n_rows FROM bills GROUP BY division""")
 def q_scan_tolerant(spark, sf_dir):
-    from meterlake.plans import staging
-    from meterlake.schemas import SILVER_BILLS
-    from meterlake.sources.silver import scan_tolerant
     path = staging.with_corrupt_part(spark, sf_dir)
     res = scan_tolerant(spark, path, SILVER_BILLS)
     return res.data.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -933,9 +886,6 @@ _STREAMED: dict[tuple[str, str], str] = {}
 SELECT bill_id, meter_id, strftime(billing_month, '%Y-%m-%d %H:%M:%S') AS billing_month, consumption_kwh,
        energy_charges, meter_rent, gst, total_amount, status, division, subdivision FROM bills""")
 def q_stream_ingest(spark, sf_dir):
-    from meterlake.session import scratch_path
-    from meterlake.sources.silver import scan_silver
-    from meterlake.streaming.ingest import stream_ingest
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAMED:
         target = scratch_path(spark, "streamed")
@@ -950,5 +900,4 @@ def q_stream_ingest(spark, sf_dir):
 
 @register("load_statistics")
 def q_load_statistics(spark, sf_dir):
-    from meterlake.plans.stats import load_statistics
     return load_statistics(spark, _staged(spark, sf_dir).silver)
