@@ -36,7 +36,7 @@ from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import KINDS, SILVER
 from meterlake.sources.bronze import file_headers, read_bronze
-from meterlake.sources.inventory import INVENTORY, escape_glob, file_inventory
+from meterlake.sources.inventory import INVENTORY, decode_uri, escape_glob, file_inventory
 
 log = logging.getLogger("meterlake.load")
 
@@ -93,7 +93,6 @@ def _dirs_where(spark: SparkSession, kind: str, dirs: list[str], hit_fn) -> set[
     """Partition folders among ``dirs`` holding a row for which ``hit_fn``
     (stored rows -> filtered rows) keeps something; scans only the columns
     ``hit_fn`` uses."""
-    from meterlake.sources.inventory import decode_uri
     stored = store.read_dirs(spark, dirs, kind).withColumn("_f", F.col("_metadata.file_path"))
     hit = hit_fn(stored)
     found = {r[0] for r in hit.select(F.regexp_replace(decode_uri(F.col("_f")), "/[^/]*$", ""))

@@ -24,13 +24,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.schemas import MANIFEST, SILVER
+from meterlake.sources.inventory import decode_uri, escape_glob
 
 COMMITS = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -66,7 +68,6 @@ class Version:
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    from meterlake.sources.inventory import escape_glob
     try:
         return (spark.read.schema(schema).option("recursiveFileLookup", "true")
                 .parquet(escape_glob(path)))
@@ -83,7 +84,6 @@ def latest_versions(spark: SparkSession, target: str) -> dict[str, Version]:
     c = commits(spark, target)
     if c is None:
         return {}
-    from pyspark.sql import Window
     w = Window.partitionBy("data_type").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())
     rows = c.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").collect()
     return {r["data_type"]: Version(r["run_id"], list(r["paths"]), r["committed_at"]) for r in rows}
@@ -113,7 +113,6 @@ def read_dirs(spark: SparkSession, dirs: list[str], kind: str) -> DataFrame:
     """Rows of the given partition folders (taken literally, not as globs)."""
     if not dirs:
         return spark.createDataFrame([], SILVER[kind])
-    from meterlake.sources.inventory import escape_glob
     return (spark.read.schema(SILVER[kind]).option("recursiveFileLookup", "true")
             .parquet(*[escape_glob(d) for d in dirs]))
 
@@ -134,20 +133,17 @@ def write_table(df: DataFrame, out: str, kind: str, codec: str) -> list[str]:
 
 
 def partition_dirs(spark: SparkSession, out: str) -> list[str]:
-    from meterlake.sources.inventory import escape_glob
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                  .load(f"{escape_glob(out.rstrip('/'))}/{PART_COL}=*").select("path"))
     except AnalysisException:
         return []
-    from meterlake.sources.inventory import decode_uri
     d = F.regexp_replace(decode_uri(F.col("path")), "/[^/]*$", "")
     return sorted(r[0] for r in files.select(d.alias("d")).distinct().collect())
 
 
 def dir_part(path: str) -> str:
     """Partition value of a partition folder path (as written by Spark)."""
-    from urllib.parse import unquote
     return unquote(path.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
 
 
@@ -191,7 +187,6 @@ def committed_manifest(spark: SparkSession, target: str, as_of: str | None = Non
         keep |= {(r["run_id"], kind) for r in mine[start:]}
     base = f"{target.rstrip('/')}/_manifest"
     folders = sorted({f"{base}/{run}" for run, _ in keep})
-    from meterlake.sources.inventory import escape_glob
     try:
         m = (spark.read.schema(MANIFEST).option("recursiveFileLookup", "true")
              .parquet(*[escape_glob(f) for f in folders]))
@@ -201,6 +196,5 @@ def committed_manifest(spark: SparkSession, target: str, as_of: str | None = Non
     # one row per kept commit, counted on the driver: broadcast while small
     side = F.broadcast(pairs) if len(keep) <= 100_000 else pairs
     ok = m.join(side, (m.run_id == pairs.run_id) & (m.data_type == pairs._dt), "left_semi")
-    from pyspark.sql import Window
     w = Window.partitionBy("data_type", "path").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())
     return ok.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
