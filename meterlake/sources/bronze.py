@@ -48,6 +48,9 @@ def _first_line(uri: str, limit: int = 1 << 20) -> bytes:
         with open(local, "rb") as fh:
             return fh.readline(limit)
     from pyarrow import fs as pafs  # remote stores (hdfs://, s3://, gs://)
+    for hadoop_scheme in ("s3a://", "s3n://"):          # Hadoop's S3 schemes
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     filesystem, p = pafs.FileSystem.from_uri(uri)
     with filesystem.open_input_stream(p) as fh:
         buf = b""
