@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import csv
 import io
+import logging
 import sys
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ from meterlake.sources.inventory import escape_glob, path_lineage
 # so executors need nothing installed beyond PySpark, pandas and pyarrow.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+log = logging.getLogger("meterlake.bronze")
+
 def _local_path(uri: str) -> str | None:
     if uri.startswith("file:"):
         rest = uri[5:]
@@ -68,14 +71,21 @@ def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for uri, sep in zip(pdf["path"], pdf["sep"]):
             try:
                 line = _first_line(uri).decode("utf-8", errors="replace").lstrip("\ufeff").rstrip("\r\n")
-            except (FileNotFoundError, OSError):
-                line = ""
+            except FileNotFoundError:
+                line = ""                       # vanished since listing: nothing to read
+            except Exception:  # noqa: BLE001 - e.g. no credentials for this store here
+                heads.append([UNREADABLE])
+                continue
             heads.append(next(csv.reader(io.StringIO(line), delimiter=sep), []) if line else [])
         yield pd.DataFrame({"data_type": pdf["data_type"], "path": pdf["path"], "header": heads})
 
 
 HeaderGroups = dict[tuple[str, tuple[str, ...]], list[str]]
 
+# Marker for a header line that could not be read from the executor (the
+# file is then bound in the canonical column order, as Spark would).
+UNREADABLE = "\x00unreadable"
+
 FILES_PER_TASK = 200
 
 
@@ -95,7 +105,11 @@ def file_headers(files: DataFrame, n_files: int | None = None) -> HeaderGroups:
              .mapInPandas(_headers, "data_type string, path string, header array<string>"))
     groups: HeaderGroups = {}
     for r in heads.collect():
-        groups.setdefault((r["data_type"], tuple(r["header"] or ())), []).append(r["path"])
+        header = tuple(r["header"] or ())
+        if header == (UNREADABLE,):
+            log.warning("header of %s not readable here; using the canonical column order", r["path"])
+            header = tuple(KINDS[r["data_type"]]["columns"])
+        groups.setdefault((r["data_type"], header), []).append(r["path"])
     return groups
 
 

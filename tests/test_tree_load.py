@@ -262,3 +262,16 @@ def test_manifest_reads_since_last_full_load(spark, tree, tmp_path):
     files = m.inputFiles()
     assert files and all(f"/_manifest/{runs[-1]}/" in f for f in files)   # older runs not read
     assert m.count() == 7 and m.where(F.col("run_id") != runs[-1]).count() == 0
+
+
+def test_unreadable_header_falls_back_to_canonical_order(spark, tree, monkeypatch):
+    from meterlake.sources import bronze
+
+    def no_access(uri, limit=1 << 20):
+        raise PermissionError("no credentials here")
+    monkeypatch.setattr(bronze, "_first_line", no_access)
+    inv = file_inventory(spark, str(tree), ["bills"])
+    groups = bronze.file_headers(inv)
+    assert {h for (_, h) in groups} == {tuple(BILL_HEADER)}
+    rows = read_bronze(spark, inv, "bills", headers=groups).collect()
+    assert any(r.bill_id == "B3" for r in rows)       # nothing is silently dropped
