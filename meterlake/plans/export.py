@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 
 from meterlake.schemas import KINDS
 
+ROWS_PER_TASK = 2_000_000
+
 
 def export_tree(df: DataFrame, root: str, kind: str, partitions: int | None = None,
                 mode: str = "errorifexists", max_records_per_file: int | None = None,
@@ -22,7 +24,12 @@ def export_tree(df: DataFrame, root: str, kind: str, partitions: int | None = No
     order).  Returns the folder written."""
     spec = KINDS[kind]
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        # size the range partitions from the data (one counting pass) so a
+        # task writes ~ROWS_PER_TASK rows whatever the input size
+        floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(floor, -(-df.count() // ROWS_PER_TASK))
+    n = partitions
     order = ["division", "subdivision", "_ord"]
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     out = f"{root.rstrip('/')}/{spec['folder']}"
