@@ -126,11 +126,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOGS: dict[tuple[str, str], str] = {}
 
 
-def staged_log(spark: SparkSession, sf_dir: str, partitions: int = 8) -> str:
+def staged_log(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> str:
+    """The run log written as text files whose name order is line order."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LOGS:
         path = scratch_path(spark, "runlog")
-        (log_lines(spark, sf_dir).repartitionByRange(partitions, "ts", "event_id")
+        lines = log_lines(spark, sf_dir)
+        if partitions is None:
+            floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            partitions = max(floor, -(-lines.count() // export.ROWS_PER_TASK))
+        (lines.repartitionByRange(partitions, "ts", "event_id")
          .sortWithinPartitions("ts", "event_id").select("value").write.text(path))
         _LOGS[key] = path
     return _LOGS[key]
