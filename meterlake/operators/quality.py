@@ -74,22 +74,23 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _unpivot(df.agg(*aggs), columns, ["count", "min", "max", "mean", "std"])
 
 
-def value_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """min, max, mean, exact median and sample std per numeric column."""
+def value_ranges(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+    """min, max, mean, median (exact unless ``approx``) and sample std per
+    numeric column."""
     columns = list(columns or numeric_columns(df))
     m = _moments(df, columns)
-    med = quantile_table(df, columns, [0.5], names=["median"])
+    med = quantile_table(df, columns, [0.5], names=["median"], approx=approx)
     j = m.join(med, "column", "left")
     return j.select("column", "min", "max", _r(F.col("mean")).alias("mean"),
                     _r(F.col("median")).alias("median"), _r(F.col("std")).alias("std"))
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Per column: Q1, Q3, fences Q1-1.5 IQR / Q3+1.5 IQR and the number of
     values outside them.  Quartiles are exact; the count is one more pass with
     the fences as literals."""
     columns = list(columns or numeric_columns(df))
-    qs = quantile_table(df, columns, [0.25, 0.75], names=["q1", "q3"]).collect()
+    qs = quantile_table(df, columns, [0.25, 0.75], names=["q1", "q3"], approx=approx).collect()
     bounds = {r["column"]: (r["q1"], r["q3"]) for r in qs}
     aggs = []
     for c in columns:
@@ -149,11 +150,13 @@ def schema_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     return one.select(F.explode(F.array(*parts)).alias("_s")).select("_s.*")
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, exact quartiles, max per numeric column."""
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
+                     approx: bool = False) -> DataFrame:
+    """count, mean, std, min, quartiles (exact unless ``approx``), max per
+    numeric column."""
     columns = list(columns or numeric_columns(df))
     m = _moments(df, columns)
-    q = quantile_table(df, columns, [0.25, 0.5, 0.75], names=["q25", "q50", "q75"])
+    q = quantile_table(df, columns, [0.25, 0.5, 0.75], names=["q25", "q50", "q75"], approx=approx)
     j = m.join(q, "column", "left")
     return j.select("column", F.col("count").cast("long").alias("count"),
                     _r(F.col("mean")).alias("mean"), _r(F.col("std")).alias("std"), "min",
@@ -183,14 +186,15 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
                     F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")).orderBy("bin")
 
 
-def box_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, column: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Five-number summary per group plus whiskers (most extreme values within
     1.5 IQR of the quartiles) and the number of points beyond them."""
     by = list(by)
     src = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
     for k in by:
         src = src.where(F.col(k).isNotNull())
-    q = quantile_table(src, [column], [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"])
+    q = quantile_table(src, [column], [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"],
+                       approx=approx)
     q = q.drop("column")
     x = F.col(column).cast("double")
     rows = src.select(*by, x.alias("x"))

@@ -61,3 +61,13 @@ def test_heavy_tail_converges_without_fallback(spark, monkeypatch):
     for p in probs:
         want = _np(vals, p)
         assert abs(got[p] - want) <= 1e-9 * max(1.0, abs(want))
+
+
+def test_approx_option_is_close(spark):
+    from meterlake.operators import quality
+    rng = np.random.default_rng(3)
+    vals = [float(x) for x in rng.normal(50, 10, 5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    ex = quality.describe_numeric(df, ["x"]).collect()[0]
+    ap = quality.describe_numeric(df, ["x"], approx=True).collect()[0]
+    assert abs(ex.q50 - ap.q50) < 1.0 and abs(ex.q25 - ap.q25) < 1.0
