@@ -723,10 +723,14 @@ SELECT 'BILL' || u.meter_id || printf('%02d', month(u.period)) AS bill_id, u.met
        strftime(u.period, '%Y-%m') AS billing_month, m.tariff_code,
        CASE WHEN t.name LIKE '%Residential%' THEN 'Residential' WHEN t.name LIKE '%Commercial%' THEN 'Commercial'
             ELSE 'Industrial' END AS tariff_class,
-       round(u.kwh, 3) AS consumption_kwh, round(u.kwh * 15.0, 2) AS energy_charges, t.meter_rent,
-       round((u.kwh * 15.0 + t.meter_rent) * t.gst_rate, 2) AS gst,
-       round(u.kwh * 15.0 + t.meter_rent + (u.kwh * 15.0 + t.meter_rent) * t.gst_rate, 2) AS total_amount
-FROM usage u JOIN meters m ON u.meter_id = m.meter_id JOIN tariffs t ON m.tariff_code = t.tariff_code""")
+       round(u.kwh, 3) AS consumption_kwh,
+       CAST(round(e, 2) AS DOUBLE) AS energy_charges, t.meter_rent,
+       CAST(round((e + CAST(t.meter_rent AS DECIMAL(18,2))) * CAST(t.gst_rate AS DECIMAL(10,4)), 2) AS DOUBLE) AS gst,
+       CAST(round(e + CAST(t.meter_rent AS DECIMAL(18,2))
+                  + (e + CAST(t.meter_rent AS DECIMAL(18,2))) * CAST(t.gst_rate AS DECIMAL(10,4)), 2) AS DOUBLE)
+         AS total_amount
+FROM (SELECT *, CAST(kwh AS DECIMAL(18,3)) * CAST(15.0 AS DECIMAL(10,4)) AS e FROM usage) u
+JOIN meters m ON u.meter_id = m.meter_id JOIN tariffs t ON m.tariff_code = t.tariff_code""")
 def q_bill_charges(spark, sf_dir):
     return billing.bill_charges(_usage3(spark, sf_dir), dims.meters_from_customers(spark, sf_dir),
                                 dims.tariffs(spark))
@@ -734,7 +738,8 @@ def q_bill_charges(spark, sf_dir):
 
 @register("slab_charges", O.with_("usage", "meters", "slabs") + """
 SELECT u.meter_id, strftime(u.period, '%Y-%m') AS billing_month, m.tariff_code, round(u.kwh, 3) AS consumption_kwh,
-       round(sum(greatest(least(u.kwh, s.upper_kwh) - s.lower_kwh, 0) * s.rate), 2) AS slab_energy
+       CAST(round(sum(CAST(greatest(least(u.kwh, s.upper_kwh) - s.lower_kwh, 0) AS DECIMAL(18,3))
+                      * CAST(s.rate AS DECIMAL(10,4))), 2) AS DOUBLE) AS slab_energy
 FROM usage u JOIN meters m ON u.meter_id = m.meter_id JOIN slabs s ON m.tariff_code = s.tariff_code
 GROUP BY u.meter_id, u.period, m.tariff_code, u.kwh""")
 def q_slab_charges(spark, sf_dir):

@@ -54,27 +54,41 @@ def derive_current(kwh: str | Column, volts: str | Column) -> Column:
 # The flat energy rate (per kWh) of the simplified bill.
 FLAT_RATE = 15.0
 
+# Money is computed in decimal: kWh to 0.001, rents to 0.01, rates to 0.0001.
+# Exact products and sums, then HALF_UP to cents, so a charge that lands on a
+# half cent is rounded the same on every engine.
+KWH = "decimal(18,3)"
+MONEY = "decimal(18,2)"
+RATE = "decimal(10,4)"
+
+
+def _cents(c: Column) -> Column:
+    return F.round(c, 2).cast("double")
+
 
 def flat_charges(kwh: str | Column, meter_rent: str | Column, gst_rate: str | Column) -> dict[str, Column]:
     """energy = kWh x 15; gst = (energy + rent) x gst rate; total = sum."""
-    energy = _c(kwh) * FLAT_RATE
-    gst = (energy + _c(meter_rent)) * _c(gst_rate)
+    energy = _c(kwh).cast(KWH) * F.lit(FLAT_RATE).cast(RATE)
+    rent = _c(meter_rent).cast(MONEY)
+    gst = (energy + rent) * _c(gst_rate).cast(RATE)
     return {
-        "energy_charges": F.round(energy, 2),
-        "gst": F.round(gst, 2),
-        "total_amount": F.round(energy + _c(meter_rent) + gst, 2),
+        "energy_charges": _cents(energy),
+        "gst": _cents(gst),
+        "total_amount": _cents(energy + rent + gst),
     }
 
 
 def slab_charge(kwh: str | Column, rates: str | Column) -> Column:
     """Progressive slabs: each (upper, rate) prices the kWh between the
     previous upper bound and its own.  A higher-order ``aggregate`` over the
-    tariff's slab array - no UDF."""
+    tariff's slab array - no UDF.  Returns the energy charge in cents."""
     u = _c(kwh)
     r = _c(rates)
     lowers = F.concat(F.array(F.lit(0.0)), F.slice(F.transform(r, lambda s: s["upper"]), 1, F.size(r) - 1))
     slabs = F.arrays_zip(lowers.alias("lower"), r.alias("slab"))
-    return F.aggregate(
-        slabs, F.lit(0.0),
-        lambda acc, s: acc + F.greatest(F.least(u, s["slab"]["upper"]) - s["lower"], F.lit(0.0))
-        * s["slab"]["rate"])
+    acc_type = "decimal(38,7)"
+
+    def add(acc: Column, s: Column) -> Column:
+        piece = F.greatest(F.least(u, s["slab"]["upper"]) - s["lower"], F.lit(0.0)).cast(KWH)
+        return (acc + piece * s["slab"]["rate"].cast(RATE)).cast(acc_type)
+    return _cents(F.aggregate(slabs, F.lit(0).cast(acc_type), add))

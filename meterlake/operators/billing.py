@@ -48,10 +48,9 @@ def bill_charges(usage: DataFrame, meters: DataFrame, tariffs: DataFrame) -> Dat
 def slab_charges(usage: DataFrame, meters: DataFrame, tariffs: DataFrame) -> DataFrame:
     """Energy charge from the tariff's progressive slabs."""
     j = with_tariff(usage.join(meters.select("meter_id", "tariff_code"), "meter_id", "inner"), tariffs)
-    energy = fb.slab_charge("kwh", "rates")
     return j.select("meter_id", F.date_format("period", "yyyy-MM").alias("billing_month"),
                     "tariff_code", F.round("kwh", 3).alias("consumption_kwh"),
-                    F.round(energy, 2).alias("slab_energy"))
+                    fb.slab_charge("kwh", "rates").alias("slab_energy"))
 
 
 def peak_season_usage(readings: DataFrame) -> DataFrame:
