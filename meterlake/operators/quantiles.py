@@ -124,6 +124,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         iv = spark.createDataFrame(iv_rows, iv_schema)
         cond = [long[k].eqNullSafe(iv[k]) for k in keys] + [
             long["x"] >= iv["_lo"], long["x"] <= iv["_hi"]]
+        # at most MAX_KEYS x 2 len(probs) intervals (keys were counted above):
+        # a bounded broadcast, each data row matches at most one interval per rank
+        assert len(iv_rows) <= MAX_KEYS * 2 * len(probs)
         j = long.join(F.broadcast(iv), on=cond, how="inner")
         x, lo_c, hi_c, m = F.col("x"), F.col("_lo"), F.col("_hi"), F.col("_m")
         linear = (x - lo_c) / (hi_c - lo_c)
