@@ -109,6 +109,10 @@ def main() -> None:
     for name, fn in queries.items():
         timed(name, fn)
 
+    from meterlake.operators.inventory import compression_ratio, layout_report
+    saved = {r.data_type: r.space_saved_pct for r in compression_ratio(
+        file_inventory(spark, tree, layout="hive"),
+        {k: layout_report(spark, f"{silver}/{k}") for k in ("bills", "readings")}).collect()}
     total = round(sum(v for k, v in times.items() if k != "export_bronze"), 3)
     mb = src_bytes / (1024 * 1024)
     out = {
@@ -121,6 +125,7 @@ def main() -> None:
         "bronze_mb": round(mb, 2),
         "full_load_mb_per_s": round(mb / times["full_load"], 2) if times["full_load"] else None,
         "full_load_repeat_mb_per_s": round(mb / times["full_load_repeat"], 2),
+        "space_saved_pct_snappy": saved,
         "rows": {"bills_silver": bills.count(), "readings_silver": rd.count(),
                  "lineitem": standins.table(spark, sf_dir, "lineitem").count()},
     }
