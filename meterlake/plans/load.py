@@ -50,6 +50,8 @@ def _step(name: str):
 
 # Keys of a batch up to this many rows are broadcast for the upsert.
 MERGE_BROADCAST_ROWS = 2_000_000
+# Up to this many keys, the collision scan pushes them into the scan as IN.
+KEY_LIST_MAX = 1_000
 
 CLEANERS = {"bills": clean.clean_bills, "readings": clean.clean_readings}
 
@@ -118,8 +120,17 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
     untouched = [p for p in current.paths if p not in touched]
     if not store.PART_IN_KEY[kind] and untouched:
         bkeys = staged.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+        few = bkeys.limit(KEY_LIST_MAX + 1).collect() if len(keys) == 1 else None
 
         def key_hit(stored: DataFrame) -> DataFrame:
+            if few is not None and len(few) <= KEY_LIST_MAX:
+                # a short key list goes into the Parquet scan as IN (row groups
+                # whose min/max or dictionary exclude every key are skipped)
+                vals = [r[0] for r in few if r[0] is not None]
+                cond = F.col(keys[0]).isin(vals)
+                if len(vals) < len(few):
+                    cond = cond | F.col(keys[0]).isNull()
+                return stored.where(cond)
             cond = [stored[k].eqNullSafe(bkeys[f"_k_{k}"]) for k in keys]
             return stored.join(maybe_broadcast(bkeys, MERGE_BROADCAST_ROWS), cond, "left_semi")
         touched |= _dirs_where(spark, kind, untouched, key_hit)

@@ -275,3 +275,20 @@ def test_unreadable_header_falls_back_to_canonical_order(spark, tree, monkeypatc
     assert {h for (_, h) in groups} == {tuple(BILL_HEADER)}
     rows = read_bronze(spark, inv, "bills", headers=groups).collect()
     assert any(r.bill_id == "B3" for r in rows)       # nothing is silently dropped
+
+
+def test_collision_scan_with_null_key_and_key_list(spark, tree, tmp_path, monkeypatch):
+    target = str(tmp_path / "silver")
+    write_file(tree, "ZHOB", "NULLKEY", "bills", BILL_HEADER, [bill("", kwh="1", month="2024-02")])
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    # the NULL-key bill (stored under 2024-02) is replaced by a new NULL-key bill in 2024-01
+    write_file(tree, "ZHOB", "NULLKEY2", "bills", BILL_HEADER, [bill("NA", kwh="2", month="2024-01")])
+    load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    nulls = [r.consumption_kwh for r in scan_silver(spark, target, "bills").collect() if r.bill_id is None]
+    assert nulls == [2.0]
+    # the same through the join path (key list disabled)
+    monkeypatch.setattr(load, "KEY_LIST_MAX", 0)
+    write_file(tree, "ZHOB", "FIX4", "bills", BILL_HEADER, [bill("B4", kwh="45", month="2024-01")])
+    load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    b4 = [r.consumption_kwh for r in scan_silver(spark, target, "bills").collect() if r.bill_id == "B4"]
+    assert b4 == [45.0]
