@@ -292,3 +292,20 @@ def test_collision_scan_with_null_key_and_key_list(spark, tree, tmp_path, monkey
     load.incremental_load(spark, str(tree), target, kinds=["bills"])
     b4 = [r.consumption_kwh for r in scan_silver(spark, target, "bills").collect() if r.bill_id == "B4"]
     assert b4 == [45.0]
+
+
+def test_export_rejects_bad_column_list(spark, tmp_path):
+    from meterlake.plans import export
+    df = spark.createDataFrame([("B1", "D", "S", 1)], "bill_id string, division string, subdivision string, i long")
+    with pytest.raises(ValueError, match="permutation"):
+        export.export_tree(df.withColumn("_ord", F.struct("i")), str(tmp_path / "x"), "bills",
+                           columns=["bill_id"])
+
+
+def test_cli_validate_with_coverage(spark, tree, tmp_path, capsys):
+    from meterlake.__main__ import main
+    target = str(tmp_path / "silver")
+    main(["full", "--source", str(tree), "--target", target])
+    main(["validate", "--target", target, "--compare-source", str(tree)])
+    out = capsys.readouterr().out
+    assert "duplicates:bill_id" in out and "pct_covered" in out
