@@ -182,14 +182,15 @@ def flag_distribution(readings: DataFrame) -> DataFrame:
             .orderBy(F.col("n").desc(), "quality_flag"))
 
 
-def table_statistics(df: DataFrame, name: str, time_col: str) -> DataFrame:
+def table_statistics(df: DataFrame, name: str, time_col: str, approx: bool = False) -> DataFrame:
     """Rows, distinct meters / divisions / subdivisions and time range."""
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     return df.agg(
         F.lit(name).alias("table_name"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("meter_id").alias("n_meters"),
-        F.count_distinct("division").alias("n_divisions"),
-        F.count_distinct("subdivision").alias("n_subdivisions"),
+        distinct("meter_id").alias("n_meters"),
+        distinct("division").alias("n_divisions"),
+        distinct("subdivision").alias("n_subdivisions"),
         F.date_format(F.min(time_col), "yyyy-MM-dd HH:mm:ss").alias("min_time"),
         F.date_format(F.max(time_col), "yyyy-MM-dd HH:mm:ss").alias("max_time"),
     )
