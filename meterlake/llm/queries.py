@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import byte_bpe, packing, quality_rules, sharding, simhash, toxicity
+from meterlake.llm import (
+    byte_bpe, html_extraction, packing, quality_rules, sharding, simhash, toxicity, weighted_fingerprints,
+)
 from meterlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +64,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return byte_bpe.encode(read_table(spark, sf_dir, "documents"),
                            public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
+
+
+@register("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read_table(spark, sf_dir, "pages"))
+
+
+@register("op6_document_fingerprints")
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
