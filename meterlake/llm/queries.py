@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import (
-    byte_bpe, html_extraction, packing, quality_rules, sharding, simhash, toxicity, weighted_fingerprints,
+    byte_bpe, html_extraction, packing, quality_rules, sharding, simhash, suffix_tree, toxicity, weighted_fingerprints,
 )
 from meterlake.llm.common import read_table
 
@@ -74,3 +74,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_document_fingerprints")
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return suffix_tree.score(docs, suffix_tree.train(docs)).select(
+        "doc_id", (~suffix_tree.in_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score")
