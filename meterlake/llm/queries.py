@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import (
-    byte_bpe, html_extraction, packing, quality_rules, sharding, simhash, suffix_tree, toxicity, weighted_fingerprints,
+    byte_bpe, html_extraction, line_dedup, packing, quality_rules, sharding, simhash, suffix_tree,
+    toxicity, weighted_fingerprints,
 )
 from meterlake.llm.common import read_table
 
@@ -82,3 +83,8 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(docs, suffix_tree.train(docs)).select(
         "doc_id", (~suffix_tree.in_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known",
         "train_tokens", "base_score", "score")
+
+
+@register("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(read_table(spark, sf_dir, "documents"))
