@@ -38,7 +38,59 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-@register("op10_quality_rules")
+# The limits are those of quality_rules.Rules().
+QUALITY_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda x: x <> '') AS ws FROM d),
+l AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS ls FROM d),
+g AS (SELECT rid, i, ws[i:i + 4] AS win FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM g) WHERE n > 1),
+rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM r, range(0, 5) AS x(k) GROUP BY rid),
+c1 AS (SELECT rid, lang, t, regexp_replace(t, '[a-z]+', '', 'g') AS t1 FROM d),
+c2 AS (SELECT *, regexp_replace(t1, '[ \t-\r]+', '', 'g') AS t2 FROM c1),
+c3 AS (SELECT *, regexp_replace(t2, '[A-Z]+', '', 'g') AS t3 FROM c2),
+c4 AS (SELECT *, regexp_replace(t3, '[.,;:!?''"()-]+', '', 'g') AS t4 FROM c3),
+c5 AS (SELECT *, regexp_replace(t4, '[0-9]+', '', 'g') AS t5 FROM c4),
+c6 AS (SELECT *, regexp_replace(t5, '[#*$%&|<>]+', '', 'g') AS t6 FROM c5),
+c7 AS (SELECT *, regexp_replace(t6, '[\x00-\x7F]+', '', 'g') AS t7 FROM c6),
+cc AS (SELECT rid, lang, length(t) AS len, unnest(range(0, 8)) AS k,
+       unnest([length(t) - length(t1), length(t1) - length(t2), length(t2) - length(t3), length(t3) - length(t4),
+               length(t4) - length(t5), length(t5) - length(t6), length(t6) - length(t7), length(t7)]) AS n FROM c7),
+rc AS (SELECT lang, k, sum(n) / greatest(sum(sum(n)) OVER (PARTITION BY lang), 1) AS q FROM cc GROUP BY lang, k),
+lw AS (SELECT rid, lang, unnest(list_filter(string_split_regex(lower(t), '[\x00-`{-\x7F]+'), lambda x: x <> '')) AS word FROM d),
+lc AS (SELECT lang, word, count(*) AS n FROM lw GROUP BY lang, word),
+lt AS (SELECT lang, sum(n) AS total FROM lc GROUP BY lang),
+top AS (SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k FROM lc),
+rw AS (SELECT top.lang, word, k, n / total AS q FROM top JOIN lt ON top.lang IS NOT DISTINCT FROM lt.lang WHERE k <= 24
+       UNION ALL SELECT top.lang, NULL, 25, greatest(1 - sum(CASE WHEN k <= 24 THEN n END) / any_value(total), 0)
+       FROM top JOIN lt ON top.lang IS NOT DISTINCT FROM lt.lang GROUP BY top.lang),
+dw AS (SELECT rid, any_value(lw.lang) AS lang, coalesce(k, 25) AS k, count(*) AS n FROM lw
+       LEFT JOIN rw ON lw.lang IS NOT DISTINCT FROM rw.lang AND lw.word = rw.word GROUP BY rid, coalesce(k, 25)),
+dn AS (SELECT rid, sum(n) AS words FROM dw GROUP BY rid),
+jc AS (SELECT rid, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                                     + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS js
+       FROM (SELECT rid, n / greatest(len, 1) AS p, q FROM cc JOIN rc ON cc.lang IS NOT DISTINCT FROM rc.lang AND cc.k = rc.k)
+       GROUP BY rid),
+jw AS (SELECT rid, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                                     + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS js
+       FROM (SELECT dn.rid, coalesce(dw.n, 0) / dn.words AS p, rw.q FROM dn JOIN d USING (rid)
+             JOIN rw ON d.lang IS NOT DISTINCT FROM rw.lang LEFT JOIN dw ON dw.rid = dn.rid AND dw.k = rw.k)
+       GROUP BY rid),
+b AS (SELECT d.rid, d.doc_id, length(t) AS len, CAST(len(ws) AS BIGINT) AS n_words,
+      CAST(length(regexp_replace(t, '[ \t-\r]+', '', 'g')) AS BIGINT) AS word_chars,
+      CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+      CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+      CASE WHEN coalesce(total, 0) >= 1000 AND length(t) >= 200 THEN jc.js END AS cd,
+      CASE WHEN coalesce(total, 0) >= 1000 AND coalesce(dn.words, 0) >= 60 THEN jw.js END AS wd
+      FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN jc USING (rid)
+      LEFT JOIN jw USING (rid) LEFT JOIN dn USING (rid) LEFT JOIN lt ON d.lang IS NOT DISTINCT FROM lt.lang),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(cd > 0.3, false) AND NOT coalesce(wd > 0.5, false) AS kept,
+       round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM f"""
+
+
+@register("op10_quality_rules", QUALITY_SQL)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
