@@ -19,7 +19,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from meterlake.llm.common import text_of
 
 # Distinct spans a task remembers; beyond it (and the batch at hand) it starts anew.
 CACHE_SPANS = 200_000
@@ -237,26 +238,27 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
-def _batches(parts: Iterator[pd.DataFrame], most: int = 4 << 20) -> Iterator[pd.DataFrame]:
-    """The frames cut to about ``most`` characters of text each."""
-    for part in parts:
-        size = part["text"].str.len().to_numpy().cumsum()
-        for _, rows in part.groupby(size // most, sort=True):
-            yield rows
-
-
-def _run(ranks: dict[bytes, int], pattern: str, keep_ids: bool):
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = ByteBpe(ranks, pattern)
-        for rows in _batches(parts):
-            ids = bpe.encode_batch(rows["text"].tolist())
-            out = {"doc_id": rows["doc_id"], "n_tokens": [len(x) for x in ids],
-                   "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in ids],
-                   "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]}
-            if keep_ids:
-                out["ids"] = [x.astype(np.int32) for x in ids]
-            yield pd.DataFrame(out)
-    return run
+def _slices(texts: list[str], most: int = 4 << 20) -> Iterator[list[str]]:
+    """Runs of texts of about ``most`` characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _encoded(bpe: ByteBpe, texts: list[str], keep_ids: bool) -> pd.DataFrame:
+    ids = bpe.encode_batch(texts)
+    out = {"n_tokens": [len(x) for x in ids],
+           "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in ids],
+           "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]}
+    if keep_ids:
+        out["ids"] = [x.astype(np.int32) for x in ids]
+    return pd.DataFrame(out)
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
@@ -271,18 +273,15 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_column: str = "doc
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))  # fixed size: the vocabulary
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                           T.StructField("decoded_sha256", T.StringType())])
-    if keep_ids:
-        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
+    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _run(ranks.value, pattern, keep_ids)(parts)
+    @F.pandas_udf(fields)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = ByteBpe(ranks.value, pattern)
+        for part in parts:
+            yield pd.concat([_encoded(bpe, some, keep_ids) for some in _slices(part.tolist())], ignore_index=True)
 
-    narrow = docs.select(F.col(id_column).alias("doc_id"),
-                         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    return narrow.mapInPandas(run, schema)
+    return docs.select(F.col(id_column).alias("doc_id"), run(text_of(text_column)).alias("r")).select("doc_id", "r.*")
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_column: str = "doc_id") -> DataFrame:
@@ -290,11 +289,10 @@ def decode(encoded: DataFrame, vocabulary: str, id_column: str = "doc_id") -> Da
     spark = encoded.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = {i: b for b, i in ranks.value.items()}
-        for rows in parts:
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "text": [
-                b"".join([of[i] for i in ids]).decode("utf-8", "replace") if ids is not None else "" for ids in rows["ids"]]})
+        for part in parts:
+            yield pd.Series([b"".join([of[i] for i in ids]).decode("utf-8", "replace") if ids is not None else "" for ids in part])
 
-    schema = T.StructType([T.StructField("doc_id", encoded.schema[id_column].dataType), T.StructField("text", T.StringType())])
-    return encoded.select(F.col(id_column).alias("doc_id"), "ids").mapInPandas(run, schema)
+    return encoded.select(F.col(id_column).alias("doc_id"), run("ids").alias("text"))

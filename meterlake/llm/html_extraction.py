@@ -14,7 +14,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
                    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.DOTALL)
@@ -394,10 +393,9 @@ def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "ht
     whole and in one pass; repeated rows give repeated results; other columns are
     ignored; an empty table gives an empty result.
     """
-    schema = T.StructType([T.StructField("page_id", pages.schema[id_column].dataType), T.StructField("text", T.StringType())])
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.DataFrame({"page_id": part["page_id"], "text": [to_text(x) for x in part["source"]]})
+            yield pd.Series([to_text(x) for x in part], dtype=object)
 
-    return pages.select(F.col(id_column).alias("page_id"), F.col(html_column).cast("string").alias("source")).mapInPandas(run, schema)
+    return pages.select(F.col(id_column).alias("page_id"), run(F.col(html_column).cast("string")).alias("text"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import materialise, search, text_of, uniform
+from meterlake.llm.common import fresh, materialise, search, text_of, uniform
 
 RANGES = 512
 SAMPLES_PER_RANGE = 32
@@ -116,7 +116,8 @@ def _slots(placed: DataFrame) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, n_shards: int = 8, id_column: str = "doc_id") -> None:
     """Write the rows of ``docs`` (unique ids) as one folder ``shard=k`` for each
     shard, in many files where a shard is large."""
-    placed = shard(docs, n_shards, id_column).select(F.col("doc_id").alias("_id"), F.col("shard"), F.col("slot"))
     plain = docs.drop("shard", "slot")
-    (plain.join(placed, F.col(id_column).eqNullSafe(F.col("_id"))).drop("_id")
+    own, = fresh(plain, "shard_id")
+    placed = shard(docs, n_shards, id_column).select(F.col("doc_id").alias(own), "shard", "slot")
+    (plain.join(placed, F.col(id_column).eqNullSafe(F.col(own))).drop(own)
      .hint("rebalance", "shard").write.partitionBy("shard").parquet(path))

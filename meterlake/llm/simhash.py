@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import materialise
+from meterlake.llm.common import fresh, materialise
 from meterlake.llm.graph import components
 
 SHINGLE = 4
@@ -162,13 +162,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` that stay if of each group the one with the least id
     does.  Of rows that share this id one stays; of a group without any id, one."""
+    own, = fresh(docs, "group_id")
     groups = materialise(near_duplicates(docs, id_column, text_column, **options), "simhash-groups")
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    kept = docs.join(gone, F.col(id_column).eqNullSafe(F.col("_id")), "left_anti")
-    repeated = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-                .filter("count > 1").select(F.col("doc_id").alias("_id")))
+    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own))
+    same = F.col(id_column).eqNullSafe(F.col(own))
+    kept = docs.join(gone, same, "left_anti")
+    repeated = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).count()
+                .filter("count > 1").select(own))
     if repeated.isEmpty():
         return kept
-    again = F.col(id_column).eqNullSafe(F.col("_id"))
-    few = kept.join(repeated, again, "left_semi").withColumn("_fp", F.xxhash64(F.col(text_column)))
-    return kept.join(repeated, again, "left_anti").union(few.dropDuplicates([id_column]).drop("_fp"))
+    few = kept.join(repeated, same, "left_semi").dropDuplicates([id_column])
+    return kept.join(repeated, same, "left_anti").union(few)

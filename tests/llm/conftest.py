@@ -41,7 +41,7 @@ def odd(spark, odd_rows):
     from pyspark.sql import functions as F
 
     docs = spark.createDataFrame(odd_rows, SCHEMA)
-    for name in ("score", "predicted", "kept", "size", "key", "shard", "slot", "n", "fp", "line_no", "range", "pos", "_id", "row"):
+    for name in ("score", "predicted", "kept", "size", "key", "shard", "slot", "n", "fp", "line_no", "range", "pos", "_id", "row", "group_id", "class_id", "ref_words", "text_words", "shard_id"):
         docs = docs.withColumn(name, F.lit("clash"))
     return docs
 
