@@ -110,9 +110,10 @@ def main() -> None:
         timed(name, fn)
 
     from meterlake.operators.inventory import compression_ratio, layout_report
+    from meterlake.plans import store
     saved = {r.data_type: r.space_saved_pct for r in compression_ratio(
         file_inventory(spark, tree, layout="hive"),
-        {k: layout_report(spark, f"{silver}/{k}") for k in ("bills", "readings")}).collect()}
+        {k: layout_report(spark, v.paths) for k, v in store.latest_versions(spark, silver).items()}).collect()}
     total = round(sum(v for k, v in times.items() if k != "export_bronze"), 3)
     mb = src_bytes / (1024 * 1024)
     out = {

@@ -859,7 +859,8 @@ def q_sample_rows(spark, sf_dir):
 
 @register("layout_report")
 def q_layout_report(spark, sf_dir):
-    return layout_report(spark, _staged(spark, sf_dir).silver)
+    versions = store.latest_versions(spark, _staged(spark, sf_dir).silver)
+    return layout_report(spark, [p for v in versions.values() for p in v.paths])
 
 
 @register("inventory_rollup")
@@ -871,7 +872,8 @@ def q_inventory_rollup(spark, sf_dir):
 def q_compression_ratio(spark, sf_dir):
     s = _staged(spark, sf_dir)
     inv = file_inventory(spark, s.tree, layout="hive")
-    return compression_ratio(inv, {k: layout_report(spark, f"{s.silver}/{k}") for k in ("bills", "readings")})
+    versions = store.latest_versions(spark, s.silver)
+    return compression_ratio(inv, {k: layout_report(spark, v.paths) for k, v in versions.items()})
 
 
 @register("scan_tolerant", O.with_("bills") + """

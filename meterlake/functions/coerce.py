@@ -32,7 +32,10 @@ NUMERIC_PATTERN = (
 )
 
 MONTH_FORMAT = "yyyy-M"
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+# Date and time with a blank or ``T`` between, seconds and fraction optional, an
+# offset (``Z``, ``+05:00``) optional; or a bare date.
+TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy-MM-dd HH:mm[:ss][.SSSSSS][XXX]",
+                     "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][XXX]")
 
 
 def _col(c: str | Column) -> Column:
@@ -68,7 +71,7 @@ def parse_month(c: str | Column) -> Column:
 
 
 def parse_timestamp(c: str | Column) -> Column:
-    """``YYYY-MM-DD HH:MM:SS`` or a bare date; NULL otherwise (``x``,
-    ``2024``)."""
+    """An ISO date and time (see ``TIMESTAMP_FORMATS``; without an offset in the
+    session's zone) or a bare date; NULL otherwise (``x``, ``2024``)."""
     text = na_to_null(c)
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS])

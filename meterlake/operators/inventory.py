@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.sources.inventory import escape_glob
+
 MB = 1024 * 1024
 
 
@@ -41,10 +43,11 @@ def inventory_rollup(inventory: DataFrame) -> DataFrame:
         F.round(F.min(mb), 3).alias("min_mb"), F.round(F.max(mb), 3).alias("max_mb"))
 
 
-def layout_report(spark, path: str) -> DataFrame:
-    """Parquet part files under ``path``: count and size per folder."""
+def layout_report(spark, paths: list[str]) -> DataFrame:
+    """Parquet part files in ``paths`` (the folders of a committed version, taken
+    literally; versions it replaced don't count): count and size per folder."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+             .option("pathGlobFilter", "*.parquet").load([escape_glob(p) for p in paths]).select("path", "length"))
     return files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).agg(
         F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"),
         F.round(F.sum("length") / MB, 3).alias("mb"))

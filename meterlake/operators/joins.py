@@ -10,9 +10,9 @@ DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, so the check is cheap even on a huge input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (a distributed count: no
+    task gathers rows for it)."""
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -35,7 +35,7 @@ from meterlake.operators import clean
 from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import KINDS, SILVER
-from meterlake.sources.bronze import file_headers, read_bronze
+from meterlake.sources.bronze import file_headers, read_bronze, vanished
 from meterlake.sources.inventory import INVENTORY, decode_uri, escape_glob, file_inventory
 
 log = logging.getLogger("meterlake.load")
@@ -85,7 +85,7 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
            broadcast_rows: int = MERGE_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``batch`` plus the rows of ``existing`` whose key is not in
     ``batch`` (NULL keys compare equal).  ``batch`` is unique per key."""
-    bkeys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    bkeys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     cond = [existing[k].eqNullSafe(bkeys[f"_k_{k}"]) for k in keys]
     kept = existing.join(maybe_broadcast(bkeys, broadcast_rows), cond, "left_anti")
     return kept.unionByName(batch)
@@ -115,11 +115,11 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
     Returns the new version's partition folders."""
     keys = KINDS[kind]["key"]
     batch_parts = {r[0] for r in staged.select(store.part_value(kind)).distinct().collect()}
-    by_part = {store.dir_part(p): p for p in current.paths}
-    touched = {p for v, p in by_part.items() if v in batch_parts}
+    # after an append a month has several folders
+    touched = {p for p in current.paths if store.dir_part(p) in batch_parts}
     untouched = [p for p in current.paths if p not in touched]
     if not store.PART_IN_KEY[kind] and untouched:
-        bkeys = staged.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+        bkeys = staged.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         few = bkeys.limit(KEY_LIST_MAX + 1).collect() if len(keys) == 1 else None
 
         def key_hit(stored: DataFrame) -> DataFrame:
@@ -151,20 +151,37 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
 
 
 def _manifest_rows(inv: DataFrame, staged: DataFrame, run_id: str, now: dt.datetime) -> DataFrame:
+    """Manifest rows of the files of ``inv`` that were there to be read.  A file
+    without rows is looked at once more: gone between its header and the scan, it
+    must not pass for loaded."""
     counts = staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
     j = inv.join(counts, "source_file", "left")
-    return j.select("data_type", "path", "length", "modified",
+    rows = j.select("data_type", "path", "length", "modified",
                     F.coalesce("records", F.lit(0)).cast("long").alias("records"),
                     F.lit(run_id).alias("run_id"),
-                    F.lit(now.replace(tzinfo=None)).cast("timestamp").alias("committed_at"))
+                    F.lit(now.replace(tzinfo=None)).cast("timestamp").alias("committed_at")).persist()
+    gone = vanished(file_headers(rows.where("records = 0").select("data_type", "path")))
+    return rows.where(~F.col("path").isin(sorted(gone))) if gone else rows
+
+
+@contextmanager
+def _utc(spark: SparkSession):
+    """Months and parsed times of a load are in UTC, whatever the session's zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
                kinds: Sequence[str], layout: str, compression: str = "snappy",
                now: dt.datetime | None = None, run_id: str | None = None,
-               replace_by_source: bool = False) -> LoadResult:
+               replace_by_source: bool = False, attempts: int = 3) -> LoadResult:
     """Load the files listed in ``inv_all`` (an inventory frame) into
-    ``target`` with ``mode`` full / incremental / append.
+    ``target`` with ``mode`` full / incremental / append.  If another load commits
+    meanwhile, the load starts over from its result, ``attempts`` times in all.
 
     Jobs: one to pick the files (incremental / append), one to read their
     header lines, one clean-and-write per table (plus the merge write for an
@@ -173,8 +190,24 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     codec = store.check_codec(compression)
     now = now or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or store.new_run_id(now)
+    with _utc(spark):
+        for attempt in range(1, attempts + 1):
+            try:
+                return _load_once(spark, inv_all, target, mode, kinds, layout, codec, now,
+                                  run_id if attempt == 1 else f"{run_id}.{attempt}", replace_by_source)
+            except store.ConcurrentLoad:
+                if attempt == attempts:
+                    raise
+                log.info("another load committed first; starting over (%d of %d)", attempt, attempts)
+    raise AssertionError("unreachable")
+
+
+def _load_once(spark: SparkSession, inv_all: DataFrame, target: str, mode: str, kinds: Sequence[str], layout: str,
+               codec: str, now: dt.datetime, run_id: str, replace_by_source: bool) -> LoadResult:
+    """One try of :func:`load_files`, from the commit that is newest now."""
     result = LoadResult(run_id, mode)
     with _step("versions"):
+        base = store.newest_number(spark, target)
         versions = store.latest_versions(spark, target)
     inv_all = inv_all.where(F.col("data_type").isin(list(kinds)))
     if mode in ("incremental", "append") and versions:
@@ -188,6 +221,11 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
     with _step("headers"):
         headers = file_headers(batch_inv, len(rows)) if rows else {}
+        gone = vanished(headers)
+        if gone:
+            rows = [r for r in rows if r["path"] not in gone]
+            batch_inv = spark.createDataFrame(rows, INVENTORY)
+            per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
     committed: dict[str, tuple[list[str], int]] = {}
     manifests = []
@@ -224,7 +262,8 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
         with _step("manifest"):
             store.write_manifest(spark, target, m, run_id)
         with _step("commit"):
-            store.commit(spark, target, run_id, mode, committed, now)
+            store.commit(spark, target, run_id, mode, committed, now, base)
+        store.drop_staging(spark, target, run_id)
     return result
 
 

@@ -17,6 +17,10 @@ folders it lists; manifest rows count only when their run is committed.  A
 failure anywhere before the commit row leaves readers on the previous version
 and the previous manifest - no folder is ever renamed or overwritten in place,
 so this holds on object stores too.
+
+Commits are numbered.  A load remembers the newest number when it begins and
+claims the next one (a marker file created only if absent) when it commits; if
+another load was faster, :class:`ConcurrentLoad` is raised and nothing changes.
 """
 
 from __future__ import annotations
@@ -27,12 +31,12 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.schemas import MANIFEST, SILVER
-from meterlake.sources.inventory import decode_uri, escape_glob
+from meterlake.sources.inventory import decode_uri, escape_glob, path_missing
 
 COMMITS = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -41,8 +45,14 @@ COMMITS = T.StructType([
     T.StructField("paths", T.ArrayType(T.StringType())),
     T.StructField("n_files", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
+    T.StructField("number", T.LongType()),
 ])
 
+
+class ConcurrentLoad(RuntimeError):
+    """Another load committed to the target since this one began."""
+
+
 # Codecs accepted for silver Parquet.
 CODECS = ("snappy", "gzip", "zstd", "lz4", "none", "uncompressed")
 
@@ -67,16 +77,70 @@ class Version:
     committed_at: dt.datetime
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def commits(spark: SparkSession, target: str) -> DataFrame | None:
+    """Commit rows of the target, None before its first commit.  Any failure
+    but a missing folder is raised."""
     try:
-        return (spark.read.schema(schema).option("recursiveFileLookup", "true")
-                .parquet(escape_glob(path)))
-    except AnalysisException:
+        return (spark.read.schema(COMMITS).option("recursiveFileLookup", "true")
+                .parquet(escape_glob(f"{target.rstrip('/')}/_commits")))
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return None
 
 
-def commits(spark: SparkSession, target: str) -> DataFrame | None:
-    return _read_or_none(spark, f"{target.rstrip('/')}/_commits", COMMITS)
+def _newest() -> list[Column]:
+    """Newest commit first; rows written before commits had numbers come last."""
+    return [F.col("number").desc_nulls_last(), F.col("committed_at").desc(), F.col("run_id").desc()]
+
+
+def newest_number(spark: SparkSession, target: str) -> int:
+    """Number of the newest commit, 0 before the first."""
+    c = commits(spark, target)
+    return (c.agg(F.max("number")).first()[0] or 0) if c is not None else 0
+
+
+def _claim(spark: SparkSession, target: str, number: int) -> None:
+    """Create the marker of commit ``number``, or fail if it exists."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_claims/{number:012d}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path.getParent())
+    if not fs.createNewFile(path):
+        raise ConcurrentLoad(f"commit {number} of {target} was claimed by another load; load again "
+                             "(after a crash right at the commit: store.release_claim)")
+
+
+def release_claim(spark: SparkSession, target: str) -> bool:
+    """Remove the claim that a load left behind by dying between its claim and its
+    commit.  Only call it when no load is running; True if there was one."""
+    return _delete(spark, f"{target.rstrip('/')}/_claims/{newest_number(spark, target) + 1:012d}")
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_staging(spark: SparkSession, target: str, run_id: str) -> None:
+    _delete(spark, f"{target.rstrip('/')}/_staging/{run_id}")
+
+
+def expire_versions(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
+    """Delete data folders that none of the last ``keep`` versions of their table
+    lists; returns them.  Explicit, since older commits can't be read after it.
+    Only call it when no load is running."""
+    c = commits(spark, target)
+    if c is None:
+        return []
+    w = Window.partitionBy("data_type").orderBy(*_newest())
+    rows = c.withColumn("_rn", F.row_number().over(w)).select("data_type", "paths", "_rn").collect()   # one per commit
+
+    def folders(some) -> set[str]:
+        return {p.rsplit("/", 1)[0] for r in some for p in r["paths"]}
+
+    gone = sorted(folders(rows) - folders(r for r in rows if r["_rn"] <= keep))
+    return [d for d in gone if _delete(spark, d)]
 
 
 def latest_versions(spark: SparkSession, target: str) -> dict[str, Version]:
@@ -84,7 +148,7 @@ def latest_versions(spark: SparkSession, target: str) -> dict[str, Version]:
     c = commits(spark, target)
     if c is None:
         return {}
-    w = Window.partitionBy("data_type").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())
+    w = Window.partitionBy("data_type").orderBy(*_newest())
     rows = c.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").collect()
     return {r["data_type"]: Version(r["run_id"], list(r["paths"]), r["committed_at"]) for r in rows}
 
@@ -141,8 +205,10 @@ def partition_dirs(spark: SparkSession, out: str) -> list[str]:
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                  .load(f"{escape_glob(out.rstrip('/'))}/{PART_COL}=*").select("path"))
-    except AnalysisException:
-        return []
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        return []                       # an empty batch: no partition folder
     d = F.regexp_replace(decode_uri(F.col("path")), "/[^/]*$", "")
     return sorted(r[0] for r in files.select(d.alias("d")).distinct().collect())
 
@@ -160,9 +226,14 @@ def write_manifest(spark: SparkSession, target: str, rows: DataFrame, run_id: st
 
 
 def commit(spark: SparkSession, target: str, run_id: str, mode: str,
-           tables: dict[str, tuple[list[str], int]], now: dt.datetime) -> None:
-    """One commit file for all tables of a run: they switch together."""
-    rows = [(run_id, kind, mode, paths, int(n), now.replace(tzinfo=None))
+           tables: dict[str, tuple[list[str], int]], now: dt.datetime, base: int) -> None:
+    """One commit file for all tables of a run: they switch together.  ``base`` is
+    the newest commit number the run built on; raises :class:`ConcurrentLoad` if
+    it no longer is."""
+    if newest_number(spark, target) != base:
+        raise ConcurrentLoad(f"{target} was committed to since this load began")
+    _claim(spark, target, base + 1)
+    rows = [(run_id, kind, mode, paths, int(n), now.replace(tzinfo=None), base + 1)
             for kind, (paths, n) in tables.items()]
     spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("errorifexists").parquet(
         f"{target.rstrip('/')}/_commits/{run_id}")
@@ -178,28 +249,31 @@ def committed_manifest(spark: SparkSession, target: str, as_of: str | None = Non
     c = commits(spark, target)
     if c is None:
         return spark.createDataFrame([], MANIFEST)
+    order = F.struct(F.coalesce("number", F.lit(0)).alias("number"), "committed_at", "run_id")
     if as_of is not None:
-        c = c.where(F.col("run_id") <= as_of)
-    runs = c.select("run_id", "data_type", "mode", "committed_at").collect()   # one row per commit
+        at = c.where(F.col("run_id") == as_of).agg(F.max(order)).first()[0]
+        if at is None:
+            raise ValueError(f"no commit of {target} has the run id {as_of!r}")
+        c = c.where(order <= F.struct(F.lit(at["number"]), F.lit(at["committed_at"]), F.lit(at["run_id"])))
+    runs = c.select("run_id", "data_type", "mode", order.alias("place")).collect()   # one row per commit
     if not runs:
         return spark.createDataFrame([], MANIFEST)
     keep: set[tuple[str, str]] = set()
     for kind in {r["data_type"] for r in runs}:
         mine = sorted((r for r in runs if r["data_type"] == kind),
-                      key=lambda r: (r["committed_at"], r["run_id"]))
+                      key=lambda r: tuple(r["place"]))
         fulls = [i for i, r in enumerate(mine) if r["mode"] == "full"]
         start = fulls[-1] if fulls else 0
         keep |= {(r["run_id"], kind) for r in mine[start:]}
     base = f"{target.rstrip('/')}/_manifest"
     folders = sorted({f"{base}/{run}" for run, _ in keep})
-    try:
-        m = (spark.read.schema(MANIFEST).option("recursiveFileLookup", "true")
-             .parquet(*[escape_glob(f) for f in folders]))
-    except AnalysisException:
-        return spark.createDataFrame([], MANIFEST)
-    pairs = spark.createDataFrame(sorted(keep), "run_id string, _dt string")
+    # every committed run wrote its manifest first: a missing folder is an error
+    m = (spark.read.schema(MANIFEST).option("recursiveFileLookup", "true")
+         .parquet(*[escape_glob(f) for f in folders]))
+    place = {(r["run_id"], r["data_type"]): i for i, r in enumerate(sorted(runs, key=lambda r: tuple(r["place"])))}
+    pairs = spark.createDataFrame(sorted((*k, place[k]) for k in keep), "_run string, _dt string, _place int")
     # one row per kept commit, counted on the driver: broadcast while small
     side = F.broadcast(pairs) if len(keep) <= 100_000 else pairs
-    ok = m.join(side, (m.run_id == pairs.run_id) & (m.data_type == pairs._dt), "left_semi")
-    w = Window.partitionBy("data_type", "path").orderBy(F.col("committed_at").desc(), F.col("run_id").desc())
-    return ok.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    ok = m.join(side, (F.col("run_id") == F.col("_run")) & (F.col("data_type") == F.col("_dt")))
+    w = Window.partitionBy("data_type", "path").orderBy(F.col("_place").desc())
+    return ok.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_run", "_dt", "_place")

@@ -45,11 +45,18 @@ def _local_path(uri: str) -> str | None:
     return None
 
 
-def _first_line(uri: str, limit: int = 1 << 20) -> bytes:
+# A first line longer than this is no header.
+HEADER_BYTES = 1 << 20
+
+
+def _first_line(uri: str, limit: int = HEADER_BYTES) -> bytes:
     local = _local_path(uri)
     if local is not None:
         with open(local, "rb") as fh:
-            return fh.readline(limit)
+            line = fh.readline(limit + 1)
+        if len(line) > limit:
+            raise ValueError(f"the first line has more than {limit} bytes")
+        return line
     from pyarrow import fs as pafs  # remote stores (hdfs://, s3://, gs://)
     for hadoop_scheme in ("s3a://", "s3n://"):          # Hadoop's S3 schemes
         if uri.startswith(hadoop_scheme):
@@ -57,12 +64,15 @@ def _first_line(uri: str, limit: int = 1 << 20) -> bytes:
     filesystem, p = pafs.FileSystem.from_uri(uri)
     with filesystem.open_input_stream(p) as fh:
         buf = b""
-        while b"\n" not in buf and len(buf) < limit:
+        while b"\n" not in buf and len(buf) <= limit:
             chunk = fh.read(65536)
             if not chunk:
                 break
             buf += chunk
-        return buf.split(b"\n", 1)[0]
+        line = buf.split(b"\n", 1)[0]
+        if len(line) > limit:
+            raise ValueError(f"the first line has more than {limit} bytes")
+        return line
 
 
 def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,9 +82,10 @@ def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 line = _first_line(uri).decode("utf-8", errors="replace").lstrip("\ufeff").rstrip("\r\n")
             except FileNotFoundError:
-                line = ""                       # vanished since listing: nothing to read
-            except Exception:  # noqa: BLE001 - e.g. no credentials for this store here
-                heads.append([UNREADABLE])
+                heads.append([VANISHED])        # since listing: not read, not recorded as read
+                continue
+            except Exception as e:  # noqa: BLE001 - reported by path on the driver
+                heads.append([UNREADABLE, f"{type(e).__name__}: {e}"])
                 continue
             heads.append(next(csv.reader(io.StringIO(line), delimiter=sep), []) if line else [])
         yield pd.DataFrame({"data_type": pdf["data_type"], "path": pdf["path"], "header": heads})
@@ -82,9 +93,19 @@ def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 HeaderGroups = dict[tuple[str, tuple[str, ...]], list[str]]
 
-# Marker for a header line that could not be read from the executor (the
-# file is then bound in the canonical column order, as Spark would).
-UNREADABLE = "\x00unreadable"
+# Markers in place of a header line: it could not be read (the load stops), or
+# the file is gone (it is skipped, and read when it comes back).
+UNREADABLE, VANISHED = "\x00unreadable", "\x00vanished"
+
+
+class UnreadableHeader(RuntimeError):
+    """The header line of a bronze file could not be read."""
+
+
+def vanished(groups: HeaderGroups) -> set[str]:
+    """Paths that were gone when their header was to be read."""
+    return {p for (_, header), paths in groups.items() if header == (VANISHED,) for p in paths}
+
 
 FILES_PER_TASK = 200
 
@@ -106,9 +127,9 @@ def file_headers(files: DataFrame, n_files: int | None = None) -> HeaderGroups:
     groups: HeaderGroups = {}
     for r in heads.collect():
         header = tuple(r["header"] or ())
-        if header == (UNREADABLE,):
-            log.warning("header of %s not readable here; using the canonical column order", r["path"])
-            header = tuple(KINDS[r["data_type"]]["columns"])
+        if header[:1] == (UNREADABLE,):
+            # binding columns by position instead could shift them
+            raise UnreadableHeader(f"{r['path']}: {header[1]}")
         groups.setdefault((r["data_type"], header), []).append(r["path"])
     return groups
 
@@ -135,8 +156,8 @@ def read_bronze(spark: SparkSession, files: DataFrame, kind: str, layout: str =
         headers = file_headers(files.where(F.col("data_type") == kind))
     parts = []
     for (dtype, header), paths in headers.items():
-        if dtype != kind or not header:
-            continue  # other kind, or empty file: no header, no rows
+        if dtype != kind or not header or header == (VANISHED,):
+            continue  # other kind, or nothing to read
         names = _unique(list(header))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         raw = (spark.read.schema(schema)

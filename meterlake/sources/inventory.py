@@ -40,6 +40,11 @@ def escape_glob(path: str) -> str:
     return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
 
 
+def path_missing(e: AnalysisException) -> bool:
+    """The error says that a path does not exist (and nothing else)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def decode_uri(c: Column) -> Column:
     """File URIs percent-encode spaces etc. but leave ``+`` literal."""
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
@@ -79,15 +84,18 @@ def file_inventory(spark: SparkSession, root: str, kinds: Sequence[str] = ("bill
     listed = None
     try:
         listed = spark.read.format("binaryFile").load(globs).select("path", "length", "modificationTime")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         # some glob matches nothing: list the kinds one by one
         frames = []
         for g in globs:
             try:
                 frames.append(spark.read.format("binaryFile").load(g)
                               .select("path", "length", "modificationTime"))
-            except AnalysisException:
-                continue
+            except AnalysisException as missing:
+                if not path_missing(missing):
+                    raise
         for f in frames:
             listed = f if listed is None else listed.unionByName(f)
     if listed is None:

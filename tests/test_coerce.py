@@ -32,6 +32,15 @@ def test_timestamp(spark):
     assert got[3].hour == 0
 
 
+def test_iso_timestamps(spark):
+    texts = ["2024-01-01T05:06:07", "2024-01-01 05:06", "2024-01-01 05:06:07.25", "2024-01-01T05:06:07Z",
+             "2024-01-01T05:06:07+05:00", "2024-01-01T05", "2024-01-01 05:06:07 x", "2024-01-0105:06"]
+    got = _one(spark, texts, parse_timestamp)
+    assert [(g.hour, g.minute) for g in got[:4]] == [(5, 6)] * 4 and got[2].microsecond == 250000
+    assert (got[4].hour, got[4].minute) == (0, 6)
+    assert got[5:] == [None, None, None]
+
+
 def test_no_python_udf(spark):
     df = spark.createDataFrame([("1",)], "v string").select(to_double("v"), parse_month("v"))
     plan = df._jdf.queryExecution().executedPlan().toString()

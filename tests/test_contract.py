@@ -1,6 +1,7 @@
 """Driver contract and plan shape of every registered query."""
 
 import __spark_entry__ as E
+from meterlake import catalog
 
 SF = "/root/testdata/sf0.001"
 # map-side helpers that are allowed to run Python: reading each bronze
@@ -20,7 +21,7 @@ def test_oracle_keys_subset_of_queries():
 
 
 def test_no_row_python_udf_in_any_query(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan, name
         assert "ArrowEvalPython" not in plan, name

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from meterlake.operators import inventory as inv_ops
-from meterlake.plans import load
+from meterlake.plans import load, store
 from meterlake.sources.inventory import INVENTORY, file_inventory
 from meterlake.sources.silver import scan_silver
 from tests.conftest import BILL_HEADER, READING_HEADER, bill, reading, write_file
@@ -37,7 +37,7 @@ def test_compression_uses_per_type_bytes(spark, tmp_path):
     load.full_load(spark, str(root), target)
     inv = file_inventory(spark, str(root))
     src = {r.data_type: r.b for r in inv.groupBy("data_type").agg(F.sum("length").alias("b")).collect()}
-    lay = {k: inv_ops.layout_report(spark, f"{target}/{k}") for k in ("bills", "readings")}
+    lay = {k: inv_ops.layout_report(spark, v.paths) for k, v in store.latest_versions(spark, str(target)).items()}
     out = {r.data_type: r for r in inv_ops.compression_ratio(inv, lay).collect()}
     assert out["bills"].source_bytes == src["bills"] and out["readings"].source_bytes == src["readings"]
     assert out["bills"].silver_bytes > 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterlake.plans import load, store
 from meterlake.schemas import SILVER_BILLS
 from meterlake.sources.bronze import read_bronze
-from meterlake.sources.inventory import file_inventory
+from meterlake.sources.inventory import INVENTORY, file_inventory
 from meterlake.sources.silver import scan_silver, scan_tolerant
 from tests.conftest import BILL_HEADER, READING_HEADER, bill, reading, write_file
 
@@ -264,17 +264,120 @@ def test_manifest_reads_since_last_full_load(spark, tree, tmp_path):
     assert m.count() == 7 and m.where(F.col("run_id") != runs[-1]).count() == 0
 
 
-def test_unreadable_header_falls_back_to_canonical_order(spark, tree, monkeypatch):
+def test_unreadable_header_stops_the_load(spark, tree, tmp_path, monkeypatch):
     from meterlake.sources import bronze
 
     def no_access(uri, limit=1 << 20):
         raise PermissionError("no credentials here")
     monkeypatch.setattr(bronze, "_first_line", no_access)
-    inv = file_inventory(spark, str(tree), ["bills"])
-    groups = bronze.file_headers(inv)
-    assert {h for (_, h) in groups} == {tuple(BILL_HEADER)}
-    rows = read_bronze(spark, inv, "bills", headers=groups).collect()
-    assert any(r.bill_id == "B3" for r in rows)       # nothing is silently dropped
+    with pytest.raises(bronze.UnreadableHeader, match="no credentials"):
+        load.full_load(spark, str(tree), str(tmp_path / "silver"), kinds=["bills"])
+
+
+def test_overlong_header_stops_the_load(spark, tree, tmp_path):
+    from meterlake.sources import bronze
+
+    write_file(tree, "ZHOB", "WIDE", "bills", ["x" * (bronze.HEADER_BYTES + 1)], [])
+    with pytest.raises(bronze.UnreadableHeader, match="first line"):
+        load.full_load(spark, str(tree), str(tmp_path / "silver"), kinds=["bills"])
+
+
+def test_upsert_after_append_keeps_one_row_per_key(spark, tree, tmp_path):
+    target = str(tmp_path / "silver")
+    load.full_load(spark, str(tree), target, kinds=["readings"])
+    write_file(tree, "ZHOB", "APP", "readings", READING_HEADER, [reading("2024-01-01 05:00:00", meter="9", kwh="1.0")])
+    load.append_load(spark, str(tree), target, kinds=["readings"])
+    write_file(tree, "ZHOB", "APP", "readings", READING_HEADER, [reading("2024-01-01 05:00:00", meter="9", kwh="9.25")])
+    load.incremental_load(spark, str(tree), target, kinds=["readings"])
+    rows = [r for r in scan_silver(spark, target, "readings").collect() if r.meter_id == "9"]
+    assert [r.consumption_kwh for r in rows] == [9.25]
+
+
+def test_a_load_that_lost_the_race_starts_over(spark, tree, tmp_path, monkeypatch):
+    target = str(tmp_path / "silver")
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    write_file(tree, "ZHOB", "SLOW", "bills", BILL_HEADER, [bill("SLOW1")])
+    real, other = store.write_manifest, []
+
+    def meanwhile(*args):
+        if not other:                    # another load commits while this one is about to
+            other.append(1)
+            write_file(tree, "ZHOB", "FAST", "bills", BILL_HEADER, [bill("FAST1")])
+            load.incremental_load(spark, str(tree), target, kinds=["bills"])
+        return real(*args)
+    monkeypatch.setattr(store, "write_manifest", meanwhile)
+    load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    got = [r.bill_id for r in scan_silver(spark, target, "bills").collect()]
+    assert {"SLOW1", "FAST1"} <= set(got) and len(got) == len(set(got))
+    numbers = [r.number for r in store.commits(spark, target).collect()]
+    assert sorted(numbers) == list(range(1, len(numbers) + 1))
+
+
+def test_a_claimed_commit_number_is_refused(spark, tree, tmp_path):
+    target = str(tmp_path / "silver")
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    store._claim(spark, target, 2)       # a load that died right after its claim
+    write_file(tree, "ZHOB", "LATE", "bills", BILL_HEADER, [bill("LATE1")])
+    with pytest.raises(store.ConcurrentLoad):
+        load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    assert store.release_claim(spark, target)
+    load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    assert "LATE1" in {r.bill_id for r in scan_silver(spark, target, "bills").collect()}
+
+
+def test_a_vanished_file_is_loaded_when_it_returns(spark, tree, tmp_path):
+    target = str(tmp_path / "silver")
+    path = write_file(tree, "ZHOB", "GONE", "bills", BILL_HEADER, [bill("GONE1")])
+    kept = path.read_text()
+    rows = file_inventory(spark, str(tree), ["bills"]).collect()
+    path.unlink()                        # between the listing and the read
+    load.load_files(spark, spark.createDataFrame(rows, INVENTORY), target, "full", ["bills"], "tree")
+    assert not [r for r in store.committed_manifest(spark, target).collect() if "GONE" in r.path]
+    path.write_text(kept)
+    stamp = next(r.modified for r in rows if "GONE" in r.path).timestamp()
+    os.utime(path, (stamp, stamp))       # same length and time as listed
+    load.incremental_load(spark, str(tree), target, kinds=["bills"])
+    assert "GONE1" in {r.bill_id for r in scan_silver(spark, target, "bills").collect()}
+
+
+def test_a_missing_manifest_folder_is_an_error(spark, tree, tmp_path):
+    import shutil
+
+    target = tmp_path / "silver"
+    load.full_load(spark, str(tree), str(target), kinds=["bills"])
+    shutil.rmtree(target / "_manifest")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load.append_load(spark, str(tree), str(target), kinds=["bills"])
+
+
+def test_replaced_versions_do_not_count_and_can_expire(spark, tree, tmp_path):
+    from meterlake.operators.inventory import layout_report
+
+    target = str(tmp_path / "silver")
+
+    def size():
+        paths = store.latest_version(spark, target, "bills").paths
+        return layout_report(spark, paths).agg({"bytes": "sum"}).first()[0]
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    first = size()
+    load.full_load(spark, str(tree), target, kinds=["bills"])
+    assert abs(size() - first) < 0.05 * first
+    before = scan_silver(spark, target, "bills").count()
+    assert len(store.expire_versions(spark, target, keep=1)) == 1
+    assert scan_silver(spark, target, "bills").count() == before
+
+
+def test_staging_is_removed_and_the_zone_does_not_matter(spark, tree, tmp_path):
+    target = tmp_path / "silver"
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Karachi")
+    try:
+        load.full_load(spark, str(tree), str(target), kinds=["bills"])
+        write_file(tree, "ZHOB", "ZONE", "bills", BILL_HEADER, [bill("ZONE1", month="2024-03")])
+        load.incremental_load(spark, str(tree), str(target), kinds=["bills"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert not list((target / "_staging").glob("*"))
+    assert [r.billing_month.month for r in scan_silver(spark, str(target), "bills").collect() if r.bill_id == "ZONE1"] == [3]
 
 
 def test_collision_scan_with_null_key_and_key_list(spark, tree, tmp_path, monkeypatch):
