@@ -2,22 +2,18 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer; with one group (a whole column) or a hot group that is
-the whole data in one task.  Instead the rank is *selected* by narrowing:
-
-1. one pass: count / min / max per (group, column);
-2. each round: the rows inside each still-open value interval are counted in
-   ``BUCKETS`` equal-width buckets (a partial+final hash aggregate whose output
-   is bounded by intervals x buckets); the bucket holding the wanted rank
-   becomes the next interval, with the count of rows below it carried along;
-3. a rank is found when its bucket holds a single distinct value.
-
-Each round divides the interval width by ~``BUCKETS``, so a few rounds
-suffice for real data; a hot value is found at once (its bucket has
-min == max).  So that heavy-tailed or exponentially spaced values converge
-as fast, an interval that crosses zero is first split by sign (one round),
-and a one-signed interval whose ends differ by more than ``LOG_RATIO`` is
-bucketed on a log scale (after one such round its ends differ by < 1.5x).
-Only bucket counts reach the driver, never rows.
+the whole data in one task.  Instead the rank is *selected*, all in Spark:
+
+1. the values of each (group, column) are counted, one row per distinct value
+   (partial aggregation: a hot value is one row per map task), and written to
+   the shared folder - the only time the input is evaluated;
+2. ``percentile_approx`` over those rows gives each key ``SPLITS - 1`` splitters,
+   and a binary search among them the value range of a row;
+3. the counts per range, summed up in order, tell which ranges hold the wanted
+   ranks; a running sum inside just these ranges finds the values.
+
+No step has a limit on groups, values or rounds, infinities are values like any
+other, and nothing reaches the driver.
 
 Interpolation follows pandas / SQL ``quantile_cont``: position
 h = (n - 1) p, value = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
@@ -25,32 +21,15 @@ h = (n - 1) p, value = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BUCKETS = 4096
-MAX_ROUNDS = 64
-# log-scale buckets when a one-signed interval's ends differ by more than this
-LOG_RATIO = 1e4
-LINEAR, LOG_POS, LOG_NEG, SIGN = 0, 1, 2, 3
 
+from meterlake.session import scratch_path
 
-def _mode(lo: float, hi: float) -> int:
-    if lo < 0 < hi:
-        return SIGN
-    if lo > 0 and hi / lo > LOG_RATIO:
-        return LOG_POS
-    if hi < 0 and lo / hi > LOG_RATIO:
-        return LOG_NEG
-    return LINEAR
-# Above this many (group, column) keys the driver-side bookkeeping is not
-# small any more; Spark's exact percentile is used instead (each group then
-# has its own buffer, which is fine when groups are many and small).
-MAX_KEYS = 20_000
+# Value ranges of a (group, column): a task's share of a column is 1 / SPLITS.
+SPLITS = 1024
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -61,129 +40,63 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return out.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def _targets(n: int, probs: Sequence[float]) -> dict[float, tuple[int, int, float]]:
-    res = {}
-    for p in probs:
-        h = (n - 1) * p
-        r0 = int(math.floor(h))
-        frac = h - r0
-        r1 = min(r0 + 1, n - 1)
-        res[p] = (r0, r1, frac)
-    return res
-
-
-def _schema(by_fields, with_p=True):
-    fields = list(by_fields) + [T.StructField("column", T.StringType())]
-    if with_p:
-        fields += [T.StructField("p", T.DoubleType()), T.StructField("value", T.DoubleType())]
-    return T.StructType(fields)
+def _range_of(splitters: str, x: Column) -> Column:
+    """Number of splitters below ``x``, by binary search."""
+    def half(at: Column) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.get(F.col(splitters), mid) < x
+        return F.when(at["lo"] >= at["hi"], at).when(below, F.struct((mid + 1).alias("lo"), at["hi"].alias("hi"))) \
+            .otherwise(F.struct(at["lo"].alias("lo"), mid.alias("hi")))
+    start = F.struct(F.lit(0).alias("lo"), F.size(splitters).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(SPLITS.bit_length()))
+    return F.aggregate(steps, start, lambda at, _: half(at), lambda at: at["lo"])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = ()) -> DataFrame:
     """One row per (by..., column, p) with the exact linear quantile."""
     spark = df.sparkSession
-    by = list(by)
-    long = long_values(df, columns, by)
-    by_fields = [f for f in long.schema.fields if f.name in by]
-    keys = by + ["column"]
-    stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                                    F.max("x").alias("hi"))
-    stat_rows = stats.limit(MAX_KEYS + 1).collect()      # one job; bounded
-    if len(stat_rows) > MAX_KEYS:
-        return _spark_percentile(long, keys, probs)
-
-    # state per (key, rank): [lo, hi, below]; found values per (key, rank)
-    found: dict[tuple, float] = {}
-    open_: dict[tuple, list] = {}
-    wanted = []
-    for row in stat_rows:
-        key = tuple(row[k] for k in keys)
-        tg = _targets(row["n"], probs)
-        wanted.append((key, row["n"], tg))
-        for r0, r1, _ in tg.values():
-            for r in {r0, r1}:
-                if row["lo"] == row["hi"]:
-                    found[(key, r)] = row["lo"]
-                else:
-                    open_[(key, r)] = [row["lo"], row["hi"], 0]
-
-    rounds = 0
-    while open_:
-        rounds += 1
-        # distinct intervals (ranks of a key often share one)
-        intervals: dict[tuple, int] = {}
-        for (key, r), (lo, hi, below) in open_.items():
-            intervals.setdefault((key, lo, hi, below), len(intervals))
-        iv_schema = T.StructType(by_fields + [
-            T.StructField("column", T.StringType()), T.StructField("_lo", T.DoubleType()),
-            T.StructField("_hi", T.DoubleType()), T.StructField("_iid", T.LongType()),
-            T.StructField("_m", T.IntegerType())])
-        iv_rows = [tuple(key) + (lo, hi, iid, _mode(lo, hi))
-                   for (key, lo, hi, _), iid in intervals.items()]
-        iv = spark.createDataFrame(iv_rows, iv_schema)
-        cond = [long[k].eqNullSafe(iv[k]) for k in keys] + [
-            long["x"] >= iv["_lo"], long["x"] <= iv["_hi"]]
-        # at most MAX_KEYS x 2 len(probs) intervals (keys were counted above):
-        # a bounded broadcast, each data row matches at most one interval per rank
-        assert len(iv_rows) <= MAX_KEYS * 2 * len(probs)
-        j = long.join(F.broadcast(iv), on=cond, how="inner")
-        x, lo_c, hi_c, m = F.col("x"), F.col("_lo"), F.col("_hi"), F.col("_m")
-        linear = (x - lo_c) / (hi_c - lo_c)
-        log_pos = (F.log(x) - F.log(lo_c)) / (F.log(hi_c) - F.log(lo_c))
-        log_neg = (F.log(-lo_c) - F.log(-x)) / (F.log(-lo_c) - F.log(-hi_c))
-        frac = (F.when(m == LOG_POS, log_pos).when(m == LOG_NEG, log_neg).otherwise(linear))
-        scaled = F.greatest(F.least(F.floor(frac * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
-        bucket = F.when(m == SIGN, F.signum(x) + 1).otherwise(scaled).cast("int")
-        hist = (j.groupBy("_iid", bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("bmin"),
-                     F.max("x").alias("bmax"))
-                .collect())
-        per_iv: dict[int, list] = {}
-        for h in hist:
-            per_iv.setdefault(h["_iid"], []).append((h["b"], h["c"], h["bmin"], h["bmax"]))
-        for v in per_iv.values():
-            v.sort()
-        nxt = {}
-        for (key, r), (lo, hi, below) in open_.items():
-            buckets = per_iv[intervals[(key, lo, hi, below)]]
-            cum = below
-            for _, c, bmin, bmax in buckets:
-                if r < cum + c:
-                    if bmin == bmax:
-                        found[(key, r)] = bmin
-                    elif rounds >= MAX_ROUNDS:
-                        found[(key, r)] = _select_in(long, keys, key, bmin, bmax, r - cum)
-                    else:
-                        nxt[(key, r)] = [bmin, bmax, cum]
-                    break
-                cum += c
-        open_ = nxt
-
-    out = []
-    for key, _n, tg in wanted:
-        for p, (r0, r1, frac) in tg.items():
-            a, b = found[(key, r0)], found[(key, r1)]
-            out.append(tuple(key) + (float(p), a + (b - a) * frac if frac else a))
-    return spark.createDataFrame(out, _schema(by_fields))
-
-
-def _select_in(long: DataFrame, keys: list[str], key: tuple, lo: float, hi: float, k: int) -> float:
-    """The k-th (0-based) value in [lo, hi] of one key: a distributed top-k
-    (k + 1 rows reach the driver).  Only used if narrowing has not converged
-    after MAX_ROUNDS, so the result stays exact by construction."""
-    cond = (F.col("x") >= lo) & (F.col("x") <= hi)
-    for name, v in zip(keys, key):
-        cond = cond & F.col(name).eqNullSafe(F.lit(v))
-    rows = long.where(cond).select("x").orderBy("x").limit(k + 1).collect()
-    return rows[-1]["x"]
-
-
-def _spark_percentile(long: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    q = long.groupBy(*keys).agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs]))
-                                .alias("_q"))
-    z = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("_q").alias("value"))
-    return q.select(*keys, F.explode(z).alias("_z")).select(*keys, "_z.p", "_z.value")
+    keys = [*by, "column"]
+    # the key as one struct: NULLs inside it compare equal
+    counts = (long_values(df, columns, by).select(F.struct(*keys).alias("k"), "x")
+              .groupBy("k", "x").agg(F.count(F.lit(1)).alias("c")))
+    path = scratch_path(spark, "quantiles")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+
+    cuts = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
+    groups = counts.groupBy("k").agg(F.sum("c").alias("n"),
+                                     F.array_distinct(F.percentile_approx("x", cuts, 10 * SPLITS)).alias("s"))
+    ranged = (counts.join(groups.select(F.col("k").alias("gk"), "s"), F.col("k") == F.col("gk"))
+              .select("k", "x", "c", _range_of("s", F.col("x")).alias("b")))
+    sizes = ranged.groupBy("k", "b").agg(F.sum("c").alias("m"))
+    before = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)   # <= SPLITS rows
+    sizes = sizes.withColumn("base", F.coalesce(F.sum("m").over(before), F.lit(0)))
+
+    h = (F.col("n") - 1) * F.col("p")
+    wanted = groups.select("k", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
+        .select("k", "p", F.floor(h).alias("r0"), F.least(F.floor(h) + 1, F.col("n") - 1).alias("r1"), (h - F.floor(h)).alias("f"))
+    ranks = wanted.select("k", F.explode(F.array("r0", "r1")).alias("r")).distinct()
+    held = ranks.select(F.col("k").alias("rk"), "r").join(
+        sizes, (F.col("k") == F.col("rk")) & (F.col("r") >= F.col("base")) & (F.col("r") < F.col("base") + F.col("m")))
+    rooms = held.groupBy(F.col("k").alias("hk"), F.col("b").alias("hb")).agg(
+        F.first("base").alias("base"), F.collect_set("r").alias("ranks"))          # <= 2 ranks per wanted quantile
+    inside = ranged.join(rooms, (F.col("k") == F.col("hk")) & (F.col("b") == F.col("hb")))
+    upto = Window.partitionBy("k", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = inside.withColumn("upto", F.col("base") + F.sum("c").over(upto))
+    values = (placed.select("k", "x", "c", "upto", F.explode("ranks").alias("r"))
+              .where((F.col("r") < F.col("upto")) & (F.col("r") >= F.col("upto") - F.col("c")))
+              .select(F.col("k").alias("vk"), F.col("r").alias("vr"), F.col("x").alias("v")))
+    a = values.select(F.col("vk").alias("ak"), F.col("vr").alias("ar"), F.col("v").alias("a"))
+    b = values.select(F.col("vk").alias("bk"), F.col("vr").alias("br"), F.col("v").alias("b"))
+    out = (wanted.join(a, (F.col("k") == F.col("ak")) & (F.col("r0") == F.col("ar")))
+           .join(b, (F.col("k") == F.col("bk")) & (F.col("r1") == F.col("br"))))
+    # equal ends need no interpolation; an infinite one takes the result along
+    infinite = F.greatest(F.abs("a"), F.abs("b")) == float("inf")
+    value = F.when((F.col("f") == 0) | (F.col("a") == F.col("b")), F.col("a")) \
+        .when(infinite, F.col("a") * (1 - F.col("f")) + F.col("b") * F.col("f")) \
+        .otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))
+    return out.select("k.*", "p", value.alias("value"))
 
 
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

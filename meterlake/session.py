@@ -63,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):   # one process; not local-cluster
         local = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         sc.setCheckpointDir(local)
         return sc.getCheckpointDir() or local

@@ -39,22 +39,9 @@ def test_property_exact(spark, values, p):
     assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
 
 
-def test_round_limit_fallback_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "MAX_ROUNDS", 1)
-    monkeypatch.setattr(quantiles, "BUCKETS", 2)
-    vals = [float(v) for v in range(1, 200)] + [1e9]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = quantiles.exact_quantiles(df, ["x"], [0.3, 0.5]).collect()
-    for r in got:
-        assert abs(r.value - _np(vals, r.p)) < 1e-9
-
-
-def test_heavy_tail_converges_without_fallback(spark, monkeypatch):
-    def boom(*a, **k):
-        raise AssertionError("fallback used")
-    monkeypatch.setattr(quantiles, "_select_in", boom)
-    monkeypatch.setattr(quantiles, "MAX_ROUNDS", 8)
-    vals = [2.0 ** i for i in range(-200, 800, 3)] + [-(2.0 ** i) for i in range(0, 300, 7)] + [0.0]
+def test_heavy_tails_and_few_splits(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SPLITS", 4)
+    vals = [2.0 ** i for i in range(-200, 800, 3)] + [-(2.0 ** i) for i in range(0, 300, 7)] + [0.0] * 50
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.05, 0.25, 0.5, 0.75, 0.95]
     got = {r.p: r.value for r in quantiles.exact_quantiles(df, ["x"], probs).collect()}
@@ -63,6 +50,29 @@ def test_heavy_tail_converges_without_fallback(spark, monkeypatch):
         assert abs(got[p] - want) <= 1e-9 * max(1.0, abs(want))
 
 
+def test_infinities_and_null_groups(spark):
+    inf = float("inf")
+    rows = [(None, float(v)) for v in range(1, 200)] + [(None, inf), ("g", inf), ("g", inf), ("h", -inf), ("h", 1.0), ("h", 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.p): r.value for r in quantiles.exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], by=["g"]).collect()}
+    assert [got[None, p] for p in (0.25, 0.5, 0.75)] == [50.75, 100.5, 150.25]
+    assert got["g", 0.5] == inf and got["h", 0.5] == 1.0 and got["h", 0.25] == -inf
+
+
+def test_input_is_evaluated_once_and_stays_in_spark(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(500)], "x double, y double")
+
+    def collected(self):
+        raise AssertionError("rows on the driver")
+    monkeypatch.setattr(DataFrame, "collect", collected)
+    out = quantiles.exact_quantiles(df, ["x", "y"], [0.5])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.undo()
+    assert "LogicalRDD" not in plan                 # the input itself is not in the plan any more
+    assert {r.column: r.value for r in out.collect()} == {"x": 249.5, "y": 3.0}
+
+
 def test_approx_option_is_close(spark):
     from meterlake.operators import quality
     rng = np.random.default_rng(3)
