@@ -60,23 +60,26 @@ def share_with_total(df: DataFrame, group: str, value_col: str, out: str,
     base = df.where(F.col(group).isNotNull())
     for w in within:
         base = base.where(F.col(w).isNotNull())
-    rolled = base.rollup(*keys).agg(_sum0(value_col).alias(out), F.grouping_id().alias("_g"))
-    # keep per-group rows and the total of each `within` partition
-    rolled = rolled.where(F.col("_g") <= 1)
-    if within:
-        rolled = rolled.where(F.col(within[-1]).isNotNull() | (F.col("_g") == 0))
-    total_w = Window.partitionBy(*within) if within else Window.partitionBy()
-    total = F.max(F.when(F.col("_g") == 1, F.col(out))).over(total_w)
-    res = rolled.select(
-        *within,
-        F.when(F.col("_g") == 1, F.lit(TOTAL_LABEL)).otherwise(F.col(group)).alias(group),
-        _r(F.col(out)).alias(out),
-        _r(F.col(out) / total * 100, 4).alias("pct"),
-        (F.col("_g") == 1).alias("is_total"),
-    )
+    sums = base.groupBy(*keys).agg(_sum0(value_col).alias(out))
+    total = F.sum(out).over(Window.partitionBy(*within))
+    res = _with_totals(sums.withColumn("_total", total), group, {out: "_total"}, within).select(
+        *within, group, _r(F.col(out)).alias(out), _r(F.col(out) / F.col("_total") * 100, 4).alias("pct"), "is_total")
     return res.orderBy(*within, "is_total", F.col(out).desc(), group).drop("is_total")
 
 
+def _with_totals(sums: DataFrame, group: str, totals: dict[str, str], within: list[str]) -> DataFrame:
+    """``sums`` (one row per group, with the totals beside) and one TOTAL row per
+    ``within`` partition, marked ``is_total``.  The raw rows are aggregated once;
+    a TOTAL row comes out of its partition's first group."""
+    first = F.row_number().over(Window.partitionBy(*within).orderBy(group)) == 1
+    own = F.struct(F.col(group).alias(group), *[F.col(c).alias(c) for c in totals], F.lit(False).alias("is_total"))
+    summed = F.struct(F.lit(TOTAL_LABEL).alias(group), *[F.col(t).alias(c) for c, t in totals.items()],
+                      F.lit(True).alias("is_total"))
+    return (sums.withColumn("_first", first)
+            .withColumn("_row", F.explode(F.when(F.col("_first"), F.array(own, summed)).otherwise(F.array(own))))
+            .select(*within, *totals.values(), "_row.*"))
+
+
 def revenue_by_division(bills: DataFrame) -> DataFrame:
     return share_with_total(bills, "division", "total_amount", "revenue")
 
@@ -96,21 +99,14 @@ def payment_status(bills: DataFrame) -> DataFrame:
     """Bills (non-null bill_id) and amount per status, both as percent, and a
     TOTAL row."""
     base = bills.where(F.col("status").isNotNull())
-    rolled = base.rollup("status").agg(
-        F.count("bill_id").alias("bills"),
-        _sum0("total_amount").alias("amount"),
-        F.grouping_id().alias("_g"))
-    w = Window.partitionBy()
-    tot_bills = F.max(F.when(F.col("_g") == 1, F.col("bills"))).over(w)
-    tot_amount = F.max(F.when(F.col("_g") == 1, F.col("amount"))).over(w)
-    return rolled.select(
-        F.when(F.col("_g") == 1, F.lit(TOTAL_LABEL)).otherwise(F.col("status")).alias("status"),
-        F.col("bills").cast("long").alias("bills"),
-        _r(F.col("amount")).alias("amount"),
-        _r(F.col("bills") / tot_bills * 100, 4).alias("bills_pct"),
-        _r(F.col("amount") / tot_amount * 100, 4).alias("amount_pct"),
-        F.col("_g"),
-    ).orderBy("_g", F.col("bills").desc(), "status").drop("_g")
+    sums = base.groupBy("status").agg(F.count("bill_id").alias("bills"), _sum0("total_amount").alias("amount"))
+    w = Window.partitionBy()                     # over the few statuses
+    sums = sums.withColumns({"_bills": F.sum("bills").over(w), "_amount": F.sum("amount").over(w)})
+    return _with_totals(sums, "status", {"bills": "_bills", "amount": "_amount"}, []).select(
+        "status", F.col("bills").cast("long").alias("bills"), _r(F.col("amount")).alias("amount"),
+        _r(F.col("bills") / F.col("_bills") * 100, 4).alias("bills_pct"),
+        _r(F.col("amount") / F.col("_amount") * 100, 4).alias("amount_pct"), "is_total",
+    ).orderBy("is_total", F.col("bills").desc(), "status").drop("is_total")
 
 
 def voltage_band(v: str | Column = "voltage") -> Column:
@@ -173,11 +169,10 @@ def monthly_trend(bills: DataFrame, year: int | None = 2024) -> DataFrame:
 def flag_distribution(readings: DataFrame) -> DataFrame:
     """Count and percent of all rows (NULL flags included in the total) per
     quality flag."""
-    rolled = readings.rollup("quality_flag").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g"))
-    total = F.max(F.when(F.col("_g") == 1, F.col("n"))).over(Window.partitionBy())
-    out = rolled.select("quality_flag", "n", "_g", _r(F.col("n") / total * 100, 4).alias("pct"))
-    return (out.where((F.col("_g") == 0) & F.col("quality_flag").isNotNull())
+    counts = readings.groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    out = counts.select("quality_flag", "n", _r(F.col("n") / total * 100, 4).alias("pct"))
+    return (out.where(F.col("quality_flag").isNotNull())
             .select("quality_flag", F.col("n").cast("long").alias("n"), "pct")
             .orderBy(F.col("n").desc(), "quality_flag"))
 
