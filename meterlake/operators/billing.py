@@ -84,26 +84,23 @@ def running_total(df: DataFrame, key: str, ts: str, value: str, out: str,
     return j.withColumn(out, F.col("_off") + F.col("_in")).drop("_chunk", "_in", "_off")
 
 
-def previous_time(df: DataFrame, key: str, ts: str, out: str, chunk: str = CHUNK) -> DataFrame:
-    """``out`` = the previous ``ts`` of the same key (NULL for the first)."""
-    c = F.date_trunc(chunk, ts)
-    last = df.groupBy(key, c.alias("_chunk")).agg(F.max(ts).alias("_last"))
-    w1 = Window.partitionBy(key).orderBy("_chunk")
-    prev_chunk = last.select(key, "_chunk", F.lag("_last").over(w1).alias("_prev_chunk"))
-    w2 = Window.partitionBy(key, "_chunk").orderBy(ts)
-    inner = df.withColumn("_chunk", c).withColumn("_prev_in", F.lag(ts).over(w2))
-    j = inner.join(prev_chunk, [key, "_chunk"], "inner")
-    return j.withColumn(out, F.coalesce("_prev_in", "_prev_chunk")).drop("_chunk", "_prev_in", "_prev_chunk")
-
-
 def reading_anomalies(readings: DataFrame, spike: float = 5.0, cadence_hours: float = 1.0,
                       only_flagged: bool = True) -> DataFrame:
     """Flag gaps (more than ``cadence_hours`` since the meter's previous
     reading), zero consumption and spikes (>= ``spike`` x the meter's mean)."""
     src = readings.where(F.col("meter_id").isNotNull() & F.col("timestamp").isNotNull())
-    p = previous_time(src, "meter_id", "timestamp", "_prev")
-    means = src.groupBy("meter_id").agg(F.avg("consumption_kwh").alias("_mean"))
-    j = p.join(means, "meter_id", "inner")
+    c = F.date_trunc(CHUNK, "timestamp")
+    # one row per meter and day: the day before's last reading and the meter's mean
+    every, upto = Window.partitionBy("meter_id"), Window.partitionBy("meter_id").orderBy("_chunk")
+    days = (src.groupBy("meter_id", c.alias("_chunk"))
+            .agg(F.max("timestamp").alias("_last"), F.sum("consumption_kwh").alias("_s"),
+                 F.count("consumption_kwh").alias("_n"))
+            .select("meter_id", "_chunk", F.lag("_last").over(upto).alias("_before"),
+                    F.sum("_s").over(every).alias("_s"), F.sum("_n").over(every).alias("_n"))
+            .withColumn("_mean", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n"))).drop("_s", "_n"))
+    within = Window.partitionBy("meter_id", "_chunk").orderBy("timestamp")
+    j = (src.withColumn("_chunk", c).withColumn("_in", F.lag("timestamp").over(within))
+         .join(days, ["meter_id", "_chunk"], "inner").withColumn("_prev", F.coalesce("_in", "_before")))
     gap_h = (F.unix_micros("timestamp") - F.unix_micros("_prev")) / 3.6e9
     out = j.select(
         "meter_id", "timestamp", "consumption_kwh", F.round(gap_h, 4).alias("gap_hours"),
