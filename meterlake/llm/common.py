@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake.session import scratch_path
 
+SPACES = " \t\n\x0b\x0c\r"
 _SPACE_RUN = "[ \\t-\\r]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -36,7 +37,8 @@ def text_of(column: str = "text") -> Column:
 
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order."""
-    return F.filter(F.split(text, _SPACE_RUN), lambda w: w != "")
+    inner = F.trim(text, F.lit(SPACES))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, _SPACE_RUN))
 
 
 def ascii_lower(text: Column) -> Column:
@@ -49,6 +51,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a materialised table of narrow rows) with a broadcast hint if it
     has at most ``rows`` rows; beyond that the planner shuffles."""

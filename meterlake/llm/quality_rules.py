@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import let, materialise, small, text_of, words_of
+from meterlake.llm.common import fresh, let, materialise, small, text_of, words_of
 
 # Character classes, as the regular expressions that match a run of each; what
 # is left after all of them is the last class.
-CHAR_CLASSES = ("[a-z]+", "[ \\t-\\r]+", "[A-Z]+", "[.,;:!?'\"()-]+", "[0-9]+", "[#*$%&|<>]+", "[\\x00-\\x7F]+")
-SYMBOLS = "[^#*$%&|<>]+"
+SPACE_RUN, SYMBOLS = "[ \\t-\\r]+", "[#*$%&|<>]+"
+CHAR_CLASSES = ("[a-z]+", SPACE_RUN, "[A-Z]+", "[.,;:!?'\"()-]+", "[0-9]+", SYMBOLS, "[\\x00-\\x7F]+")
 WINDOW = 5
+# A run of what is neither a lower-case letter nor beyond ASCII.
+NO_LETTERS = "[\\x00-`{-\\x7F]+"
 
 
 @dataclass(frozen=True)
@@ -44,17 +46,10 @@ class Rules:
     min_reference_words: int = 1000
 
 
-def base_counts(text: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
-    words = words_of(text)
+def line_repeats(text: Column) -> Column:
+    """Lines with a word that equal an earlier line."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
-    return {
-        "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, F.lit("[ \\t-\\r]+"), F.lit(""))).cast("long"),
-        "n_symbols": F.length(F.regexp_replace(text, F.lit(SYMBOLS), F.lit(""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": let(words, _repeat_words).cast("long"),
-    }
+    return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
 def _repeat_words(words: Column) -> Column:
@@ -92,8 +87,19 @@ def char_classes(text: Column) -> Column:
 
 
 def letter_words(text: Column) -> Column:
-    """Lower-case words made of letters only."""
-    return F.filter(F.split(F.lower(text), "[^\\p{L}]+"), lambda w: w != "")
+    """Lower-case runs of letters: a-z and all that is not ASCII."""
+    return F.filter(F.split(F.lower(text), NO_LETTERS), lambda w: w != "")
+
+
+def spaced_letter_words(text: Column) -> Column:
+    """``letter_words`` in one string, a space before and one after each."""
+    inner = F.trim(F.regexp_replace(F.lower(text), F.lit(NO_LETTERS), F.lit("  ")))
+    return let(inner, lambda x: F.when(x == "", F.lit("")).otherwise(F.concat(F.lit(" "), x, F.lit(" "))))
+
+
+def _spaced_words(spaced: Column) -> Column:
+    """Words of such a string: half of its spaces."""
+    return ((F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))) / 2).cast("int")
 
 
 def language_references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -143,34 +149,46 @@ def quality(docs: DataFrame, rules: Rules = Rules(), references: DataFrame | Non
     """
     refs = references if references is not None else language_references(docs, rules)
     refs = small(materialise(refs, "quality-refs"))
+    names = ["ref_lang", "ref_chars", "ref_words", "ref_shares", "ref_total", "text_words", "text_classes", "text_length"]
+    lang, chars_of, words_ref, shares_of, total_of, in_words, classes, size = own = fresh(docs, *names)
+    refs = refs.select(*[F.col(a).alias(b) for a, b in zip(names[:5], own)])
     text = text_of()
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
            "base_failed", "char_distance", "word_distance", "kept"]
-    out = docs.drop(*new, "ref_lang", "ref_chars", "ref_words", "ref_shares", "ref_total")
+    out = docs.drop(*new)
     columns = out.columns
-    out = out.join(refs, F.col("lang").cast("string").eqNullSafe(F.col("ref_lang")), "left")
-    for name, value in base_counts(text).items():
-        out = out.withColumn(name, value)
+    out = out.join(refs, F.col("lang").cast("string").eqNullSafe(F.col(lang)), "left")
+    of_words = let(words_of(text), lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("repeat")))
+    out = out.withColumns({in_words: of_words, classes: char_classes(text), size: F.length(text)})
+    out = out.withColumns({
+        "n_words": F.col(in_words)["n"].cast("long"),
+        "word_chars": (F.col(size) - F.col(classes)[CHAR_CLASSES.index(SPACE_RUN)]).cast("long"),
+        "n_symbols": F.col(classes)[CHAR_CLASSES.index(SYMBOLS)].cast("long"),
+        "n_dup_lines": line_repeats(text).cast("long"),
+        "n_repeat_words": F.col(in_words)["repeat"].cast("long")})
     failed = ((F.col("n_words") < rules.min_words)
               | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent))
-    referred = F.coalesce(F.col("ref_total"), F.lit(0)) >= rules.min_reference_words
+    referred = F.coalesce(F.col(total_of), F.lit(0)) >= rules.min_reference_words
 
     def shares(counts: Column, total: Column) -> Column:
         return F.transform(counts, lambda c: c / total)
 
-    chars = F.when(referred & (F.length(text) >= rules.min_chars),
-                   js_distance(shares(char_classes(text), F.length(text)), F.col("ref_chars")))
+    chars = F.when(referred & (F.col(size) >= rules.min_chars),
+                   js_distance(shares(F.col(classes), F.col(size)), F.col(chars_of)))
 
-    def word_distance(words: Column) -> Column:
-        common = F.filter(words, lambda w: F.array_contains(F.col("ref_words"), w))
-        counts = let(common, lambda c: F.concat(
-            F.transform("ref_words", lambda r: F.size(F.filter(c, lambda w: w == r))),
-            F.array(F.size(words) - F.size(c))))
-        return F.when(F.size(words) >= rules.min_letters_words,
-                      js_distance(shares(counts, F.size(words)), F.col("ref_shares")))
+    def word_distance(spaced: Column) -> Column:
+        # take out one reference word after another; what is left is "any other"
+        total = _spaced_words(spaced)
+        start = F.struct(spaced.alias("rest"), F.array().cast("array<int>").alias("counts"))
+        counts = F.aggregate(words_ref, start, lambda a, r: let(
+            F.replace(a["rest"], F.concat(F.lit(" "), r, F.lit(" ")), F.lit("")), lambda rest: F.struct(
+                rest.alias("rest"), F.concat(a["counts"], F.array(
+                    ((F.octet_length(a["rest"]) - F.octet_length(rest)) / (F.octet_length(r) + 2)).cast("int"))).alias("counts"))),
+            lambda a: F.concat(a["counts"], F.array(_spaced_words(a["rest"]))))
+        return let(total, lambda n: F.when(n >= rules.min_letters_words, js_distance(shares(counts, n), F.col(shares_of))))
 
     out = (out.withColumn("base_failed", failed).withColumn("char_distance", chars)
-           .withColumn("word_distance", F.when(referred, let(letter_words(text), word_distance))))
+           .withColumn("word_distance", F.when(referred, let(spaced_letter_words(text), word_distance))))
     off = (F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False))
            | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))
     return out.withColumn("kept", ~F.col("base_failed") & ~off).select(*columns, *new)
