@@ -132,7 +132,8 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_lm_scoring")
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return suffix_tree.score(docs, suffix_tree.train(docs)).select(
+    blocks = suffix_tree.encode(docs)
+    return suffix_tree.score(docs, suffix_tree.train(docs, blocks=blocks), blocks=blocks).select(
         "doc_id", (~suffix_tree.in_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known",
         "train_tokens", "base_score", "score")
 

@@ -171,3 +171,16 @@ def test_scoring_odd_rows(spark, odd, odd_rows, empty):
     assert suffix_tree.score(empty, suffix_tree.train(empty)).count() == 0
     alone = suffix_tree.score(odd, suffix_tree.train(empty)).collect()
     assert len(alone) == len(odd_rows) and all(r.n_known == 0 and r.train_tokens == 0 for r in alone)
+
+
+def test_a_phrase_is_learned_whatever_its_share(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefghij") for _ in range(1000))) for i in range(150)]
+    rows += [(1000 + i, "one rare phrase") for i in range(9)]  # less than 1e-4 of the tokens
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = suffix_tree.train(docs)
+    learned = sum(zlib.crc32(str(1000 + i).encode()) % 7 != 2 for i in range(9))
+    assert suffix_tree.MIN_CONTEXT <= learned < 1e-4 * model.train_tokens
+    got = suffix_tree.score(spark.createDataFrame([(1, "rare phrase")], "doc_id long, text string"), model).first()
+    want = math.log10((learned + 1) / 10 ** model.total) + 2 * math.log10((learned - 0.5) / learned)
+    assert math.isclose(got.score, want, rel_tol=1e-9) and got.score > got.base_score + 3
