@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -191,6 +192,44 @@ def test_repeated_lines_leave_the_text(spark, odd):
     assert line_dedup.dedup_lines(odd).columns == odd.columns
 
 
+def test_near_copies_grow_with_the_line(spark):
+    rng = random.Random(12)
+    rules = line_dedup.NEAR
+    vocabulary = ["".join(rng.choice("abcdefghé") for _ in range(rng.randrange(2, 9))) for _ in range(60)]
+    roots = [[rng.choice(vocabulary) for _ in range(n)] for n in (2, 2, 3, 3, 8, 20, 40, 90)] + [["".join(rng.choice("漢字語文") for _ in range(80))]]
+    lines = set()
+    for root in roots:
+        for _ in range(7):
+            line = list(root)
+            for _ in range(rng.randrange(max(2, len(root) // 8))):
+                line[rng.randrange(len(line))] = rng.choice(vocabulary)
+            lines.add(changed(rng, " ".join(line), rng.randrange(9 if len(root) == 1 else 3)))
+            lines.add(" ".join(root))
+    lines = sorted(x for x in lines if x.strip())
+
+    def shingles(line):
+        words = re.findall(r"[^ \t-\r]+", line)
+        few = len(line) > 20 * len(words)
+        return {line[i:i + 12] for i in range(len(line) - 11)} if few else {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+
+    def linked(a, b):
+        shorter, longer = sorted((len(a), len(b)))
+        if shorter < 8 or longer - shorter > max(2, longer // 10):
+            return False
+        d, x, y = distance(a, b), shingles(a), shingles(b)
+        if shorter < rules.min_chars:
+            return d <= 1
+        return d <= 2 or d <= math.floor(0.1 * longer) and 2 * len(x & y) >= max(len(x), len(y), 1)
+
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in line_dedup.line_classes(docs).collect()}
+    want = {i: sum(linked(x, y) for y in lines if y != x) for i, x in enumerate(lines)}
+    assert got == want
+    more = [(x, y) for x in lines for y in lines if x < y and linked(x, y) and distance(x, y) > 2]
+    few = [(x, y) for x in lines for y in lines if x < y and linked(x, y) and len(x) < rules.min_chars]
+    assert len(more) > 20 and few
+
+
 def test_bad_rules_are_refused():
     with pytest.raises(ValueError):
         line_dedup.Rules(max_edits=2, min_chars=8)
