@@ -2,7 +2,8 @@
 
 A document's histogram of character classes and of its language's most common
 words is held against the language's own reference histograms (over all
-documents) by Jensen-Shannon distance.  Short documents, and languages with too
+documents) by Jensen-Shannon distance.  The limits are fixed or taken from the
+distances of all documents.  Short documents, and languages with too
 little text, are not judged by a histogram that says little: see the minimum
 lengths of ``Rules``.
 """
@@ -35,6 +36,10 @@ class Rules:
     max_char_distance, max_word_distance: Jensen-Shannon distances (0 to 1).
     min_chars, min_letters_words: a document with fewer is not judged by the distance.
     min_reference_words: a language with fewer words in the corpus has no reference.
+    spread: if not None, the limits are also taken from the distances of all documents
+    of the language that are about as long (words, to a power of two): the third
+    quartile and so many quartile distances, of ``least_spread`` at least.  Groups of
+    fewer than min_documents take the language's limit, or else the fixed one.
     """
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -44,6 +49,15 @@ class Rules:
     min_chars: int = 200
     min_letters_words: int = 60
     min_reference_words: int = 1000
+    spread: float | None = None
+    least_spread: float = 0.01
+    min_documents: int = 20
+
+
+# Far-out fences: the limits of a verdict unless a caller says otherwise.
+FENCES = Rules(spread=3.0)
+# Distances are counted in bins, so that quartiles need no sort and no sketch.
+BINS = 4096
 
 
 def line_repeats(text: Column) -> Column:
@@ -139,7 +153,42 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(each, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def quality(docs: DataFrame, rules: Rules = Rules(), references: DataFrame | None = None) -> DataFrame:
+def _band() -> Column:
+    return F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")
+
+
+def distance_limits(judged: DataFrame, rules: Rules) -> DataFrame:
+    """lang, band (-1: the whole language), char_limit, word_limit (null where too few
+    documents have the distance) from the distances of ``judged``."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_distance").alias("x")) for kind in ("char", "word")]))
+    bins = judged.select(F.col("lang").cast("string").alias("lang"), _band().alias("band"), pairs.alias("p")).filter("p.x is not null")
+    bins = materialise(bins.groupBy("lang", "band", F.col("p.kind").alias("kind"), F.floor(F.col("p.x") * BINS).cast("int").alias("bin"))
+                       .agg(F.count(F.lit(1)).alias("n")), "quality-distances")
+    whole = bins.groupBy("lang", F.lit(-1).alias("band"), "kind", "bin").agg(F.sum("n").alias("n"))
+    group = W.partitionBy("lang", "band", "kind")
+    ranked = bins.unionByName(whole).withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bin")))
+    quartiles = ranked.filter(F.col("total") >= rules.min_documents).groupBy("lang", "band", "kind").agg(
+        *[(F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("bin"))) / BINS).alias(f"q{k}") for k in (1, 3)])
+    limit = F.col("q3") + F.lit(1 / BINS) + rules.spread * F.greatest(F.col("q3") - F.col("q1"), F.lit(rules.least_spread))
+    return quartiles.groupBy("lang", "band").agg(
+        *[F.max(F.when(F.col("kind") == kind, limit)).alias(f"{kind}_limit") for kind in ("char", "word")])
+
+
+def _limited(judged: DataFrame, rules: Rules) -> tuple[DataFrame, Column, Column]:
+    """``judged`` with its limits joined, and these."""
+    limits = materialise(distance_limits(judged, rules), "quality-limits")
+    found = {"char": [F.lit(rules.max_char_distance)], "word": [F.lit(rules.max_word_distance)]}
+    for own in (False, True):
+        names = fresh(judged, "limit_lang", "limit_band", "char_limit", "word_limit")
+        some = small(limits.filter(F.col("band") >= 0 if own else F.col("band") < 0).toDF(*names))
+        same = F.col("lang").cast("string").eqNullSafe(F.col(names[0]))
+        judged = judged.join(some, same & (_band() == F.col(names[1])) if own else same, "left")
+        for kind, name in zip(found, names[2:]):
+            found[kind].insert(0, F.col(name))
+    return judged, *(F.least(F.coalesce(*found[kind]), found[kind][-1]) for kind in ("char", "word"))
+
+
+def quality(docs: DataFrame, rules: Rules = FENCES, references: DataFrame | None = None) -> DataFrame:
     """Add the base counts, base_failed, char_distance, word_distance (null where
     a guard holds) and ``kept``; the columns of ``docs`` stay as they are.
 
@@ -189,6 +238,9 @@ def quality(docs: DataFrame, rules: Rules = Rules(), references: DataFrame | Non
 
     out = (out.withColumn("base_failed", failed).withColumn("char_distance", chars)
            .withColumn("word_distance", F.when(referred, let(spaced_letter_words(text), word_distance))))
-    off = (F.coalesce(F.col("char_distance") > rules.max_char_distance, F.lit(False))
-           | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))
+    char_limit, word_limit = F.lit(rules.max_char_distance), F.lit(rules.max_word_distance)
+    if rules.spread is not None:
+        out, char_limit, word_limit = _limited(materialise(out.select(*columns, *new[:-1]), "quality-judged"), rules)
+    off = (F.coalesce(F.col("char_distance") > char_limit, F.lit(False))
+           | F.coalesce(F.col("word_distance") > word_limit, F.lit(False)))
     return out.withColumn("kept", ~F.col("base_failed") & ~off).select(*columns, *new)

@@ -92,7 +92,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 @register("op10_quality_rules", QUALITY_SQL)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(read_table(spark, sf_dir, "documents")).select(
+    return quality_rules.quality(read_table(spark, sf_dir, "documents"), quality_rules.Rules()).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
 

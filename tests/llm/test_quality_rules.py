@@ -1,11 +1,13 @@
+import random
 import re
 from collections import Counter
+from dataclasses import replace
 
 import duckdb
 import pytest
 
 from meterlake.llm import queries
-from meterlake.llm.quality_rules import Rules, quality
+from meterlake.llm.quality_rules import FENCES, Rules, quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,6 +64,23 @@ def test_junk_diverges_and_clean_text_stays(spark):
     assert all(got[i].kept for i in range(200))
 
 
+def test_word_distance_alone_rejects_junk_and_keeps_clean_text(spark):
+    rng = random.Random(4)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(20)]
+    rare = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+
+    def text(share):
+        return " ".join(rng.choice(common) if rng.random() < share else rng.choice(rare) for _ in range(150))
+    rows = [(i, text(0.35), "en") for i in range(300)] + [(1000 + i, text(0.0), "en") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rules = replace(FENCES, min_chars=10**9)  # the characters say nothing
+    got = {r.doc_id: r for r in quality(docs, rules).collect()}
+    junk = [got[1000 + i] for i in range(8)]
+    assert not any(r.kept or r.base_failed for r in junk)
+    assert all(r.char_distance is None and r.word_distance < Rules().max_word_distance for r in junk)
+    assert all(got[i].kept for i in range(300))
+
+
 def test_empty_table(empty):
     assert quality(empty).count() == 0
 
