@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import fresh, materialise
+from meterlake.llm.common import fresh, materialise, text_of
 from meterlake.llm.graph import components
 
 SHINGLE = 4
@@ -55,12 +55,13 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed 64-bit number) of every row."""
+    """doc_id, fp (the fingerprint as a signed 64-bit number), text_hash of every row."""
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([simhash(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_column).alias("doc_id"), of(F.col(text_column).cast("string")).alias("fp"))
+    return docs.select(F.col(id_column).alias("doc_id"), of(F.col(text_column).cast("string")).alias("fp"),
+                       F.xxhash64(text_of(text_column)).alias("text_hash"))
 
 
 def block_layout(blocks: int) -> list[tuple[int, int]]:
@@ -141,7 +142,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """doc_id, fp, component_id (least id that links reach, itself included), root
-    (a fingerprint naming the component) of every row.
+    (a fingerprint naming the component), text_hash of every row.
 
     Null texts count as empty; all texts without a word have fingerprint zero and
     are linked like any other.  Null ids are not an id: they get their component's,
@@ -156,20 +157,26 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     least = member.groupBy(F.col("root").alias("_root")).agg(F.min("first_id").alias("component_id"))
     groups = (member.join(least, F.col("root") == F.col("_root"))
               .select(F.col("fp").alias("_fp"), "root", "component_id"))
-    return found.join(groups, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "root")
+    return found.join(groups, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "root", "text_hash")
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` that stay if of each group the one with the least id
-    does.  Of rows that share this id one stays; of a group without any id, one."""
-    own, = fresh(docs, "group_id")
+    does.  Of rows that share this id one stays; of a group without any id, one.
+    A decision holds for an id and a text, so rows of other texts with the same id,
+    or without one, are not touched by it."""
+    own, text = fresh(docs, "group_id", "group_text")
     groups = materialise(near_duplicates(docs, id_column, text_column, **options), "simhash-groups")
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own))
-    same = F.col(id_column).eqNullSafe(F.col(own))
-    kept = docs.join(gone, same, "left_anti")
-    repeated = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).count()
-                .filter("count > 1").select(own))
+    first = groups.groupBy(F.col("root").alias("_root")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    judged = groups.join(first, F.col("root") == F.col("_root")).select(
+        F.col("doc_id").alias(own), F.col("text_hash").alias(text), stays.alias("stays"))
+    judged = materialise(judged, "simhash-judged")
+    same = F.col(id_column).eqNullSafe(F.col(own)) & (F.xxhash64(text_of(text_column)) == F.col(text))
+    kept = docs.join(judged.filter(~F.col("stays")).select(own, text), same, "left_anti")
+    repeated = judged.filter("stays").groupBy(own, text).count().filter("count > 1").select(own, text)
     if repeated.isEmpty():
         return kept
-    few = kept.join(repeated, same, "left_semi").dropDuplicates([id_column])
+    few = kept.join(repeated, same, "inner").dropDuplicates([own, text]).select(*docs.columns)
     return kept.join(repeated, same, "left_anti").union(few)

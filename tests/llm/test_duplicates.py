@@ -230,6 +230,19 @@ def test_near_copies_grow_with_the_line(spark):
     assert len(more) > 20 and few
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_apart(spark):
+    words = [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(4)]
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame([(1, words[0]), (None, words[0]), (None, words[1]), (None, words[2]), (None, words[2]),
+                                  (7, words[3]), (7, words[0])], schema)
+    got = sorted((tuple(r) for r in simhash.keep_one(docs).collect()), key=str)
+    assert got == sorted([(1, words[0]), (None, words[1]), (None, words[2]), (7, words[3])], key=str)
+    docs = spark.createDataFrame([(1, "a line that is shared"), (None, "some first line\na line that is shared"),
+                                  (None, "another beginning\nunlike all others here")], schema)
+    got = sorted(r.text for r in line_dedup.dedup_lines(docs).collect())
+    assert got == ["a line that is shared", "another beginning\nunlike all others here", "some first line"]
+
+
 def test_bad_rules_are_refused():
     with pytest.raises(ValueError):
         line_dedup.Rules(max_edits=2, min_chars=8)
