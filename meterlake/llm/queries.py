@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import (
-    byte_bpe, html_extraction, line_dedup, packing, quality_rules, sharding, simhash, suffix_tree,
-    toxicity, weighted_fingerprints,
+    byte_bpe, html_extraction, line_dedup, packing, prefix_trie, quality_rules, sharding, simhash,
+    suffix_tree, toxicity, weighted_fingerprints,
 )
 from meterlake.llm.common import read_table
 
@@ -141,3 +141,36 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(read_table(spark, sf_dir, "documents"))
+
+
+# crc is a table of the 256 steps of CRC-32 (polynomial 0xEDB88320).
+TRIE_SQL = r"""
+WITH crc AS (SELECT list(c ORDER BY b) AS steps FROM (
+       SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+       FROM (SELECT CAST(range AS BIGINT) AS b FROM range(256)))),
+o AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+      [coalesce(role, ''), coalesce(text, '')] AS said FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, c - c % 20 AS lender,
+       xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+                       lambda x, y: xor(x >> 8, steps[(xor(x, y) & 255) + 1])), 4294967295) % 4 AS h
+       FROM (SELECT DISTINCT c FROM o), crc),
+lent AS (SELECT cs.c, pos, said FROM cs JOIN o ON o.c = cs.lender AND pos < h),
+k AS (SELECT c, count(*) AS n FROM lent GROUP BY c),
+turns AS (SELECT c, pos, said FROM lent
+          UNION ALL SELECT o.c, pos - h + coalesce(n, 0), said FROM o JOIN cs USING (c) LEFT JOIN k USING (c) WHERE pos >= h),
+whole AS (SELECT c, coalesce(any_value(s), []) AS s FROM cs LEFT JOIN (SELECT c, list(said ORDER BY pos) AS s FROM turns GROUP BY c) USING (c) GROUP BY c),
+nodes AS (SELECT s[1:d] AS p, d, s[1:greatest(d - 1, 0)] AS q, min(c) AS conv_id, count(*) AS n_convs,
+          len(list_filter(string_split_regex(coalesce(any_value(s[d][2]), ''), '[ \t-\r]+'), lambda w: w <> '')) AS words
+          FROM whole, range(0, len(s) + 1) AS x(d) GROUP BY ALL),
+kids AS (SELECT q AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY q),
+trees AS (SELECT p[1:e] AS p, sum((n_convs - 1) * words) AS saved, count(*) FILTER (WHERE kids.n IS NULL) AS leaves
+          FROM nodes LEFT JOIN kids USING (p), range(0, d + 1) AS x(e) GROUP BY 1),
+ends AS (SELECT s AS p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM whole GROUP BY s)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, b.conv_id AS parent_conv_id, a.n_convs, CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM nodes a JOIN trees USING (p) LEFT JOIN nodes b ON a.d > 0 AND b.p = a.q LEFT JOIN kids ON kids.p = a.p LEFT JOIN ends ON ends.p = a.p"""
+
+
+@register("op11_conversation_trie", TRIE_SQL)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
