@@ -30,6 +30,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``materialise`` or a like writer made, when nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_of(column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import (
-    byte_bpe, html_extraction, line_dedup, packing, prefix_trie, quality_rules, sharding, simhash,
-    suffix_tree, toxicity, weighted_fingerprints,
+    byte_bpe, centroids, html_extraction, line_dedup, packing, prefix_trie, quality_rules,
+    sharding, simhash, suffix_tree, toxicity, weighted_fingerprints,
 )
 from meterlake.llm.common import read_table
 
@@ -174,3 +174,30 @@ FROM nodes a JOIN trees USING (p) LEFT JOIN nodes b ON a.d > 0 AND b.p = a.q LEF
 @register("op11_conversation_trie", TRIE_SQL)
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, size: int = 64, seed: int = 3) -> str:
+    """Plain k-means on integers, a few steps for each round."""
+    steps = [f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+       FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+x AS MATERIALIZED (SELECT rid, unnest(range(0, {size})) AS i, unnest(v) AS x FROM e),
+c0 AS MATERIALIZED (SELECT k, unnest(range(0, {size})) AS i, unnest(v) AS y FROM (
+       SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) - 1 AS k, v FROM e WHERE vec_id IS NOT NULL) WHERE k < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT rid, k, d FROM (SELECT rid, k, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d FROM x JOIN c{r} USING (i) GROUP BY rid, k)
+       QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, k) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (SELECT k, i, CASE WHEN n IS NULL THEN y ELSE CAST((s - (s % n + n) % n) // n AS BIGINT) END AS y FROM c{r}
+       LEFT JOIN (SELECT k, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN x USING (rid) GROUP BY k, i) USING (k, i))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN e USING (rid) JOIN (SELECT k, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k) USING (k)"""
+
+
+@register("op12_centroid_clustering", _clusters_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(read_table(spark, sf_dir, "embeddings"))
