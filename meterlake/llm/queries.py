@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm import (
     byte_bpe, centroids, html_extraction, line_dedup, packing, prefix_trie, quality_rules,
-    sharding, simhash, suffix_tree, toxicity, weighted_fingerprints,
+    secrets, sharding, simhash, suffix_tree, toxicity, weighted_fingerprints,
 )
 from meterlake.llm.common import read_table
 
@@ -201,3 +201,8 @@ FROM a{rounds} JOIN e USING (rid) JOIN (SELECT k, sha256(string_agg(CAST(y AS VA
 @register("op12_centroid_clustering", _clusters_sql())
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(read_table(spark, sf_dir, "documents")))
