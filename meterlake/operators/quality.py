@@ -1,8 +1,8 @@
 """Data-quality profiling and validation.
 
 All profiles are exact over all rows and computed in as few passes as
-possible: one aggregate for every per-column count, one for distincts, the
-quantile selection of :mod:`meterlake.operators.quantiles`.  Wide one-row
+possible: one aggregate for every per-column count, the two-stage distincts of
+:mod:`meterlake.operators.distincts`, the quantiles of :mod:`meterlake.operators.quantiles`.  Wide one-row
 results are turned long with ``stack`` on the one-row frame, never on data.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.operators.distincts import long_counts, with_distincts
 from meterlake.operators.joins import maybe_broadcast
 from meterlake.operators.quantiles import quantile_table
 
@@ -136,18 +137,25 @@ def rule_violations(df: DataFrame, rules: dict, table: str) -> DataFrame:
 
 
 def schema_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Per column: type, non-null, null and distinct counts."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    cols = df.columns
-    one = df.agg(F.count(F.lit(1)).alias("_n"),
-                 *[F.count(c).alias(f"nn__{c}") for c in cols],
-                 *[distinct(c).alias(f"u__{c}") for c in cols])
-    types = dict(df.dtypes)
-    parts = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                      F.col(f"nn__{c}").cast("long").alias("non_null"),
-                      (F.col("_n") - F.col(f"nn__{c}")).cast("long").alias("nulls"),
-                      F.col(f"u__{c}").cast("long").alias("n_unique")) for c in cols]
-    return one.select(F.explode(F.array(*parts)).alias("_s")).select("_s.*")
+    """Per column: type, non-null, null and distinct counts.  Exact ones come from
+    one (column, value) count; ``approx`` keeps a sketch per column instead."""
+    cols, types = df.columns, dict(df.dtypes)
+    if approx:
+        one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"nn__{c}") for c in cols],
+                     *[F.approx_count_distinct(c).alias(f"u__{c}") for c in cols])
+        parts = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
+                          F.col(f"nn__{c}").cast("long").alias("non_null"),
+                          (F.col("_n") - F.col(f"nn__{c}")).cast("long").alias("nulls"),
+                          F.col(f"u__{c}").cast("long").alias("n_unique")) for c in cols]
+        return one.select(F.explode(F.array(*parts)).alias("_s")).select("_s.*")
+    per = long_counts(df, cols).groupBy("_i").agg(
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).alias("non_null"),
+        F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0)).alias("nulls"), F.count("_v").alias("n_unique"))
+    names = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(types[c]).alias("dtype")) for i, c in enumerate(cols)]))
+    every = df.sparkSession.range(1).select(names.alias("_s")).select("_s.*")
+    none = F.lit(0).cast("long")
+    return every.join(per, F.col("i") == F.col("_i"), "left").select(
+        "column", "dtype", *[F.coalesce(c, none).alias(c) for c in ("non_null", "nulls", "n_unique")])
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
@@ -165,25 +173,33 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """``bins`` equal-width bins over [min, max]; the maximum goes to the last
-    bin.  Every bin is returned (count 0 when empty), so counts sum to the
-    number of non-null values."""
+    """``bins`` equal-width bins over [min, max] of the finite values; the maximum goes
+    to the last bin.  Every bin is returned (count 0 when empty).  Infinite values have
+    no place on that scale: if there are any, they are counted in bin -1 (below
+    ``lower`` of the first) and bin ``bins`` (above ``upper`` of the last), so counts
+    always sum to the number of non-null values."""
     x = F.col(column).cast("double")
     clean = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    mm = clean.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()[0]
+    finite = F.when(F.abs("x") != float("inf"), F.col("x"))
+    mm = clean.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"), F.count_if(F.col("x") == float("-inf")).alias("below"),
+                   F.count_if(F.col("x") == float("inf")).alias("above")).collect()[0]
     lo, hi = mm["lo"], mm["hi"]
     spark = df.sparkSession
+    ends = [(-1, float("-inf"), lo, mm["below"])] * (mm["below"] > 0) + [(bins, hi, float("inf"), mm["above"])] * (mm["above"] > 0)
+    outer = spark.createDataFrame(ends, "bin int, lower double, upper double, n long")
     if lo is None:
-        return spark.createDataFrame([], "bin int, lower double, upper double, n long")
-    width = (hi - lo) / bins if hi > lo else 0.0
-    b = (F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-         if width > 0 else F.lit(0))
-    counts = clean.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        return outer
+    # by halves: the span of two finite doubles may not be one
+    step = (hi / 2 - lo / 2) / bins
+    b = F.least(F.floor((F.col("x") / 2 - F.lit(lo / 2)) / F.lit(step)), F.lit(bins - 1)).cast("int") if step > 0 else F.lit(0)
+    width = 2 * step
+    counts = clean.where(F.abs("x") != float("inf")).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     j = all_bins.join(counts, "bin", "left")
-    return j.select("bin", _r(F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
-                    _r(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")).orderBy("bin")
+    inner = j.select("bin", _r(F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
+                     _r(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
+                     F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+    return (inner.union(outer) if ends else inner).orderBy("bin")
 
 
 def box_stats(df: DataFrame, column: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
@@ -241,31 +257,39 @@ def column_check(df: DataFrame, kind: str) -> list[str]:
 def validate(df: DataFrame, kind: str) -> DataFrame:
     """Validation report (check, value, status) over all rows.
 
-    Two passes: one aggregate for counts, nulls, rules, distincts, ranges and
-    means; one two-stage count for duplicate keys."""
+    Two passes: one two-stage aggregate for counts, nulls, rules, distincts, ranges
+    and means; one two-stage count for duplicate keys."""
     spark = df.sparkSession
     missing = column_check(df, kind)
     rules = BILL_RULES if kind == "bills" else READING_RULES
-    checks: list[tuple[str, Column, str]] = [("rows", F.count(F.lit(1)), "info")]
+    aggs: dict[str, tuple[str, Column, str]] = {"rows": ("sum", F.lit(1), "info")}
     for c in CRITICAL[kind]:
         if c in df.columns:
-            checks.append((f"nulls:{c}", F.count_if(F.col(c).isNull()), "zero"))
+            aggs[f"nulls:{c}"] = ("sum", F.col(c).isNull().cast("int"), "zero")
     for name, cond in rules.items():
-        checks.append((f"rule:{name}", F.count_if(cond()), "zero"))
-    for c in ("meter_id", "division", "subdivision"):
-        checks.append((f"distinct:{c}", F.count_distinct(c), "info"))
+        aggs[f"rule:{name}"] = ("sum", F.coalesce(cond(), F.lit(False)).cast("int"), "zero")
+    distincts = [c for c in ("meter_id", "division", "subdivision") if c in df.columns]
     time_col = "billing_month" if kind == "bills" else "timestamp"
-    checks.append(("min:" + time_col, F.unix_micros(F.min(time_col)) / 1e6, "info"))
-    checks.append(("max:" + time_col, F.unix_micros(F.max(time_col)) / 1e6, "info"))
+    aggs["min:" + time_col] = ("min", F.unix_micros(time_col), "info")
+    aggs["max:" + time_col] = ("max", F.unix_micros(time_col), "info")
     means = ["consumption_kwh", "total_amount"] if kind == "bills" else [
         "consumption_kwh", "voltage", "current_amp"]
     for c in means:
-        checks.append((f"mean:{c}", F.round(F.avg(c), 4), "info"))
-    one = df.agg(*[e.cast("double").alias(f"c{i}") for i, (_, e, _) in enumerate(checks)])
-    parts = [F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("value"),
-                      (F.when(F.col(f"c{i}") == 0, "ok").otherwise("fail") if kind_ == "zero"
-                       else F.lit("info")).alias("status"))
-             for i, (n, _, kind_) in enumerate(checks)]
+        aggs[f"sum:{c}"] = ("sum", F.col(c), "")
+        aggs[f"count:{c}"] = ("sum", F.col(c).isNotNull().cast("int"), "")
+    one = with_distincts(df, distincts, {n: (how, value) for n, (how, value, _) in aggs.items()})
+    checks: list[tuple[str, Column, str]] = []
+    for n, (how, _, status) in aggs.items():
+        value = F.col(f"`{n}`")
+        if how == "sum" and n.split(":")[0] in ("rows", "nulls", "rule"):
+            checks.append((n, F.coalesce(value, F.lit(0)), status))
+        elif how in ("min", "max"):
+            checks.append((n, value / 1e6, status))
+    checks[-2:-2] = [(f"distinct:{c}", F.col(f"n_distinct_{c}"), "info") for c in distincts]
+    checks += [(f"mean:{c}", F.round(F.try_divide(F.col(f"`sum:{c}`"), F.col(f"`count:{c}`")), 4), "info") for c in means]
+    parts = [F.struct(F.lit(n).alias("check"), value.cast("double").alias("value"),
+                      (F.when(value == 0, "ok").otherwise("fail") if status == "zero" else F.lit("info")).alias("status"))
+             for n, value, status in checks]
     body = one.select(F.explode(F.array(*parts)).alias("_s")).select("_s.*")
     dup = duplicate_count(df, KEYS[kind]).select(
         F.lit("duplicates:" + ",".join(KEYS[kind])).alias("check"),

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterlake.operators.distincts import with_distincts
+
 # Month labels of the monthly trend.
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
                "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
@@ -30,13 +32,12 @@ def _sum0(c: str) -> Column:
 
 def overview(df: DataFrame, approx: bool = False) -> DataFrame:
     """Rows and distinct divisions / subdivisions / meters (one row)."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        distinct("division").alias("n_divisions"),
-        distinct("subdivision").alias("n_subdivisions"),
-        distinct("meter_id").alias("n_meters"),
-    )
+    columns = {"division": "n_divisions", "subdivision": "n_subdivisions", "meter_id": "n_meters"}
+    if approx:
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.approx_count_distinct(c).alias(n) for c, n in columns.items()])
+    one = with_distincts(df, list(columns), {"n_rows": ("sum", F.lit(1))})
+    return one.select(F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+                      *[F.col(f"n_distinct_{c}").alias(n) for c, n in columns.items()])
 
 
 def top_consumers(bills: DataFrame, n: int = 10) -> DataFrame:
@@ -179,13 +180,13 @@ def flag_distribution(readings: DataFrame) -> DataFrame:
 
 def table_statistics(df: DataFrame, name: str, time_col: str, approx: bool = False) -> DataFrame:
     """Rows, distinct meters / divisions / subdivisions and time range."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(
-        F.lit(name).alias("table_name"),
-        F.count(F.lit(1)).alias("n_rows"),
-        distinct("meter_id").alias("n_meters"),
-        distinct("division").alias("n_divisions"),
-        distinct("subdivision").alias("n_subdivisions"),
-        F.date_format(F.min(time_col), "yyyy-MM-dd HH:mm:ss").alias("min_time"),
-        F.date_format(F.max(time_col), "yyyy-MM-dd HH:mm:ss").alias("max_time"),
-    )
+    columns = {"meter_id": "n_meters", "division": "n_divisions", "subdivision": "n_subdivisions"}
+    if approx:
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(time_col).alias("first"), F.max(time_col).alias("last"),
+                     *[F.approx_count_distinct(c).alias(f"n_distinct_{c}") for c in columns])
+    else:
+        one = with_distincts(df, list(columns), {"n_rows": ("sum", F.lit(1)), "first": ("min", F.col(time_col)), "last": ("max", F.col(time_col))})
+    return one.select(
+        F.lit(name).alias("table_name"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+        *[F.col(f"n_distinct_{c}").alias(n) for c, n in columns.items()],
+        F.date_format("first", "yyyy-MM-dd HH:mm:ss").alias("min_time"), F.date_format("last", "yyyy-MM-dd HH:mm:ss").alias("max_time"))

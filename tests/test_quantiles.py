@@ -1,6 +1,7 @@
 import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from meterlake.operators import quantiles
 
@@ -39,8 +40,10 @@ def test_property_exact(spark, values, p):
     assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
 
 
-def test_heavy_tails_and_few_splits(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "SPLITS", 4)
+def test_heavy_tails_and_brackets_that_miss(spark, monkeypatch):
+    """A tiny sketch with a margin it cannot meet: brackets are widened until they hold."""
+    monkeypatch.setattr(quantiles, "SKETCH", 8)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.01)
     vals = [2.0 ** i for i in range(-200, 800, 3)] + [-(2.0 ** i) for i in range(0, 300, 7)] + [0.0] * 50
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.05, 0.25, 0.5, 0.75, 0.95]
@@ -59,6 +62,30 @@ def test_infinities_and_null_groups(spark):
     assert got["g", 0.5] == inf and got["h", 0.5] == 1.0 and got["h", 0.25] == -inf
 
 
+def test_large_groups_have_narrow_brackets(spark):
+    """The second scan keeps a small share of the values, and the result is exact."""
+    df = spark.range(300_000).selectExpr("id % 3 AS g", "cast((id * 7919) % 300007 AS double) AS x", "cast(id % 5 AS double) AS y")
+    src = quantiles._source(df, ["x", "y"], ["g"])
+    slots = [(0, 0.25), (0, 0.5), (1, 0.5)]
+    sketches = src.groupBy("k").agg(*[c for i in (0, 1) for c in (
+        F.count(f"v{i}").alias(f"n{i}"), F.kll_sketch_agg_double(f"v{i}", F.lit(quantiles.SKETCH)).alias(f"s{i}"))])
+    tally = quantiles._tally(src, quantiles._brackets(sketches, slots, quantiles.MARGIN), slots)
+    assert tally.where("x is not null and slot < 2").count() < 0.02 * 2 * 300_000
+    got = {(r.g, r.column, r.p): r.value for r in quantiles.exact_quantiles(df, ["x", "y"], [0.1, 0.25, 0.5, 0.999], by=["g"]).collect()}
+    rows = df.toPandas()
+    for (g, column, p), value in got.items():
+        assert value == _np(rows[rows.g == g][column], p)
+
+
+def test_a_stored_table_is_scanned_twice_and_not_written(spark, tmp_path):
+    spark.range(5000).selectExpr("cast(id AS double) AS x", "id % 4 AS g").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t")).where("g < 3")
+    assert quantiles._is_plain_scan(stored) and not quantiles._is_plain_scan(stored.distinct())
+    assert not quantiles._is_plain_scan(stored.join(stored.withColumnRenamed("x", "z"), "g"))
+    got = quantiles.exact_quantiles(stored, ["x"], [0.5], by=["g"]).collect()
+    assert {r.g: r.value for r in got} == {0: 2498.0, 1: 2499.0, 2: 2500.0}
+
+
 def test_input_is_evaluated_once_and_stays_in_spark(spark, monkeypatch):
     from pyspark.sql import DataFrame
     df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(500)], "x double, y double")
