@@ -626,15 +626,42 @@ def q_append_load(spark, sf_dir):
 
 
 @register("changed_files", O.with_("bills_typed", "readings_typed") + """
-SELECT DISTINCT 'bills' AS data_type, division, subdivision FROM bills_typed
-WHERE NOT (l_shipdate < TIMESTAMP '1998-01-01')
-UNION ALL
-SELECT DISTINCT 'readings', division, subdivision FROM readings_typed WHERE quality_flag <> 'OK'""")
+, batches AS (SELECT DISTINCT 'bills' AS data_type, division, subdivision, NOT (l_shipdate < TIMESTAMP '1998-01-01') AS late FROM bills_typed
+              UNION ALL SELECT DISTINCT 'readings', division, subdivision, quality_flag <> 'OK' FROM readings_typed)
+SELECT data_type, division, subdivision, bool_or(NOT late) AS known_files, bool_or(late) AS new_files
+FROM batches GROUP BY data_type, division, subdivision""")
 def q_changed_files(spark, sf_dir):
+    """Per folder: whether files that were known stayed out, and whether new ones are
+    picked (a folder may have either, both or, for the anti-join, files of both kinds)."""
     b = _batches(spark, sf_dir)
-    inv = frozen_inventory(spark, b.root, ["bills", "readings"], "hive")
-    ch = changed_files(inv, store.committed_manifest(spark, b.merged, as_of=b.first_run))
-    return ch.select("data_type", "division", "subdivision").distinct()
+    inv = file_inventory(spark, b.root, ["bills", "readings"], "hive")
+    picked = changed_files(inv, spark.read.parquet(b.known)).select(F.col("path").alias("picked"))
+    both = inv.join(picked, F.col("path") == F.col("picked"), "left")
+    return both.groupBy("data_type", "division", "subdivision").agg(
+        F.bool_or(F.col("picked").isNull()).alias("known_files"), F.bool_or(F.col("picked").isNotNull()).alias("new_files"))
+
+
+@register("load_rejects", O.with_("readings", "readings_typed") + """
+, subs AS (SELECT DISTINCT division, subdivision FROM readings_typed),
+  cnt AS (SELECT division, subdivision, count(*) AS c FROM readings GROUP BY 1, 2)
+SELECT s.division, s.subdivision, s.division = '3' AS rejected,
+       CASE WHEN s.division = '3' THEN 'missing columns: voltage' END AS reason,
+       CAST(CASE WHEN s.division = '3' THEN 0 ELSE coalesce(c.c, 0) END AS BIGINT) AS n_rows,
+       s.division <> '3' AS in_manifest
+FROM subs s LEFT JOIN cnt c USING (division, subdivision)""")
+def q_load_rejects(spark, sf_dir):
+    """Files without a needed column are reported, not loaded and not in the manifest;
+    all others are loaded."""
+    tree, target = staging.staged_rejects(spark, sf_dir)
+    keys = ["division", "subdivision"]
+    inv = file_inventory(spark, tree, ["readings"], "hive")
+    bad = store.load_rejects(spark, target).select("path", "reason")
+    known = store.committed_manifest(spark, target).select("path", F.lit(True).alias("known"))
+    files = inv.join(bad, "path", "left").join(known, "path", "left").groupBy(*keys).agg(
+        F.bool_or(F.col("reason").isNotNull()).alias("rejected"), F.max("reason").alias("reason"),
+        F.bool_or(F.coalesce("known", F.lit(False))).alias("in_manifest"))
+    rows = scan_silver(spark, target, "readings").groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    return files.join(rows, keys, "left").select(*keys, "rejected", "reason", F.coalesce("c", F.lit(0)).cast("long").alias("n_rows"), "in_manifest")
 
 
 @register("export_roundtrip", O.with_("bills_typed", "readings_typed") + """
@@ -851,9 +878,11 @@ def q_distinct_divisions(spark, sf_dir):
     return distinct_values([silver_bills(spark, sf_dir), silver_readings(spark, sf_dir)], "division")
 
 
-@register("sample_rows")
+@register("sample_rows", O.with_("bills") + """
+SELECT bill_id, meter_id, consumption_kwh, total_amount FROM bills
+WHERE substr(md5(concat_ws(chr(31), '42', coalesce(bill_id, chr(0)))), 1, 13) < '1999999999999'""")
 def q_sample_rows(spark, sf_dir):
-    return sample_rows(silver_bills(spark, sf_dir), 0.1, seed=42).select(
+    return sample_rows(silver_bills(spark, sf_dir), 0.1, ["bill_id"], seed=42).select(
         "bill_id", "meter_id", "consumption_kwh", "total_amount")
 
 
@@ -877,11 +906,21 @@ def q_compression_ratio(spark, sf_dir):
 
 
 @register("scan_tolerant", O.with_("bills") + """
-SELECT division, CAST(count(*) AS BIGINT) AS n_rows FROM bills GROUP BY division""")
+SELECT lower(replace(division, ' ', '-')) AS folder, CAST(sum(CASE WHEN division IN ('ASIA', 'EUROPE') THEN 0 ELSE 1 END) AS BIGINT) AS n_rows,
+       division IN ('ASIA', 'EUROPE') AS skipped FROM bills GROUP BY division
+UNION ALL SELECT 'junk', 0, true UNION ALL SELECT 'none', 0, false""")
 def q_scan_tolerant(spark, sf_dir):
+    """Rows of the whole parts, and the folders with skipped ones: junk, and the
+    divisions damaged in the middle; the empty part is whole."""
     path = staging.with_corrupt_part(spark, sf_dir)
     res = scan_tolerant(spark, path, SILVER_BILLS)
-    return res.data.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"))
+    folder = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .select(folder.alias("folder")).distinct())
+    rows = res.data.groupBy(F.lower(F.replace("division", F.lit(" "), F.lit("-"))).alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    gone = res.skipped.select(folder.alias("g")).distinct()
+    out = listed.join(rows, F.col("folder") == F.col("f"), "left").join(gone, F.col("folder") == F.col("g"), "left")
+    return out.select("folder", F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"), F.col("g").isNotNull().alias("skipped"))
 
 
 # ---------------------------------------------------------------- streaming

@@ -4,10 +4,10 @@ Order matters and follows the files' original semantics: coerce, then
 de-duplicate on the key, then filter.  A first copy that is invalid therefore
 suppresses a later valid copy of the same key.
 
-Both de-duplications are ``row_number() == 1`` windows.  Catalyst plans them
-with a *partial* ``WindowGroupLimit`` before the shuffle, so each map task
-sends at most one row per key: a key that holds a third of all rows costs one
-row per task in the exchange, not a third of the data in one task.
+Keep-first is a ``row_number() == 1`` window, keep-last an aggregation.  Catalyst
+plans the window with a *partial* ``WindowGroupLimit`` before the shuffle, so in both
+each map task sends at most one row per key: a key that holds a third of all rows
+costs one row per task in the exchange, not a third of the data in one task.
 """
 
 from __future__ import annotations
@@ -38,10 +38,15 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
-    """Keep the last row per key in ``order`` (newest wins)."""
-    w = Window.partitionBy(*keys).orderBy(*[o.desc_nulls_last() for o in _order_cols(order)])
-    return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
+def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keep the last row per key in ``order`` (newest wins; NULLs in it come first).
+    A plain aggregation: map tasks keep one row per key already, and nothing is sorted
+    by the order.  Rows equal in ``order`` are told apart by their other columns, so the
+    result does not depend on how the rows arrive.  NULL keys compare equal."""
+    rest = [c for c in df.columns if c not in keys]
+    decide = F.struct(*order, *[c for c in rest if c not in order])
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), decide).alias("_last"))
+    return last.select(*[F.col(c) if c in keys else F.col("_last")[c].alias(c) for c in df.columns])
 
 
 def coerce_bills(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame:
@@ -22,7 +23,18 @@ def distinct_values(frames: Sequence[DataFrame], column: str) -> DataFrame:
     return union_by_name(parts).distinct()
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42,
-                with_replacement: bool = False) -> DataFrame:
-    """Bernoulli sample (the sampling *is* the feature here)."""
-    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, keys: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
+    """The rows whose key hashes below ``fraction`` (the sampling *is* the feature here).
+
+    A row stays or goes by its ``keys`` (default: all columns) and ``seed`` alone, so
+    the sample is the same however the table is partitioned or ordered, rows of one
+    key stay together, a smaller fraction is a subset of a larger one, and two tables
+    sampled on the same key still join.  The hash is the first 13 hex digits of MD5
+    over the seed and the values, which any SQL engine can compute."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in keys or df.columns]
+    digest = F.md5(F.encode(F.concat_ws("\x1f", F.lit(str(seed)), *parts), "UTF-8"))
+    # 52 bits, zero-padded: text order is number order
+    bound = min(int(fraction * 16 ** 13), 16 ** 13 - 1)
+    return df.where(F.substring(digest, 1, 13) < F.lit(f"{bound:013x}")) if fraction < 1 else df

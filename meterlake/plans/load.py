@@ -8,6 +8,11 @@ incremental  only files new or changed since the last committed manifest
 append       only files never loaded before -> clean -> added as one more
              folder of the current version (no cross-batch de-duplication).
 
+A file that cannot be read (its header line fails, or lacks a column that every
+valid row needs) does not stop a load: the others are loaded, the file is listed in
+the run's rejects and not in the manifest, so the next load tries it again
+(``strict=True`` raises instead).
+
 Every load writes its data, then the manifest of the files read, and commits
 last (see :mod:`meterlake.plans.store`).  An incremental load first stages the
 cleaned batch as Parquet in the target: that cuts lineage, and the batch is
@@ -35,7 +40,7 @@ from meterlake.operators import clean
 from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import KINDS, SILVER
-from meterlake.sources.bronze import file_headers, read_bronze, vanished
+from meterlake.sources.bronze import UnreadableHeader, file_headers, read_bronze, rejected, vanished, without
 from meterlake.sources.inventory import INVENTORY, decode_uri, escape_glob, file_inventory
 
 log = logging.getLogger("meterlake.load")
@@ -61,6 +66,7 @@ class LoadResult:
     run_id: str
     mode: str
     tables: dict[str, dict] = field(default_factory=dict)
+    rejected: int = 0        # files that could not be read (see store.load_rejects)
 
 
 def frozen_inventory(spark: SparkSession, source: str, kinds: Sequence[str], layout: str) -> DataFrame:
@@ -155,12 +161,11 @@ def _manifest_rows(inv: DataFrame, staged: DataFrame, run_id: str, now: dt.datet
     without rows is looked at once more: gone between its header and the scan, it
     must not pass for loaded."""
     counts = staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
-    j = inv.join(counts, "source_file", "left")
-    rows = j.select("data_type", "path", "length", "modified",
-                    F.coalesce("records", F.lit(0)).cast("long").alias("records"),
-                    F.lit(run_id).alias("run_id"),
-                    F.lit(now.replace(tzinfo=None)).cast("timestamp").alias("committed_at")).persist()
-    gone = vanished(file_headers(rows.where("records = 0").select("data_type", "path")))
+    none = inv.join(counts, "source_file", "left_anti").select("data_type", "path")
+    gone = set() if none.isEmpty() else vanished(file_headers(none))
+    rows = inv.join(counts, "source_file", "left").select(
+        "data_type", "path", "length", "modified", F.coalesce("records", F.lit(0)).cast("long").alias("records"),
+        F.lit(run_id).alias("run_id"), F.lit(now.replace(tzinfo=None)).cast("timestamp").alias("committed_at"))
     return rows.where(~F.col("path").isin(sorted(gone))) if gone else rows
 
 
@@ -178,10 +183,9 @@ def _utc(spark: SparkSession):
 def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
                kinds: Sequence[str], layout: str, compression: str = "snappy",
                now: dt.datetime | None = None, run_id: str | None = None,
-               replace_by_source: bool = False, attempts: int = 3) -> LoadResult:
+               replace_by_source: bool = False, strict: bool = False) -> LoadResult:
     """Load the files listed in ``inv_all`` (an inventory frame) into
-    ``target`` with ``mode`` full / incremental / append.  If another load commits
-    meanwhile, the load starts over from its result, ``attempts`` times in all.
+    ``target`` with ``mode`` full / incremental / append.
 
     Jobs: one to pick the files (incremental / append), one to read their
     header lines, one clean-and-write per table (plus the merge write for an
@@ -189,26 +193,20 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     tables together."""
     codec = store.check_codec(compression)
     now = now or dt.datetime.now(dt.timezone.utc)
-    run_id = run_id or store.new_run_id(now)
     with _utc(spark):
-        for attempt in range(1, attempts + 1):
-            try:
-                return _load_once(spark, inv_all, target, mode, kinds, layout, codec, now,
-                                  run_id if attempt == 1 else f"{run_id}.{attempt}", replace_by_source)
-            except store.ConcurrentLoad:
-                if attempt == attempts:
-                    raise
-                log.info("another load committed first; starting over (%d of %d)", attempt, attempts)
-    raise AssertionError("unreachable")
-
-
-def _load_once(spark: SparkSession, inv_all: DataFrame, target: str, mode: str, kinds: Sequence[str], layout: str,
-               codec: str, now: dt.datetime, run_id: str, replace_by_source: bool) -> LoadResult:
-    """One try of :func:`load_files`, from the commit that is newest now."""
+        return _load_files(spark, inv_all, target, mode, kinds, layout, codec, now, run_id or store.new_run_id(now),
+                           replace_by_source, strict)
+
+
+def _load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str, kinds: Sequence[str], layout: str,
+                codec: str, now: dt.datetime, run_id: str, replace_by_source: bool, strict: bool) -> LoadResult:
     result = LoadResult(run_id, mode)
     with _step("versions"):
-        base = store.newest_number(spark, target)
         versions = store.latest_versions(spark, target)
+        newest = max((v.committed_at for v in versions.values()), default=None)
+        # newer than the last load, whatever the clocks say
+        at = now if newest is None else max(now, (newest + dt.timedelta(microseconds=1)).replace(tzinfo=now.tzinfo))
+        store.drop_unlisted(spark, target, versions, KINDS)
     inv_all = inv_all.where(F.col("data_type").isin(list(kinds)))
     if mode in ("incremental", "append") and versions:
         manifest = store.committed_manifest(spark, target)
@@ -217,15 +215,23 @@ def _load_once(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     inv_all = inv_all.select(*INVENTORY.fieldNames())
     with _step("list files"):
         rows = inv_all.collect()                  # the files of this batch (metadata)
+    with _step("headers"):
+        headers = file_headers(spark.createDataFrame(rows, INVENTORY), len(rows)) if rows else {}
+        bad = rejected(headers)
+        if bad and strict:
+            path, reason = next(iter(bad.items()))
+            raise UnreadableHeader(f"{path}: {reason}")
+        out_of = vanished(headers) | set(bad)
+        headers = without(headers, out_of)
+        failed = [(r["data_type"], r["path"], r["length"], r["modified"], bad[r["path"]]) for r in rows if r["path"] in bad]
+        rows = [r for r in rows if r["path"] not in out_of]
+    if failed:
+        for _, path, _, _, reason in failed:
+            log.warning("rejected %s: %s", path, reason)
+        store.write_rejects(spark, target, spark.createDataFrame(failed, "data_type string, path string, length long, modified timestamp, reason string"), run_id)
+    result.rejected = len(failed)
     batch_inv = spark.createDataFrame(rows, INVENTORY)
     per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
-    with _step("headers"):
-        headers = file_headers(batch_inv, len(rows)) if rows else {}
-        gone = vanished(headers)
-        if gone:
-            rows = [r for r in rows if r["path"] not in gone]
-            batch_inv = spark.createDataFrame(rows, INVENTORY)
-            per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
     committed: dict[str, tuple[list[str], int]] = {}
     manifests = []
@@ -252,7 +258,7 @@ def _load_once(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
             staged = store.read_dirs(spark, new_dirs, kind)
             paths = ([*current.paths, *new_dirs] if (mode == "append" and current is not None)
                      else new_dirs)
-        manifests.append(_manifest_rows(inv, staged, run_id, now))
+        manifests.append(_manifest_rows(inv, staged, run_id, at))
         committed[kind] = (paths, per_kind[kind])
         result.tables[kind] = {"files": per_kind[kind], "version": run_id, "paths": paths}
     if committed:
@@ -260,38 +266,39 @@ def _load_once(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
         for x in manifests[1:]:
             m = m.unionByName(x)
         with _step("manifest"):
-            store.write_manifest(spark, target, m, run_id)
+            store.write_manifest(spark, target, m, run_id, list(committed) if mode == "full" else [])
         with _step("commit"):
-            store.commit(spark, target, run_id, mode, committed, now, base)
-        store.drop_staging(spark, target, run_id)
+            store.commit(spark, target, run_id, mode, committed, at)
+        store.delete(spark, f"{target.rstrip('/')}/_staging/{run_id}")
     return result
 
 
 def _load(spark: SparkSession, source: str, target: str, mode: str, kinds: Sequence[str],
           layout: str, compression: str, now: dt.datetime | None,
-          replace_by_source: bool = False) -> LoadResult:
+          replace_by_source: bool = False, strict: bool = False) -> LoadResult:
     store.check_codec(compression)
     inv_all = file_inventory(spark, source, kinds, layout)
     return load_files(spark, inv_all, target, mode, kinds, layout, compression, now,
-                      replace_by_source=replace_by_source)
+                      replace_by_source=replace_by_source, strict=strict)
 
 
 def full_load(spark: SparkSession, source: str, target: str, kinds: Sequence[str] = ("bills", "readings"),
-              layout: str = "tree", compression: str = "snappy", now: dt.datetime | None = None) -> LoadResult:
-    return _load(spark, source, target, "full", kinds, layout, compression, now)
+              layout: str = "tree", compression: str = "snappy", now: dt.datetime | None = None,
+              strict: bool = False) -> LoadResult:
+    return _load(spark, source, target, "full", kinds, layout, compression, now, strict=strict)
 
 
 def incremental_load(spark: SparkSession, source: str, target: str,
                      kinds: Sequence[str] = ("bills", "readings"), layout: str = "tree",
                      compression: str = "snappy", now: dt.datetime | None = None,
-                     replace_by_source: bool = False) -> LoadResult:
+                     replace_by_source: bool = False, strict: bool = False) -> LoadResult:
     """Upsert new and changed files.  ``replace_by_source=True`` also drops
     stored rows of a changed file that its new content no longer has."""
     return _load(spark, source, target, "incremental", kinds, layout, compression, now,
-                 replace_by_source)
+                 replace_by_source, strict)
 
 
 def append_load(spark: SparkSession, source: str, target: str,
                 kinds: Sequence[str] = ("bills", "readings"), layout: str = "tree",
-                compression: str = "snappy", now: dt.datetime | None = None) -> LoadResult:
-    return _load(spark, source, target, "append", kinds, layout, compression, now)
+                compression: str = "snappy", now: dt.datetime | None = None, strict: bool = False) -> LoadResult:
+    return _load(spark, source, target, "append", kinds, layout, compression, now, strict=strict)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.plans import export, load, standins
+from meterlake.plans import export, load, standins, store
 from meterlake.schemas import KINDS
 from meterlake.sources.silver import scan_silver
 from meterlake.session import scratch_path
@@ -47,7 +47,7 @@ class Batches:
     root: str            # tree written as batch 1, then batch 2 appended
     merged: str          # batch 1 full load, then batch 2 incremental
     appended: str        # batch 1 full load, then batch 2 append
-    first_run: str       # run id of the batch-1 load into `merged`
+    known: str           # the manifest of `merged` after batch 1
 
 
 _TREES: dict[tuple[str, str], str] = {}
@@ -94,10 +94,11 @@ def staged_batches(spark: SparkSession, sf_dir: str) -> Batches:
     if key not in _BATCHES:
         base = scratch_path(spark, "batches")
         bt = Batches(root=f"{base}/tree", merged=f"{base}/merged", appended=f"{base}/appended",
-                     first_run="")
+                     known=f"{base}/known")
         for kind in ("bills", "readings"):
             export.export_tree(bronze(spark, sf_dir, kind).where(first_batch(kind)), bt.root, kind)
-        bt.first_run = load.full_load(spark, bt.root, bt.merged, layout="hive").run_id
+        load.full_load(spark, bt.root, bt.merged, layout="hive")
+        store.committed_manifest(spark, bt.merged).write.parquet(bt.known)
         load.full_load(spark, bt.root, bt.appended, layout="hive")
         for kind in ("bills", "readings"):
             export.export_tree(bronze(spark, sf_dir, kind).where(~first_batch(kind)), bt.root, kind,
@@ -145,13 +146,63 @@ _CORRUPT: dict[tuple[str, str], str] = {}
 
 
 def with_corrupt_part(spark: SparkSession, sf_dir: str) -> str:
-    """A copy of the staged silver bills with one junk (non-Parquet) part
-    file beside the good ones."""
+    """The staged silver bills as one Parquet folder per division, and beside them junk
+    that is no Parquet file, a valid part without rows, and two whole divisions
+    (``DAMAGED``) whose every part is damaged in the middle."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CORRUPT:
         path = scratch_path(spark, "corrupt")
-        scan_silver(spark, staged(spark, sf_dir).silver, "bills").write.parquet(path)
+        bills = scan_silver(spark, staged(spark, sf_dir).silver, "bills")
+        for division in sorted(r[0] for r in bills.select("division").distinct().collect()):    # a handful
+            out = f"{path}/{division.lower().replace(' ', '-')}"
+            bills.where(F.col("division") == division).write.parquet(out)
+            if division in DAMAGED:
+                _damage(spark, out)
+        bills.where("false").coalesce(1).write.parquet(f"{path}/none")
         spark.createDataFrame([("this is not a parquet file",)], "value string") \
-            .coalesce(1).write.mode("append").text(path)
+            .coalesce(1).write.text(f"{path}/junk")
         _CORRUPT[key] = path
     return _CORRUPT[key]
+
+
+DAMAGED = ("ASIA", "EUROPE")
+
+
+def _damage(spark: SparkSession, folder: str) -> None:
+    """Overwrite bytes in the middle of every part below ``folder``, through the same
+    file system that Spark writes with."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.setVerifyChecksum(False)
+    for status in fs.listStatus(root):
+        if not status.getPath().getName().startswith("part-"):
+            continue
+        size = status.getLen()
+        read = fs.open(status.getPath())
+        content = bytearray(jvm.org.apache.commons.io.IOUtils.toByteArray(read))
+        read.close()
+        content[size // 2:size // 2 + 64] = bytes(64)
+        written = fs.create(status.getPath(), True)
+        written.write(content)
+        written.close()
+
+
+_REJECTS: dict[tuple[str, str], tuple[str, str]] = {}
+BROKEN_DIVISION = "3"
+
+
+def staged_rejects(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A tree of all readings in which every file of one division lacks its voltage
+    column, and the target of its load."""
+    key = _key(spark, sf_dir)
+    if key not in _REJECTS:
+        tree, target = scratch_path(spark, "partly"), scratch_path(spark, "partly-silver")
+        rows = bronze(spark, sf_dir, "readings")
+        broken = F.col("division") == BROKEN_DIVISION
+        export.export_tree(rows.where(~broken), tree, "readings")
+        (rows.where(broken).drop("_ord", "voltage").write.mode("append").partitionBy("division", "subdivision")
+         .option("header", "true").csv(f"{tree}/{KINDS['readings']['folder']}"))
+        load.full_load(spark, tree, target, ["readings"], layout="hive")
+        _REJECTS[key] = (tree, target)
+    return _REJECTS[key]

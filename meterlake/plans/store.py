@@ -1,26 +1,22 @@
-"""Silver table store: immutable version folders + an append-only commit log.
+"""Silver tables in plain Parquet folders, switched by one commit row per load.
 
 Layout under a target root::
 
     <target>/<kind>/v=<run_id>/_part=<yyyy-MM>/part-*.parquet   data of one load
-    <target>/_manifest/<run_id>/                 per-file load records of a run
-    <target>/_commits/<run_id>/                  the commit rows of a run
-
-Tables are partitioned by month (of ``billing_month`` / ``timestamp``).  A
-version is the list of partition folders it consists of, so an upsert only
-rewrites the months it touches and lists the untouched folders of the
-previous version unchanged.
-
-A load writes its data folder, then its manifest rows, then its commit row.
-Readers resolve the newest committed version of a table and read exactly the
-folders it lists; manifest rows count only when their run is committed.  A
-failure anywhere before the commit row leaves readers on the previous version
-and the previous manifest - no folder is ever renamed or overwritten in place,
-so this holds on object stores too.
-
-Commits are numbered.  A load remembers the newest number when it begins and
-claims the next one (a marker file created only if absent) when it commits; if
-another load was faster, :class:`ConcurrentLoad` is raised and nothing changes.
+    <target>/_manifest/<run_id>/                 the files loaded, as of that run
+    <target>/_rejects/<run_id>/                  files the run could not read
+    <target>/_commits/<run_id>/                  one row per table: its folders
+
+Tables are partitioned by month (of ``billing_month`` / ``timestamp``).  A load
+writes its data folders, then its manifest, then its commit rows in one file: that
+is the only switch.  Readers take the newest commit row of a table and read exactly
+the folders it lists, so an upsert rewrites the months it touches and lists the
+others unchanged, and a failure before the commit changes nothing for anybody.
+
+No older state is kept: the next load begins by deleting the folders that no
+newest commit row lists (those a load replaced or left behind unfinished).  One
+load per target may run at a time.  This is the least an atomic switch needs;
+history, concurrent writers and compaction are a table format's work.
 """
 
 from __future__ import annotations
@@ -31,10 +27,11 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.operators.clean import dedup_last
 from meterlake.schemas import MANIFEST, SILVER
 from meterlake.sources.inventory import decode_uri, escape_glob, path_missing
 
@@ -45,13 +42,8 @@ COMMITS = T.StructType([
     T.StructField("paths", T.ArrayType(T.StringType())),
     T.StructField("n_files", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
-    T.StructField("number", T.LongType()),
 ])
-
-
-class ConcurrentLoad(RuntimeError):
-    """Another load committed to the target since this one began."""
-
+REJECTS = "data_type string, path string, length long, modified timestamp, reason string, run_id string"
 
 # Codecs accepted for silver Parquet.
 CODECS = ("snappy", "gzip", "zstd", "lz4", "none", "uncompressed")
@@ -77,84 +69,61 @@ class Version:
     committed_at: dt.datetime
 
 
-def commits(spark: SparkSession, target: str) -> DataFrame | None:
-    """Commit rows of the target, None before its first commit.  Any failure
-    but a missing folder is raised."""
+def _read_runs(spark: SparkSession, folder: str, schema) -> DataFrame | None:
+    """Rows of all runs below ``folder``, None if it does not exist.  Any other
+    failure is raised."""
     try:
-        return (spark.read.schema(COMMITS).option("recursiveFileLookup", "true")
-                .parquet(escape_glob(f"{target.rstrip('/')}/_commits")))
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(escape_glob(folder))
     except AnalysisException as e:
         if not path_missing(e):
             raise
         return None
 
 
-def _newest() -> list[Column]:
-    """Newest commit first; rows written before commits had numbers come last."""
-    return [F.col("number").desc_nulls_last(), F.col("committed_at").desc(), F.col("run_id").desc()]
+def commits(spark: SparkSession, target: str) -> DataFrame | None:
+    """Commit rows of the target (a few per load), None before its first commit."""
+    return _read_runs(spark, f"{target.rstrip('/')}/_commits", COMMITS)
 
 
-def newest_number(spark: SparkSession, target: str) -> int:
-    """Number of the newest commit, 0 before the first."""
+def latest_versions(spark: SparkSession, target: str) -> dict[str, Version]:
+    """Newest committed version of every table (one small job)."""
     c = commits(spark, target)
-    return (c.agg(F.max("number")).first()[0] or 0) if c is not None else 0
-
-
-def _claim(spark: SparkSession, target: str, number: int) -> None:
-    """Create the marker of commit ``number``, or fail if it exists."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_claims/{number:012d}")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path.getParent())
-    if not fs.createNewFile(path):
-        raise ConcurrentLoad(f"commit {number} of {target} was claimed by another load; load again "
-                             "(after a crash right at the commit: store.release_claim)")
+    if c is None:
+        return {}
+    rows = dedup_last(c, ["data_type"], ["committed_at", "run_id"]).collect()   # one per table
+    return {r["data_type"]: Version(r["run_id"], list(r["paths"]), r["committed_at"]) for r in rows}
 
 
-def release_claim(spark: SparkSession, target: str) -> bool:
-    """Remove the claim that a load left behind by dying between its claim and its
-    commit.  Only call it when no load is running; True if there was one."""
-    return _delete(spark, f"{target.rstrip('/')}/_claims/{newest_number(spark, target) + 1:012d}")
+def latest_version(spark: SparkSession, target: str, kind: str) -> Version | None:
+    return latest_versions(spark, target).get(kind)
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def delete(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def drop_staging(spark: SparkSession, target: str, run_id: str) -> None:
-    _delete(spark, f"{target.rstrip('/')}/_staging/{run_id}")
-
-
-def expire_versions(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
-    """Delete data folders that none of the last ``keep`` versions of their table
-    lists; returns them.  Explicit, since older commits can't be read after it.
-    Only call it when no load is running."""
-    c = commits(spark, target)
-    if c is None:
-        return []
-    w = Window.partitionBy("data_type").orderBy(*_newest())
-    rows = c.withColumn("_rn", F.row_number().over(w)).select("data_type", "paths", "_rn").collect()   # one per commit
-
-    def folders(some) -> set[str]:
-        return {p.rsplit("/", 1)[0] for r in some for p in r["paths"]}
-
-    gone = sorted(folders(rows) - folders(r for r in rows if r["_rn"] <= keep))
-    return [d for d in gone if _delete(spark, d)]
-
+def _run_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders directly below ``folder`` (one per load that is still there)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().toString() for x in fs.listStatus(p)] if fs.exists(p) else []
 
-def latest_versions(spark: SparkSession, target: str) -> dict[str, Version]:
-    """Newest committed version of every table (one small job)."""
-    c = commits(spark, target)
-    if c is None:
-        return {}
-    w = Window.partitionBy("data_type").orderBy(*_newest())
-    rows = c.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").collect()
-    return {r["data_type"]: Version(r["run_id"], list(r["paths"]), r["committed_at"]) for r in rows}
 
-
-def latest_version(spark: SparkSession, target: str, kind: str) -> Version | None:
-    return latest_versions(spark, target).get(kind)
+def drop_unlisted(spark: SparkSession, target: str, versions: dict[str, Version], kinds) -> None:
+    """Delete what no newest commit row needs: data folders of replaced or unfinished
+    loads, their staged batches and older manifests."""
+    root = target.rstrip("/")
+    listed = {p.rsplit("/", 1)[0].rsplit("/", 1)[-1] for v in versions.values() for p in v.paths}
+    newest = max(versions.values(), key=lambda v: (v.committed_at, v.run_id)).run_id if versions else None
+    for kind in kinds:
+        for f in _run_folders(spark, f"{root}/{kind}"):
+            if f.rsplit("/", 1)[-1] not in listed:
+                delete(spark, f)
+    for f in _run_folders(spark, f"{root}/_manifest"):
+        if f.rsplit("/", 1)[-1] != newest:
+            delete(spark, f)
+    delete(spark, f"{root}/_staging")
 
 
 def data_path(target: str, kind: str, run_id: str) -> str:
@@ -218,62 +187,42 @@ def dir_part(path: str) -> str:
     return unquote(path.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
 
 
-def write_manifest(spark: SparkSession, target: str, rows: DataFrame, run_id: str) -> None:
-    """Each run writes its own folder: concurrent loads never share an output
-    directory (and so never a committer's temporary folder)."""
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields]) \
-        .coalesce(1).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_manifest/{run_id}")
+def write_manifest(spark: SparkSession, target: str, rows: DataFrame, run_id: str, replaced: list[str]) -> None:
+    """The files loaded as of this run: ``rows`` (the files it read) over the rows of the
+    newest committed manifest; tables in ``replaced`` are not carried over."""
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields])
+    old = committed_manifest(spark, target).where(~F.col("data_type").isin(replaced))
+    dedup_last(old.unionByName(rows), ["data_type", "path"], ["committed_at", "run_id"]).write.mode("errorifexists").parquet(
+        f"{target.rstrip('/')}/_manifest/{run_id}")
 
 
 def commit(spark: SparkSession, target: str, run_id: str, mode: str,
-           tables: dict[str, tuple[list[str], int]], now: dt.datetime, base: int) -> None:
-    """One commit file for all tables of a run: they switch together.  ``base`` is
-    the newest commit number the run built on; raises :class:`ConcurrentLoad` if
-    it no longer is."""
-    if newest_number(spark, target) != base:
-        raise ConcurrentLoad(f"{target} was committed to since this load began")
-    _claim(spark, target, base + 1)
-    rows = [(run_id, kind, mode, paths, int(n), now.replace(tzinfo=None), base + 1)
-            for kind, (paths, n) in tables.items()]
+           tables: dict[str, tuple[list[str], int]], at: dt.datetime) -> None:
+    """One commit file for all tables of a run: they switch together."""
+    rows = [(run_id, kind, mode, paths, int(n), at.replace(tzinfo=None)) for kind, (paths, n) in tables.items()]
     spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("errorifexists").parquet(
         f"{target.rstrip('/')}/_commits/{run_id}")
 
 
-def committed_manifest(spark: SparkSession, target: str, as_of: str | None = None) -> DataFrame:
-    """Manifest rows of committed runs only; the newest row per (type, path).
-    ``as_of`` (a run id) gives the manifest as it was after that run.
-
-    A full load records every file of its table, so only the runs since the
-    last committed full load of each table are read: the work stays bounded
-    by the recent history, not the age of the target."""
-    c = commits(spark, target)
-    if c is None:
-        return spark.createDataFrame([], MANIFEST)
-    order = F.struct(F.coalesce("number", F.lit(0)).alias("number"), "committed_at", "run_id")
-    if as_of is not None:
-        at = c.where(F.col("run_id") == as_of).agg(F.max(order)).first()[0]
-        if at is None:
-            raise ValueError(f"no commit of {target} has the run id {as_of!r}")
-        c = c.where(order <= F.struct(F.lit(at["number"]), F.lit(at["committed_at"]), F.lit(at["run_id"])))
-    runs = c.select("run_id", "data_type", "mode", order.alias("place")).collect()   # one row per commit
-    if not runs:
+def committed_manifest(spark: SparkSession, target: str) -> DataFrame:
+    """One row per file of the committed tables: what was read of it and when."""
+    versions = latest_versions(spark, target)
+    if not versions:
         return spark.createDataFrame([], MANIFEST)
-    keep: set[tuple[str, str]] = set()
-    for kind in {r["data_type"] for r in runs}:
-        mine = sorted((r for r in runs if r["data_type"] == kind),
-                      key=lambda r: tuple(r["place"]))
-        fulls = [i for i, r in enumerate(mine) if r["mode"] == "full"]
-        start = fulls[-1] if fulls else 0
-        keep |= {(r["run_id"], kind) for r in mine[start:]}
-    base = f"{target.rstrip('/')}/_manifest"
-    folders = sorted({f"{base}/{run}" for run, _ in keep})
+    newest = max(versions.values(), key=lambda v: (v.committed_at, v.run_id)).run_id
     # every committed run wrote its manifest first: a missing folder is an error
-    m = (spark.read.schema(MANIFEST).option("recursiveFileLookup", "true")
-         .parquet(*[escape_glob(f) for f in folders]))
-    place = {(r["run_id"], r["data_type"]): i for i, r in enumerate(sorted(runs, key=lambda r: tuple(r["place"])))}
-    pairs = spark.createDataFrame(sorted((*k, place[k]) for k in keep), "_run string, _dt string, _place int")
-    # one row per kept commit, counted on the driver: broadcast while small
-    side = F.broadcast(pairs) if len(keep) <= 100_000 else pairs
-    ok = m.join(side, (F.col("run_id") == F.col("_run")) & (F.col("data_type") == F.col("_dt")))
-    w = Window.partitionBy("data_type", "path").orderBy(F.col("_place").desc())
-    return ok.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_run", "_dt", "_place")
+    return spark.read.schema(MANIFEST).parquet(escape_glob(f"{target.rstrip('/')}/_manifest/{newest}"))
+
+
+def write_rejects(spark: SparkSession, target: str, rows: DataFrame, run_id: str) -> None:
+    rows.withColumn("run_id", F.lit(run_id)).select(*[c.split()[0] for c in REJECTS.split(", ")]).write.mode(
+        "errorifexists").parquet(f"{target.rstrip('/')}/_rejects/{run_id}")
+
+
+def load_rejects(spark: SparkSession, target: str, run_id: str | None = None) -> DataFrame:
+    """Files that a load (of ``run_id``; else any) could not read, and why.  They are
+    not in the manifest, so every later load tries them again."""
+    rows = _read_runs(spark, f"{target.rstrip('/')}/_rejects", REJECTS)
+    if rows is None:
+        return spark.createDataFrame([], REJECTS)
+    return rows if run_id is None else rows.where(F.col("run_id") == run_id)

@@ -93,10 +93,14 @@ def _headers(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 HeaderGroups = dict[tuple[str, tuple[str, ...]], list[str]]
 
-# Markers in place of a header line: it could not be read (the load stops), or
+# Markers in place of a header line: it could not be read (the file is rejected), or
 # the file is gone (it is skipped, and read when it comes back).
 UNREADABLE, VANISHED = "\x00unreadable", "\x00vanished"
 
+# Columns without which no row of a file can be valid.
+REQUIRED = {"bills": ["bill_id", "consumption_kwh", "total_amount"],
+            "readings": ["timestamp", "meter_id", "reading", "consumption_kwh", "voltage"]}
+
 
 class UnreadableHeader(RuntimeError):
     """The header line of a bronze file could not be read."""
@@ -107,6 +111,26 @@ def vanished(groups: HeaderGroups) -> set[str]:
     return {p for (_, header), paths in groups.items() if header == (VANISHED,) for p in paths}
 
 
+def rejected(groups: HeaderGroups) -> dict[str, str]:
+    """Path -> reason of the files that cannot be loaded: the header line could not be
+    read, or lacks a column that every valid row needs.  An empty file is no reject."""
+    out = {}
+    for (kind, header), paths in groups.items():
+        if header[:1] == (UNREADABLE,):
+            out.update(dict.fromkeys(paths, header[1]))
+        elif header and header != (VANISHED,):
+            missing = [c for c in REQUIRED[kind] if c not in header]
+            if missing:
+                out.update(dict.fromkeys(paths, f"missing columns: {', '.join(missing)}"))
+    return out
+
+
+def without(groups: HeaderGroups, gone: set[str]) -> HeaderGroups:
+    """The groups without some paths."""
+    left = {key: [p for p in paths if p not in gone] for key, paths in groups.items()}
+    return {key: paths for key, paths in left.items() if paths}
+
+
 FILES_PER_TASK = 200
 
 
@@ -127,9 +151,6 @@ def file_headers(files: DataFrame, n_files: int | None = None) -> HeaderGroups:
     groups: HeaderGroups = {}
     for r in heads.collect():
         header = tuple(r["header"] or ())
-        if header[:1] == (UNREADABLE,):
-            # binding columns by position instead could shift them
-            raise UnreadableHeader(f"{r['path']}: {header[1]}")
         groups.setdefault((r["data_type"], header), []).append(r["path"])
     return groups
 
@@ -158,6 +179,9 @@ def read_bronze(spark: SparkSession, files: DataFrame, kind: str, layout: str =
     for (dtype, header), paths in headers.items():
         if dtype != kind or not header or header == (VANISHED,):
             continue  # other kind, or nothing to read
+        if header[:1] == (UNREADABLE,):
+            # binding columns by position instead could shift them
+            raise UnreadableHeader(f"{paths[0]}: {header[1]}")
         names = _unique(list(header))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         raw = (spark.read.schema(schema)

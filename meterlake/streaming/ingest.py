@@ -10,9 +10,11 @@ Exactly-once: the run id of a micro-batch is derived from the query name and
 batch id, and a batch whose commit row already exists is skipped, so a batch
 replayed after a failure does not apply twice.
 
-The file source does not see a *changed* file at an already-seen path; run
-``incremental_load`` (manifest comparison on length and modification time)
-for trees whose files are rewritten in place.
+The file source does not see a *changed* file at an already-seen path.  For trees
+whose files are rewritten in place there is ``ingest_changed``, which compares the
+tree with the manifest (length and modification time), once, and ``watch_changes``,
+a streaming query that does so in each micro-batch.  All three write to one target:
+what one has loaded, the others find in the manifest.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.plans import store
-from meterlake.plans.load import load_files
+from meterlake.plans.load import LoadResult, incremental_load, load_files
 from meterlake.schemas import KINDS
 from meterlake.sources.inventory import INVENTORY, escape_glob, path_lineage
 
@@ -76,8 +78,7 @@ def stream_ingest(spark: SparkSession, source: str, target: str, checkpoint: str
     def apply(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id:012d}"
         done = store.commits(spark, target)
-        # a try that had to start over has a suffix
-        if done is not None and done.where(F.substring_index("run_id", ".", 1) == run_id).limit(1).count():
+        if done is not None and not done.where(F.col("run_id") == run_id).isEmpty():
             return                          # replay of a committed micro-batch
         rows = batch.collect()              # new files of this trigger (metadata)
         if not rows:
@@ -90,3 +91,28 @@ def stream_ingest(spark: SparkSession, source: str, target: str, checkpoint: str
          .queryName(name).option("checkpointLocation", checkpoint).foreachBatch(apply))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return [w.start()]
+
+
+def ingest_changed(spark: SparkSession, source: str, target: str, kinds: Sequence[str] = ("bills", "readings"),
+                   layout: str = "tree", compression: str = "snappy", replace_by_source: bool = False) -> LoadResult:
+    """One poll: load the files that are new, or changed at a known path, and upsert
+    their rows.  Nothing is written if there are none.  With ``replace_by_source``, rows
+    that a changed file no longer has are dropped."""
+    return incremental_load(spark, source, target, kinds, layout, compression, replace_by_source=replace_by_source)
+
+
+def watch_changes(spark: SparkSession, source: str, target: str, checkpoint: str,
+                  kinds: Sequence[str] = ("bills", "readings"), layout: str = "tree",
+                  processing_time: str = "60 minutes", available_now: bool = False, compression: str = "snappy",
+                  replace_by_source: bool = False, name: str = "meterlake_watch") -> StreamingQuery:
+    """Poll the tree in every micro-batch of a streaming query, ``processing_time`` apart
+    (``available_now``: once).  The stream carries ticks only; what a tick loads is told
+    by the manifest, so a replayed one finds nothing left to do."""
+    store.check_codec(compression)
+
+    def poll(_: DataFrame, batch_id: int) -> None:
+        ingest_changed(spark, source, target, list(kinds), layout, compression, replace_by_source)
+
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").load()
+    w = ticks.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(poll)
+    return (w.trigger(once=True) if available_now else w.trigger(processingTime=processing_time)).start()

@@ -73,3 +73,12 @@ def test_idempotent(spark):
         "_ord", F.struct("source_file", F.monotonically_increasing_id()))
     twice = clean.clean_bills(again)
     assert sorted(r.bill_id for r in once.collect()) == sorted(r.bill_id for r in twice.collect())
+
+
+def test_dedup_last_by_aggregation(spark):
+    rows = [("a", 1, "x"), ("a", 2, "y"), (None, 1, "n"), (None, 3, "m"), ("t", 5, "p"), ("t", 5, "q"), ("u", None, "old"), ("u", 0, "new")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    got = {r.k: (r.o, r.v) for r in clean.dedup_last(df.repartition(4), ["k"], ["o"]).collect()}
+    assert got == {"a": (2, "y"), None: (3, "m"), "t": (5, "q"), "u": (0, "new")}    # a tie goes by the other columns
+    plan = clean.dedup_last(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max_by" in plan

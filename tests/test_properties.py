@@ -51,3 +51,16 @@ def test_clean_plan_has_one_key_exchange(spark, tmp_path):
     assert "Partial" in plan and "WindowGroupLimit" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+def test_sample_is_by_key_and_not_by_partition(spark):
+    from meterlake.operators.setops import sample_rows
+
+    df = spark.range(20_000).selectExpr("id % 9000 AS k", "id AS v", "case when id % 7 = 0 then null else cast(id AS string) end AS s")
+    some = {tuple(r) for r in sample_rows(df, 0.1, ["k"]).collect()}
+    assert some == {tuple(r) for r in sample_rows(df.repartition(13).orderBy("s"), 0.1, ["k"]).collect()}
+    keys = {k for k, _, _ in some}
+    assert {tuple(r) for r in df.collect() if r.k in keys} == some and 700 < len(keys) < 1100
+    more = {tuple(r) for r in sample_rows(df, 0.3, ["k"]).collect()}
+    assert some < more and some != {tuple(r) for r in sample_rows(df, 0.1, ["k"], seed=7).collect()}
+    assert sample_rows(df, 0.0).count() == 0 and sample_rows(df, 1.0).count() == 20_000
