@@ -15,11 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A quoted value begins only after a name and "="; quotes elsewhere are ordinary characters.
+_NAME = r"(?:=[^\s>/=]*+|[^\s>/=]++)"
+_VALUE = r"(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)"
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-                   r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+                   rf"|<([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_NAME}(?:\s*+=\s*+{_VALUE}?)?)*+)(?:>|\Z)", re.DOTALL)
+ATTRIBUTE = re.compile(rf"({_NAME})(?:\s*+=\s*+({_VALUE})?)?")
 NOTABLE = re.compile(r"hidden|style|open|span|start|value|type", re.IGNORECASE)
-NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)", re.IGNORECASE)
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(\w+)", re.IGNORECASE)
 
 # Element names as HTML defines their roles.
@@ -48,12 +51,69 @@ TABLE_PARTS = SECTIONS | {"tr", "td", "th", "caption", "table"}
 # A column is padded to its widest cell, but no further than this.
 MAX_PAD = 60
 MAX_SPAN, MAX_COLUMNS = 1000, 2000
-# Elements nested deeper become siblings.
+# Elements nested deeper are laid out as text of the one at this depth; what they hide stays hidden.
 MAX_DEPTH = 512
 # Tables nested deeper are written as plain blocks.
 MAX_TABLES = 20
 
 
+STYLE_BLOCK = re.compile(r"<style(?=[\s/>])[^>]*>(.*?)(?:</style(?=[\s/>])|\Z)", re.IGNORECASE | re.DOTALL)
+CSS_COMMENT, RULE = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL), re.compile(r"([^{}]*)\{([^{}]*)(?:\}|\Z)")
+SELECTOR = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)")
+
+
+class Styles:
+    """What the page's style blocks say of display and visibility, by selectors of a
+    tag, classes and an id.  Other selectors, and rules inside at-rules (such as those
+    for printing), are left aside."""
+
+    def __init__(self, source: str):
+        self.rules: list[tuple[tuple, str, set[str], str, str | None, str | None]] = []
+        if "<style" not in source and not re.search("<style", source, re.IGNORECASE):
+            return
+        for block in STYLE_BLOCK.findall(source):
+            for selectors, body in RULE.findall(self._plain(CSS_COMMENT.sub(" ", block))):
+                display, visible = DISPLAY.findall(body), VISIBILITY.findall(body)
+                if display or visible:
+                    for selector in selectors.split(","):
+                        self._add(selector.strip(), display[-1].lower() if display else None, visible[-1].lower() if visible else None)
+
+    @staticmethod
+    def _plain(css: str) -> str:
+        """Without at-rules and their blocks."""
+        out, at = [], 0
+        for rule in re.finditer("@", css):
+            if rule.start() < at:
+                continue
+            out.append(css[at:rule.start()])
+            depth, at = 0, len(css)
+            for mark in re.finditer("[{};]", css[rule.start():]):
+                depth += {"{": 1, "}": -1}.get(mark.group(), 0)
+                if depth <= 0:
+                    at = rule.start() + mark.end()
+                    break
+        out.append(css[at:])
+        return "".join(out)
+
+    def _add(self, selector: str, display: str | None, visible: str | None) -> None:
+        found = SELECTOR.fullmatch(selector, 0) if selector and not selector[0].isupper() else SELECTOR.fullmatch(selector.lower())
+        if not selector or not found:
+            return
+        tag, rest = (found.group(1) or "*").lower(), re.findall(r"[.#][\w-]+", found.group(2))
+        classes, ids = {x[1:] for x in rest if x[0] == "."}, [x[1:] for x in rest if x[0] == "#"]
+        if len(ids) < 2:
+            weight = (len(ids), len(classes), tag != "*", len(self.rules))
+            self.rules.append((weight, tag, classes, ids[0] if ids else "", display, visible))
+
+    def of(self, tag: str, attributes: dict[str, str]) -> tuple[str | None, str | None]:
+        """The display and visibility that the heaviest fitting rules give."""
+        if not self.rules:
+            return None, None
+        classes, own = set(attributes.get("class", "").split()), attributes.get("id", "")
+        fit = sorted(r for r in self.rules if r[1] in ("*", tag) and r[2] <= classes and r[3] in ("", own))
+        return (next((r[4] for r in reversed(fit) if r[4]), None), next((r[5] for r in reversed(fit) if r[5]), None))
+
+
 class Node:
     __slots__ = ("tag", "attributes", "children")
 
@@ -61,41 +121,77 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes or {}, []
 
 
-def _attributes(source: str) -> dict[str, str]:
-    if not NOTABLE.search(source):
+def _attributes(source: str, every: bool) -> dict[str, str]:
+    if not every and not NOTABLE.search(source):
         return {}
     found: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(source):
-        found.setdefault(name.lower(), html.unescape(value[1:-1] if value[:1] in "\"'" and value else value))
+        if value[:1] in ("\"", "'"):
+            value = value[1:].removesuffix(value[0])
+        found.setdefault(name.lower(), html.unescape(value))
     return found
 
 
+def _style(tag: str, attributes: dict[str, str], styles: Styles) -> None:
+    """Resolve display and visibility: the style attribute over the style blocks."""
+    display, visible = styles.of(tag, attributes)
+    own = attributes.get("style", "") if attributes else ""
+    display = (DISPLAY.findall(own) or [display])[-1]
+    visible = (VISIBILITY.findall(own) or [visible])[-1]
+    if display:
+        attributes["-display"] = display.lower()
+    if visible:
+        attributes["-visibility"] = visible.lower()
+
+
 def parse(source: str) -> Node:
     """The page's tree.  Missing end tags, ``p``, ``tbody`` and ``tr`` are
     supplied; end tags without a start are ignored (``</p>``: an empty paragraph);
     an end tag does not reach out of the cell it stands in."""
-    root = Node("html")
+    root, styles = Node("html"), Styles(source)
     stack = [root]
+    deep: list[tuple[str, bool, str | None]] = []  # open elements below MAX_DEPTH: tag, shown, visibility
     at, end = 0, len(source)
 
     def close(tags, barrier) -> None:
+        for k in range(len(deep) - 1, -1, -1):
+            if deep[k][0] in tags:
+                del deep[k:]
+                return
+            if deep[k][0] in barrier:
+                return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in tags:
                 del stack[k:]
+                deep.clear()
                 return
             if stack[k].tag in barrier:
                 return
 
     def push(tag: str, attributes: dict[str, str] | None = None) -> None:
         node = Node(tag, attributes)
+        if len(stack) >= MAX_DEPTH:
+            shown, rule = deep[-1][1:] if deep else (True, None)
+            deep.append((tag, shown and _shown(node), node.attributes.get("-visibility", rule)))
+            return
         stack[-1].children.append(node)
-        if len(stack) < MAX_DEPTH:
-            stack.append(node)
+        stack.append(node)
+
+    def put(piece: Node | str) -> None:
+        """Add text or an empty element where it stands."""
+        if deep:
+            _, shown, rule = deep[-1]
+            if not shown:
+                return
+            if rule:
+                inner, piece = piece, Node("span", {"-visibility": rule})
+                piece.children.append(inner)
+        stack[-1].children.append(piece)
 
     def text(piece: str) -> None:
         if stack[-1].tag == "head" and not piece.isspace():
             stack.pop()
-        stack[-1].children.append(html.unescape(piece) if "&" in piece else piece)
+        put(html.unescape(piece) if "&" in piece else piece)
 
     while at < end:
         found = TOKEN.search(source, at)
@@ -109,7 +205,7 @@ def parse(source: str) -> Node:
         if closing:
             tag = closing.lower()
             if tag == "br":
-                stack[-1].children.append(Node("br"))
+                put(Node("br"))
             elif tag in ("body", "html"):
                 continue  # what follows still belongs to the body
             elif tag == "table":
@@ -119,29 +215,32 @@ def parse(source: str) -> Node:
             elif tag in HEADINGS:
                 close(HEADINGS, {"table", "td", "th", "caption"})
             else:
-                open_ = len(stack)
+                open_ = len(stack) + len(deep)
                 close({tag}, {"table", "td", "th", "caption"})
-                if tag == "p" and len(stack) == open_:
-                    stack[-1].children.append(Node("p"))
+                if tag == "p" and len(stack) + len(deep) == open_:
+                    put(Node("p"))
             continue
         if not opening:
             continue
         tag = opening.lower()
-        attributes = _attributes(found.group(3)) if found.group(3) else {}
+        attributes = _attributes(found.group(3), bool(styles.rules)) if found.group(3) else {}
+        _style(tag, attributes, styles)
         if tag == "html":
             continue
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
             stack.pop()
         if tag == "body":
-            root.attributes.update(attributes)
+            root.attributes = {**attributes, **root.attributes}
             continue
         if tag in CLOSES_P:
             close({"p"}, P_BARRIER)
-        if tag in HEADINGS and stack[-1].tag in HEADINGS:
+        if tag in HEADINGS and not deep and stack[-1].tag in HEADINGS:
             stack.pop()
         if tag in ENDS:
             close(*ENDS[tag])
-        if tag in ("td", "th") and stack[-1].tag != "tr" and any(n.tag == "table" for n in stack):
+        if deep:
+            pass  # no rows and sections are supplied down there
+        elif tag in ("td", "th") and stack[-1].tag != "tr" and any(n.tag == "table" for n in stack):
             while stack[-1].tag not in SECTIONS and stack[-1].tag != "table":
                 stack.pop()
             if stack[-1].tag == "table":
@@ -156,14 +255,18 @@ def parse(source: str) -> Node:
             while stack[-1].tag != "table":
                 stack.pop()
         if tag in VOID:
-            stack[-1].children.append(Node(tag, attributes))
+            put(Node(tag, attributes))
             continue
         push(tag, attributes)
         if tag in RAW:
             close_at = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
             raw = source[at:close_at.start() if close_at else end]
-            element = stack[-1].children[-1] if stack[-1].tag != tag else stack.pop()
-            element.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
+            raw = html.unescape(raw) if tag in ("textarea", "title") else raw
+            if deep:
+                put(raw)
+                deep.pop()
+            else:
+                stack.pop().children.append(raw)
             at = close_at.end() if close_at else end
     return root
 
@@ -226,11 +329,16 @@ def _shown(node: Node) -> bool:
     a = node.attributes
     if not a:
         return node.tag != "dialog"
-    if "hidden" in a or (node.tag == "dialog" and "open" not in a) or NO_DISPLAY.search(a.get("style", "")):
+    if "hidden" in a or (node.tag == "dialog" and "open" not in a) or a.get("-display") == "none":
         return False
     return not (node.tag == "input" and a.get("type", "").lower() == "hidden")
 
 
+def _visibility(node: Node, seen: bool) -> bool:
+    rule = node.attributes.get("-visibility") if node.attributes else None
+    return rule == "visible" if rule else seen
+
+
 def render(nodes: list, visible: bool = True, tables: int = 0) -> list[str]:
     """Lines of the nodes' visible text."""
     flow = Flow()
@@ -249,9 +357,7 @@ def render(nodes: list, visible: bool = True, tables: int = 0) -> list[str]:
         if not _shown(node):
             continue
         tag = node.tag
-        if node.attributes:
-            rule = VISIBILITY.search(node.attributes.get("style", ""))
-            seen = rule.group(1).lower() == "visible" if rule else seen
+        seen = _visibility(node, seen)
         if tag == "br":
             flow.end_line(keep_empty=bool(flow.current))
             continue
@@ -318,18 +424,14 @@ def _table(table: Node, seen: bool, depth: int) -> list[str]:
     before: list = []
     rows: list[tuple[Node, bool]] = []
 
-    def visibility(node: Node, seen: bool) -> bool:
-        rule = VISIBILITY.search(node.attributes.get("style", "")) if node.attributes else None
-        return rule.group(1).lower() == "visible" if rule else seen
-
     def gather(node: Node, seen: bool) -> None:
         for child in node.children:
             if isinstance(child, Node) and child.tag in SECTIONS and node.tag == "table":
                 if _shown(child):
-                    gather(child, visibility(child, seen))
+                    gather(child, _visibility(child, seen))
             elif isinstance(child, Node) and child.tag == "tr":
                 if _shown(child):
-                    rows.append((child, visibility(child, seen)))
+                    rows.append((child, _visibility(child, seen)))
             elif not isinstance(child, str) or not child.isspace():
                 before.append(child)
 
@@ -351,7 +453,7 @@ def _table(table: Node, seen: bool, depth: int) -> list[str]:
                 x += 1
             across = min(_number(child.attributes.get("colspan"), 1, 1, MAX_SPAN), max(1, MAX_COLUMNS - x))
             down = _number(child.attributes.get("rowspan"), 1, 0, 65534) or len(rows)
-            cells.append((y, x, across, render(child.children, visibility(child, row_seen), depth)))
+            cells.append((y, x, across, render(child.children, _visibility(child, row_seen), depth)))
             if down > 1:
                 taken.update({c: down - 1 for c in range(x, x + across)})
             x += across
@@ -383,7 +485,7 @@ def to_text(source: str | None) -> str:
     if not source:
         return ""
     root = parse(source)
-    return "\n".join(render(root.children)) if _shown(root) else ""
+    return "\n".join(render(root.children, _visibility(root, True))) if _shown(root) else ""
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "html") -> DataFrame:

@@ -92,40 +92,91 @@ def test_rendering(page, text):
     assert html_extraction.to_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>a <a title=don't>link</a> visible one</p><p>it's two</p>", "a link visible one\n\nit's two"),
+    ('<p class="a"">hello</p><p>world "q" tail</p>', 'hello\n\nworld "q" tail'),
+    ("<div>" * 600 + "<span hidden>SECRET</span>tail", "tail"),
+    ("<div>" * 511 + "<div style='display:none'>no</div>yes", "yes"),
+    ("<div>" * 600 + "<p hidden>no<b>no</b></p>a<i style='visibility:hidden'>no<u style='visibility:visible'>b</u></i>c", "abc"),
+    ("<b>" * 600 + "<script>no</script>a" + "</b>" * 600 + "<p>z", "a\n\nz"),
+    ("<style>.x{display:none}</style><p class=x>no</p><p>yes", "yes"),
+    ("<style>p.x, #y { color:red; DISPLAY: None }</style><p class='a x'>no<p class=a>yes<div id=y>no</div><div class=x>yes", "yes\n\nyes"),
+    ("<style>@media print { p { display:none } } /* p{display:none} */ b{visibility:hidden}</style><p>yes<b>no", "yes"),
+    ("<style>p{display:none} p.x{display:block}</style><p>no<p class=x>yes<p style='display:block'>also", "yes\n\nalso"),
+    ("<style>div p{display:none}</style><div><p>yes</div>", "yes"),
+    ('<a href = "a>b" title=x>in</a> <a ="x">out</a>', "in out"), ("<p data-x='a>b' hidden>no</p>x<p a=b/c=d\">y", "x\n\ny")])
+def test_text_is_neither_lost_nor_leaked(page, text):
+    assert html_extraction.to_text(page) == text
+
+
 def test_hostile_pages_end_soon():
     for page in ("<div>" * 20_000 + "x", "<table><tr><td>" * 500 + "x", "<a b='" * 5001, "<li>" * 5000 + "x", "<ul><li>" * 3000 + "x",
                  "<table>" + "<td colspan=1000 rowspan=9>x" * 500, "<title>" * 500, "<" * 5000, "</p>" * 5000):
         html_extraction.to_text(page)
 
 
-class Words(html.parser.HTMLParser):
-    """Words outside of head, script and style, by another parser."""
+class Browser(html.parser.HTMLParser):
+    """Another, much plainer renderer: the visible words and the markers, in the order
+    of the source.  It keeps a stack of open elements with their visibility."""
+
+    UNSEEN = {"head", "script", "style", "noscript", "template", "title", "svg", "iframe", "object", "video", "audio", "canvas"}
+    VOID = {"br", "img", "hr", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 
     def __init__(self):
         super().__init__()
-        self.hidden, self.words = 0, []
+        self.open, self.words, self.numbers = [], [], []
+
+    def shown(self):
+        return all(s for _, s in self.open)
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in ("head", "script", "style", "noscript", "template")
+        attrs = dict(attrs)
+        style = (attrs.get("style") or "").replace(" ", "").lower()
+        seen = tag not in self.UNSEEN and "hidden" not in attrs and "display:none" not in style and "visibility:hidden" not in style
+        if tag in ("ul", "ol"):
+            self.numbers.append(int(attrs.get("start", 1)) if tag == "ol" else None)
+        if tag in ("li", "p", "tr", "td", "th"):  # the end tag may be left out
+            while self.open and tag in [t for t, _ in self.open]:
+                last = [t for t, _ in self.open]
+                stop = max([k for k, t in enumerate(last) if t in ("ul", "ol", "table")], default=-1)
+                at = max(k for k, t in enumerate(last) if t == tag)
+                if at < stop:
+                    break
+                del self.open[at:]
+        if tag == "li" and self.shown() and seen:
+            n = self.numbers[-1] if self.numbers else None
+            self.words.append("-" if n is None else f"{n}.")
+            if n is not None:
+                self.numbers[-1] = n + 1
+        if tag == "hr" and self.shown():
+            self.words.append("----")
+        if tag not in self.VOID:
+            self.open.append((tag, seen))
 
     def handle_endtag(self, tag):
-        self.hidden -= tag in ("head", "script", "style", "noscript", "template")
+        if tag in ("ul", "ol") and self.numbers:
+            self.numbers.pop()
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == tag:
+                del self.open[k:]
+                return
 
     def handle_data(self, data):
-        if not self.hidden:
+        if self.shown():
             self.words += data.split()
 
 
-def test_given_pages_keep_their_words_in_order(spark, sf):
+def test_given_pages_against_another_renderer(spark, sf):
+    """All pages: the same characters in the same order, tables and lists included;
+    cells of several lines stand side by side, so there the order is not compared."""
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     got = {r.page_id: r.text for r in queries.QUERIES["op3_html_extraction"](spark, sf).collect()}
     assert set(got) == set(pages)
     for i, page in pages.items():
-        if "hidden" in page or "display" in page or "<table" in page or "<ol" in page or "<ul" in page or "<hr" in page:
-            continue
-        plain = Words()
+        plain = Browser()
         plain.feed(page)
-        assert "".join(got[i].split()) == "".join(plain.words), i
+        ours, theirs = "".join(got[i].split()), "".join(plain.words)
+        assert ours == theirs or "<table" in page and sorted(ours) == sorted(theirs), i
 
 
 def test_odd_pages(spark):
