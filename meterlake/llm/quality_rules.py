@@ -154,7 +154,8 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def _band() -> Column:
-    return F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")
+    """Words to a power of two: the binary digits of their number, less one."""
+    return F.length(F.bin(F.greatest(F.col("n_words"), F.lit(1)))) - 1
 
 
 def distance_limits(judged: DataFrame, rules: Rules) -> DataFrame:
@@ -188,13 +189,15 @@ def _limited(judged: DataFrame, rules: Rules) -> tuple[DataFrame, Column, Column
     return judged, *(F.least(F.coalesce(*found[kind]), found[kind][-1]) for kind in ("char", "word"))
 
 
-def quality(docs: DataFrame, rules: Rules = FENCES, references: DataFrame | None = None) -> DataFrame:
+def quality(docs: DataFrame, rules: Rules = FENCES, references: DataFrame | None = None,
+            carried: list[str] | None = None) -> DataFrame:
     """Add the base counts, base_failed, char_distance, word_distance (null where
     a guard holds) and ``kept``; the columns of ``docs`` stay as they are.
 
     Null text: none (0 words, fails the base rules).  Null language: a language
     of its own.  Repeated rows are judged one by one.  Existing columns with the
     names of results are replaced.  An empty table gives an empty result.
+    ``carried``: the columns of ``docs`` that the result has (all of them).
     """
     refs = references if references is not None else language_references(docs, rules)
     refs = small(materialise(refs, "quality-refs"))
@@ -205,7 +208,7 @@ def quality(docs: DataFrame, rules: Rules = FENCES, references: DataFrame | None
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
            "base_failed", "char_distance", "word_distance", "kept"]
     out = docs.drop(*new)
-    columns = out.columns
+    columns = [c for c in carried or out.columns if c not in new]
     out = out.join(refs, F.col("lang").cast("string").eqNullSafe(F.col(lang)), "left")
     of_words = let(words_of(text), lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("repeat")))
     out = out.withColumns({in_words: of_words, classes: char_classes(text), size: F.length(text)})
@@ -240,7 +243,8 @@ def quality(docs: DataFrame, rules: Rules = FENCES, references: DataFrame | None
            .withColumn("word_distance", F.when(referred, let(spaced_letter_words(text), word_distance))))
     char_limit, word_limit = F.lit(rules.max_char_distance), F.lit(rules.max_word_distance)
     if rules.spread is not None:
-        out, char_limit, word_limit = _limited(materialise(out.select(*columns, *new[:-1]), "quality-judged"), rules)
+        judged = [*columns, *(["lang"] if "lang" not in columns else []), *new[:-1]]
+        out, char_limit, word_limit = _limited(materialise(out.select(*judged), "quality-judged"), rules)
     off = (F.coalesce(F.col("char_distance") > char_limit, F.lit(False))
            | F.coalesce(F.col("word_distance") > word_limit, F.lit(False)))
     return out.withColumn("kept", ~F.col("base_failed") & ~off).select(*columns, *new)

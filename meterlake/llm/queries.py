@@ -38,7 +38,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-# The limits are those of quality_rules.Rules().
+# The limits are those of quality_rules.FENCES.
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda x: x <> '') AS ws FROM d),
@@ -84,15 +84,27 @@ b AS (SELECT d.rid, d.doc_id, length(t) AS len, CAST(len(ws) AS BIGINT) AS n_wor
       CASE WHEN coalesce(total, 0) >= 1000 AND coalesce(dn.words, 0) >= 60 THEN jw.js END AS wd
       FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN jc USING (rid)
       LEFT JOIN jw USING (rid) LEFT JOIN dn USING (rid) LEFT JOIN lt ON d.lang IS NOT DISTINCT FROM lt.lang),
-f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, length(bin(greatest(n_words, 1))) - 1 AS band FROM b
+      JOIN (SELECT rid, lang FROM d) USING (rid)),
+db AS (SELECT lang, band, 'c' AS kind, CAST(floor(cd * 4096) AS INTEGER) AS bin, count(*) AS n FROM f WHERE cd IS NOT NULL GROUP BY ALL
+       UNION ALL SELECT lang, band, 'w', CAST(floor(wd * 4096) AS INTEGER), count(*) FROM f WHERE wd IS NOT NULL GROUP BY ALL),
+da AS (SELECT * FROM db UNION ALL SELECT lang, -1, kind, bin, sum(n) FROM db GROUP BY lang, kind, bin),
+dr AS (SELECT *, sum(n) OVER (PARTITION BY lang, band, kind) AS total, sum(n) OVER (PARTITION BY lang, band, kind ORDER BY bin) AS upto FROM da),
+dq AS (SELECT lang, band, kind, CAST(min(CASE WHEN upto * 4 >= total THEN bin END) AS DOUBLE) / 4096 AS q1,
+              CAST(min(CASE WHEN upto * 4 >= total * 3 THEN bin END) AS DOUBLE) / 4096 AS q3 FROM dr WHERE total >= 20 GROUP BY lang, band, kind),
+dl AS (SELECT lang, band, max(CASE WHEN kind = 'c' THEN lim END) AS cl, max(CASE WHEN kind = 'w' THEN lim END) AS wl
+       FROM (SELECT *, q3 + CAST(1 AS DOUBLE) / 4096 + 3 * greatest(q3 - q1, CAST(0.01 AS DOUBLE)) AS lim FROM dq) GROUP BY lang, band)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT coalesce(cd > 0.3, false) AND NOT coalesce(wd > 0.5, false) AS kept,
-       round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM f"""
+       NOT base_failed AND NOT coalesce(cd > least(coalesce(own.cl, every.cl, CAST(0.3 AS DOUBLE)), CAST(0.3 AS DOUBLE)), false)
+       AND NOT coalesce(wd > least(coalesce(own.wl, every.wl, CAST(0.5 AS DOUBLE)), CAST(0.5 AS DOUBLE)), false) AS kept,
+       round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
+FROM f LEFT JOIN dl own ON own.lang IS NOT DISTINCT FROM f.lang AND own.band = f.band
+LEFT JOIN dl every ON every.lang IS NOT DISTINCT FROM f.lang AND every.band = -1"""
 
 
 @register("op10_quality_rules", QUALITY_SQL)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(read_table(spark, sf_dir, "documents"), quality_rules.Rules()).select(
+    return quality_rules.quality(read_table(spark, sf_dir, "documents"), carried=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
 

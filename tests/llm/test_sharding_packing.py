@@ -33,6 +33,40 @@ def test_a_hot_group_is_spread_and_small_groups_stay_whole(spark):
     assert len(places[hot]) >= 2 and all(len(s) == 1 for c, s in places.items() if c != hot)
 
 
+def torn(rows):
+    """Groups of equal texts in several shards, and the spread of the shards' bytes."""
+    places, size = defaultdict(set), defaultdict(int)
+    for r in rows:
+        places[r.text_crc32].add(r.shard)
+        size[r.shard] += r["size"]
+    return [c for c, s in places.items() if len(s) > 1], max(size.values()) / (sum(size.values()) / 8)
+
+
+def test_no_group_of_the_given_documents_is_torn(spark, sf):
+    for scale in ("0.001", "0.01"):
+        docs = spark.read.parquet(f"{sf.replace('0.001', scale)}/documents.parquet")
+        groups, most = torn(sharding.shard(docs, 8).collect())
+        assert groups == [] and most < 1.1
+
+
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    """Groups of up to four fifths of a shard are not torn, and shards stay equal."""
+    rows, doc = [], 0
+    for k, n in enumerate([640, 500, 320, 320, 160, 80, 40, 20]):
+        for _ in range(n):
+            rows.append((doc, f"group {k} " + "z" * 91))
+            doc += 1
+    rows += [(doc + i, f"single {i:05d} " + "y" * 86) for i in range(8 * 800 - len(rows))]
+    groups, most = torn(sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 8, ranges=128).collect())
+    assert groups == [] and most < 1.05
+
+
+def test_large_groups_go_where_there_is_room():
+    places, held = sharding.whole_groups([(1, 60), (2, 60), (3, 50), (4, 10), (5, 45), (6, 200)], 200, 2)
+    assert places == {1: 0, 4: 0, 2: 1} or 6 not in places
+    assert max(held) <= 100 and sum(held) == sum(s for k, s in [(1, 60), (2, 60), (3, 50), (4, 10), (5, 45), (6, 200)] if k in places)
+
+
 def test_odd_rows_are_placed_one_by_one(odd, odd_rows, empty):
     rows = sharding.shard(odd, 3).collect()
     assert len(rows) == len(odd_rows) and sum(r.doc_id is None for r in rows) == 1
@@ -47,6 +81,12 @@ def test_written_shards_read_back(spark, tmp_path, sf):
     assert back.count() == docs.count() and back.select("shard").distinct().count() == 4
 
 
+def test_repeated_ids_are_written_once(spark, odd, odd_rows, tmp_path):
+    sharding.write_shards(odd, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(str((r.doc_id, r.text)) for r in back.collect()) == sorted(str(r[:2]) for r in odd_rows)
+
+
 def padding(lengths, counts, bounds):
     return sum(c * (min(b for b in bounds if b >= n) - n) for n, c in zip(lengths, counts, strict=True))
 
