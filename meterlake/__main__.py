@@ -39,6 +39,11 @@ def main(argv=None) -> None:
     va.add_argument("--target", required=True)
     va.add_argument("--compare-source", default=None)
     va.add_argument("--layout", default="tree", choices=["tree", "hive"])
+    qu = sub.add_parser("quality")
+    qu.add_argument("--target", required=True)
+    qu.add_argument("--kinds", default="bills,readings")
+    rj = sub.add_parser("rejects")
+    rj.add_argument("--target", required=True)
     rp = sub.add_parser("report")
     rp.add_argument("name", choices=["revenue", "consumption", "top", "status", "voltage", "trend",
                                      "overview"])
@@ -78,6 +83,14 @@ def main(argv=None) -> None:
             from meterlake.sources.inventory import file_inventory
             inv = file_inventory(spark, a.compare_source, layout=a.layout)
             coverage_summary(source_coverage(inv, silver)).show(truncate=False)
+    elif a.cmd == "quality":
+        from meterlake.operators import quality
+        from meterlake.sources.silver import scan_silver
+        for kind in a.kinds.split(","):
+            quality.quality_report(scan_silver(spark, a.target, kind), kind).show(200, truncate=False)
+    elif a.cmd == "rejects":
+        from meterlake.plans import store
+        store.load_rejects(spark, a.target).orderBy("run_id", "path").show(1000, truncate=False)
     elif a.cmd == "report":
         from meterlake.operators import reports
         from meterlake.sources.silver import scan_silver

@@ -644,10 +644,10 @@ def q_changed_files(spark, sf_dir):
 @register("load_rejects", O.with_("readings", "readings_typed") + """
 , subs AS (SELECT DISTINCT division, subdivision FROM readings_typed),
   cnt AS (SELECT division, subdivision, count(*) AS c FROM readings GROUP BY 1, 2)
-SELECT s.division, s.subdivision, s.division = '3' AS rejected,
-       CASE WHEN s.division = '3' THEN 'missing columns: voltage' END AS reason,
-       CAST(CASE WHEN s.division = '3' THEN 0 ELSE coalesce(c.c, 0) END AS BIGINT) AS n_rows,
-       s.division <> '3' AS in_manifest
+SELECT s.division, s.subdivision, s.division = 'DIV03' AS rejected,
+       CASE WHEN s.division = 'DIV03' THEN 'missing columns: voltage' END AS reason,
+       CAST(CASE WHEN s.division = 'DIV03' THEN 0 ELSE coalesce(c.c, 0) END AS BIGINT) AS n_rows,
+       s.division <> 'DIV03' AS in_manifest
 FROM subs s LEFT JOIN cnt c USING (division, subdivision)""")
 def q_load_rejects(spark, sf_dir):
     """Files without a needed column are reported, not loaded and not in the manifest;
@@ -947,3 +947,6 @@ def q_stream_ingest(spark, sf_dir):
 @register("load_statistics")
 def q_load_statistics(spark, sf_dir):
     return load_statistics(spark, _staged(spark, sf_dir).silver)
+
+
+from meterlake import catalog_more  # noqa: E402,F401  (registers its queries here)

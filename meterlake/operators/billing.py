@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import billing as fb
-from meterlake.operators.joins import maybe_broadcast
+from meterlake.operators.joins import maybe_broadcast, split_join
 
 CHUNK = "day"
 
@@ -35,7 +35,7 @@ def with_tariff(df: DataFrame, tariffs: DataFrame) -> DataFrame:
 def bill_charges(usage: DataFrame, meters: DataFrame, tariffs: DataFrame) -> DataFrame:
     """Simplified monthly bill per (meter, month): energy at the flat rate,
     the tariff's meter rent, GST on both."""
-    j = with_tariff(usage.join(meters.select("meter_id", "tariff_code"), "meter_id", "inner"), tariffs)
+    j = with_tariff(split_join(usage, meters.select("meter_id", "tariff_code"), "meter_id"), tariffs)
     ch = fb.flat_charges("kwh", "meter_rent", "gst_rate")
     return j.select(
         fb.bill_id("meter_id", F.month("period")).alias("bill_id"), "meter_id",
@@ -47,7 +47,7 @@ def bill_charges(usage: DataFrame, meters: DataFrame, tariffs: DataFrame) -> Dat
 
 def slab_charges(usage: DataFrame, meters: DataFrame, tariffs: DataFrame) -> DataFrame:
     """Energy charge from the tariff's progressive slabs."""
-    j = with_tariff(usage.join(meters.select("meter_id", "tariff_code"), "meter_id", "inner"), tariffs)
+    j = with_tariff(split_join(usage, meters.select("meter_id", "tariff_code"), "meter_id"), tariffs)
     return j.select("meter_id", F.date_format("period", "yyyy-MM").alias("billing_month"),
                     "tariff_code", F.round("kwh", 3).alias("consumption_kwh"),
                     fb.slab_charge("kwh", "rates").alias("slab_energy"))
@@ -61,8 +61,9 @@ def peak_season_usage(readings: DataFrame) -> DataFrame:
 
 
 def customer_bills(bills: DataFrame, customers: DataFrame) -> DataFrame:
-    """Bills with their customer (one customer per meter)."""
-    return bills.join(customers, "meter_id", "inner")
+    """Bills with their customer (one customer per meter).  A meter with very many
+    bills is split over several tasks."""
+    return split_join(bills, customers, "meter_id")
 
 
 def unprocessed(candidates: DataFrame, done: DataFrame, key: str = "meter_id") -> DataFrame:

@@ -299,3 +299,26 @@ def validate(df: DataFrame, kind: str) -> DataFrame:
         [("missing_columns", float(len(missing)), "ok" if not missing else "fail")],
         "check string, value double, status string")
     return cols.unionByName(body).unionByName(dup)
+
+
+NUMERIC = {"bills": ["consumption_kwh", "energy_charges", "meter_rent", "gst", "total_amount"],
+           "readings": ["reading", "consumption_kwh", "voltage", "current_amp"]}
+
+
+def quality_report(df: DataFrame, kind: str) -> DataFrame:
+    """The whole quality report of a table as (section, item, metric, value): rows and
+    duplicates, NULLs, value ranges, outliers and broken rules.  Columns that the table
+    lacks are left out."""
+    def long(part: DataFrame, section: str, item: Column, metrics: Sequence[str]) -> DataFrame:
+        cells = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
+        return part.select(F.lit(section).alias("section"), item.alias("item"), cells.alias("c")).select("section", "item", "c.metric", "c.value")
+
+    columns = [c for c in EXPECTED[kind] if c in df.columns and c != "etl_timestamp"]
+    numeric = [c for c in NUMERIC[kind] if c in columns]
+    table, column = F.lit(",".join(KEYS[kind])), F.col("column")
+    out = long(duplicate_count(df, KEYS[kind]), "duplicates", table, ["n_rows", "n_duplicates"])
+    out = out.unionByName(long(null_profile(df, columns), "nulls", column, ["n_null", "pct_null"]))
+    out = out.unionByName(long(value_ranges(df, numeric), "ranges", column, ["min", "max", "mean", "median", "std"]))
+    out = out.unionByName(long(iqr_outliers(df, numeric), "outliers", column, ["lower", "upper", "n_outliers"]))
+    rules = BILL_RULES if kind == "bills" else READING_RULES
+    return out.unionByName(long(rule_violations(df, rules, kind), "rules", F.col("rule"), ["violations"]))

@@ -189,7 +189,7 @@ def _damage(spark: SparkSession, folder: str) -> None:
 
 
 _REJECTS: dict[tuple[str, str], tuple[str, str]] = {}
-BROKEN_DIVISION = "3"
+BROKEN_DIVISION = "DIV03"
 
 
 def staged_rejects(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

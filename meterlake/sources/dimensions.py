@@ -30,8 +30,14 @@ def tariffs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TARIFFS, TARIFF)
 
 
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+# Columns of the dimension tables.
+METER_COLUMNS = ["meter_id", "division", "subdivision", "area", "meter_type", "tariff_code", "status"]
+CUSTOMER_COLUMNS = ["customer_id", "meter_id", "name", "father_name", "address", "phone", "cnic", "payment_behavior"]
+
+
+def read_dimension(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A stored dimension, all columns as text; one that the files lack is NULL."""
+    return spark.read.schema(", ".join(f"`{c}` string" for c in columns)).parquet(path)
 
 
 # Stand-in mapping of the test tables' market segment to a tariff.
@@ -70,9 +76,15 @@ def meters_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customers with all columns, the personal ones invented from the key."""
     c = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
-    b = F.col("c_acctbal")
+    b, key = F.col("c_acctbal"), F.col("c_custkey")
     behaviour = (F.when(b < 0, "defaulter").when(b < 2000, "late_payer")
                  .when(b < 5000, "regular_payer").otherwise("prompt_payer"))
-    return c.select(customer_id("c_custkey").alias("customer_id"), meter_id("c_custkey").alias("meter_id"),
-                    F.col("c_name").alias("name"), behaviour.alias("payment_behavior"))
+    digits = F.lpad(key.cast("string"), 7, "0")
+    return c.select(
+        customer_id("c_custkey").alias("customer_id"), meter_id("c_custkey").alias("meter_id"), F.col("c_name").alias("name"),
+        F.concat(F.lit("Parent of "), F.col("c_name")).alias("father_name"),
+        F.format_string("House %d, %s", key % 1000, "c_mktsegment").alias("address"),
+        F.concat(F.lit("000-"), digits).alias("phone"), F.concat(F.lit("00000-"), digits, F.lit("-"), (key % 10).cast("string")).alias("cnic"),
+        behaviour.alias("payment_behavior"))
