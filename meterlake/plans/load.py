@@ -156,16 +156,28 @@ def upsert_partitions(spark: SparkSession, current: store.Version, staged: DataF
     return untouched + new_dirs
 
 
-def _manifest_rows(inv: DataFrame, staged: DataFrame, run_id: str, now: dt.datetime) -> DataFrame:
+def _counted(spark: SparkSession, staged: dict[str, DataFrame], path: str) -> DataFrame:
+    """Rows per file of the tables just written (one column of them is read), written:
+    one row per file."""
+    frames = [df.groupBy(F.lit(kind).alias("data_type"), "source_file").agg(F.count(F.lit(1)).alias("records"))
+              for kind, df in staged.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    out.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(out.schema).parquet(escape_glob(path))
+
+
+def _manifest_rows(inv: DataFrame, counts: DataFrame, run_id: str, at: dt.datetime) -> DataFrame:
     """Manifest rows of the files of ``inv`` that were there to be read.  A file
     without rows is looked at once more: gone between its header and the scan, it
     must not pass for loaded."""
-    counts = staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
-    none = inv.join(counts, "source_file", "left_anti").select("data_type", "path")
+    keys = ["data_type", "source_file"]
+    none = inv.join(counts, keys, "left_anti").select("data_type", "path")
     gone = set() if none.isEmpty() else vanished(file_headers(none))
-    rows = inv.join(counts, "source_file", "left").select(
+    rows = inv.join(counts, keys, "left").select(
         "data_type", "path", "length", "modified", F.coalesce("records", F.lit(0)).cast("long").alias("records"),
-        F.lit(run_id).alias("run_id"), F.lit(now.replace(tzinfo=None)).cast("timestamp").alias("committed_at"))
+        F.lit(run_id).alias("run_id"), F.lit(at.replace(tzinfo=None)).cast("timestamp").alias("committed_at"))
     return rows.where(~F.col("path").isin(sorted(gone))) if gone else rows
 
 
@@ -234,7 +246,7 @@ def _load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     per_kind = {k: sum(1 for r in rows if r["data_type"] == k) for k in kinds}
     etl_ts = F.lit(now.replace(tzinfo=None)).cast("timestamp")
     committed: dict[str, tuple[list[str], int]] = {}
-    manifests = []
+    written: dict[str, DataFrame] = {}
     for kind in kinds:
         current = versions.get(kind)
         if per_kind[kind] == 0:
@@ -258,14 +270,13 @@ def _load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
             staged = store.read_dirs(spark, new_dirs, kind)
             paths = ([*current.paths, *new_dirs] if (mode == "append" and current is not None)
                      else new_dirs)
-        manifests.append(_manifest_rows(inv, staged, run_id, at))
+        written[kind] = staged
         committed[kind] = (paths, per_kind[kind])
         result.tables[kind] = {"files": per_kind[kind], "version": run_id, "paths": paths}
     if committed:
-        m = manifests[0]
-        for x in manifests[1:]:
-            m = m.unionByName(x)
         with _step("manifest"):
+            counts = _counted(spark, written, f"{target.rstrip('/')}/_staging/{run_id}/_records")
+            m = _manifest_rows(batch_inv.where(F.col("data_type").isin(list(committed))), counts, run_id, at)
             store.write_manifest(spark, target, m, run_id, list(committed) if mode == "full" else [])
         with _step("commit"):
             store.commit(spark, target, run_id, mode, committed, at)
