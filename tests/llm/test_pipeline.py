@@ -33,3 +33,33 @@ def test_run_gives_the_packed_batches(spark, sf):
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and all(0 <= r.padding < r.bucket_len for r in rows)
     assert len({(r.bucket, r.batch, r.slot) for r in rows}) == len(rows)
+
+
+def test_odd_rows_and_clashing_columns_go_through(spark, sf, odd):
+    """Columns named like the operators' results keep their values and types; nulls,
+    repeats and long texts are decided like other rows."""
+    from pyspark.sql import functions as F
+
+    good = read_table(spark, sf, "documents").limit(40)
+    clash = [c for c in odd.columns if c not in good.columns] + ["n_words", "char_distance", "base_failed", "others"]
+    for name in clash:
+        good = good.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+        if name not in odd.columns:
+            odd = odd.withColumn(name, F.lit("clash"))
+    docs = materialise(good.unionByName(odd), "test-odd")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = materialise(stage(spark, docs, sf), "test-stage")
+        assert out.dtypes == docs.dtypes, name
+        rows = out.select("doc_id", *clash).collect()
+        assert all(r[c] in ("clash", f"{c}{r.doc_id}") for r in rows for c in clash)
+        docs = out
+    assert docs.count() > 0 and docs.filter("text is null").count() == 0
+    assert corpus_pipeline.packing_stage(spark, docs, sf).count() > 0
+
+
+def test_an_empty_table_goes_through(spark, sf, empty):
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf), "test-empty")
+        assert docs.count() == 0 and docs.dtypes == empty.dtypes
+    assert corpus_pipeline.packing_stage(spark, docs, sf).count() == 0
