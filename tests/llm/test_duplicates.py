@@ -248,6 +248,31 @@ def test_near_copies_grow_with_the_line(spark):
     assert any(len(x.split(" ")) > 200 for x, _ in linked)
 
 
+def test_prose_within_two_code_points_is_linked(spark):
+    """Also where the edits hit every word segment, part or join words, or make the line
+    too short for prose."""
+    rng = random.Random(31)
+    rules, pairs = line_dedup.NEAR, []
+    for n in [14, 14, 15, 16, 17, 20] * 12 + [40, 70] * 8:
+        line = " ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randrange(7, 13))) for _ in range(n))
+        other = list(line)
+        for _ in range(2):
+            blanks = [i for i, c in enumerate(other) if c == " "]
+            kind = rng.randrange(4)
+            if kind == 0:
+                del other[rng.choice(blanks)]
+            elif kind == 1:
+                other.insert(rng.randrange(1, len(other)), " ")
+            else:
+                other[rng.choice([i for i in range(len(other)) if i not in blanks])] = "z"
+        pairs.append((line, "".join(other)))
+    docs = spark.createDataFrame([(2 * i + k, x) for i, p in enumerate(pairs) for k, x in enumerate(p)], "doc_id long, text string")
+    got = {r.doc_id: r.class_doc_id for r in line_dedup.line_classes(docs).collect()}
+    assert all(got[2 * i + 1] == 2 * i for i in range(len(pairs)))
+    apart = [not any(s == t for s, _ in cuts(a) for t, _ in cuts(b)) for a, b in pairs if min(len(a), len(b)) > rules.long_chars + 2]
+    assert sum(apart) > 10
+
+
 def test_a_large_family_costs_one_comparison_a_line(spark):
     """Near copies of one line are held against a pivot, not against each other; lines
     that are near some member but not the pivot are still found."""
