@@ -26,7 +26,7 @@ from meterlake.plans import staging, standins, store
 from meterlake.plans.load import changed_files, frozen_inventory
 from meterlake.plans.stats import load_statistics
 from meterlake.schemas import SILVER_BILLS
-from meterlake.session import scratch_path
+from meterlake.session import scratch_path, sized
 from meterlake.sources import dimensions as dims
 from meterlake.sources import logs as log_src
 from meterlake.sources.bronze import read_bronze
@@ -465,16 +465,12 @@ def q_validate_readings(spark, sf_dir):
 
 # ---------------------------------------------------------------- files: scans, loads, manifest
 
-def _staged(spark, sf_dir):
-    return staging.staged(spark, sf_dir)
+def _staged(spark, sf_dir, kinds=staging.BOTH):
+    return staging.staged(spark, sf_dir, kinds)
 
 
-def _tree(spark, sf_dir):
-    return staging.staged_tree(spark, sf_dir)
-
-
-def _batches(spark, sf_dir):
-    return staging.staged_batches(spark, sf_dir)
+def _tree(spark, sf_dir, kinds=staging.BOTH):
+    return staging.staged_tree(spark, sf_dir, kinds)
 
 
 def _source_dir(c: str = "source_file"):
@@ -486,7 +482,7 @@ def _sql_source_dir(kind: str) -> str:
 
 
 def _scan_typed(spark, sf_dir, kind):
-    inv = frozen_inventory(spark, _tree(spark, sf_dir), [kind], "hive")
+    inv = frozen_inventory(spark, _tree(spark, sf_dir, [kind]), [kind], "hive")
     raw = read_bronze(spark, inv, kind, "hive")
     return clean.coerce_bills(raw) if kind == "bills" else clean.coerce_readings(raw)
 
@@ -542,7 +538,7 @@ def q_file_inventory(spark, sf_dir):
 SELECT bill_id, meter_id, strftime(billing_month, '%Y-%m-%d %H:%M:%S') AS billing_month, consumption_kwh,
        energy_charges, meter_rent, gst, total_amount, status, division, subdivision FROM bills""")
 def q_full_load_bills(spark, sf_dir):
-    s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills")
+    s = scan_silver(spark, _staged(spark, sf_dir, ["bills"]).silver, "bills")
     return s.select("bill_id", "meter_id", _ts("billing_month"), "consumption_kwh", "energy_charges",
                     "meter_rent", "gst", "total_amount", "status", "division", "subdivision")
 
@@ -551,7 +547,7 @@ def q_full_load_bills(spark, sf_dir):
 SELECT {O.ts_text('"timestamp"')} AS "timestamp", meter_id, reading, consumption_kwh, voltage,
        current_amp, quality_flag, division, subdivision FROM readings""")
 def q_full_load_readings(spark, sf_dir):
-    s = scan_silver(spark, _staged(spark, sf_dir).silver, "readings")
+    s = scan_silver(spark, _staged(spark, sf_dir, ["readings"]).silver, "readings")
     return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage",
                     "current_amp", "quality_flag", "division", "subdivision")
 
@@ -560,7 +556,7 @@ def q_full_load_readings(spark, sf_dir):
 SELECT division, CAST(count(*) AS BIGINT) AS n_rows, round(sum(total_amount), 2) AS revenue
 FROM bills GROUP BY division""")
 def q_scan_silver(spark, sf_dir):
-    s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills")
+    s = scan_silver(spark, _staged(spark, sf_dir, ["bills"]).silver, "bills")
     return s.groupBy("division").agg(F.count(F.lit(1)).alias("n_rows"),
                                      F.round(F.sum("total_amount"), 2).alias("revenue"))
 
@@ -569,7 +565,7 @@ def q_scan_silver(spark, sf_dir):
 SELECT bill_id, meter_id, consumption_kwh, total_amount FROM bills
 WHERE bill_id IS NOT NULL ORDER BY bill_id LIMIT 10""")
 def q_preview_rows(spark, sf_dir):
-    s = scan_silver(spark, _staged(spark, sf_dir).silver, "bills").where(F.col("bill_id").isNotNull())
+    s = scan_silver(spark, _staged(spark, sf_dir, ["bills"]).silver, "bills").where(F.col("bill_id").isNotNull())
     return preview(s.select("bill_id", "meter_id", "consumption_kwh", "total_amount"), 10, ["bill_id"])
 
 
@@ -606,21 +602,21 @@ _MERGE_READ_COLS = ("strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp
 
 @register("merge_bills", _merge_sql("bills", _MERGE_BILL_COLS))
 def q_merge_bills(spark, sf_dir):
-    s = scan_silver(spark, _batches(spark, sf_dir).merged, "bills")
+    s = scan_silver(spark, staging.merged(spark, sf_dir, "bills"), "bills")
     return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
                     _ts("billing_month"))
 
 
 @register("merge_readings", _merge_sql("readings", _MERGE_READ_COLS))
 def q_merge_readings(spark, sf_dir):
-    s = scan_silver(spark, _batches(spark, sf_dir).merged, "readings")
+    s = scan_silver(spark, staging.merged(spark, sf_dir, "readings"), "readings")
     return s.select(_ts("timestamp"), "meter_id", "reading", "consumption_kwh", "voltage", "quality_flag")
 
 
 @register("append_load", O.with_("bills_typed") + "," + O.batch_ctes("bills") + f"""
 SELECT {_MERGE_BILL_COLS} FROM bills_b1 UNION ALL SELECT {_MERGE_BILL_COLS} FROM bills_b2""")
 def q_append_load(spark, sf_dir):
-    s = scan_silver(spark, _batches(spark, sf_dir).appended, "bills")
+    s = scan_silver(spark, staging.appended(spark, sf_dir, "bills"), "bills")
     return s.select("bill_id", "meter_id", "consumption_kwh", "total_amount", "status", "division",
                     _ts("billing_month"))
 
@@ -633,9 +629,9 @@ FROM batches GROUP BY data_type, division, subdivision""")
 def q_changed_files(spark, sf_dir):
     """Per folder: whether files that were known stayed out, and whether new ones are
     picked (a folder may have either, both or, for the anti-join, files of both kinds)."""
-    b = _batches(spark, sf_dir)
-    inv = file_inventory(spark, b.root, ["bills", "readings"], "hive")
-    picked = changed_files(inv, spark.read.parquet(b.known)).select(F.col("path").alias("picked"))
+    known = spark.read.parquet(*[staging.first_manifest(spark, sf_dir, k) for k in staging.BOTH])
+    inv = union_by_name([file_inventory(spark, staging.arrivals(spark, sf_dir, k).tree, [k], "hive") for k in staging.BOTH])
+    picked = changed_files(inv, known).select(F.col("path").alias("picked"))
     both = inv.join(picked, F.col("path") == F.col("picked"), "left")
     return both.groupBy("data_type", "division", "subdivision").agg(
         F.bool_or(F.col("picked").isNull()).alias("known_files"), F.bool_or(F.col("picked").isNotNull()).alias("new_files"))
@@ -823,7 +819,9 @@ def q_unprocessed_meters(spark, sf_dir):
 SELECT b.bill_id, c.customer_id, c.name, c.payment_behavior, b.total_amount
 FROM bills b JOIN customers c ON b.meter_id = c.meter_id""")
 def q_customer_bills(spark, sf_dir):
-    j = billing.customer_bills(silver_bills(spark, sf_dir), dims.customers_from_table(spark, sf_dir))
+    bills = silver_bills(spark, sf_dir).select("bill_id", "meter_id", "total_amount")
+    with sized(spark, standins.table(spark, sf_dir, "lineitem").count()):
+        j = billing.customer_bills(bills, dims.customers_from_table(spark, sf_dir))
     return j.select("bill_id", "customer_id", "name", "payment_behavior", "total_amount")
 
 
@@ -935,7 +933,7 @@ def q_stream_ingest(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAMED:
         target = scratch_path(spark, "streamed")
-        for q in stream_ingest(spark, _tree(spark, sf_dir), target, target + "/_checkpoints", ["bills"],
+        for q in stream_ingest(spark, _tree(spark, sf_dir, ["bills"]), target, target + "/_checkpoints", ["bills"],
                                layout="hive"):
             q.awaitTermination()
         _STREAMED[key] = target

@@ -40,6 +40,7 @@ from meterlake.operators import clean
 from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import KINDS, SILVER
+from meterlake.session import sized
 from meterlake.sources.bronze import UnreadableHeader, file_headers, read_bronze, rejected, vanished, without
 from meterlake.sources.inventory import INVENTORY, decode_uri, escape_glob, file_inventory
 
@@ -55,6 +56,8 @@ def _step(name: str):
 
 # Keys of a batch up to this many rows are broadcast for the upsert.
 MERGE_BROADCAST_ROWS = 2_000_000
+# Bytes of a row of a bronze file, about: they tell a load's shuffle partitions.
+ROW_BYTES = 80
 # Up to this many keys, the collision scan pushes them into the scan as IN.
 KEY_LIST_MAX = 1_000
 
@@ -205,7 +208,8 @@ def load_files(spark: SparkSession, inv_all: DataFrame, target: str, mode: str,
     tables together."""
     codec = store.check_codec(compression)
     now = now or dt.datetime.now(dt.timezone.utc)
-    with _utc(spark):
+    size = inv_all.where(F.col("data_type").isin(list(kinds))).agg(F.sum("length")).first()[0] or 0
+    with _utc(spark), sized(spark, size // ROW_BYTES):
         return _load_files(spark, inv_all, target, mode, kinds, layout, codec, now, run_id or store.new_run_id(now),
                            replace_by_source, strict)
 

@@ -12,6 +12,7 @@ straddle the two batches, so the upsert really has to choose.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from meterlake.plans import export, load, standins, store
 from meterlake.schemas import KINDS
+from meterlake.sources.inventory import INVENTORY
 from meterlake.sources.silver import scan_silver
-from meterlake.session import scratch_path
+from meterlake.session import partitions_for, scratch_path, sized
 
 BILL_CUT = "1998-01-01"
 CANONICAL_ORDER_DIVISIONS = ("AFRICA", "AMERICA")
@@ -43,70 +45,111 @@ class Staged:
 
 
 @dataclass
-class Batches:
-    root: str            # tree written as batch 1, then batch 2 appended
-    merged: str          # batch 1 full load, then batch 2 incremental
-    appended: str        # batch 1 full load, then batch 2 append
-    known: str           # the manifest of `merged` after batch 1
+class Arrivals:
+    tree: str            # tree written as batch 1, then batch 2 appended
+    first: list          # inventory rows of batch 1
 
 
-_TREES: dict[tuple[str, str], str] = {}
-_CACHE: dict[tuple[str, str], Staged] = {}
-_BATCHES: dict[tuple[str, str], Batches] = {}
+BOTH = ("bills", "readings")
+# Keyed by session and tables: the folders; the kinds that are there already.
+_TREES: dict[tuple[str, str], tuple[str, set[str]]] = {}
+_SILVER: dict[tuple[str, str], tuple[str, set[str]]] = {}
+_ARRIVALS: dict[tuple, Arrivals] = {}
+_LOADED: dict[tuple, str] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return (spark.sparkContext.applicationId, sf_dir)
 
 
-def staged_tree(spark: SparkSession, sf_dir: str) -> str:
-    """The bronze tree of all rows.  Bills of two regions are written in the
-    canonical column order, all other bills with the columns reversed: the
-    tree holds two header layouts and scans must bind columns by name."""
-    key = _key(spark, sf_dir)
-    if key not in _TREES:
-        tree = scratch_path(spark, "tree")
-        b = bronze(spark, sf_dir, "bills")
-        canonical = F.col("division").isin(*CANONICAL_ORDER_DIVISIONS)
-        export.export_tree(b.where(canonical), tree, "bills")
-        export.export_tree(b.where(~canonical), tree, "bills", mode="append",
-                           columns=list(reversed(KINDS["bills"]["columns"])))
-        export.export_tree(bronze(spark, sf_dir, "readings"), tree, "readings")
-        _TREES[key] = tree
-    return _TREES[key]
-
-
-def staged(spark: SparkSession, sf_dir: str) -> Staged:
-    """The tree and its full load."""
-    key = _key(spark, sf_dir)
-    if key not in _CACHE:
-        tree = staged_tree(spark, sf_dir)
-        silver = scratch_path(spark, "silver")
-        load.full_load(spark, tree, silver, layout="hive")
-        _CACHE[key] = Staged(tree=tree, silver=silver)
-    return _CACHE[key]
+def _rows(spark: SparkSession, sf_dir: str, kind: str) -> int:
+    """Rows of the table that the kind has a row for each of (from Parquet footers)."""
+    return standins.table(spark, sf_dir, "lineitem" if kind == "bills" else "events").count()
 
 
-def staged_batches(spark: SparkSession, sf_dir: str) -> Batches:
-    """Two arrival batches: batch 1 loaded (full) into two targets, batch 2
-    then merged into one (incremental) and appended to the other."""
-    key = _key(spark, sf_dir)
-    if key not in _BATCHES:
-        base = scratch_path(spark, "batches")
-        bt = Batches(root=f"{base}/tree", merged=f"{base}/merged", appended=f"{base}/appended",
-                     known=f"{base}/known")
-        for kind in ("bills", "readings"):
-            export.export_tree(bronze(spark, sf_dir, kind).where(first_batch(kind)), bt.root, kind)
-        load.full_load(spark, bt.root, bt.merged, layout="hive")
-        store.committed_manifest(spark, bt.merged).write.parquet(bt.known)
-        load.full_load(spark, bt.root, bt.appended, layout="hive")
-        for kind in ("bills", "readings"):
-            export.export_tree(bronze(spark, sf_dir, kind).where(~first_batch(kind)), bt.root, kind,
-                               mode="append")
-        load.incremental_load(spark, bt.root, bt.merged, layout="hive")
-        load.append_load(spark, bt.root, bt.appended, layout="hive")
-        _BATCHES[key] = bt
-    return _BATCHES[key]
+def _exported(spark: SparkSession, sf_dir: str, kind: str, root: str, where: Column | None = None,
+              mode: str = "errorifexists", columns: list[str] | None = None) -> None:
+    """Export the kind's rows (those of ``where``).  Bills are shuffled as numbers; their
+    text is made of rows that are in place."""
+    rows = _rows(spark, sf_dir, kind)
+    with sized(spark, rows):
+        df = standins.bills_rows(spark, sf_dir) if kind == "bills" else standins.readings_bronze(spark, sf_dir)
+        export.export_tree(df if where is None else df.where(where), root, kind, partitions_for(spark, rows), mode,
+                           columns=columns, render=standins.bills_text if kind == "bills" else None)
+
+
+def staged_tree(spark: SparkSession, sf_dir: str, kinds: Sequence[str] = BOTH) -> str:
+    """The bronze tree of all rows of ``kinds``.  Bills of two regions are written in the
+    canonical column order, all other bills with the columns reversed: the
+    tree holds two header layouts and scans must bind columns by name."""
+    tree, there = _TREES.setdefault(_key(spark, sf_dir), (scratch_path(spark, "tree"), set()))
+    for kind in [k for k in kinds if k not in there]:
+        if kind == "bills":
+            canonical = F.col("division").isin(*CANONICAL_ORDER_DIVISIONS)
+            _exported(spark, sf_dir, kind, tree, canonical)
+            _exported(spark, sf_dir, kind, tree, ~canonical, "append", list(reversed(KINDS["bills"]["columns"])))
+        else:
+            _exported(spark, sf_dir, kind, tree)
+        there.add(kind)
+    return tree
+
+
+def staged(spark: SparkSession, sf_dir: str, kinds: Sequence[str] = BOTH) -> Staged:
+    """The tree and its full load, of ``kinds``."""
+    tree = staged_tree(spark, sf_dir, kinds)
+    silver, there = _SILVER.setdefault(_key(spark, sf_dir), (scratch_path(spark, "silver"), set()))
+    missing = [k for k in kinds if k not in there]
+    if missing:
+        load.full_load(spark, tree, silver, missing, layout="hive")
+        there.update(missing)
+    return Staged(tree=tree, silver=silver)
+
+
+def arrivals(spark: SparkSession, sf_dir: str, kind: str) -> Arrivals:
+    """The two arrival batches of a kind in one tree."""
+    key = (*_key(spark, sf_dir), kind)
+    if key not in _ARRIVALS:
+        tree = scratch_path(spark, f"batches-{kind}")
+        _exported(spark, sf_dir, kind, tree, first_batch(kind))
+        first = load.frozen_inventory(spark, tree, [kind], "hive").collect()
+        _exported(spark, sf_dir, kind, tree, ~first_batch(kind), "append")
+        _ARRIVALS[key] = Arrivals(tree, first)
+    return _ARRIVALS[key]
+
+
+def _first_load(spark: SparkSession, sf_dir: str, kind: str, label: str) -> str:
+    """A target with the full load of batch 1, and beside it its manifest of then; made once."""
+    key = (*_key(spark, sf_dir), kind, label)
+    if key not in _LOADED:
+        target = scratch_path(spark, f"{label}-{kind}")
+        inventory = spark.createDataFrame(arrivals(spark, sf_dir, kind).first, INVENTORY)
+        load.load_files(spark, inventory, target, "full", [kind], "hive")
+        store.committed_manifest(spark, target).write.parquet(f"{target}-known")
+        _LOADED[key] = target
+    return _LOADED[key]
+
+
+def first_manifest(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """The manifest of the kind's full load of batch 1."""
+    return f"{_first_load(spark, sf_dir, kind, 'merged')}-known"
+
+
+def _second_load(spark: SparkSession, sf_dir: str, kind: str, label: str, then: Callable) -> str:
+    target, key = _first_load(spark, sf_dir, kind, label), (*_key(spark, sf_dir), kind, label, "batch 2")
+    if key not in _LOADED:
+        then(spark, arrivals(spark, sf_dir, kind).tree, target, [kind], layout="hive")
+        _LOADED[key] = target
+    return target
+
+
+def merged(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Target of a full load of batch 1, then an incremental one."""
+    return _second_load(spark, sf_dir, kind, "merged", load.incremental_load)
+
+
+def appended(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Target of a full load of batch 1, then an append load."""
+    return _second_load(spark, sf_dir, kind, "appended", load.append_load)
 
 
 # Log level per event type of the stand-in run log.
@@ -152,7 +195,7 @@ def with_corrupt_part(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CORRUPT:
         path = scratch_path(spark, "corrupt")
-        bills = scan_silver(spark, staged(spark, sf_dir).silver, "bills")
+        bills = scan_silver(spark, staged(spark, sf_dir, ["bills"]).silver, "bills")
         for division in sorted(r[0] for r in bills.select("division").distinct().collect()):    # a handful
             out = f"{path}/{division.lower().replace(' ', '-')}"
             bills.where(F.col("division") == division).write.parquet(out)

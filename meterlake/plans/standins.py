@@ -36,7 +36,9 @@ def _num_text(value: Column) -> Column:
     return value.cast("double").cast("string")
 
 
-def bills_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bills_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined rows that ``bills_text`` makes bills of: the numbers, division,
+    subdivision and ``_ord`` without the source file, which those two name."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -54,12 +56,23 @@ def bills_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "o_custkey", "c_acctbal", "n_name", "r_name")
     j = li.join(owner, li.l_orderkey == owner.o_orderkey)
+    return j.select(
+        "l_orderkey", "l_linenumber", "o_custkey", F.signum("c_acctbal").alias("sign"),
+        F.col("r_name").alias("division"), F.col("n_name").alias("subdivision"),
+        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus").alias("_ord"))
 
+
+def bills_text(rows: DataFrame) -> DataFrame:
+    """Bronze bills of ``bills_rows``."""
     k = F.col("l_orderkey")
+    numbers = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+               "l_tax", "l_returnflag", "l_linestatus"]
+    rows = rows.select("l_orderkey", "l_linenumber", "o_custkey", "sign", "division", "subdivision", "_ord.*")
     amount = (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-              * F.signum("c_acctbal"))
-    source_file = F.concat_ws("/", "r_name", "n_name", F.lit("bills"), F.lit("bills.tsv"))
-    return j.select(
+              * F.col("sign"))
+    source_file = F.concat_ws("/", "division", "subdivision", F.lit("bills"), F.lit("bills.tsv"))
+    return rows.select(
         F.when(k % 211 == 0, F.lit("")).otherwise(
             F.concat_ws("-", k.cast("string"), F.col("l_linenumber").cast("string"))).alias("bill_id"),
         F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("meter_id"),
@@ -75,15 +88,17 @@ def bills_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
             _num_text(amount)).alias("total_amount"),
         F.when(F.col("l_returnflag") == "N", "Paid").when(F.col("l_returnflag") == "A", "Unpaid")
         .otherwise("Late").alias("status"),
-        F.col("r_name").alias("division"),
-        F.col("n_name").alias("subdivision"),
+        "division",
+        "subdivision",
         source_file.alias("source_file"),
-        F.struct(source_file.alias("source_file"), "l_shipdate", "l_partkey", "l_suppkey",
-                 "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-                 "l_linestatus").alias("_ord"),
+        F.struct(source_file.alias("source_file"), *numbers).alias("_ord"),
     )
 
 
+def bills_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bills_text(bills_rows(spark, sf_dir))
+
+
 def readings_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
