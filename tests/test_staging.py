@@ -69,7 +69,7 @@ def test_split_join_makes_its_rows_once(spark):
     def mark(v):
         seen.add(1)
         return v
-    many = spark.range(300).select(F.udf(mark, "long")("id").alias("v"), (F.col("id") % 7).alias("k"))
+    many = spark.range(300).select(F.udf(mark, "long")(F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     few = spark.range(7).selectExpr("id AS k", "id AS w")
     assert split_join(many, few, "k", max_broadcast=2).count() == 300
     assert seen.value == 300
