@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.operators.joins import maybe_broadcast
 from meterlake.plans import store
 from meterlake.schemas import SILVER
 from meterlake.session import scratch_path
@@ -103,7 +104,7 @@ def scan_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> Toler
     if seen.join(skipped, "path", "left_anti").isEmpty():
         raise ValueError(f"no whole Parquet part under {path}; skipped {skipped.count()}")
     bad = skipped.select(F.col("path").alias("_bad"))
-    data = parts.withColumn("_file", file).join(bad, F.col("_file") == F.col("_bad"), "left_anti").drop("_file")
+    data = parts.withColumn("_file", file).join(maybe_broadcast(bad), F.col("_file") == F.col("_bad"), "left_anti").drop("_file")
     return TolerantScan(data, skipped)
 
 
