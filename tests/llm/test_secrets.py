@@ -136,3 +136,30 @@ def test_long_candidates_are_read_whole():
     pieces = secrets.windows(text, 0, 230)
     assert "".join(p[secrets.BEFORE:secrets.BEFORE + secrets.BODY].rstrip("\0") for p in pieces) == text[:230]
     assert secrets.coded(pieces).shape == (5, secrets.WINDOW)
+
+
+def test_every_window_is_learned_from_or_held_out(spark, monkeypatch):
+    """More clean windows than the 3,000 that were once sampled, over several blocks."""
+    rng = random.Random(7)
+    docs = [(i, " ".join("%s.%s" % ("".join(rng.choice("abcdxyz") for _ in range(9)), rng.randrange(10 ** 6)) for _ in range(20))
+             + (' token = "%040x"' % rng.getrandbits(160) if i % 5 == 0 else "")) for i in range(200)]
+    want = [set(), set()]
+    for _, text in docs:
+        found, candidates = secrets.look(text)
+        for (a, b), label in zip(candidates, secrets.touched(candidates, found)):
+            want[label].update(secrets.windows(text, a, b))
+    seen, whole = [], secrets._learn
+
+    def learn(rounds):
+        rows = rounds[0].select("win", "block").union(rounds[5].select("win", "block")).distinct().collect()
+        for part in rounds[1:]:
+            rows += part.select("win", "block").distinct().collect()
+        seen.append(({r.win for r in rows}, {r.block for r in rows}))
+        return whole(rounds)
+    monkeypatch.setattr(secrets, "_learn", learn)
+    monkeypatch.setattr(secrets, "BLOCK", 1500)
+    monkeypatch.setattr(secrets, "LEARNED", 8000)
+    assert secrets.train(spark.createDataFrame(docs, "doc_id long, text string")) is not None
+    (windows, blocks), every = seen[0], want[0] | want[1]
+    held = {w for w in every if (secrets.xxhash.xxh64_intdigest(w.encode()) >> 1 >> 40) % 4 == 3}
+    assert len(want[0]) > 3500 and windows == every - held and len(blocks) == 3 and 0.2 < len(held) / len(every) < 0.3
