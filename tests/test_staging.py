@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterlake.operators.joins import split_join
 from meterlake.plans import staging, standins
 from meterlake.schemas import BILL_COLUMNS
-from meterlake.session import partitions_for, sized
+from meterlake.session import TASK_BYTES, partitions_for, sized
 from meterlake.sources.bronze import read_bronze
 from meterlake.sources.inventory import file_inventory
 
@@ -73,3 +73,27 @@ def test_split_join_makes_its_rows_once(spark):
     few = spark.range(7).selectExpr("id AS k", "id AS w")
     assert split_join(many, few, "k", max_broadcast=2).count() == 300
     assert seen.value == 300
+
+
+def test_tasks_stay_small_as_files_grow(spark, tmp_path):
+    """A load cuts files, and joins shuffle partitions, to a size that a task sorts in
+    memory; a smaller one of the session stays, and all are put back."""
+    path = str(tmp_path / "text")
+    spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("value")).write.text(path)
+    names = {"spark.sql.files.openCostInBytes": str(64 << 20), **{k: str(256 << 20) for k in TASK_BYTES}}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(path).rdd.getNumPartitions() == 1
+        with sized(spark, 1):
+            assert spark.read.text(path).rdd.getNumPartitions() >= 3
+            assert {k: spark.conf.get(k) for k in TASK_BYTES} == {k: str(v) for k, v in TASK_BYTES.items()}
+        assert {k: spark.conf.get(k) for k in names} == names
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        with sized(spark, 1):
+            assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(1 << 20)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1m"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
