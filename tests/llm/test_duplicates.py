@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm import line_dedup, queries, simhash
 from meterlake.llm import weighted_fingerprints as wf
+from meterlake.llm.common import CLEANED, materialise
 from meterlake.llm.graph import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -312,6 +314,45 @@ def test_banded_distance_of_words(spark, k):
         assert (r.d == want) if want <= k else r.d > k
 
 
+@pytest.mark.parametrize("vocabulary", [3, 4000])
+def test_words_within_and_sketches(spark, vocabulary):
+    rng = random.Random(vocabulary)
+    pairs = []
+    for _ in range(60):
+        a = [f"w{rng.randrange(vocabulary)}" for _ in range(rng.choice([1, 14, 40, 280]))]
+        b = list(a)
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = rng.choice([[], [f"w{rng.randrange(vocabulary)}"]])
+        pairs.append((a, b or ["w0"], rng.randrange(5)))
+    line = {x: F.array_join(x, " ") for x in "ab"}
+    rows = spark.createDataFrame(pairs, "a array<string>, b array<string>, k int").select(
+        "a", "b", "k", line_dedup.within(F.col("a"), F.col("b"), F.col("k")).alias("near"),
+        F.levenshtein(line_dedup.sketch(line["a"]), line_dedup.sketch(line["b"])).alias("bound"))
+    found = rows.collect()
+    for r in found:
+        assert r.near == (distance(r.a, r.b) <= r.k)
+        assert r.bound <= distance(r.a, r.b)
+    assert len({r.near for r in found}) == 2
+    assert (vocabulary > line_dedup.SIGNS) == any(len({*r.a, *r.b}) > line_dedup.SIGNS for r in found)
+
+def shuffle_files(spark):
+    """Names of the shuffle files on this machine's disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    before = shuffle_files(spark)
+    rows = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.max("id").alias("most"))
+    out = materialise(rows, "cleaned")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert out.count() == 700 and spark.conf.get(*CLEANED) == "false"
+
+
 def test_recall_of_near_copies_in_the_given_documents(spark, sf):
     """Of the lines that differ by a tenth of their code points at most, found by shared
     runs of eight code points and the full distance, nine of ten share a class."""
