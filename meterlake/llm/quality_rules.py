@@ -78,8 +78,8 @@ def _repeat_words(words: Column) -> Column:
             lambda i: F.xxhash64(*[w[i + k] for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
 
     def covered(h: Column) -> Column:
-        ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        found = let(ordered, lambda s: F.array_sort(F.transform(F.filter(
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        found = let(ordered, lambda s: F.sort_array(F.transform(F.filter(
             s, lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False))
             | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))), lambda x: x["i"])))
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("until"))

@@ -6,8 +6,10 @@ from dataclasses import replace
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from meterlake.llm import queries
-from meterlake.llm.quality_rules import FENCES, Rules, quality
+from meterlake.llm.quality_rules import FENCES, Rules, _repeat_words, quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -45,6 +47,15 @@ def test_matches_sql(spark, sf):
     assert got == want
 
 
+def test_repeated_windows_are_counted_without_a_comparator(spark):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (4, 5, 6, 30, 700)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert [r.n_repeat_words for r in quality(docs).orderBy("doc_id").collect()] == [plain(t)[-1] for t in texts]
+    # array_sort calls a lambda for each comparison; sort_array compares the numbers
+    assert "array_sort" not in str(_repeat_words(F.col("words")))
+
+
 def test_odd_rows(odd, odd_rows):
     got = quality(odd).collect()
     assert len(got) == len(odd_rows)
