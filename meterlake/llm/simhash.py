@@ -124,7 +124,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -
 
     A bucket is never listed: the comparison is part of the join's condition, and
     only links pass.  A link that several blocks would find is left to the first
-    of them.  A hot anchor is an ordinary skewed join key, which AQE splits.
+    of them.  A hot anchor is an ordinary skewed join key, which AQE splits.  Spark
+    sizes the replicas as if there were one for each fingerprint, so that it would
+    broadcast all of them: the join is told to be a merge.
     """
     placed = distinct.select("fp").mapInPandas(_replicate(max_bits, blocks), "anchor long, fp long, home boolean")
     homes = placed.filter("home").select("anchor", F.col("fp").alias("a"))
@@ -136,7 +138,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -
         inside = F.bit_count(F.shiftrightunsigned(differ, shift).bitwiseAND(F.lit((1 << bits) - 1)))
         near &= F.when(found_in == block, inside <= max_bits // blocks).otherwise(
             (found_in < block) | (inside > max_bits // blocks))
-    return homes.join(probes, (F.col("anchor") == F.col("at")) & near).select("a", "b")
+    return homes.join(probes.hint("merge"), (F.col("anchor") == F.col("at")) & near).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
