@@ -13,6 +13,7 @@ from meterlake.llm import line_dedup, queries, simhash
 from meterlake.llm import weighted_fingerprints as wf
 from meterlake.llm.common import CLEANED, materialise
 from meterlake.llm.graph import components
+from meterlake.session import shared_dir
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -353,6 +354,62 @@ def test_shuffle_files_go_when_a_table_is_written(spark):
     assert out.count() == 700 and spark.conf.get(*CLEANED) == "false"
 
 
+def test_lines_that_share_a_segment_only_are_no_pairs(spark, monkeypatch):
+    """Lines with one beginning and nothing else alike don't meet their texts; near
+    copies among them are still found, also if their texts are joined in rounds."""
+    rng = random.Random(11)
+    start = [f"begin{k}" for k in range(24)]
+    lines = [" ".join(start + [f"w{rng.randrange(10 ** 6)}" for _ in range(60)]) for _ in range(120)]
+    near = [lines[5 * k].replace(" begin23 ", f" other{k} ") for k in range(12)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines + near)], "doc_id long, text string")
+    found = line_dedup.occurrences(docs)
+    every = materialise(line_dedup.distinct_lines(found, line_dedup.NEAR), "test-lines")
+    shared = line_dedup._shared(every)
+    assert shared.groupBy("key").count().agg(F.max("count")).first()[0] >= len(lines)
+    bounded = line_dedup._bounded(shared, line_dedup._texts(found, shared, line_dedup.NEAR))
+    nobody = spark.createDataFrame([], "node long, component long")
+    pairs = line_dedup.pivot_pairs(bounded, line_dedup.NEAR).union(line_dedup.other_pairs(bounded, nobody, line_dedup.NEAR)).distinct()
+    assert 12 <= pairs.count() <= 30
+    wanted = {(lines[5 * k], near[k]) for k in range(12)}
+    named = {r.h1: r.line for r in found.select("h1", "line").collect()}
+    monkeypatch.setattr(line_dedup, "LEAST_PAIRS", 5)
+    monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 0)
+    got = {tuple(sorted((named[r.a], named[r.b]))) for r in line_dedup.links(found, every, line_dedup.NEAR).collect()}
+    assert got == {tuple(sorted(p)) for p in wanted}
+
+
+def test_tables_of_line_dedup_go_when_they_are_read(spark):
+    def tables():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/meterlake")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        return Counter(x.getPath().getName().rsplit("-", 1)[0] for x in fs.listStatus(folder)) if fs.exists(folder) else Counter()
+    before = tables()
+    text = " ".join(f"word{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text.replace("word20", "other")), (3, text)], "doc_id long, text string")
+    assert {r.class_doc_id for r in line_dedup.line_classes(docs).collect()} == {1}
+    left = tables() - before
+    assert not {"line-distinct", "line-keys", "line-shared", "line-bounded", "line-others", "line-texts"} & set(left) and left["links"] <= 2
+
+
+def test_replicas_are_not_broadcast(spark):
+    distinct = materialise(spark.range(50).select(F.xxhash64("id").alias("fp")), "test-fps")
+    plan = simhash.links(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_only_measured_tables_are_broadcast(spark, monkeypatch):
+    seen = []
+    real = simhash.materialise
+    from pyspark.sql.readwriter import DataFrameWriter
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (
+        seen.append(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")), write(self, *a, **k))[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert real(spark.range(5), "measured").count() == 5
+    assert seen == ["-1"] and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
 def test_recall_of_near_copies_in_the_given_documents(spark, sf):
     """Of the lines that differ by a tenth of their code points at most, found by shared
     runs of eight code points and the full distance, nine of ten share a class."""
