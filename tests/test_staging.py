@@ -1,6 +1,7 @@
 """Staged trees and targets: what is shuffled, how often, and that the rows stay the same."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -31,6 +32,23 @@ def _tables(spark, d):
     return str(d)
 
 
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_of_loads_and_exports_go_when_they_are_written(spark, tmp_path):
+    before = _shuffle_files(spark)
+    with sized(spark, 10):
+        rows = spark.range(3000).repartition(3).groupBy((F.col("id") % 700).alias("k")).count()
+        rows.repartitionByRange(4, "k").write.parquet(str(tmp_path / "rows"))
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 700
+
+
 def test_exported_bills_are_those_of_the_text_rows(spark, tmp_path):
     """Bills go through the shuffle as numbers; the files hold the same text, in order."""
     sf = _tables(spark, tmp_path)
